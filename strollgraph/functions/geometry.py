@@ -1,4 +1,4 @@
-"""Planar geometry as Column expressions.
+"""Planar geometry as Spark SQL expressions.
 
 A polygon is ``rings``: array of closed rings of ``struct<x,y>``, outer ring first, then holes.
 A line is ``path``: array of ``struct<x,y>``.  Both are used through flat edge arrays
@@ -9,11 +9,15 @@ segment with a polygon, once displaced infinitely little to the left and once to
 sorted crossing positions pair up into the stretches whose left (right) side lies in the polygon.
 Lengths inside a polygon, lengths along its boundary, overlap areas and union areas (by Green's
 formula over the oriented edges) all follow from the measures of those stretches.
+
+The functions map SQL text to SQL text: a kernel reaches the JVM as one parsed expression, which
+keeps plans quick to build.  Arguments are column names or SQL expressions; wrap results in
+``F.expr``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POINT = "struct<x:double,y:double>"
@@ -26,405 +30,335 @@ SPANS = "array<struct<t0:double,t1:double>>"
 ON_LINE_M = 1e-7
 
 
-def point(x, y) -> Column:
-    return F.struct(_col(x).cast("double").alias("x"), _col(y).cast("double").alias("y"))
+def let(value: str, name: str, body: str) -> str:
+    """Evaluate ``value`` once for a body that needs it several times."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
 
+def keep(value: str, name: str, test: str) -> Column:
+    """Generator giving ``value`` where ``test`` holds and no row otherwise.
+
+    A filter on a computed column would be pushed below it and evaluate the expression twice.
+    """
+    return F.expr(f"explode(filter(array({value}), {name} -> {test}))")
 
-def _col(value) -> Column:
-    return F.col(value) if isinstance(value, str) else value if isinstance(value, Column) else F.lit(value)
 
+def point(x: str, y: str) -> str:
+    return f"named_struct('x', cast({x} as double), 'y', cast({y} as double))"
 
-def let(value: Column, use) -> Column:
-    """Evaluate ``value`` once inside an expression that needs it several times."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+
+def segment(x0: str, y0: str, x1: str, y1: str) -> str:
+    return (
+        f"named_struct('x0', cast({x0} as double), 'y0', cast({y0} as double), "
+        f"'x1', cast({x1} as double), 'y1', cast({y1} as double))"
+    )
 
 
-def box_rings(x0, y0, x1, y1) -> Column:
+def box_rings(x0: str, y0: str, x1: str, y1: str) -> str:
     """Axis-aligned rectangle as one counter-clockwise ring."""
-    return F.array(F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1), point(x0, y0)))
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    return "array(array(" + ", ".join(point(x, y) for x, y in corners) + "))"
 
 
-def line_path(x0, y0, x1, y1) -> Column:
-    return F.array(point(x0, y0), point(x1, y1))
+def line_path(x0: str, y0: str, x1: str, y1: str) -> str:
+    return f"array({point(x0, y0)}, {point(x1, y1)})"
 
 
-def path_edges(path: Column) -> Column:
+def path_edges(path: str) -> str:
     """Consecutive vertex pairs of a path."""
+    pair = "(a, b) -> named_struct('x0', a.x, 'y0', a.y, 'x1', b.x, 'y1', b.y)"
+    zipped = f"zip_with(slice(pp, 1, size(pp) - 1), slice(pp, 2, size(pp) - 1), {pair})"
+    return let(path, "pp", f"if(size(pp) >= 2, {zipped}, cast(array() as {EDGES}))")
 
-    def pairs(p: Column) -> Column:
-        steps = F.size(p) - 1
-        zipped = F.zip_with(
-            F.slice(p, F.lit(1), steps),
-            F.slice(p, F.lit(2), steps),
-            lambda a, b: F.struct(
-                a["x"].alias("x0"), a["y"].alias("y0"), b["x"].alias("x1"), b["y"].alias("y1")
-            ),
-        )
-        return F.when(F.size(p) >= 2, zipped).otherwise(F.array().cast(EDGES))
 
-    return let(path, pairs)
+def edge_cross(e: str) -> str:
+    return f"({e}.x0 * {e}.y1 - {e}.x1 * {e}.y0)"
 
 
-def edge_cross(e: Column) -> Column:
-    return e["x0"] * e["y1"] - e["x1"] * e["y0"]
+def edge_length(e: str) -> str:
+    return f"hypot({e}.x1 - {e}.x0, {e}.y1 - {e}.y0)"
 
 
-def signed_area(edges: Column) -> Column:
+def signed_area(edges: str) -> str:
     """Shoelace area; positive when the interior is on the left."""
-    return F.aggregate(edges, F.lit(0.0), lambda acc, e: acc + edge_cross(e)) / 2.0
+    return f"(aggregate({edges}, 0D, (acc, ed) -> acc + {edge_cross('ed')}) / 2D)"
 
 
-def polygon_edges(rings: Column) -> Column:
+def polygon_edges(rings: str) -> str:
     """All ring edges with the polygon interior on the left of each."""
+    turned = f"if(({signed_area('fw')} >= 0) = (ring_no = 0), fw, {path_edges('reverse(ring)')})"
+    return f"flatten(transform({rings}, (ring, ring_no) -> {let(path_edges('ring'), 'fw', turned)}))"
 
-    def oriented(ring: Column, position: Column) -> Column:
-        return let(
-            path_edges(ring),
-            lambda forward: F.when((signed_area(forward) >= 0) == (position == 0), forward).otherwise(
-                path_edges(F.reverse(ring))
-            ),
-        )
-
-    return F.flatten(F.transform(rings, oriented))
 
-
-def edges_length(edges: Column) -> Column:
-    return F.aggregate(
-        edges, F.lit(0.0), lambda acc, e: acc + F.hypot(e["x1"] - e["x0"], e["y1"] - e["y0"])
-    )
+def edges_length(edges: str) -> str:
+    return f"aggregate({edges}, 0D, (acc, ed) -> acc + {edge_length('ed')})"
 
 
-def path_length(path: Column) -> Column:
+def path_length(path: str) -> str:
     return edges_length(path_edges(path))
 
 
-def polygon_area(rings: Column) -> Column:
+def polygon_area(rings: str) -> str:
     return signed_area(polygon_edges(rings))
 
 
-def with_bounds(df, points: Column, prefix: str = ""):
+def with_bounds(df: DataFrame, points: str) -> DataFrame:
     """Add ``xmin,ymin,xmax,ymax`` of an array of points."""
-    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
     return df.withColumns(
         {
-            f"{prefix}xmin": F.array_min(xs),
-            f"{prefix}ymin": F.array_min(ys),
-            f"{prefix}xmax": F.array_max(xs),
-            f"{prefix}ymax": F.array_max(ys),
+            f"{axis}{side}": F.expr(f"array_{side}(transform({points}, pt -> pt.{axis}))")
+            for side in ("min", "max")
+            for axis in ("x", "y")
         }
     )
 
 
-def tile_index(value: Column, size: float) -> Column:
+def tile_index(value: str, size: float) -> str:
     """Tile number of a coordinate; ``floor`` keeps negative coordinates in the right tile."""
-    return F.floor(value / F.lit(float(size))).cast("long")
+    return f"cast(floor(({value}) / {float(size)}D) as bigint)"
 
 
-def tile_range(low: Column, high: Column, size: float) -> Column:
-    return F.sequence(tile_index(low, size), tile_index(high, size))
+def tile_range(low: str, high: str, size: float) -> str:
+    return f"sequence({tile_index(low, size)}, {tile_index(high, size)})"
 
 
-def tile_key(x: Column, y: Column, size: float) -> Column:
-    return F.concat_ws(":", tile_index(x, size), tile_index(y, size))
+def tile_key(x: str, y: str, size: float) -> str:
+    return f"concat_ws(':', {tile_index(x, size)}, {tile_index(y, size)})"
 
 
 # --- stretches of a segment covered by a polygon -------------------------------------------------
 
 
-def relative_edges(s: Column, edges: Column) -> Column:
+def relative_edges(s: str, edges: str) -> str:
     """Per polygon edge: side of both ends against the line of ``s`` and their positions along it."""
-    dx, dy = s["x1"] - s["x0"], s["y1"] - s["y0"]
-    len2 = dx * dx + dy * dy
-    tol = F.sqrt(len2) * ON_LINE_M
-
-    def side(x: Column, y: Column) -> Column:
-        raw = dx * (y - s["y0"]) - dy * (x - s["x0"])
-        return F.when(F.abs(raw) <= tol, F.lit(0.0)).otherwise(raw)
-
-    def along(x: Column, y: Column) -> Column:
-        return (dx * (x - s["x0"]) + dy * (y - s["y0"])) / len2
-
-    relative = F.transform(
-        edges,
-        lambda e: F.struct(
-            side(e["x0"], e["y0"]).alias("sa"),
-            side(e["x1"], e["y1"]).alias("sb"),
-            along(e["x0"], e["y0"]).alias("ta"),
-            along(e["x1"], e["y1"]).alias("tb"),
-        ),
-    )
-    empty = F.array().cast("array<struct<sa:double,sb:double,ta:double,tb:double>>")
-    return F.when(len2 > 0, relative).otherwise(empty)
+    dx, dy = f"({s}.x1 - {s}.x0)", f"({s}.y1 - {s}.y0)"
+    len2 = f"({dx} * {dx} + {dy} * {dy})"
 
+    def side(x: str, y: str) -> str:
+        raw = f"({dx} * ({y} - {s}.y0) - {dy} * ({x} - {s}.x0))"
+        return f"if(abs({raw}) <= sqrt({len2}) * {ON_LINE_M}D, 0D, {raw})"
 
-def crossings(relative: Column, left: bool) -> Column:
-    """Sorted positions where the displaced line crosses the polygon outline."""
-
-    def above(side: Column) -> Column:
-        return side > 0 if left else side >= 0
+    def along(x: str, y: str) -> str:
+        return f"(({dx} * ({x} - {s}.x0) + {dy} * ({y} - {s}.y0)) / {len2})"
 
-    crossing = F.filter(relative, lambda r: above(r["sa"]) != above(r["sb"]))
-    return F.array_sort(
-        F.transform(crossing, lambda r: r["ta"] + (r["tb"] - r["ta"]) * (r["sa"] / (r["sa"] - r["sb"])))
+    row = (
+        f"named_struct('sa', {side('re.x0', 're.y0')}, 'sb', {side('re.x1', 're.y1')}, "
+        f"'ta', {along('re.x0', 're.y0')}, 'tb', {along('re.x1', 're.y1')})"
     )
+    empty = "cast(array() as array<struct<sa:double,sb:double,ta:double,tb:double>>)"
+    return f"if({len2} > 0, transform({edges}, re -> {row}), {empty})"
 
 
-def spans(positions: Column) -> Column:
-    """Pair sorted crossings into covered stretches, kept to the segment itself (0..1)."""
-
-    def pair_up(ts: Column) -> Column:
-        def stretch(i: Column) -> Column:
-            return F.struct(
-                F.greatest(F.element_at(ts, i), F.lit(0.0)).alias("t0"),
-                F.least(F.element_at(ts, i + 1), F.lit(1.0)).alias("t1"),
-            )
-
-        paired = F.transform(F.sequence(F.lit(1), F.size(ts) - 1, F.lit(2)), stretch)
-        return F.when(F.size(ts) >= 2, F.filter(paired, lambda p: p["t1"] - p["t0"] > 1e-12)).otherwise(
-            F.array().cast(SPANS)
-        )
-
-    return let(positions, pair_up)
-
-
-def span_measure(stretches: Column) -> Column:
-    return F.aggregate(stretches, F.lit(0.0), lambda acc, p: acc + p["t1"] - p["t0"])
+def crossings(relative: str, left: bool) -> str:
+    """Sorted positions where the displaced line crosses the polygon outline."""
+    above = ">" if left else ">="
+    kept = f"filter({relative}, rr -> (rr.sa {above} 0) != (rr.sb {above} 0))"
+    return f"array_sort(transform({kept}, rr -> rr.ta + (rr.tb - rr.ta) * (rr.sa / (rr.sa - rr.sb))))"
 
 
-def common_measure(a: Column, b: Column) -> Column:
-    """Measure of the intersection of two lists of disjoint stretches."""
-    return F.aggregate(
-        a,
-        F.lit(0.0),
-        lambda acc, p: acc
-        + F.aggregate(
-            b,
-            F.lit(0.0),
-            lambda inner, q: inner
-            + F.greatest(F.lit(0.0), F.least(p["t1"], q["t1"]) - F.greatest(p["t0"], q["t0"])),
-        ),
-    )
+def spans(positions: str) -> str:
+    """Pair sorted crossings into covered stretches, kept to the segment itself (0..1)."""
+    pair = "named_struct('t0', greatest(ts[k], 0D), 't1', least(ts[k + 1], 1D))"
+    paired = f"filter(transform(sequence(0, size(ts) - 2, 2), k -> {pair}), sp -> sp.t1 - sp.t0 > 1e-12D)"
+    return let(positions, "ts", f"if(size(ts) >= 2, {paired}, cast(array() as {SPANS}))")
 
 
-def with_cover(df, segment: str, edges: str, prefix: str = ""):
-    """Add ``left`` and ``right``: stretches of ``segment`` whose side lies in the polygon ``edges``."""
-    rel = f"{prefix}rel"
+def with_cover(df: DataFrame, s: str, edges: str) -> DataFrame:
+    """Add ``left`` and ``right``: stretches of ``s`` whose side lies in the polygon ``edges``."""
     return (
-        df.withColumn(rel, relative_edges(F.col(segment), F.col(edges)))
-        .withColumn(f"{prefix}lt", crossings(F.col(rel), True))
-        .withColumn(f"{prefix}rt", crossings(F.col(rel), False))
-        .withColumn(f"{prefix}left", spans(F.col(f"{prefix}lt")))
-        .withColumn(f"{prefix}right", spans(F.col(f"{prefix}rt")))
-        .drop(rel, f"{prefix}lt", f"{prefix}rt")
+        df.withColumn("_rel", F.expr(relative_edges(s, edges)))
+        .withColumns({"left": F.expr(spans(crossings("_rel", True))), "right": F.expr(spans(crossings("_rel", False)))})
+        .drop("_rel")
     )
 
 
 # --- distances -----------------------------------------------------------------------------------
 
 
-def point_in_polygon(x: Column, y: Column, edges: Column) -> Column:
+def point_in_polygon(x: str, y: str, edges: str) -> str:
     """Even-odd ray test; points on the outline are decided by distance, not here."""
-    hits = F.filter(
-        edges,
-        lambda e: ((e["y0"] > y) != (e["y1"] > y))
-        & (x < e["x0"] + (y - e["y0"]) / F.when(e["y1"] != e["y0"], e["y1"] - e["y0"]) * (e["x1"] - e["x0"])),
+    hit = (
+        f"(pe.y0 > {y}) != (pe.y1 > {y}) and "
+        f"{x} < pe.x0 + ({y} - pe.y0) / nullif(pe.y1 - pe.y0, 0D) * (pe.x1 - pe.x0)"
     )
-    return F.size(hits) % 2 == 1
+    return f"(size(filter({edges}, pe -> {hit})) % 2 = 1)"
 
 
-def _foot(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    """Position on a-b nearest to p, between 0 and 1."""
-    dx, dy = bx - ax, by - ay
-    len2 = dx * dx + dy * dy
-    raw = ((px - ax) * dx + (py - ay) * dy) / F.when(len2 > 0, len2)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(raw, F.lit(0.0))))
+LINK = "struct<d2:double,px:double,py:double,qx:double,qy:double>"
 
 
-LINK = "struct<d2:double,px:double,py:double,qx:double,qy:double>"
+def link_segment(link: str) -> str:
+    return segment(f"{link}.px", f"{link}.py", f"{link}.qx", f"{link}.qy")
 
 
-def nearest_link(s: Column, edges: Column) -> Column:
-    """Shortest connection from segment ``s`` to the edges: squared distance and both end points."""
+def _foot(px: str, py: str, a: str) -> str:
+    """Position on the segment ``a`` nearest to a point, between 0 and 1."""
+    dx, dy = f"({a}.x1 - {a}.x0)", f"({a}.y1 - {a}.y0)"
+    raw = f"(({px} - {a}.x0) * {dx} + ({py} - {a}.y0) * {dy}) / nullif({dx} * {dx} + {dy} * {dy}, 0D)"
+    return f"greatest(0D, least(1D, coalesce({raw}, 0D)))"
 
-    def feet(e: Column) -> Column:
-        dx, dy = s["x1"] - s["x0"], s["y1"] - s["y0"]
-        fx, fy = e["x1"] - e["x0"], e["y1"] - e["y0"]
-        den = dx * fy - dy * fx
-        safe = F.when(den != 0, den)
-        t = ((e["x0"] - s["x0"]) * fy - (e["y0"] - s["y0"]) * fx) / safe
-        u = ((e["x0"] - s["x0"]) * dy - (e["y0"] - s["y0"]) * dx) / safe
-        return F.struct(
-            _foot(s["x0"], s["y0"], e["x0"], e["y0"], e["x1"], e["y1"]).alias("f0"),
-            _foot(s["x1"], s["y1"], e["x0"], e["y0"], e["x1"], e["y1"]).alias("f1"),
-            _foot(e["x0"], e["y0"], s["x0"], s["y0"], s["x1"], s["y1"]).alias("g0"),
-            _foot(e["x1"], e["y1"], s["x0"], s["y0"], s["x1"], s["y1"]).alias("g1"),
-            F.when(t.between(0, 1) & u.between(0, 1), t).alias("t"),
-            e["x0"].alias("x0"), e["y0"].alias("y0"), e["x1"].alias("x1"), e["y1"].alias("y1"),
-        )
 
-    def at(a: Column, b: Column, f: Column) -> Column:
+def nearest_link(s: str, edges: str) -> str:
+    """Shortest connection from segment ``s`` to the edges: squared distance and both end points."""
+    den = "(({s}.x1 - {s}.x0) * (ne.y1 - ne.y0) - ({s}.y1 - {s}.y0) * (ne.x1 - ne.x0))".format(s=s)
+    t = f"(((ne.x0 - {s}.x0) * (ne.y1 - ne.y0) - (ne.y0 - {s}.y0) * (ne.x1 - ne.x0)) / nullif({den}, 0D))"
+    u = f"(((ne.x0 - {s}.x0) * ({s}.y1 - {s}.y0) - (ne.y0 - {s}.y0) * ({s}.x1 - {s}.x0)) / nullif({den}, 0D))"
+    feet = (
+        f"named_struct('e', ne, 'f0', {_foot(f'{s}.x0', f'{s}.y0', 'ne')}, 'f1', {_foot(f'{s}.x1', f'{s}.y1', 'ne')}, "
+        f"'g0', {_foot('ne.x0', 'ne.y0', s)}, 'g1', {_foot('ne.x1', 'ne.y1', s)}, "
+        f"'t', if({t} between 0 and 1 and {u} between 0 and 1, {t}, null))"
+    )
+
+    def at(a: str, axis: str, f: str) -> str:
         # Exact at both ends so that integer input gives exact distances.
-        return F.when(f == 1, b).otherwise(a + f * (b - a))
-
-    def ends(f: Column) -> Column:
-        def link(px, py, qx, qy):
-            return F.struct(px.alias("px"), py.alias("py"), qx.alias("qx"), qy.alias("qy"))
-
-        e_at = lambda k: (at(f["x0"], f["x1"], k), at(f["y0"], f["y1"], k))
-        s_at = lambda k: (at(s["x0"], s["x1"], k), at(s["y0"], s["y1"], k))
-        meet = s_at(f["t"])
-        four = F.array(
-            link(s["x0"], s["y0"], *e_at(f["f0"])),
-            link(s["x1"], s["y1"], *e_at(f["f1"])),
-            link(*s_at(f["g0"]), f["x0"], f["y0"]),
-            link(*s_at(f["g1"]), f["x1"], f["y1"]),
-        )
-        return F.when(f["t"].isNotNull(), F.array(link(*meet, *meet))).otherwise(four)
-
-    links = F.flatten(F.transform(F.transform(edges, feet), ends))
-    return F.array_min(
-        F.transform(
-            links,
-            lambda k: F.struct(
-                ((k["px"] - k["qx"]) * (k["px"] - k["qx"]) + (k["py"] - k["qy"]) * (k["py"] - k["qy"])).alias("d2"),
-                k["px"].alias("px"), k["py"].alias("py"), k["qx"].alias("qx"), k["qy"].alias("qy"),
-            ),
-        )
+        return f"if({f} = 1, {a}.{axis}1, {a}.{axis}0 + {f} * ({a}.{axis}1 - {a}.{axis}0))"
+
+    def ends(px: str, py: str, qx: str, qy: str) -> str:
+        return f"named_struct('px', {px}, 'py', {py}, 'qx', {qx}, 'qy', {qy})"
+
+    four = ", ".join(
+        [
+            ends(f"{s}.x0", f"{s}.y0", at("nf.e", "x", "nf.f0"), at("nf.e", "y", "nf.f0")),
+            ends(f"{s}.x1", f"{s}.y1", at("nf.e", "x", "nf.f1"), at("nf.e", "y", "nf.f1")),
+            ends(at(s, "x", "nf.g0"), at(s, "y", "nf.g0"), "nf.e.x0", "nf.e.y0"),
+            ends(at(s, "x", "nf.g1"), at(s, "y", "nf.g1"), "nf.e.x1", "nf.e.y1"),
+        ]
     )
+    meet = let(point(at(s, "x", "nf.t"), at(s, "y", "nf.t")), "mp", f"array({ends('mp.x', 'mp.y', 'mp.x', 'mp.y')})")
+    links = f"flatten(transform(transform({edges}, ne -> {feet}), nf -> if(nf.t is not null, {meet}, array({four}))))"
+    d2 = "(lk.px - lk.qx) * (lk.px - lk.qx) + (lk.py - lk.qy) * (lk.py - lk.qy)"
+    measured = f"named_struct('d2', {d2}, 'px', lk.px, 'py', lk.py, 'qx', lk.qx, 'qy', lk.qy)"
+    return f"array_min(transform({links}, lk -> {measured}))"
 
 
-def edges_near(edges: Column, s: Column, distance) -> Column:
+def edges_near(edges: str, s: str, distance: float) -> str:
     """Edges whose bounding box comes within ``distance`` of the bounding box of ``s``."""
-    d = _col(distance)
-    return F.filter(
-        edges,
-        lambda e: (F.least(e["x0"], e["x1"]) <= F.greatest(s["x0"], s["x1"]) + d)
-        & (F.greatest(e["x0"], e["x1"]) >= F.least(s["x0"], s["x1"]) - d)
-        & (F.least(e["y0"], e["y1"]) <= F.greatest(s["y0"], s["y1"]) + d)
-        & (F.greatest(e["y0"], e["y1"]) >= F.least(s["y0"], s["y1"]) - d),
-    )
+    d = f"{float(distance)}D"
+    tests = [
+        f"least(en.{a}0, en.{a}1) <= greatest({s}.{a}0, {s}.{a}1) + {d} and "
+        f"greatest(en.{a}0, en.{a}1) >= least({s}.{a}0, {s}.{a}1) - {d}"
+        for a in ("x", "y")
+    ]
+    return f"filter({edges}, en -> {' and '.join(tests)})"
 
 
-def capsule_span(s: Column, e: Column, radius) -> Column:
+def capsule_span(s: str, e: str, radius: float) -> str:
     """Stretch of ``s`` within ``radius`` of segment ``e``, or NULL; the region is convex."""
-    r2 = _col(radius) * _col(radius)
-    dx, dy = s["x1"] - s["x0"], s["y1"] - s["y0"]
-    len2 = dx * dx + dy * dy
-
-    def disk(cx: Column, cy: Column) -> Column:
-        b = (cx - s["x0"]) * dx + (cy - s["y0"]) * dy
-        c = (cx - s["x0"]) * (cx - s["x0"]) + (cy - s["y0"]) * (cy - s["y0"]) - r2
-        disc = b * b - len2 * c
-        root = F.sqrt(F.when(disc >= 0, disc))
-        safe = F.when(len2 > 0, len2)
-        return F.struct(((b - root) / safe).alias("t0"), ((b + root) / safe).alias("t1"))
-
-    # Strip around e: signed offset within the radius and foot between both ends of e.
-    ex, ey = e["x1"] - e["x0"], e["y1"] - e["y0"]
-    elen2 = ex * ex + ey * ey
-    elen = F.sqrt(elen2)
-
-    def band(start: Column, step: Column, low: Column, high: Column) -> Column:
-        """Positions where start + t*step lies in [low, high]."""
-        safe = F.when(step != 0, step)
-        a, b = (low - start) / safe, (high - start) / safe
-        always = (step == 0) & start.between(low, high)
-        never = (step == 0) & ~start.between(low, high)
-        return F.struct(
-            F.when(always, F.lit(-1e300)).when(never, F.lit(1e300)).otherwise(F.least(a, b)).alias("t0"),
-            F.when(always, F.lit(1e300)).when(never, F.lit(-1e300)).otherwise(F.greatest(a, b)).alias("t1"),
+    r = f"{float(radius)}D"
+    dx, dy = f"({s}.x1 - {s}.x0)", f"({s}.y1 - {s}.y0)"
+    ex, ey = f"({e}.x1 - {e}.x0)", f"({e}.y1 - {e}.y0)"
+    base = (
+        f"named_struct('len2', {dx} * {dx} + {dy} * {dy}, 'elen2', {ex} * {ex} + {ey} * {ey}, "
+        f"'off', {ex} * ({s}.y0 - {e}.y0) - {ey} * ({s}.x0 - {e}.x0), 'off_step', {ex} * {dy} - {ey} * {dx}, "
+        f"'foot', {ex} * ({s}.x0 - {e}.x0) + {ey} * ({s}.y0 - {e}.y0), 'foot_step', {ex} * {dx} + {ey} * {dy})"
+    )
+
+    def disk(cx: str, cy: str) -> str:
+        b = f"({cx} - {s}.x0) * {dx} + ({cy} - {s}.y0) * {dy}"
+        c = f"({cx} - {s}.x0) * ({cx} - {s}.x0) + ({cy} - {s}.y0) * ({cy} - {s}.y0) - {r} * {r}"
+        moving = (
+            "if(dk.b * dk.b >= cb.len2 * dk.c, named_struct('t0', (dk.b - sqrt(dk.b * dk.b - cb.len2 * dk.c)) / cb.len2, "
+            "'t1', (dk.b + sqrt(dk.b * dk.b - cb.len2 * dk.c)) / cb.len2), null)"
         )
+        # A zero-length segment is inside for all positions or for none.
+        still = "if(dk.c <= 0, named_struct('t0', 0D, 't1', 1D), null)"
+        return let(f"named_struct('b', {b}, 'c', {c})", "dk", f"if(cb.len2 > 0, {moving}, {still})")
 
-    offset0 = ex * (s["y0"] - e["y0"]) - ey * (s["x0"] - e["x0"])
-    offset_step = ex * dy - ey * dx
-    foot0 = ex * (s["x0"] - e["x0"]) + ey * (s["y0"] - e["y0"])
-    foot_step = ex * dx + ey * dy
-    across = band(offset0, offset_step, -_col(radius) * elen, _col(radius) * elen)
-    beside = band(foot0, foot_step, F.lit(0.0), elen2)
-    strip = F.when(
-        elen2 > 0,
-        F.struct(
-            F.greatest(across["t0"], beside["t0"]).alias("t0"),
-            F.least(across["t1"], beside["t1"]).alias("t1"),
-        ),
+    def band(start: str, step: str, low: str, high: str) -> str:
+        """Positions where start + t*step lies in [low, high]."""
+        fixed = f"if({start} between {low} and {high}, named_struct('t0', -1e300D, 't1', 1e300D), named_struct('t0', 1e300D, 't1', -1e300D))"
+        ends = [f"(({bound} - {start}) / nullif({step}, 0D))" for bound in (low, high)]
+        moving = f"named_struct('t0', least({ends[0]}, {ends[1]}), 't1', greatest({ends[0]}, {ends[1]}))"
+        return f"if({step} = 0, {fixed}, {moving})"
+
+    both = (
+        f"named_struct('across', {band('cb.off', 'cb.off_step', f'-{r} * sqrt(cb.elen2)', f'{r} * sqrt(cb.elen2)')}, "
+        f"'beside', {band('cb.foot', 'cb.foot_step', '0D', 'cb.elen2')})"
+    )
+    strip = let(
+        both, "bb", "named_struct('t0', greatest(bb.across.t0, bb.beside.t0), 't1', least(bb.across.t1, bb.beside.t1))"
+    )
+    parts = (
+        f"filter(array({disk(f'{e}.x0', f'{e}.y0')}, {disk(f'{e}.x1', f'{e}.y1')}, if(cb.elen2 > 0, {strip}, null)), "
+        "cp -> cp is not null and cp.t0 <= cp.t1)"
     )
-    pieces = F.filter(
-        F.array(disk(e["x0"], e["y0"]), disk(e["x1"], e["y1"]), strip),
-        lambda p: p.isNotNull() & p["t0"].isNotNull() & (p["t0"] <= p["t1"]),
+    hull = (
+        "named_struct('t0', greatest(0D, array_min(transform(ps, p -> p.t0))), "
+        "'t1', least(1D, array_max(transform(ps, p -> p.t1))))"
     )
-    low = F.greatest(F.lit(0.0), F.array_min(F.transform(pieces, lambda p: p["t0"])))
-    high = F.least(F.lit(1.0), F.array_max(F.transform(pieces, lambda p: p["t1"])))
-    return F.when((F.size(pieces) > 0) & (low <= high), F.struct(low.alias("t0"), high.alias("t1")))
+    found = let(parts, "ps", let(hull, "hl", "if(size(ps) > 0 and hl.t0 <= hl.t1, hl, null)"))
+    return let(base, "cb", found)
 
 
 # --- clipping to an axis-aligned window ----------------------------------------------------------
 
 
-def clip_segment(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+def part_of(s: str, t0: str, t1: str) -> str:
+    """Sub-segment between two positions, exact at the ends."""
+
+    def at(axis: str, t: str) -> str:
+        return f"case {t} when 0D then {s}.{axis}0 when 1D then {s}.{axis}1 else {s}.{axis}0 + {t} * ({s}.{axis}1 - {s}.{axis}0) end"
+
+    return segment(at("x", t0), at("y", t0), at("x", t1), at("y", t1))
+
+
+def clip_segment(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
     """Part of a segment in a closed window, or NULL; a touching end gives a zero-length part."""
-    dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
 
-    def slab(start: Column, step: Column, low: Column, high: Column):
-        safe = F.when(step != 0, step)
-        a, b = (low - start) / safe, (high - start) / safe
-        inside = start.between(low, high)
+    def slab(axis: str, low: str, high: str) -> tuple[str, str]:
+        start, step = f"{e}.{axis}0", f"({e}.{axis}1 - {e}.{axis}0)"
+        a, b = f"(({low}) - {start}) / nullif({step}, 0D)", f"(({high}) - {start}) / nullif({step}, 0D)"
+        inside = f"{start} between ({low}) and ({high})"
         return (
-            F.when(step == 0, F.when(inside, F.lit(0.0)).otherwise(F.lit(2.0))).otherwise(F.least(a, b)),
-            F.when(step == 0, F.when(inside, F.lit(1.0)).otherwise(F.lit(-1.0))).otherwise(F.greatest(a, b)),
+            f"if({step} = 0, if({inside}, 0D, 2D), least({a}, {b}))",
+            f"if({step} = 0, if({inside}, 1D, -1D), greatest({a}, {b}))",
         )
 
-    ax, bx = slab(e["x0"], dx, x0, x1)
-    ay, by = slab(e["y0"], dy, y0, y1)
-    low, high = F.greatest(F.lit(0.0), ax, ay), F.least(F.lit(1.0), bx, by)
-
-    def at(a: Column, b: Column, t: Column) -> Column:
-        return F.when(t == 0, a).when(t == 1, b).otherwise(a + t * (b - a))
-
-    return F.when(
-        low <= high,
-        F.struct(
-            at(e["x0"], e["x1"], low).alias("x0"), at(e["y0"], e["y1"], low).alias("y0"),
-            at(e["x0"], e["x1"], high).alias("x1"), at(e["y0"], e["y1"], high).alias("y1"),
-        ),
+    (ax, bx), (ay, by) = slab("x", x0, x1), slab("y", y0, y1)
+    ends = f"named_struct('low', greatest(0D, {ax}, {ay}), 'high', least(1D, {bx}, {by}))"
+    cut = let(ends, "ck", f"if(ck.low <= ck.high, {part_of(e, 'ck.low', 'ck.high')}, null)")
+    inside = (
+        f"least({e}.x0, {e}.x1) >= ({x0}) and greatest({e}.x0, {e}.x1) <= ({x1}) and "
+        f"least({e}.y0, {e}.y1) >= ({y0}) and greatest({e}.y0, {e}.y1) <= ({y1})"
     )
+    return f"if({inside}, {e}, {cut})"
 
 
-def clip_rings(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+def clip_rings(rings: str, x0: str, y0: str, x1: str, y1: str) -> str:
     """Polygon part in a window by successive half-plane cuts of every ring.
 
     Concave rings may keep coincident back-and-forth edges along the window; they cancel in the
     parity of ``crossings`` and in the shoelace sum.
     """
 
-    def half_plane(ring: Column, axis: str, bound: Column, keep_below: bool) -> Column:
-        def inside(p: Column) -> Column:
-            return p[axis] <= bound if keep_below else p[axis] >= bound
-
-        def cut(a: Column, b: Column) -> Column:
-            t = (bound - a[axis]) / F.when(b[axis] != a[axis], b[axis] - a[axis])
-            if axis == "x":
-                return point(bound, a["y"] + t * (b["y"] - a["y"]))
-            return point(a["x"] + t * (b["x"] - a["x"]), bound)
-
-        def step(e: Column) -> Column:
-            a = F.struct(e["x0"].alias("x"), e["y0"].alias("y"))
-            b = F.struct(e["x1"].alias("x"), e["y1"].alias("y"))
-            none = F.array().cast(PATH)
-            return (
-                F.when(inside(a) & inside(b), F.array(b))
-                .when(inside(a), F.array(cut(a, b)))
-                .when(inside(b), F.array(cut(a, b), b))
-                .otherwise(none)
-            )
-
-        kept = F.flatten(F.transform(path_edges(ring), step))
-        return let(
-            kept, lambda k: F.when(F.size(k) > 0, F.concat(F.array(F.element_at(k, -1)), k)).otherwise(k)
+    def half_plane(ring: str, axis: str, bound: str, below: bool) -> str:
+        compare = "<=" if below else ">="
+        a_in, b_in = f"ce.{axis}0 {compare} ({bound})", f"ce.{axis}1 {compare} ({bound})"
+        t = f"((({bound}) - ce.{axis}0) / nullif(ce.{axis}1 - ce.{axis}0, 0D))"
+        met = (
+            point(bound, f"ce.y0 + {t} * (ce.y1 - ce.y0)")
+            if axis == "x"
+            else point(f"ce.x0 + {t} * (ce.x1 - ce.x0)", bound)
         )
-
-    def clip(ring: Column) -> Column:
-        for axis, bound, below in [("x", x0, False), ("x", x1, True), ("y", y0, False), ("y", y1, True)]:
-            ring = half_plane(ring, axis, bound, below)
-        return ring
-
-    return F.filter(F.transform(rings, clip), lambda ring: F.size(ring) >= 4)
+        b = point("ce.x1", "ce.y1")
+        step = (
+            f"case when {a_in} and {b_in} then array({b}) when {a_in} then array({met}) "
+            f"when {b_in} then array({met}, {b}) else cast(array() as {PATH}) end"
+        )
+        kept = f"flatten(transform({path_edges(ring)}, ce -> {step}))"
+        return let(kept, "kp", "if(size(kp) > 0, concat(array(element_at(kp, -1)), kp), kp)")
+
+    ring = "ring"
+    for axis, bound, below in [("x", x0, False), ("x", x1, True), ("y", y0, False), ("y", y1, True)]:
+        ring = half_plane(ring, axis, bound, below)
+    return f"filter(transform({rings}, ring -> {ring}), done -> size(done) >= 4)"
+
+
+def inner_point(edges: str, xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    """Point inside a polygon: middle of its widest stretch on the horizontal line at half height."""
+    y = f"(({ymin} + {ymax}) / 2D)"
+    scan = segment(xmin, y, xmax, y)
+    stretches = let(scan, "sc", spans(crossings(relative_edges("sc", edges), True)))
+    widest = f"array_max(transform({stretches}, p -> named_struct('w', p.t1 - p.t0, 'n', -p.t0, 't1', p.t1)))"
+    at = let(widest, "wd", point(f"{xmin} + (wd.t1 - wd.n) / 2D * ({xmax} - {xmin})", y))
+    return at

@@ -121,7 +121,7 @@ def derive(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame
 
 
 def with_box(df: DataFrame) -> DataFrame:
-    return df.withColumn("rings", G.box_rings("x0", "y0", "x1", "y1"))
+    return df.withColumn("rings", F.expr(G.box_rings("x0", "y0", "x1", "y1")))
 
 
 def land(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +143,7 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "route_index", "source_id", "block", "slot", "verdict.tier", "verdict.seed", "verdict.reason",
         node("start_no").alias("start_node"), node("end_no").alias("end_node"), "grade",
         F.lit("").alias("name"), "x0", "y0", "x1", "y1",
-        G.line_path("x0", "y0", "x1", "y1").alias("path"),
+        F.expr(G.line_path("x0", "y0", "x1", "y1")).alias("path"),
     )
 
 
@@ -154,7 +154,7 @@ def barrier_tags() -> "F.Column":
 def barriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, BARRIERS_SQL, "customer").select(
         "barrier_no", F.col("node_no").cast("string").alias("node_id"),
-        P.barrier_blocks(barrier_tags()).alias("blocking"), "x", "y", F.array(G.point("x", "y")).alias("path"),
+        P.barrier_blocks(barrier_tags()).alias("blocking"), "x", "y", F.expr(f"array({G.point('x', 'y')})").alias("path"),
     )
 
 

@@ -125,32 +125,20 @@ def nearby_hints(shapes: DataFrame, hints: DataFrame, distance: float) -> DataFr
     boxes = shapes.groupBy("node").agg(
         F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax")
     )
-    bounded = G.with_bounds(hints, F.flatten("rings")).select("source_id", *S.BOUNDS)
+    bounded = G.with_bounds(hints, "flatten(rings)").select("source_id", *S.BOUNDS)
     pairs = S.near_pairs(boxes, bounded, distance, BOUNDARY_CELL_M)
     return pairs.groupBy(F.col("a_node").alias("site_id")).agg(
         F.array_join(F.array_sort(F.collect_set("b_source_id")), ";").alias("unverified_common_ids")
     )
 
 
-def inner_point(edges: Column, ymin: Column, ymax: Column, xmin: Column, xmax: Column) -> Column:
-    """Point inside a polygon: middle of its widest stretch on the horizontal line at half height."""
-    y = (ymin + ymax) / 2
-    scan = F.struct(xmin.alias("x0"), y.alias("y0"), xmax.alias("x1"), y.alias("y1"))
-    stretches = G.spans(G.crossings(G.relative_edges(scan, edges), True))
-    widest = F.array_max(
-        F.transform(stretches, lambda p: F.struct((p["t1"] - p["t0"]).alias("w"), (-p["t0"]).alias("n"), p["t1"].alias("t1")))
-    )
-    t = (widest["t1"] - widest["n"]) / 2
-    return G.point(xmin + t * (xmax - xmin), y)
-
-
 def site_points(shapes: DataFrame) -> DataFrame:
     """Representative point of a site, taken in its largest component: ``site_id, easting, northing``."""
-    area = F.round(G.signed_area(F.col("edges")), 6)
+    area = F.expr(f"round({G.signed_area('edges')}, 6)")
     best = shapes.groupBy("node").agg(
         F.max_by(F.struct("edges", *S.BOUNDS), F.struct(area, (-F.col("xmin")), (-F.col("ymin")))).alias("big")
     )
-    at = inner_point(F.col("big.edges"), F.col("big.ymin"), F.col("big.ymax"), F.col("big.xmin"), F.col("big.xmax"))
-    return best.select(F.col("node").alias("site_id"), at.alias("p")).select(
+    at = G.inner_point("big.edges", "big.xmin", "big.ymin", "big.xmax", "big.ymax")
+    return best.select(F.col("node").alias("site_id"), F.expr(at).alias("p")).select(
         "site_id", F.col("p.x").alias("easting"), F.col("p.y").alias("northing")
     )

@@ -82,12 +82,7 @@ def snap_links(routes: DataFrame, distance: float) -> DataFrame:
         F.posexplode(F.array(F.element_at("path", 1), F.element_at("path", -1))).alias("end_no", "p"),
     )
     ends = S.segment_bounds(
-        ends.select(
-            "route_index", "grade", "end_no",
-            F.struct(
-                F.col("p.x").alias("x0"), F.col("p.y").alias("y0"), F.col("p.x").alias("x1"), F.col("p.y").alias("y1")
-            ).alias("s"),
-        )
+        ends.select("route_index", "grade", "end_no", F.expr(G.segment("p.x", "p.y", "p.x", "p.y")).alias("s"))
     )
     others = S.path_segments(routes.where(F.col("tier") != "excluded"), ["route_index", "grade"]).drop("edge_no")
     links = S.segment_links(
@@ -103,17 +98,11 @@ def snap_links(routes: DataFrame, distance: float) -> DataFrame:
     ).agg(F.min("link").alias("link"))
 
 
-def link_segment(link: Column) -> Column:
-    return F.struct(
-        link["px"].alias("x0"), link["py"].alias("y0"), link["qx"].alias("x1"), link["qy"].alias("y1")
-    )
-
-
 def snap_edges(routes: DataFrame, barriers: DataFrame, distance: float) -> DataFrame:
     key = ["route_index", "end_no", "other_index"]
     links = snap_links(routes, distance)
     flags = blocked_shapes(
-        links.select(*key, link_segment(F.col("link")).alias("s")), barriers, key, 0.0
+        links.select(*key, F.expr(G.link_segment("link")).alias("s")), barriers, key, 0.0
     ).drop("entrance")
     joined = links.join(flags, key, "left")
     low, high = F.least("route_index", "other_index"), F.greatest("route_index", "other_index")
@@ -125,25 +114,17 @@ def snap_edges(routes: DataFrame, barriers: DataFrame, distance: float) -> DataF
 def route_pieces(routes: DataFrame, tile: float, keep: list[str]) -> DataFrame:
     """Route segments clipped to closed tiles; a seam point belongs to both tiles."""
 
-    def closed_range(low: Column, high: Column) -> Column:
-        return F.sequence(
-            (F.ceil(low / F.lit(float(tile))) - 1).cast("long"), F.floor(high / F.lit(float(tile))).cast("long")
+    t = f"{float(tile)}D"
+    pieces = S.path_segments(routes, keep)
+    for axis in ("x", "y"):
+        low = f"cast(ceil({axis}min / {t}) - 1 as bigint)"
+        pieces = pieces.withColumn(
+            f"tile_{axis}", F.expr(f"explode(sequence({low}, {G.tile_index(f'{axis}max', tile)}))")
         )
-
-    t = float(tile)
-    pieces = (
-        S.path_segments(routes, keep)
-        .withColumn("tile_x", F.explode(closed_range(F.col("xmin"), F.col("xmax"))))
-        .withColumn("tile_y", F.explode(closed_range(F.col("ymin"), F.col("ymax"))))
-        .withColumn(
-            "s",
-            G.clip_segment(
-                F.col("s"), F.col("tile_x") * t, F.col("tile_y") * t, (F.col("tile_x") + 1) * t, (F.col("tile_y") + 1) * t
-            ),
-        )
-        .where(F.col("s").isNotNull())
+    part = G.clip_segment("s", f"tile_x * {t}", f"tile_y * {t}", f"(tile_x + 1) * {t}", f"(tile_y + 1) * {t}")
+    return S.segment_bounds(
+        pieces.withColumn("s", G.keep(part, "e", "e is not null")).drop(*S.BOUNDS)
     )
-    return S.segment_bounds(pieces)
 
 
 def contact_facts(shapes: DataFrame, routes: DataFrame, distance: float, tile: float) -> DataFrame:
@@ -172,7 +153,7 @@ def contact_lengths(facts: DataFrame) -> DataFrame:
         [*CONTACT, "edge_no", "s"],
         {"l": F.col("is_left"), "r": ~F.col("is_left"), "u": F.lit(True)},
     )
-    length = F.hypot(F.col("s.x1") - F.col("s.x0"), F.col("s.y1") - F.col("s.y0"))
+    length = F.expr(G.edge_length("s"))
     return measured.groupBy(*CONTACT).agg(
         F.sum((F.col("l") + F.col("r") - F.col("u")) * length).alias("inside_m"),
         F.sum((2 * F.col("u") - F.col("l") - F.col("r")) * length).alias("boundary_m"),
@@ -187,9 +168,9 @@ def contact_shapes(facts: DataFrame, best: DataFrame) -> DataFrame:
     parts = meeting.select(*CONTACT, "s", F.explode(stretches).alias("p")).select(
         *CONTACT, "s", F.col("p.t0").alias("t0"), F.col("p.t1").alias("t1")
     )
-    parts = parts.select(*CONTACT, S.part_of().alias("s"))
-    touches = meeting.where(F.size(stretches) == 0).select(*CONTACT, link_segment(F.col("link")).alias("s"))
-    gaps = best.where(F.col("link.d2") > 0).select(*CONTACT, link_segment(F.col("link")).alias("s"))
+    parts = parts.select(*CONTACT, F.expr(G.part_of("s", "t0", "t1")).alias("s"))
+    touches = meeting.where(F.size(stretches) == 0).select(*CONTACT, F.expr(G.link_segment("link")).alias("s"))
+    gaps = best.where(F.col("link.d2") > 0).select(*CONTACT, F.expr(G.link_segment("link")).alias("s"))
     return parts.unionByName(touches).unionByName(gaps).distinct()
 
 
@@ -199,7 +180,9 @@ def elevated_contacts(shapes: DataFrame, routes: DataFrame, distance: float) ->
         routes.where(F.col("grade") != FLAT_GRADE), ["route_index"]
     ).drop("edge_no", "route_index")
     near = S.near_pairs(S.segment_bounds(shapes), raised, distance)
-    near = near.withColumn("p", G.capsule_span(F.col("a_s"), F.col("b_s"), float(distance))).where("p IS NOT NULL")
+    near = near.withColumn(
+        "p", G.keep(G.capsule_span("a_s", "b_s", distance), "c", "c is not null")
+    )
     key = [f"a_{k}" for k in CONTACT]
     c = F.col("a_s")
     is_point = (c["x0"] == c["x1"]) & (c["y0"] == c["y1"])
@@ -275,16 +258,14 @@ def seed_routes(routes: DataFrame, shapes: DataFrame) -> DataFrame:
     """Possible road seeds with more than 5 m outside official sites: ``route_index, outside_m``."""
     roads = S.path_segments(routes.where(F.col("seed")), ["route_index"])
     lengths = roads.groupBy("route_index").agg(
-        F.sum(F.hypot(F.col("s.x1") - F.col("s.x0"), F.col("s.y1") - F.col("s.y0"))).alias("length_m")
+        F.sum(F.expr(G.edge_length("s"))).alias("length_m")
     )
     spans = S.covered_spans(roads, shapes.where("official_site").select("edges", *S.BOUNDS))
     covered = (
         S.union_measures(spans, ["a_route_index", "a_edge_no", "a_s"], {"u": F.lit(True)})
         .groupBy(F.col("a_route_index").alias("route_index"))
         .agg(
-            F.sum(F.col("u") * F.hypot(F.col("a_s.x1") - F.col("a_s.x0"), F.col("a_s.y1") - F.col("a_s.y0"))).alias(
-                "covered_m"
-            )
+            F.sum(F.col("u") * F.expr(G.edge_length("a_s"))).alias("covered_m")
         )
     )
     outside = F.col("length_m") - F.coalesce("covered_m", F.lit(0.0))

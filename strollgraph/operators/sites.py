@@ -36,7 +36,7 @@ def collapse_copies(land: DataFrame) -> DataFrame:
 
     A stack of copies then costs one edge per copy instead of one per pair.
     """
-    shaped = G.with_bounds(land.select("component_id", "rings"), F.flatten("rings")).select(
+    shaped = G.with_bounds(land.select("component_id", "rings"), "flatten(rings)").select(
         "component_id", F.xxhash64("rings").alias("shape"), F.hash("rings").alias("shape2"), *S.BOUNDS
     )
     key = ["shape", "shape2", *S.BOUNDS]
@@ -77,11 +77,11 @@ def union_outline(pieces: DataFrame, spans: DataFrame) -> DataFrame:
         S.outline_segments(pieces, ["component_id"]).select("component_id", "s", F.lit(0).alias("keep")),
         ["component_id", "s"],
     )
-    return free.select("component_id", F.col("s").alias("edge"), S.part_of().alias("s"))
+    return free.select("component_id", F.col("s").alias("edge"), F.expr(G.part_of("s", "t0", "t1")).alias("s"))
 
 
 def outline_area(outline: DataFrame, key: str) -> DataFrame:
-    return outline.groupBy(key).agg((F.sum(G.edge_cross(F.col("s"))) / 2).alias("area_m2"))
+    return outline.groupBy(key).agg((F.sum(F.expr(G.edge_cross("s"))) / 2).alias("area_m2"))
 
 
 def outline_hash(outline: DataFrame, key: str) -> DataFrame:
@@ -90,21 +90,14 @@ def outline_hash(outline: DataFrame, key: str) -> DataFrame:
     Both ends of a stretch enter an exclusive-or with its direction, so joints between collinear
     stretches cancel and only true corners remain.
     """
-    e = F.col("edge")
-    length = F.hypot(e["x1"] - e["x0"], e["y1"] - e["y0"])
-    ux, uy = F.round((e["x1"] - e["x0"]) / length, 6) + 0.0, F.round((e["y1"] - e["y0"]) / length, 6) + 0.0
+    length = G.edge_length("edge")
     corners = outline.select(
-        F.col(key),
-        F.explode(
-            F.array(
-                F.struct(F.col("s.x0").alias("x"), F.col("s.y0").alias("y")),
-                F.struct(F.col("s.x1").alias("x"), F.col("s.y1").alias("y")),
-            )
-        ).alias("p"),
-        ux.alias("ux"),
-        uy.alias("uy"),
+        key,
+        F.expr(f"explode(array({G.point('s.x0', 's.y0')}, {G.point('s.x1', 's.y1')}))").alias("p"),
+        F.expr(f"round((edge.x1 - edge.x0) / {length}, 6) + 0D").alias("ux"),
+        F.expr(f"round((edge.y1 - edge.y0) / {length}, 6) + 0D").alias("uy"),
     )
-    cell = [F.round("p.x", 6) + 0.0, F.round("p.y", 6) + 0.0, F.col("ux"), F.col("uy")]
+    cell = [F.expr("round(p.x, 6) + 0D"), F.expr("round(p.y, 6) + 0D"), F.col("ux"), F.col("uy")]
     mixed = corners.groupBy(key).agg(
         *[F.bit_xor(F.xxhash64(F.lit(seed), *cell)).alias(f"h{seed}") for seed in range(4)]
     )

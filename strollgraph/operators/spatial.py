@@ -28,25 +28,27 @@ def within_bbox(df: DataFrame, box: tuple[float, float, float, float]) -> DataFr
 
 def polygon_pieces(polygons: DataFrame, cell: float = 20000.0, limit: int = MAX_PIECE_EDGES) -> DataFrame:
     """Add ``edges`` and bounds; polygons with very many edges become one row per grid cell."""
-    whole = polygons.withColumn("edges", G.polygon_edges(F.col("rings")))
-    whole = G.with_bounds(whole, F.flatten("rings"))
+    whole = polygons.withColumn("edges", F.expr(G.polygon_edges("rings")))
+    whole = G.with_bounds(whole, "flatten(rings)")
     small = whole.where(F.size("edges") <= limit)
     large = (
         whole.where(F.size("edges") > limit)
-        .withColumn("_cx", F.explode(G.tile_range(F.col("xmin"), F.col("xmax"), cell)))
-        .withColumn("_cy", F.explode(G.tile_range(F.col("ymin"), F.col("ymax"), cell)))
+        .withColumn("_cx", F.expr(f"explode({G.tile_range('xmin', 'xmax', cell)})"))
+        .withColumn("_cy", F.expr(f"explode({G.tile_range('ymin', 'ymax', cell)})"))
         .withColumn(
             "rings",
-            G.clip_rings(
-                F.col("rings"),
-                F.col("_cx") * cell, F.col("_cy") * cell, (F.col("_cx") + 1) * cell, (F.col("_cy") + 1) * cell,
+            G.keep(
+                G.clip_rings(
+                    "rings", f"_cx * {cell}D", f"_cy * {cell}D", f"(_cx + 1) * {cell}D", f"(_cy + 1) * {cell}D"
+                ),
+                "r",
+                "size(r) > 0",
             ),
         )
-        .where(F.size("rings") > 0)
-        .withColumn("edges", G.polygon_edges(F.col("rings")))
+        .withColumn("edges", F.expr(G.polygon_edges("rings")))
         .drop("_cx", "_cy")
     )
-    return small.unionByName(G.with_bounds(large, F.flatten("rings")))
+    return small.unionByName(G.with_bounds(large, "flatten(rings)"))
 
 
 def outline_segments(polygons: DataFrame, keep: list[str]) -> DataFrame:
@@ -57,18 +59,14 @@ def outline_segments(polygons: DataFrame, keep: list[str]) -> DataFrame:
 
 def path_segments(lines: DataFrame, keep: list[str]) -> DataFrame:
     """One row per line segment: kept columns, ``edge_no``, ``s`` and bounds."""
-    return segment_bounds(lines.select(*keep, F.posexplode(G.path_edges(F.col("path"))).alias("edge_no", "s")))
+    return segment_bounds(lines.select(*keep, F.expr(f"posexplode({G.path_edges('path')}) as (edge_no, s)")))
 
 
 def segment_bounds(df: DataFrame, s: str = "s") -> DataFrame:
-    c = F.col(s)
-    return df.withColumns(
-        {
-            "xmin": F.least(c["x0"], c["x1"]),
-            "ymin": F.least(c["y0"], c["y1"]),
-            "xmax": F.greatest(c["x0"], c["x1"]),
-            "ymax": F.greatest(c["y0"], c["y1"]),
-        }
+    return df.selectExpr(
+        "*",
+        f"least({s}.x0, {s}.x1) as xmin", f"least({s}.y0, {s}.y1) as ymin",
+        f"greatest({s}.x0, {s}.x1) as xmax", f"greatest({s}.y0, {s}.y1) as ymax",
     )
 
 
@@ -83,23 +81,19 @@ def near_pairs(
     pad = float(distance)
     a = left.select([F.col(c).alias(f"a_{c}") for c in left.columns])
     b = right.select([F.col(c).alias(f"b_{c}") for c in right.columns])
-    a = a.withColumn(
-        "_cx", F.explode(G.tile_range(F.col("a_xmin") - pad, F.col("a_xmax") + pad, cell))
-    ).withColumn("_cy", F.explode(G.tile_range(F.col("a_ymin") - pad, F.col("a_ymax") + pad, cell)))
-    b = b.withColumn("_cx", F.explode(G.tile_range(F.col("b_xmin"), F.col("b_xmax"), cell))).withColumn(
-        "_cy", F.explode(G.tile_range(F.col("b_ymin"), F.col("b_ymax"), cell))
-    )
-    meets = (
-        (F.col("a_xmin") - pad <= F.col("b_xmax"))
-        & (F.col("a_xmax") + pad >= F.col("b_xmin"))
-        & (F.col("a_ymin") - pad <= F.col("b_ymax"))
-        & (F.col("a_ymax") + pad >= F.col("b_ymin"))
+    for axis in ("x", "y"):
+        a = a.withColumn(
+            f"_c{axis}", F.expr(f"explode({G.tile_range(f'a_{axis}min - {pad}D', f'a_{axis}max + {pad}D', cell)})")
+        )
+        b = b.withColumn(f"_c{axis}", F.expr(f"explode({G.tile_range(f'b_{axis}min', f'b_{axis}max', cell)})"))
+    meets = " and ".join(
+        f"a_{axis}min - {pad}D <= b_{axis}max and a_{axis}max + {pad}D >= b_{axis}min" for axis in ("x", "y")
     )
     # The lower-left corner of the common box lies in exactly one cell that both sides occupy.
-    once = (
-        G.tile_index(F.greatest(F.col("a_xmin") - pad, F.col("b_xmin")), cell) == F.col("_cx")
-    ) & (G.tile_index(F.greatest(F.col("a_ymin") - pad, F.col("b_ymin")), cell) == F.col("_cy"))
-    joined = a.join(b, ["_cx", "_cy"]).where(meets & once)
+    once = " and ".join(
+        f"{G.tile_index(f'greatest(a_{axis}min - {pad}D, b_{axis}min)', cell)} = _c{axis}" for axis in ("x", "y")
+    )
+    joined = a.join(b, ["_cx", "_cy"]).where(f"{meets} and {once}")
     if condition is not None:
         joined = joined.where(condition)
     return joined.drop("_cx", "_cy")
@@ -122,12 +116,11 @@ def covered_spans(
 def explode_spans(pairs: DataFrame) -> DataFrame:
     """Explode the ``left`` and ``right`` lists of ``with_cover`` into rows."""
 
-    def tagged(name: str, flag: bool) -> Column:
-        return F.transform(
-            F.col(name), lambda p: F.struct(F.lit(flag).alias("is_left"), p["t0"].alias("t0"), p["t1"].alias("t1"))
-        )
-
-    return pairs.withColumn("_p", F.explode(F.concat(tagged("left", True), tagged("right", False)))).select(
+    tagged = ", ".join(
+        f"transform({name}, p -> named_struct('is_left', {flag}, 't0', p.t0, 't1', p.t1))"
+        for name, flag in (("left", "true"), ("right", "false"))
+    )
+    return pairs.withColumn("_p", F.expr(f"explode(concat({tagged}))")).select(
         *[c for c in pairs.columns if c not in ("left", "right")], "_p.is_left", "_p.t0", "_p.t1"
     )
 
@@ -177,19 +170,6 @@ def uncovered_spans(spans: DataFrame, segments: DataFrame, key: list[str]) -> Da
     return gaps.select(*key, "_seg.*", F.col("_from").alias("t0"), F.col("_to").alias("t1"))
 
 
-def part_of(s: str = "s", t0: str = "t0", t1: str = "t1") -> Column:
-    """Sub-segment between two positions, exact at the ends."""
-    c = F.col(s)
-
-    def at(a: Column, b: Column, t: Column) -> Column:
-        return F.when(t == 0, a).when(t == 1, b).otherwise(a + t * (b - a))
-
-    return F.struct(
-        at(c["x0"], c["x1"], F.col(t0)).alias("x0"), at(c["y0"], c["y1"], F.col(t0)).alias("y0"),
-        at(c["x0"], c["x1"], F.col(t1)).alias("x1"), at(c["y0"], c["y1"], F.col(t1)).alias("y1"),
-    )
-
-
 def overlap_areas(
     left: DataFrame,
     right: DataFrame,
@@ -218,7 +198,7 @@ def overlap_areas(
             flags |= {"r": ~F.col("is_left"), "u": F.lit(True)}
         share = F.col("l") + F.col("r") - F.col("u") if strictly_inside else F.col("l")
         return union_measures(spans, ["a_k", "a_s", "b_k"], flags).select(
-            "a_k", "b_k", (G.edge_cross(F.col("a_s")) * share).alias("part")
+            "a_k", "b_k", (F.expr(G.edge_cross("a_s")) * share).alias("part")
         )
 
     forward = parts(left_edges, right, right_key, False)
@@ -239,18 +219,15 @@ def link_distance(df: DataFrame, distance: float) -> DataFrame:
 
     Rows further apart than ``distance`` are dropped.  ``link.d2`` is 0 when the segment meets the shape.
     """
-    c = F.col("a_s")
     covered = G.with_cover(df, "a_s", "b_edges")
-    inside = (F.size("left") + F.size("right") > 0) | (
-        (c["x0"] == c["x1"]) & (c["y0"] == c["y1"]) & G.point_in_polygon(c["x0"], c["y0"], F.col("b_edges"))
-    )
-    at_start = F.struct(
-        F.lit(0.0).alias("d2"), c["x0"].alias("px"), c["y0"].alias("py"), c["x0"].alias("qx"), c["y0"].alias("qy")
-    )
-    near = G.nearest_link(c, G.edges_near(F.col("b_edges"), c, distance))
-    return covered.withColumn("link", F.when(inside, at_start).otherwise(near)).where(
-        F.col("link.d2") <= float(distance) ** 2
+    is_point = "a_s.x0 = a_s.x1 and a_s.y0 = a_s.y1"
+    inside = (
+        f"(size(left) + size(right) > 0 or ({is_point} and {G.point_in_polygon('a_s.x0', 'a_s.y0', 'b_edges')}))"
     )
+    at_start = "named_struct('d2', 0D, 'px', a_s.x0, 'py', a_s.y0, 'qx', a_s.x0, 'qy', a_s.y0)"
+    near = G.nearest_link("a_s", G.edges_near("b_edges", "a_s", distance))
+    limit = float(distance) ** 2
+    return covered.withColumn("link", G.keep(f"if({inside}, {at_start}, {near})", "k", f"k.d2 <= {limit}D"))
 
 
 def segment_links(
@@ -258,6 +235,5 @@ def segment_links(
 ) -> DataFrame:
     """Pairs of plain segments (``s`` on both sides) within ``distance`` with their shortest ``link``."""
     pairs = near_pairs(left, right, distance, cell, condition)
-    return pairs.withColumn("link", G.nearest_link(F.col("a_s"), F.array("b_s"))).where(
-        F.col("link.d2") <= float(distance) ** 2
-    )
+    limit = float(distance) ** 2
+    return pairs.withColumn("link", G.keep(G.nearest_link("a_s", "array(b_s)"), "k", f"k.d2 <= {limit}D"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,7 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager)
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the reliable checkpoint folder and read it back.
+
+    Lineage ends there, later reads prune columns, and its real size is known to the planner.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
