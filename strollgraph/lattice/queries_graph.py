@@ -12,6 +12,7 @@ from strollgraph.operators import sites as D
 from strollgraph.operators import spatial as S
 from strollgraph.operators.components import connected_components
 from strollgraph.plans import analyse as A
+from strollgraph.session import cut
 
 R6 = lambda c: F.round(c, 6).alias(c)
 
@@ -68,7 +69,7 @@ def _(x):
     "SELECT node, route_index, tile_x, tile_y, tier, distance, inside_m, boundary_m, blocked, closed_boundary, grade_separated, weak FROM weighed",
 )
 def _(x):
-    c = N.tile_contacts(x.shapes, x.routes, x.barriers, 5.0, 20000.0)
+    c = N.tile_contacts(x.shapes, x.routes, x.barriers, 5.0, 20000.0, cut)
     return c.withColumns({"inside_m": F.round("inside_m", 6), "boundary_m": F.round("boundary_m", 6)})
 
 
@@ -84,16 +85,15 @@ def _(x):
 
 @query("c5_contact_barriers", "SELECT node, route_index, tile_x, tile_y, blocked, entrance FROM barrier_flags")
 def _(x):
-    facts = N.contact_facts(x.shapes, x.routes, 5.0, 20000.0)
+    facts = cut(N.contact_facts(x.shapes, x.routes, 5.0, 20000.0))
     best = facts.groupBy(*N.CONTACT).agg(F.min("link").alias("link"))
     return N.blocked_shapes(N.contact_shapes(facts, best), x.barriers, N.CONTACT, 5.0)
 
 
 @query("c6_contacts_under_bridges", "SELECT node, route_index, tile_x, tile_y FROM under_bridge")
 def _(x):
-    facts = N.contact_facts(
-        x.shapes, x.routes, 5.0, 20000.0
-    ).where((F.col("tier") == "official") & (F.col("grade") == N.FLAT_GRADE))
+    flat = (F.col("tier") == "official") & (F.col("grade") == N.FLAT_GRADE)
+    facts = cut(N.contact_facts(x.shapes, x.routes, 5.0, 20000.0).where(flat))
     best = facts.groupBy(*N.CONTACT).agg(F.min("link").alias("link"))
     return N.elevated_contacts(N.contact_shapes(facts, best), x.routes, 5.0)
 

@@ -197,8 +197,10 @@ CTE: dict[str, str] = {
         ('default_permissive_access', 2.0, 2), ('relaxed_permissive_access', 5.0, 2), ('possible_access', 5.0, 3)) v(variant, tolerance, breadth)""",
     "kind_levels": f"""SELECT node, CASE WHEN kind IN ({TIER_SAFE}, 'site') THEN 1 WHEN kind = 'permissive' THEN 2 WHEN kind IN ('unknown', 'hint') THEN 3 ELSE 9 END AS level
         FROM kinds""",
-    "admitted": """SELECT v.variant, e.a, e.b FROM edges e JOIN kind_levels x ON x.node = e.a JOIN kind_levels y ON y.node = e.b
-        JOIN variants v ON e.distance <= v.tolerance AND (v.breadth = 3 OR NOT e.weak) AND x.level <= v.breadth AND y.level <= v.breadth""",
+    "leveled": """SELECT e.a, e.b, e.distance, e.weak, greatest(x.level, y.level) AS level
+        FROM edges e JOIN kind_levels x ON x.node = e.a JOIN kind_levels y ON y.node = e.b""",
+    "admitted": """SELECT DISTINCT v.variant, e.a, e.b FROM leveled e JOIN variants v
+        ON e.distance <= v.tolerance AND (v.breadth = 3 OR NOT e.weak) AND e.level <= v.breadth""",
     "arcs": "SELECT variant, a, b FROM admitted UNION SELECT variant, b, a FROM admitted",
     "reach": """SELECT v.variant, k.node FROM seeds s JOIN kind_levels k ON k.node = concat('route:', s.route_index) JOIN variants v ON k.level <= v.breadth
         UNION SELECT r.variant, a.b FROM reach r JOIN arcs a ON a.variant = r.variant AND a.a = r.node""",
