@@ -32,9 +32,12 @@ def version_label(snapshot: Column, version: Column, modified: Column, sha256: C
     known = F.coalesce(
         *[F.nullif(c, F.lit("")) for c in (snapshot, version, modified)], F.substring(F.coalesce(sha256, F.lit("")), 1, 12)
     )
-    millis = F.try_to_number(known, F.lit("9999999999999")).cast("long")
-    iso = F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
-    return F.when(known.rlike("^[1-9][0-9]{12}$"), iso).otherwise(known)
+    is_millis = known.rlike("^[1-9][0-9]{12}$")
+    millis = F.when(is_millis, known).cast("bigint")
+    part = F.pmod(millis, F.lit(1000))
+    fraction = F.when(part == 0, "").otherwise(F.format_string(".%03d000", part))
+    seconds = F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(is_millis, F.concat(seconds, fraction, F.lit("+00:00"))).otherwise(known)
 
 
 def attributes_json(attributes: Column) -> Column:

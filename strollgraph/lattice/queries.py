@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from strollgraph.lattice import queries_graph  # noqa: F401
+from strollgraph.lattice import queries_graph, queries_prepare, queries_scalar  # noqa: F401
 from strollgraph.lattice.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

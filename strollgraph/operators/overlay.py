@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strollgraph.functions import geometry as G
 from strollgraph.operators import spatial as S
@@ -166,7 +167,11 @@ def clip_polygons(polygons: DataFrame, key: str, mask: DataFrame) -> DataFrame:
     return unchanged.unionByName(stitched)
 
 
-@F.pandas_udf(f"array<{G.RINGS}>")
+VERTEX = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+POLYGONS = T.ArrayType(T.ArrayType(T.ArrayType(VERTEX)))
+
+
+@F.pandas_udf(POLYGONS)
 def stitch_rings(edges: pd.Series) -> pd.Series:
     """Join directed edges (interior on the left) into polygons with their holes, in sorted order."""
     return edges.map(_polygons)
