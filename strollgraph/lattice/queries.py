@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from strollgraph.lattice import queries_graph, queries_prepare, queries_scalar  # noqa: F401
+from strollgraph.lattice import (  # noqa: F401
+    queries_graph,
+    queries_prepare,
+    queries_region,
+    queries_report,
+    queries_scalar,
+)
 from strollgraph.lattice.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

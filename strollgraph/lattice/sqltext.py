@@ -261,7 +261,7 @@ CTE: dict[str, str] = {
         (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY (x1 - x0) * (y1 - y0) DESC, x0, y0) AS n FROM member) t WHERE n = 1""",
 }
 
-RECURSIVE = {"walk", "reach", "vwalk"}
+RECURSIVE = {"walk", "reach", "vwalk", "pwalk", "old_walk"}
 
 
 def build(select: str, **extra: str) -> str:
