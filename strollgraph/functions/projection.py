@@ -58,7 +58,16 @@ def grid_from_airy(lat: str, lon: str) -> str:
 
 
 def airy_from_grid(x: str, y: str) -> str:
-    """Airy ``struct<x: longitude, y: latitude>`` in radians of a grid position."""
+    """Airy ``struct<x: longitude, y: latitude>`` in radians of a grid position.
+
+    The inverse series is cut off earlier than the forward one; what the forward series misses by is
+    put back once, so that both agree.
+    """
+    again = _inverse(f"(2 * {x} - fw.x)", f"(2 * {y} - fw.y)")
+    return let(let(_inverse(x, y), "iv", grid_from_airy("iv.y", "iv.x")), "fw", again)
+
+
+def _inverse(x: str, y: str) -> str:
     lat = f"(({y} - {N0}D) / {A * SCALE}D + {LAT0}D)"
     for i in range(6):
         lat = let(lat, f"k{i}", f"k{i} + ({y} - {N0}D - {_meridian(f'k{i}')}) / {A * SCALE}D")

@@ -13,9 +13,12 @@ from strollgraph.operators import network as N
 from strollgraph.operators import overlay as O
 from strollgraph.operators import spatial as S
 from strollgraph.operators.review import SETTLED
+from strollgraph.session import cut
 
 EDGE_SLACK_M = 5.0
 CONTEXT_CELL_M = 1000.0
+# Width of the certainty grid: this many cells per search radius.
+SURE_STEPS = 4
 
 
 def authority_table(counties: DataFrame, councils: DataFrame) -> DataFrame:
@@ -65,13 +68,68 @@ def check_box(west: float, south: float, east: float, north: float) -> tuple[flo
     return west, south, east, north
 
 
+def _offsets(reach: float) -> str:
+    """Cell offsets whose whole cells lie within ``reach`` cell widths of each other."""
+    steps = range(-int(reach), int(reach) + 1)
+    near = [(i, j) for i in steps for j in steps if math.hypot(abs(i) + 1, abs(j) + 1) <= reach]
+    return "array(" + ", ".join(f"named_struct('i', {i}L, 'j', {j}L)" for i, j in near) + ")"
+
+
+def sure_cells(extents: DataFrame, radius_m: float) -> tuple[DataFrame, float]:
+    """Cells lying wholly within ``radius_m`` of the outline of an extent: ``code, cx, cy``, and their size.
+
+    Points along the outlines are reduced to distinct cells before they spread to their
+    surroundings, so the work follows the area covered and not the number of shapes.
+    """
+    size = radius_m / SURE_STEPS
+    edges = extents.select("code", F.explode("edges").alias("e"))
+    steps = f"cast(ceil({G.edge_length('e')} / {size}D) as int)"
+    at = "named_struct('x', e.x0 + (e.x1 - e.x0) * k / greatest(n, 1), 'y', e.y0 + (e.y1 - e.y0) * k / greatest(n, 1))"
+    cells = (
+        edges.selectExpr("code", "e", f"{steps} as n")
+        .selectExpr("code", f"explode(transform(sequence(0, n), k -> {at})) as p")
+        .selectExpr("code", f"{G.tile_index('p.x', size)} as ox", f"{G.tile_index('p.y', size)} as oy")
+        .distinct()
+    )
+    spread = cells.selectExpr("code", "ox", "oy", f"explode({_offsets(SURE_STEPS)}) as d")
+    return spread.selectExpr("code", "ox + d.i as cx", "oy + d.j as cy").distinct(), size
+
+
+def _end_cells(segments: DataFrame, key: str, size: float) -> DataFrame:
+    ends = "explode(array(named_struct('x', s.x0, 'y', s.y0), named_struct('x', s.x1, 'y', s.y1))) as p"
+    return segments.selectExpr(key, ends).selectExpr(
+        key, f"{G.tile_index('p.x', size)} as cx", f"{G.tile_index('p.y', size)} as cy"
+    ).distinct()
+
+
 def near_shapes(segments: DataFrame, key: str, studies: DataFrame, distance: float, strict: bool = False) -> DataFrame:
-    """Pairs of ``key`` and study ``code`` within ``distance``; both sides may hold many pieces."""
+    """Pairs of ``key`` and study ``code`` within ``distance``; both sides may hold many pieces.
+
+    Three steps, each on what the ones before left open: what meets the area itself, what has an
+    end in a cell surely within reach, and an exact test of the rest against the rim.
+    """
     pieces = studies.select("code", "edges", *S.BOUNDS)
-    linked = S.link_distance(S.near_pairs(segments, pieces, distance, CONTEXT_CELL_M), distance)
+    pair = [F.col(f"a_{key}").alias(key), F.col("b_code").alias("code")]
+    meets = S.link_distance(S.near_pairs(segments, pieces, 0.0, CONTEXT_CELL_M), 0.0).select(*pair).distinct()
+    cells, size = sure_cells(pieces, distance * (1 - 1e-9))
+    sure = _end_cells(segments, key, size).join(cells, ["cx", "cy"]).select(key, "code").distinct()
+    done = cut(meets.unionByName(sure).distinct())
+    # Studies whose grown box a segment meets, without those already settled.
+    boxes = pieces.groupBy("code").agg(
+        F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax")
+    )
+    wide = S.near_pairs(segments.select(key, "s", *S.BOUNDS), boxes, distance, max(CONTEXT_CELL_M, distance))
+    rest = wide.select(
+        F.col(f"a_{key}").alias(key), F.col("b_code").alias("code"), F.col("a_s").alias("s"),
+        *[F.col(f"a_{c}").alias(c) for c in S.BOUNDS],
+    ).join(done, [key, "code"], "left_anti")
+    linked = S.link_distance(
+        S.near_pairs(rest, pieces, distance, max(CONTEXT_CELL_M, distance / 4), F.col("a_code") == F.col("b_code")),
+        distance,
+    )
     if strict:
         linked = linked.where(F.col("link.d2") < float(distance) ** 2)
-    return linked.select(F.col(f"a_{key}").alias(key), F.col("b_code").alias("code")).distinct()
+    return done.unionByName(linked.select(*pair).distinct())
 
 
 def select_sites(shapes: DataFrame, outline: DataFrame, studies: DataFrame, study_buffer_m: float = 0.0) -> DataFrame:
@@ -108,12 +166,24 @@ def context_routes(routes: DataFrame, extents: DataFrame, buffer_m: float) -> Da
     return near_shapes(S.path_segments(routes, ["route_index"]).drop("edge_no"), "route_index", extents, buffer_m)
 
 
+def _not_surely_within(segments: DataFrame, key: str, extents: DataFrame, radius_m: float) -> DataFrame:
+    """Segments with some cell not surely within reach; only these need an exact test."""
+    cells, size = sure_cells(extents, radius_m)
+    spread = segments.select("code", key, "s", *S.BOUNDS).selectExpr(
+        "code", key, "s", f"explode({G.tile_range('xmin', 'xmax', size)}) as cx", "ymin", "ymax"
+    ).selectExpr("code", key, "s", "cx", f"explode({G.tile_range('ymin', 'ymax', size)}) as cy")
+    open_segments = spread.join(cells, ["code", "cx", "cy"], "left_anti").select("code", key, "s").distinct()
+    return cut(S.segment_bounds(open_segments))
+
+
 def beyond_context(segments: DataFrame, key: str, extents: DataFrame, radius_m: float) -> DataFrame:
     """Pairs ``code, key`` with some part further than ``radius_m`` from the extents.
 
     ``segments``: ``key, code, s`` and bounds of the pairs to test.
     """
     own = F.col("a_code") == F.col("b_code")
+    if radius_m > 0:
+        segments = _not_surely_within(segments, key, extents, radius_m)
     inside = S.covered_spans(segments, extents, CONTEXT_CELL_M, own).select(
         F.col("a_code").alias("code"), F.col(f"a_{key}").alias(key), F.col("a_s").alias("s"), "t0", "t1"
     )
