@@ -9,6 +9,7 @@ from strollgraph.functions import projection as R
 from strollgraph.functions import text as T
 
 PARTITION_M = 50000.0
+PART_COMPONENTS = 5000
 
 
 def write_layers(layers: dict[str, DataFrame], out: str) -> None:
@@ -42,9 +43,18 @@ def lonlat_rings(polygons: str = "polygons") -> Column:
 
 
 def site_polygons(membership: DataFrame, land: DataFrame) -> DataFrame:
-    """Component polygons of a site as one multipolygon column for export."""
-    joined = membership.join(land.select("component_id", "rings"), "component_id")
-    return joined.groupBy("site_id").agg(
+    """Component polygons of a site as multipolygons for export: ``site_id, part, polygons``.
+
+    A site has one part unless it has very many components; those are spread over several parts,
+    so that no task holds a whole one.
+    """
+    sizes = membership.groupBy("site_id").agg(F.ceil(F.count("*") / PART_COMPONENTS).alias("parts"))
+    joined = (
+        membership.join(sizes, "site_id")
+        .withColumn("part", F.pmod(F.xxhash64("component_id"), F.col("parts")))
+        .join(land.select("component_id", "rings"), "component_id")
+    )
+    return joined.groupBy("site_id", "part").agg(
         F.expr("transform(array_sort(collect_list(struct(component_id, rings))), e -> e.rings)").alias("polygons")
     )
 
@@ -62,8 +72,7 @@ def geojson_features(frame: DataFrame, properties: list[str]) -> DataFrame:
 def write_candidates_geojson(sites: DataFrame, polygons: DataFrame, out: str) -> None:
     """Candidates in longitude and latitude, one feature per line."""
     rows = sites.where("status = 'likely_access_island'").join(polygons, "site_id")
-    keep = [c for c in sites.columns]
-    geojson_features(rows, keep).write.mode("overwrite").text(f"{out}/likely_access_islands.geojson")
+    geojson_features(rows, [*sites.columns, "part"]).write.mode("overwrite").text(f"{out}/likely_access_islands.geojson")
 
 
 def partition_key(easting: str = "easting", northing: str = "northing", size: float = PARTITION_M) -> Column:
