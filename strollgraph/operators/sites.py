@@ -165,6 +165,14 @@ def form_sites(land: DataFrame) -> Catalogue:
 
 
 def site_shapes(membership: DataFrame, land: DataFrame) -> DataFrame:
-    """Component polygons with the site as graph node, as piece rows."""
+    """Component polygons with the site as graph node, as piece rows.
+
+    A site is a set of points, so identical polygons of one site enter once; they meet in a partial
+    aggregate before the shuffle, which keeps a stack of copies out of every later join.
+    """
     joined = membership.join(land.select("component_id", "rings"), "component_id")
-    return S.polygon_pieces(joined.select(F.col("site_id").alias("node"), "component_id", "rings"))
+    shaped = joined.select(
+        F.col("site_id").alias("node"), F.xxhash64("rings").alias("_h"), F.hash("rings").alias("_h2"), "rings"
+    )
+    distinct = shaped.groupBy("node", "_h", "_h2").agg(F.first("rings").alias("rings"))
+    return S.polygon_pieces(distinct.select("node", "rings"))
