@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strollgraph.functions import projection as R
 from strollgraph.lattice.registry import query
 from strollgraph.operators import classify as K
 from strollgraph.operators import labels as L
@@ -210,6 +211,17 @@ def _(x):
     return L.site_points(x.site_shapes).select("site_id", R6("easting"), R6("northing"))
 
 
+@query("b20_grid_round_trip", "SELECT site_id, round(easting, 2) AS easting, round(northing, 2) AS northing FROM points")
+def _(x):
+    back = L.site_points(x.site_shapes).select("site_id", F.expr(R.lonlat_to_grid("longitude", "latitude")).alias("p"))
+    return back.select("site_id", F.round("p.x", 2).alias("easting"), F.round("p.y", 2).alias("northing"))
+
+
+@query("b10_shape_hash")
+def _(x):
+    return x.catalogue.sites.select("site_id", "geometry_sha256")
+
+
 @query(
     "p11_screening_run",
     """SELECT c.site_id, c.name, c.area_ha, c.status, c.reasons, l.council, l.county, round(sqrt(n.d2), 6) AS nearest_mapped_route_m,

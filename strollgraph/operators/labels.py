@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strollgraph.functions import geometry as G
+from strollgraph.functions import projection as R
 from strollgraph.operators import spatial as S
 from strollgraph.session import cut
 
@@ -133,12 +134,16 @@ def nearby_hints(shapes: DataFrame, hints: DataFrame, distance: float) -> DataFr
 
 
 def site_points(shapes: DataFrame) -> DataFrame:
-    """Representative point of a site, taken in its largest component: ``site_id, easting, northing``."""
+    """Representative point of a site, taken in its largest component, on the grid and in degrees."""
     area = F.expr(f"round({G.signed_area('edges')}, 6)")
     best = shapes.groupBy("node").agg(
         F.max_by(F.struct("edges", *S.BOUNDS), F.struct(area, (-F.col("xmin")), (-F.col("ymin")))).alias("big")
     )
     at = G.inner_point("big.edges", "big.xmin", "big.ymin", "big.xmax", "big.ymax")
-    return best.select(F.col("node").alias("site_id"), F.expr(at).alias("p")).select(
-        "site_id", F.col("p.x").alias("easting"), F.col("p.y").alias("northing")
+    placed = best.select(F.col("node").alias("site_id"), F.expr(at).alias("p")).withColumn(
+        "g", F.expr(R.grid_to_lonlat("p.x", "p.y"))
+    )
+    return placed.select(
+        "site_id", F.col("p.x").alias("easting"), F.col("p.y").alias("northing"),
+        F.col("g.x").alias("longitude"), F.col("g.y").alias("latitude"),
     )

@@ -207,4 +207,5 @@ def annotate_sites(sites: DataFrame, land: DataFrame, membership: DataFrame) ->
         F.bool_or("common").alias("registered_common_land"),
         F.concat(F.lit("{"), F.array_join(body, ", "), F.lit("}")).alias("legal_source_attributes"),
     )
-    return sites.join(grouped, "site_id", "left")
+    earlier = ["access_regimes", "registered_common_land", "legal_source_attributes"]
+    return sites.drop(*earlier).join(grouped, "site_id", "left")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strollgraph.functions import policy as P
 from strollgraph.operators import classify as K
 from strollgraph.operators import labels as L
+from strollgraph.operators import lineage as H
 from strollgraph.operators import network as N
 from strollgraph.operators import sites as D
 from strollgraph.operators import spatial as S
@@ -147,8 +148,9 @@ def classify(inputs: Inputs, graph: Graph, settings: Settings) -> DataFrame:
 
 
 def label(sites: DataFrame, inputs: Inputs, graph: Graph, settings: Settings) -> DataFrame:
-    """Add authority labels, nearest route, nearby hints and the representative point."""
+    """Add legal regimes, authority labels, nearest route, nearby hints and the representative point."""
     outline = inputs.catalogue.outline
+    sites = H.annotate_sites(sites, inputs.catalogue.components, inputs.catalogue.membership)
     if inputs.counties is not None and inputs.councils is not None:
         sites = L.add_labels(
             sites,
