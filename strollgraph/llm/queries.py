@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strollgraph.llm import mixing, ring, simhash
-from strollgraph.llm.text import table
+from strollgraph.llm import langid, mixing, quality_rules, ring, simhash
+from strollgraph.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,15 @@ def query(fn):
     return fn
 
 
+@query
+def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("distance", 6).alias("distance"),
+    )
+
+
 @query
 def op6_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on 24 shards; counts differ by one at most."""
@@ -34,6 +43,16 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs, out="_found").select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), F.col("_found.lang").alias("lang_pred"), "_found.score",
+        F.size("_found.spans").alias("n_spans"),
+    )
+
+
 @query
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
