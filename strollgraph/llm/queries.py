@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strollgraph.llm import langid, mixing, quality_rules, ring, simhash
+from strollgraph.llm import langid, mixing, quality_classifier, quality_rules, ring, simhash, toxicity
 from strollgraph.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,24 @@ def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence",
+    )
+
+
+@query
+def op4_latent_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    scored = quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op6_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on 24 shards; counts differ by one at most."""
