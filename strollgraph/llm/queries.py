@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strollgraph.llm import langid, mixing, quality_classifier, quality_rules, ring, simhash, toxicity
+from strollgraph.llm import langid, mixing, quality_classifier, quality_rules, ring, simhash, spotsigs, toxicity
 from strollgraph.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,19 @@ def op4_latent_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    rows = spotsigs.fingerprint_rows(table(spark, sf_dir, "documents"))
+    mine = F.col("signatures")
+    return rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.as_text(mine).alias("fingerprint"), spotsigs.as_text(F.col("edited_signatures")).alias("edited_fingerprint"),
+        spotsigs.likeness(mine, F.col("edited_signatures")).alias("near_edited"),
+        F.coalesce(spotsigs.likeness(mine, F.col("next_signatures")), F.lit(0.0)).alias("near_next"),
+    )
+
+
 @query
 def op6_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on 24 shards; counts differ by one at most."""
