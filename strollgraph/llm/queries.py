@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strollgraph.llm import langid, mixing, quality_classifier, quality_rules, ring, simhash, spotsigs, toxicity
+from strollgraph.llm import langid, licenses, mixing, quality_classifier, quality_rules, ring, simhash, spotsigs, toxicity
 from strollgraph.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,16 @@ def query(fn):
     return fn
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document: how many units match, and the best."""
+    best = licenses.best_match(F.col("matches"))
+    return licenses.scan(table(spark, sf_dir, "documents")).select("doc_id", "matches", best.alias("best")).select(
+        "doc_id", F.size("matches").cast("bigint").alias("n_matches"), "best.licence", F.round(-F.col("best.dice"), 6).alias("dice"),
+        "best.kind", "best.number",
+    )
+
+
 @query
 def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
@@ -90,4 +100,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op1_license_scan"] = licenses.scan_sql()
 ORACLES["op10_source_mix"] = mixing.MIX_SQL
