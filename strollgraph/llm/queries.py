@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strollgraph.llm import langid, licenses, mixing, quality_classifier, quality_rules, ring, simhash, spotsigs, toxicity
+from strollgraph.llm import langid, licenses, mixing, pieces, quality_classifier, quality_rules, ring, simhash, spotsigs, toxicity
 from strollgraph.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces and the best segmentations of every document."""
+    return pieces.encoded_rows(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
