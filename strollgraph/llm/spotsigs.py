@@ -119,25 +119,25 @@ def fingerprint_rows(docs: DataFrame) -> DataFrame:
     in that order, where the least (signatures, beginning) stands for them; a row without an id has the highest id's document
     as its next and is no row's next itself.  A null text counts as empty.  A single document is its own next.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lengths = docs.groupBy("doc_id").agg(F.max(F.length(F.coalesce("text", F.lit("")))).alias("_n"))
+    # One shape of the texts, dealt by one key, serves both joins: Spark moves them once and reuses the exchange.
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    rows = docs.select(key.alias("_key"), F.coalesce("text", F.lit("")).alias("text"))
     order = next_ids(docs)
-    # Who needs my beginning, and how much of it.
-    asks = order.join(lengths, "doc_id").select(
-        F.col("next_id").alias("doc_id"), F.col("doc_id").alias("_for"), F.floor(F.col("_n") / 3).cast("int").alias("_take")
-    )
+    lengths = docs.groupBy("doc_id").agg(F.max(F.length(F.coalesce("text", F.lit("")))).alias("_n"))
     top = order.agg(F.max("doc_id")).first()[0]
-    nameless = lengths.where("doc_id is null").select(
-        F.lit(top).cast("bigint").alias("doc_id"), F.col("doc_id").alias("_for"), F.floor(F.col("_n") / 3).cast("int").alias("_take")
-    )
-    asks = cut(asks.unionByName(nameless))
+    named = lengths.where(F.col("doc_id").isNotNull()).join(order, "doc_id")
+    nameless = lengths.where(F.col("doc_id").isNull()).withColumn("next_id", F.lit(top).cast("bigint"))
+    # Who needs whose beginning, and how much of it.
+    asks = cut(named.unionByName(nameless).select(
+        F.col("next_id").cast("string").alias("_key"), key.alias("_for"), F.floor(F.col("_n") / 3).cast("int").alias("_take")
+    ))
     heads = (
-        rows.join(asks, "doc_id")
+        rows.join(asks, "_key")
         .select("_for", F.struct(signatures(F.col("text")).alias("next"), F.substring(F.col("text"), F.lit(1), F.col("_take")).alias("head")).alias("_h"))
-        .groupBy("_for").agg(F.min("_h").alias("_h"))
+        .groupBy("_for").agg(F.min("_h").alias("_h")).withColumnRenamed("_for", "_key")
     )
-    joined = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_for")), "left").select(
-        "doc_id", "text", F.col("_h.next").alias("next_signatures"),
+    joined = rows.join(heads, "_key", "left").select(
+        F.expr("try_cast(_key AS bigint)").alias("doc_id"), "text", F.col("_h.next").alias("next_signatures"),
         edited(F.col("text"), F.coalesce(F.col("_h.head"), F.lit(""))).alias("edited_text"),
     )
     return joined.select(
