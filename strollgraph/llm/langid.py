@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strollgraph.llm.text import fold
+from strollgraph.llm.text import fold, whole_row
 from strollgraph.session import cut
 
 #: First code points of script blocks (fixed values of Unicode), up to the next entry.
@@ -232,31 +232,33 @@ _RESULT = pa.struct([
 ])
 
 
-def identify(docs: DataFrame, model: Model | None = None, out: str = "_language") -> DataFrame:
-    """All columns of ``docs`` (doc_id, text, lang) and a struct ``out`` of ``lang``, ``score`` and ``spans``.
-
-    ``score`` is the share of the text's letters in spans of its language.  A null text and one without a letter are
-    ``und`` with score 0, as is everything if no language can be learned.  Words of a script that no learned language uses keep
-    all languages as candidates.  Ties go to the first language in code point order; repeated rows are labelled alike.
-    """
-    model = model or learn(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _found(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``_row``, a struct of all columns of ``docs``, and ``_found``, the struct of its language."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or learn(docs))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             found: list = [None] * batch.num_rows
             for i, lang, score, spans in label(batch.column("_text").to_pylist(), shared.value):
                 found[i] = {"lang": lang, "score": score, "spans": spans}
-            names = batch.schema.names[1:]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, _RESULT)], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(found, _RESULT)], names=["_row", "_found"])
+
+    picked = docs.select(F.col("text").alias("_text"), whole_row(docs).alias("_row"))
+    spans = "array<struct<start:bigint,end:bigint,lang:string>>"
+    return picked.mapInArrow(batches, f"_row {picked.schema['_row'].dataType.simpleString()}, _found struct<lang:string,score:double,spans:{spans}>")
 
-    picked = docs.select(F.col("text").alias("_text"), F.struct(*docs.columns).alias("_row"))
-    schema = f"_row {picked.schema['_row'].dataType.simpleString()}, {out} struct<lang:string,score:double,spans:array<struct<start:bigint,end:bigint,lang:string>>>"
-    return picked.mapInArrow(batches, schema).select("_row.*", out)
+
+def identify(docs: DataFrame, model: Model | None = None, out: str = "_language") -> DataFrame:
+    """All columns of ``docs`` (doc_id, text, lang) and a struct ``out`` of ``lang``, ``score`` and ``spans``.
+
+    ``score`` is the share of the text's letters in spans of its language.  A null text and one without a letter are
+    ``und`` with score 0, as is everything if no language can be learned.  Words of a script that no learned language uses keep
+    all languages as candidates.  Ties go to the first language in code point order; repeated rows are labelled alike.
+    """
+    return _found(docs, model).select("_row.*", F.col("_found").alias(out))
 
 
 def kept_rows(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """The rows of ``docs`` whose language is determined and holds at least the share ``least`` of the letters."""
-    names = docs.columns
-    found = identify(docs, out="_language")
-    return found.where((F.col("_language.lang") != UNDETERMINED) & (F.col("_language.score") >= least)).select(*names)
+    kept = (F.col("_found.lang") != UNDETERMINED) & (F.col("_found.score") >= least)
+    return _found(docs, None).where(kept).select("_row.*")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strollgraph.llm.text import row_key, word_count
+from strollgraph.llm.text import row_key, whole_row, word_count
 from strollgraph.plans.prepare import dense_index
 from strollgraph.session import cut
 
@@ -134,9 +134,8 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     Texts stay whole, so the document at a source's cut is taken whole.  Documents without words have no part in a budget
     and stay once.
     """
-    names = docs.columns
     keyed = docs.select(
-        F.struct(*names).alias("_row"), F.col("source").alias("source"), word_count("text").alias("size"),
+        whole_row(docs).alias("_row"), F.col("source").alias("source"), word_count("text").alias("size"),
         row_key("doc_id", "text").alias("key"),
     )
     sized = cut(keyed.select("source", "size", "key"))

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strollgraph.llm.text import whole_row
 from strollgraph.llm.textstats import counts
 from strollgraph.session import cut
 
@@ -227,5 +228,5 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     keys = [F.xxhash64(*parts).alias("_k0"), F.xxhash64(F.lit(1), *parts).alias("_k1")]
     judged = judge(cut(measure(docs, *keys, F.col("lang"), F.col("source"))))
     rejected = cut(judged.where(~F.col("kept")).select("_k0", "_k1").distinct())
-    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *keys)
+    keyed = docs.select(whole_row(docs).alias("_row"), *keys)
     return keyed.join(rejected, ["_k0", "_k1"], "left_anti").select("_row.*")

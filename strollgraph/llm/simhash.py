@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strollgraph.llm.text import SPACE
+from strollgraph.llm.text import SPACE, whole_row
 from strollgraph.operators.components import connected_components
 from strollgraph.session import cut
 
@@ -144,3 +144,101 @@ def near_duplicates(docs: DataFrame, width: int = 3, keep: list[str] | None = No
     return found.join(named, "_fp").select(
         "doc_id", *keep, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# --- groups of near copies for deduplication --------------------------------------------------------
+
+#: Fingerprints of 64 bits for every document, and five-word shingles for them.
+RINGS = 8
+WIDTH = 5
+#: Differing bits of all rings up to which the angle between two shingle sets speaks for a similarity of 0.8 or more.
+BUDGET = 77
+_GOLDEN, _MIX_A, _MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def _ring_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = batch.column("_hashes")
+        values, at = hashes.values.to_numpy(zero_copy_only=False), hashes.offsets.to_numpy()
+        rows = []
+        for i in range(len(hashes)):
+            own = np.unique(values[at[i] : at[i + 1]]).view(np.uint64)
+            row = []
+            for ring in range(RINGS):
+                z = own + np.uint64(int(_GOLDEN) * ring % (1 << 64))
+                z = (z ^ z >> np.uint64(30)) * _MIX_A
+                z = (z ^ z >> np.uint64(27)) * _MIX_B
+                row.append(majority_bits((z ^ z >> np.uint64(31)).view(np.int64)))
+            rows.append(row)
+        rest = [n for n in batch.schema.names if n != "_hashes"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(rows, pa.list_(pa.int64()))], names=[*rest, "_rings"])
+
+
+def _ring_keys(segments: int):
+    """One key for each ring and chain: a hash of the chain's first ``segments`` segments."""
+    return [
+        F.xxhash64(F.lit(ring * len(SEGMENTS) + c), F.col("_rings")[ring].bitwiseAND(F.lit(_mask(c, segments))))
+        for ring in range(RINGS) for c in range(len(SEGMENTS))
+    ]
+
+
+def near_copy_links(prints: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the ids ``_id`` of documents whose ``_rings`` differ in at most ``BUDGET`` bits.
+
+    Candidates share the two-segment head of a chain on some ring.  Few documents of a key are compared in pairs.
+    Where many share a key each is compared with the least of the key and with the least of those that also share the next segment, so
+    a large group costs one comparison a member and key.  The rings are then taken as the segments of one larger ring: from some
+    ring on, the running difference of a true pair stays within its share of the budget at every length.
+    """
+    keyed = prints.select("_id", F.explode(F.array(*_ring_keys(2))).alias("_key"))
+    shared = cut(
+        keyed.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).where(F.col("_n") > 1)
+    )
+    few = keyed.join(shared.where(F.col("_n") <= PAIR_ROWS).select("_key"), "_key")
+    lists = few.groupBy("_key").agg(F.sort_array(F.collect_list("_id")).alias("_ids"))  # at most PAIR_ROWS
+    pairs = lists.select(F.explode(F.flatten(F.transform(
+        "_ids", lambda x, i: F.transform(F.slice("_ids", i + 2, PAIR_ROWS), lambda y: F.struct(x.alias("a"), y.alias("b")))
+    ))).alias("_p")).select("_p.*")
+    hot = shared.where(F.col("_n") > PAIR_ROWS).select("_key", "_first")
+    both = prints.select("_id", F.explode(F.arrays_zip(F.array(*_ring_keys(2)).alias("k"), F.array(*_ring_keys(3)).alias("n"))).alias("_z"))
+    members = both.select("_id", F.col("_z.k").alias("_key"), F.col("_z.n").alias("_next")).join(hot, "_key")
+    firsts = members.groupBy("_next").agg(F.min("_id").alias("_least"))
+    stars = members.select(F.col("_first").alias("a"), F.col("_id").alias("b")).unionByName(
+        members.join(firsts, "_next").select(F.col("_least").alias("a"), F.col("_id").alias("b"))
+    )
+    candidates = pairs.unionByName(stars).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    side = lambda name: prints.select(F.col("_id").alias(name), F.col("_rings").alias(f"_{name}"))
+    differ = [F.bit_count(F.col("_a")[r].bitwiseXOR(F.col("_b")[r])) for r in range(RINGS)]
+    compared = candidates.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.array(*differ).alias("_d"))
+    chain = lambda start: [sum((F.col("_d")[(start + k) % RINGS] for k in range(1, n)), F.col("_d")[start]) * RINGS <= n * BUDGET for n in range(1, RINGS + 1)]
+    within = F.lit(False)
+    for start in range(RINGS):
+        test = F.lit(True)
+        for part in chain(start):
+            test = test & part
+        within = within | test
+    return compared.where(within).select("a", "b")
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """One row of each group of near copies in ``docs``, with its columns: the one with the least doc_id (null last).
+
+    Groups are the components of the links of ``near_copy_links`` over five-word shingles of the lower-cased words; a text of fewer words is one shingle.
+    Null texts count as empty, and texts without words are copies of each other.  Of repeated rows one stays.
+    """
+    words = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), SPACE), lambda w: w != "")
+    named = docs.select(
+        whole_row(docs).alias("_row"), "doc_id", "text", F.array_join(words, " ").alias("_words")
+    ).select("_row", "doc_id", "text", F.xxhash64("_words").alias("_id"), F.xxhash64(F.lit(1), "_words").alias("_check"))
+    hashed = named.select("_id", "_check", "doc_id", shingle_hashes("text", WIDTH).alias("_hashes"))
+    rings = cut(hashed.mapInArrow(_ring_batches, "_id bigint, _check bigint, doc_id bigint, _rings array<bigint>"))
+    last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    classes = cut(rings.groupBy("_id").agg(F.min(F.struct(last.alias("d"), F.col("_check").alias("c"))).alias("_least"), F.first("_rings").alias("_rings")))
+    roots = connected_components(near_copy_links(classes.select("_id", "_rings")), smallest=False)
+    grouped = classes.join(roots.withColumnRenamed("node", "_id"), "_id", "left").withColumn("root", F.coalesce("root", "_id"))
+    firsts = cut(
+        grouped.groupBy("root").agg(F.min(F.struct(F.col("_least.d").alias("d"), F.col("_id").alias("i"), F.col("_least.c").alias("c"))).alias("_f"))
+        .select(F.col("_f.i").alias("_id"), F.col("_f.c").alias("_check"), F.col("_f.d").alias("_last"))
+    )
+    kept = named.select("_row", "_id", "_check", last.alias("_last")).join(firsts, ["_id", "_check", "_last"], "left_semi")
+    return kept.groupBy("_id", "_check", "_last").agg(F.first("_row").alias("_row")).select("_row.*")

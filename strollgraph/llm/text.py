@@ -36,3 +36,8 @@ def row_key(*names: str) -> Column:
     """Hash-random hexadecimal key of a row; equal rows have equal keys and nulls count as a value."""
     parts = [F.coalesce(F.col(n).cast("string"), F.lit("\u0000")) for n in names]
     return F.md5(F.concat_ws("|", *parts).cast("binary"))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct, so that no name clashes with a working column."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
