@@ -3,6 +3,8 @@
 A polygon is ``rings``: array of closed rings of ``struct<x,y>``, outer ring first, then holes.
 A line is ``path``: array of ``struct<x,y>``.  Both are used through flat edge arrays
 ``array<struct<x0,y0,x1,y1>>``; polygon edges are oriented so that the interior lies on the left.
+Where a polygon was cut to a window, ``drawn`` marks the edges that the cut has added: they close
+the piece for crossings and areas and are no part of the outline.
 
 Every overlay measure is taken along an edge.  ``crossings`` intersects the line carrying a
 segment with a polygon, once displaced infinitely little to the left and once to the right; the
@@ -84,10 +86,30 @@ def signed_area(edges: str) -> str:
     return f"(aggregate({edges}, 0D, (acc, ed) -> acc + {edge_cross('ed')}) / 2D)"
 
 
+def ring_edges(rings: str) -> str:
+    """Edges of every ring with the polygon interior on their left; repeated vertices make no edge."""
+    real = f"filter({path_edges('ring')}, fe -> fe.x0 <> fe.x1 or fe.y0 <> fe.y1)"
+    back = "transform(reverse(fw), fe -> named_struct('x0', fe.x1, 'y0', fe.y1, 'x1', fe.x0, 'y1', fe.y0))"
+    turned = f"if(({signed_area('fw')} >= 0) = (ring_no = 0), fw, {back})"
+    return f"transform({rings}, (ring, ring_no) -> {let(real, 'fw', turned)})"
+
+
 def polygon_edges(rings: str) -> str:
     """All ring edges with the polygon interior on the left of each."""
-    turned = f"if(({signed_area('fw')} >= 0) = (ring_no = 0), fw, {path_edges('reverse(ring)')})"
-    return f"flatten(transform({rings}, (ring, ring_no) -> {let(path_edges('ring'), 'fw', turned)}))"
+    return f"flatten({ring_edges(rings)})"
+
+
+def marked(edges: str, drawn: str = "false") -> str:
+    """Edges with the mark ``drawn``."""
+    return f"transform({edges}, me -> named_struct('x0', me.x0, 'y0', me.y0, 'x1', me.x1, 'y1', me.y1, 'drawn', {drawn}))"
+
+
+def outline_edges(edges: str) -> str:
+    """The edges of marked ``edges`` that belong to the outline, without the mark."""
+    return (
+        f"transform(filter({edges}, oe -> not oe.drawn), "
+        "oe -> named_struct('x0', oe.x0, 'y0', oe.y0, 'x1', oe.x1, 'y1', oe.y1))"
+    )
 
 
 def edges_length(edges: str) -> str:
@@ -324,34 +346,48 @@ def clip_segment(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
     return f"if({inside}, {e}, {cut})"
 
 
-def clip_rings(rings: str, x0: str, y0: str, x1: str, y1: str) -> str:
-    """Polygon part in a window by successive half-plane cuts of every ring.
+def clip_outline(rings: str, x0: str, y0: str, x1: str, y1: str) -> str:
+    """Marked edges of the polygon part in a window, by successive half-plane cuts of every ring.
 
-    Concave rings may keep coincident back-and-forth edges along the window; they cancel in the
-    parity of ``crossings`` and in the shoelace sum.
+    An outline edge along the window's rim stays real only in the window on its inner side, so every
+    stretch of the outline is real in one window.  Drawn edges may run outside a concave polygon, where
+    they go back and forth and cancel in the parity of ``crossings`` and in the shoelace sum.
     """
+    spot = "array<struct<x:double,y:double,drawn:boolean>>"
 
-    def half_plane(ring: str, axis: str, bound: str, below: bool) -> str:
+    def half_plane(edges: str, axis: str, bound: str, below: bool) -> str:
         compare = "<=" if below else ">="
         a_in, b_in = f"ce.{axis}0 {compare} ({bound})", f"ce.{axis}1 {compare} ({bound})"
         t = f"((({bound}) - ce.{axis}0) / nullif(ce.{axis}1 - ce.{axis}0, 0D))"
-        met = (
-            point(bound, f"ce.y0 + {t} * (ce.y1 - ce.y0)")
-            if axis == "x"
-            else point(f"ce.x0 + {t} * (ce.x1 - ce.x0)", bound)
-        )
-        b = point("ce.x1", "ce.y1")
+        met = (bound, f"ce.y0 + {t} * (ce.y1 - ce.y0)") if axis == "x" else (f"ce.x0 + {t} * (ce.x1 - ce.x0)", bound)
+
+        def at(x: str, y: str, drawn: str) -> str:
+            return f"named_struct('x', cast({x} as double), 'y', cast({y} as double), 'drawn', {drawn})"
+
         step = (
-            f"case when {a_in} and {b_in} then array({b}) when {a_in} then array({met}) "
-            f"when {b_in} then array({met}, {b}) else cast(array() as {PATH}) end"
+            f"case when {a_in} and {b_in} then array({at('ce.x1', 'ce.y1', 'ce.drawn')}) "
+            f"when {a_in} then array({at(*met, 'ce.drawn')}) "
+            f"when {b_in} then array({at(*met, 'true')}, {at('ce.x1', 'ce.y1', 'ce.drawn')}) else cast(array() as {spot}) end"
+        )
+        joined = (
+            "zip_with(concat(array(element_at(kp, -1)), slice(kp, 1, size(kp) - 1)), kp, (p, q) -> "
+            "named_struct('x0', p.x, 'y0', p.y, 'x1', q.x, 'y1', q.y, 'drawn', q.drawn))"
+        )
+        return let(
+            f"flatten(transform({edges}, ce -> {step}))", "kp",
+            f"if(size(kp) > 0, {joined}, cast(array() as array<struct<x0:double,y0:double,x1:double,y1:double,drawn:boolean>>))",
         )
-        kept = f"flatten(transform({path_edges(ring)}, ce -> {step}))"
-        return let(kept, "kp", "if(size(kp) > 0, concat(array(element_at(kp, -1)), kp), kp)")
 
     ring = "ring"
     for axis, bound, below in [("x", x0, False), ("x", x1, True), ("y", y0, False), ("y", y1, True)]:
         ring = half_plane(ring, axis, bound, below)
-    return f"filter(transform({rings}, ring -> {ring}), done -> size(done) >= 4)"
+    outer = (
+        f"(we.x0 = we.x1 and ((we.x0 = ({x0}) and we.y1 > we.y0) or (we.x0 = ({x1}) and we.y1 < we.y0))) or "
+        f"(we.y0 = we.y1 and ((we.y0 = ({y0}) and we.x1 < we.x0) or (we.y0 = ({y1}) and we.x1 > we.x0)))"
+    )
+    rim = f"named_struct('x0', we.x0, 'y0', we.y0, 'x1', we.x1, 'y1', we.y1, 'drawn', we.drawn or {outer})"
+    cut = f"flatten(transform(transform({ring_edges(rings)}, ring -> {marked('ring')}), ring -> {ring}))"
+    return f"transform(filter({cut}, we -> we.x0 <> we.x1 or we.y0 <> we.y1), we -> {rim})"
 
 
 def inner_point(edges: str, xmin: str, ymin: str, xmax: str, ymax: str) -> str:

@@ -266,7 +266,7 @@ def _(x):
     CAST((x1 - x0) * (y1 - y0) AS DOUBLE) AS area_m2, CAST(2 * (x1 - x0) + 2 * (y1 - y0) AS DOUBLE) AS outline_m FROM land""",
 )
 def _(x):
-    edges = S.polygon_pieces(x.land.select("component_id", "rings"))
+    edges = S.whole_polygons(x.land.select("component_id", "rings"))
     return edges.selectExpr(
         "component_id", "xmin", "ymin", "xmax", "ymax", f"{G.signed_area('edges')} as area_m2",
         f"{G.edges_length('edges')} as outline_m",

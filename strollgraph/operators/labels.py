@@ -135,12 +135,10 @@ def nearby_hints(shapes: DataFrame, hints: DataFrame, distance: float) -> DataFr
 
 def site_points(shapes: DataFrame) -> DataFrame:
     """Representative point of a site, taken in its largest component, on the grid and in degrees."""
-    area = F.expr(f"round({G.signed_area('edges')}, 6)")
     best = shapes.groupBy("node").agg(
-        F.max_by(F.struct("edges", *S.BOUNDS), F.struct(area, (-F.col("xmin")), (-F.col("ymin")))).alias("big")
+        F.max_by("whole.inner", F.struct("whole.area", -F.col("whole.xmin"), -F.col("whole.ymin"))).alias("p")
     )
-    at = G.inner_point("big.edges", "big.xmin", "big.ymin", "big.xmax", "big.ymax")
-    placed = best.select(F.col("node").alias("site_id"), F.expr(at).alias("p")).withColumn(
+    placed = best.select(F.col("node").alias("site_id"), "p").withColumn(
         "g", F.expr(R.grid_to_lonlat("p.x", "p.y"))
     )
     return placed.select(

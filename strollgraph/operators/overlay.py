@@ -80,7 +80,7 @@ def covered_by(shapes: DataFrame, key: str, areas: DataFrame, area_key: str) ->
         .groupBy(F.col(f"a_{key}").alias(key), F.col(f"b_{area_key}").alias(area_key))
         .agg(F.count("*").alias("n"))
     )
-    total = shapes.groupBy(key).agg(F.sum(F.size("edges")).alias("edges_n"))
+    total = shapes.groupBy(key).agg(F.sum(F.expr(f"size({G.outline_edges('edges')})")).alias("edges_n"))
     whole = inside.join(total, key).where(F.col("n") == F.col("edges_n")).select(key, area_key)
     # A hole of the area strictly inside the polygon shows as area edges covered on both sides.
     reverse = S.covered_spans(
@@ -129,9 +129,7 @@ def clip_polygons(polygons: DataFrame, key: str, mask: DataFrame) -> DataFrame:
     edges strictly inside the polygon.  Only polygons that the mask cuts are stitched into rings,
     each from its own few edges.
     """
-    shapes = G.with_bounds(polygons.select(key, "rings"), "flatten(rings)").withColumn(
-        "edges", F.expr(G.polygon_edges("rings"))
-    )
+    shapes = S.whole_polygons(polygons.select(key, "rings"))
     pieces = S.polygon_pieces(mask.select("rings"))
     spans = S.covered_spans(
         S.outline_segments(shapes, [key]).drop("edge_no"), pieces.select("edges", *S.BOUNDS), 1000.0

@@ -14,8 +14,8 @@ from strollgraph.functions import geometry as G
 
 BOUNDS = ("xmin", "ymin", "xmax", "ymax")
 DEFAULT_CELL_M = 250.0
-# Polygons with more edges than this are cut into grid pieces before they are joined.
-MAX_PIECE_EDGES = 512
+# Polygons are cut along the lines of this grid before they are joined.
+PIECE_CELL_M = 20000.0
 
 
 def within_bbox(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
@@ -26,34 +26,41 @@ def within_bbox(df: DataFrame, box: tuple[float, float, float, float]) -> DataFr
     )
 
 
-def polygon_pieces(polygons: DataFrame, cell: float = 20000.0, limit: int = MAX_PIECE_EDGES) -> DataFrame:
-    """Add ``edges`` and bounds; polygons with very many edges become one row per grid cell."""
-    whole = polygons.withColumn("edges", F.expr(G.polygon_edges("rings")))
-    whole = G.with_bounds(whole, "flatten(rings)")
-    small = whole.where(F.size("edges") <= limit)
-    large = (
-        whole.where(F.size("edges") > limit)
+def whole_polygons(polygons: DataFrame) -> DataFrame:
+    """Add marked ``edges`` and bounds of every polygon."""
+    return G.with_bounds(
+        polygons.withColumn("edges", F.expr(G.marked(G.polygon_edges("rings")))), "flatten(rings)"
+    )
+
+
+def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M) -> DataFrame:
+    """Add marked ``edges`` and bounds, one row per grid cell that the polygon meets.
+
+    Every polygon is cut by the same rule whatever its size, and cutting shows nowhere but in the number of
+    rows.  ``whole`` holds the area, the lower left corner and a point inside of the uncut polygon.
+    """
+    bounded = whole_polygons(polygons).withColumn("whole", F.struct(
+        F.expr(f"round({G.signed_area('edges')}, 6)").alias("area"), F.col("xmin"), F.col("ymin"),
+        F.expr(G.inner_point("edges", "xmin", "ymin", "xmax", "ymax")).alias("inner"),
+    ))
+    one = " and ".join(f"{G.tile_index(f'{a}min', cell)} = {G.tile_index(f'{a}max', cell)}" for a in ("x", "y"))
+    window = (f"_cx * {cell}D", f"_cy * {cell}D", f"(_cx + 1) * {cell}D", f"(_cy + 1) * {cell}D")
+    cut = (
+        bounded.where(f"not ({one})")
         .withColumn("_cx", F.expr(f"explode({G.tile_range('xmin', 'xmax', cell)})"))
         .withColumn("_cy", F.expr(f"explode({G.tile_range('ymin', 'ymax', cell)})"))
-        .withColumn(
-            "rings",
-            G.keep(
-                G.clip_rings(
-                    "rings", f"_cx * {cell}D", f"_cy * {cell}D", f"(_cx + 1) * {cell}D", f"(_cy + 1) * {cell}D"
-                ),
-                "r",
-                "size(r) > 0",
-            ),
-        )
-        .withColumn("edges", F.expr(G.polygon_edges("rings")))
+        .withColumn("edges", G.keep(
+            G.clip_outline("rings", *window), "pe", f"exists(pe, e -> not e.drawn) or abs({G.signed_area('pe')}) > 1e-9D"
+        ))
         .drop("_cx", "_cy")
     )
-    return small.unionByName(G.with_bounds(large, "flatten(rings)"))
+    ends = "flatten(transform(edges, be -> array(named_struct('x', be.x0, 'y', be.y0), named_struct('x', be.x1, 'y', be.y1))))"
+    return bounded.where(one).unionByName(G.with_bounds(cut, ends)).drop("rings")
 
 
 def outline_segments(polygons: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per oriented polygon edge: kept columns, ``edge_no``, ``s`` and bounds."""
-    edges = polygons.select(*keep, F.posexplode("edges").alias("edge_no", "s"))
+    """One row per oriented outline edge of marked ``edges``: kept columns, ``edge_no``, ``s`` and bounds."""
+    edges = polygons.select(*keep, F.expr(f"posexplode({G.outline_edges('edges')}) as (edge_no, s)"))
     return segment_bounds(edges)
 
 
@@ -110,7 +117,7 @@ def covered_spans(
     Result: all prefixed input columns except the polygon edges, plus ``is_left``, ``t0``, ``t1``.
     """
     pairs = G.with_cover(near_pairs(segments, polygons, 0.0, cell, condition), "a_s", "b_edges")
-    return explode_spans(pairs.drop("b_edges", "b_rings"))
+    return explode_spans(pairs.drop("b_edges"))
 
 
 def explode_spans(pairs: DataFrame) -> DataFrame:
@@ -225,7 +232,7 @@ def link_distance(df: DataFrame, distance: float) -> DataFrame:
         f"(size(left) + size(right) > 0 or ({is_point} and {G.point_in_polygon('a_s.x0', 'a_s.y0', 'b_edges')}))"
     )
     at_start = "named_struct('d2', 0D, 'px', a_s.x0, 'py', a_s.y0, 'qx', a_s.x0, 'qy', a_s.y0)"
-    near = G.nearest_link("a_s", G.edges_near("b_edges", "a_s", distance))
+    near = G.nearest_link("a_s", G.edges_near(G.outline_edges("b_edges"), "a_s", distance))
     limit = float(distance) ** 2
     return covered.withColumn("link", G.keep(f"if({inside}, {at_start}, {near})", "k", f"k.d2 <= {limit}D"))
 

@@ -72,12 +72,12 @@ def walkable(hints: DataFrame) -> DataFrame:
 def graph_shapes(catalogue: D.Catalogue, hints: DataFrame | None) -> DataFrame:
     """Site components and walkable hints as pieces with their graph node."""
     sites = D.site_shapes(catalogue.membership, catalogue.components).select(
-        "node", F.lit(True).alias("official_site"), "edges", *S.BOUNDS
+        "node", F.lit(True).alias("official_site"), "edges", "whole", *S.BOUNDS
     )
     if hints is None:
         return sites
     pieces = S.polygon_pieces(walkable(hints).select(F.col("site_id").alias("node"), "rings"))
-    return sites.unionByName(pieces.select("node", F.lit(False).alias("official_site"), "edges", *S.BOUNDS))
+    return sites.unionByName(pieces.select("node", F.lit(False).alias("official_site"), "edges", "whole", *S.BOUNDS))
 
 
 def node_kinds(routes: DataFrame, sites: DataFrame, hints: DataFrame | None) -> DataFrame:

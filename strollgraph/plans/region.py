@@ -82,7 +82,7 @@ def sure_cells(extents: DataFrame, radius_m: float) -> tuple[DataFrame, float]:
     surroundings, so the work follows the area covered and not the number of shapes.
     """
     size = radius_m / SURE_STEPS
-    edges = extents.select("code", F.explode("edges").alias("e"))
+    edges = S.outline_segments(extents, ["code"]).select("code", F.col("s").alias("e"))
     steps = f"cast(ceil({G.edge_length('e')} / {size}D) as int)"
     at = "named_struct('x', e.x0 + (e.x1 - e.x0) * k / greatest(n, 1), 'y', e.y0 + (e.y1 - e.y0) * k / greatest(n, 1))"
     cells = (
@@ -187,7 +187,7 @@ def beyond_context(segments: DataFrame, key: str, extents: DataFrame, radius_m:
     inside = S.covered_spans(segments, extents, CONTEXT_CELL_M, own).select(
         F.col("a_code").alias("code"), F.col(f"a_{key}").alias(key), F.col("a_s").alias("s"), "t0", "t1"
     )
-    edges = S.segment_bounds(extents.select("code", F.explode("edges").alias("s")))
+    edges = S.outline_segments(extents, ["code"]).drop("edge_no")
     pairs = S.near_pairs(segments, edges, radius_m, max(CONTEXT_CELL_M, radius_m), own).withColumn(
         "p", G.keep(G.capsule_span("a_s", "b_s", radius_m), "c", "c is not null")
     )
