@@ -41,12 +41,15 @@ def version_label(snapshot: Column, version: Column, modified: Column, sha256: C
 
 
 def attributes_json(attributes: Column) -> Column:
-    """Attribute map as JSON text with sorted keys; a missing value or NaN becomes null."""
+    """Attribute map as JSON text with sorted keys.
+
+    A missing value becomes null, and so does ``NaN``, the text of a number that is none; a name such as "Nan" stays.
+    """
     entries = F.array_sort(F.map_entries(attributes))
     clean = F.transform(
         entries,
         lambda e: F.struct(
-            e["key"].alias("key"), F.when(~F.lower(e["value"]).isin("nan"), e["value"]).alias("value")
+            e["key"].alias("key"), F.when(e["value"] != "NaN", e["value"]).alias("value")
         ),
     )
     return F.to_json(F.map_from_entries(clean), {"ignoreNullFields": "false"})

@@ -19,8 +19,6 @@ from strollgraph.operators.components import connected_components
 from strollgraph.session import cut
 
 MEMBER_CHUNKS = 64
-# Members per chunk listed in full; beyond it a chunk enters the site id through its own digest.
-CHUNK_MEMBERS = 20000
 
 
 @dataclass(frozen=True)
@@ -34,12 +32,13 @@ class Catalogue:
 def collapse_copies(land: DataFrame) -> DataFrame:
     """Map every component to one representative of its identical polygon: ``component_id, rep``.
 
-    A stack of copies then costs one edge per copy instead of one per pair.
+    A stack of copies then costs one edge per copy instead of one per pair.  Hashes only deal the
+    rows; the rings themselves decide what is a copy.
     """
     shaped = G.with_bounds(land.select("component_id", "rings"), "flatten(rings)").select(
-        "component_id", F.xxhash64("rings").alias("shape"), F.hash("rings").alias("shape2"), *S.BOUNDS
+        "component_id", F.xxhash64("rings").alias("shape"), "rings", *S.BOUNDS
     )
-    key = ["shape", "shape2", *S.BOUNDS]
+    key = ["shape", "rings", *S.BOUNDS]
     least = shaped.groupBy(*key).agg(F.min("component_id").alias("rep"))
     return shaped.join(least, key).select("component_id", "rep")
 
@@ -107,8 +106,8 @@ def outline_hash(outline: DataFrame, key: str) -> DataFrame:
 def site_rollup(members: DataFrame, group: str, pieces: DataFrame | None = None) -> DataFrame:
     """Sorted-member id, names, sources and counts per group.
 
-    Two levels of grouping: a hashed chunk of a site first, then the site, so the members of a
-    very large site are never listed in one task.  Its id then digests the chunk digests.
+    Two levels of grouping: a hashed chunk of a site first, then the site.  The id digests the sorted list
+    of all members, by one rule for every size, so the ids of one site (and nothing else) meet in one row.
     """
     chunk = F.pmod(F.xxhash64("component_id"), F.lit(MEMBER_CHUNKS))
     first = members.groupBy(group, chunk.alias("chunk")).agg(
@@ -117,17 +116,13 @@ def site_rollup(members: DataFrame, group: str, pieces: DataFrame | None = None)
         F.collect_set("source_id").alias("sources"),
         F.count("*").alias("n"),
     )
-    first = first.withColumn("digest", F.when(F.col("n") > CHUNK_MEMBERS, T.list_digest(F.col("ids")))).withColumn(
-        "ids", F.when(F.col("digest").isNull(), F.col("ids"))
-    )
     second = first.groupBy(group).agg(
         F.flatten(F.collect_list("ids")).alias("ids"),
-        F.collect_list("digest").alias("digests"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"),
         F.sum("n").alias("component_count"),
     )
-    site_id = T.site_id(F.concat("ids", "digests"))
+    site_id = T.site_id(F.col("ids"))
     return second.withColumn("site_id", site_id).select(
         group,
         "site_id",
@@ -172,7 +167,7 @@ def site_shapes(membership: DataFrame, land: DataFrame) -> DataFrame:
     """
     joined = membership.join(land.select("component_id", "rings"), "component_id")
     shaped = joined.select(
-        F.col("site_id").alias("node"), F.xxhash64("rings").alias("_h"), F.hash("rings").alias("_h2"), "rings"
+        F.col("site_id").alias("node"), F.xxhash64("rings").alias("_h"), "rings"
     )
-    distinct = shaped.groupBy("node", "_h", "_h2").agg(F.first("rings").alias("rings"))
+    distinct = shaped.groupBy("node", "_h", "rings").agg(F.count("*").alias("_n"))
     return S.polygon_pieces(distinct.select("node", "rings"))

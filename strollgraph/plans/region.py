@@ -215,6 +215,53 @@ def boundary_nodes(routes_cut: DataFrame, sites_cut: DataFrame) -> DataFrame:
     return routes_cut.select(N.route_node("route_index").alias("node")).unionByName(sites_cut.select("node")).distinct()
 
 
+def prepare_region(inputs, study: DataFrame, buffer_m: float, study_buffer_m: float = 0.0):
+    """Inputs of a run over one study area (``code, name, rings``) and its context of ``buffer_m``.
+
+    Takes and returns ``analyse.Inputs``.  Sites, hints, barriers and routes of the context are kept whole; what its edge cuts
+    becomes ``boundary_nodes``.  Every table that later steps read more than once is written, so
+    that a run over the result does not select the context again.
+    """
+    from dataclasses import replace
+
+    from strollgraph.operators import sites as D
+    from strollgraph.plans.analyse import walkable
+
+    catalogue = inputs.catalogue
+    shapes = cut(D.site_shapes(catalogue.membership, catalogue.components).select("node", "edges", *S.BOUNDS))
+    chosen = cut(select_sites(shapes, catalogue.outline, study, study_buffer_m))
+    extents = cut(context_extents(study, shapes, chosen))
+    route_pairs = cut(context_routes(inputs.routes, extents, buffer_m))
+    outline = lambda df: S.outline_segments(df, ["node"]).drop("edge_no")
+    site_pairs = cut(near_shapes(outline(shapes), "node", extents, buffer_m))
+    own = chosen.select(F.col("site_id").alias("node"))
+    near_sites = cut(site_pairs.select("node").unionByName(own).distinct().withColumnRenamed("node", "site_id"))
+    here = lambda df: df.join(near_sites, "site_id", "left_semi")
+    membership = cut(here(catalogue.membership))
+    local = D.Catalogue(
+        sites=cut(here(catalogue.sites)), membership=membership, outline=cut(here(catalogue.outline)),
+        components=cut(catalogue.components.join(membership.select("component_id"), "component_id", "left_semi")),
+    )
+    first = G.segment("path[0].x", "path[0].y", "path[0].x", "path[0].y")
+    spots = S.segment_bounds(inputs.barriers.select("node_id", F.expr(first).alias("s")))
+    lines = S.path_segments(inputs.barriers, ["node_id"]).drop("edge_no")
+    near_barriers = near_shapes(spots.unionByName(lines), "node_id", extents, buffer_m).select("node_id").distinct()
+    routes = cut(inputs.routes.join(route_pairs.select("route_index").distinct(), "route_index", "left_semi"))
+    cut_nodes = cut_sites(shapes, site_pairs, extents, buffer_m)
+    hints = None
+    if inputs.hints is not None:
+        pieces = cut(S.polygon_pieces(walkable(inputs.hints).select(F.col("site_id").alias("node"), "rings")).select("node", "edges", *S.BOUNDS))
+        hint_pairs = cut(near_shapes(outline(pieces), "node", extents, buffer_m))
+        near_hints = hint_pairs.select(F.col("node").alias("site_id")).distinct()
+        hints = cut(inputs.hints.join(near_hints, "site_id", "left_semi"))
+        cut_nodes = cut_nodes.unionByName(cut_sites(pieces, hint_pairs, extents, buffer_m))
+    edge = boundary_nodes(cut_routes(routes, route_pairs, extents, buffer_m), cut_nodes)
+    return replace(
+        inputs, catalogue=local, routes=routes, barriers=cut(inputs.barriers.join(near_barriers, "node_id", "left_semi")),
+        hints=hints, boundary_nodes=cut(edge),
+    )
+
+
 def reindex_routes(routes: DataFrame) -> DataFrame:
     """Dense route numbers for a regional run; the national number is kept."""
     from strollgraph.plans.prepare import dense_index

@@ -38,7 +38,9 @@ def read_features(
     if fmt == "parquet":
         frame = spark.read.parquet(path)
     elif fmt == "geojson":
-        frame = _geojson(spark.read.text(path).where("value like '%\"geometry\"%'"))
+        # The lines around the features of a collection hold no feature of their own.
+        lines = spark.read.text(path).select(F.regexp_replace(F.trim("value"), ",$", "").alias("value"))
+        frame = _geojson(lines.where("value like '{%}' and get_json_object(value, '$.features') is null"))
     elif fmt == "geojson_collection":
         text = spark.read.text(path, wholetext=True)
         members = F.from_json("value", "features array<string>").getField("features")
@@ -54,7 +56,8 @@ def read_features(
 
 def _geojson(features: DataFrame) -> DataFrame:
     """Features from JSON text; coordinates nest differently per geometry type."""
-    head = F.from_json("value", "id string, properties map<string,string>, geometry struct<type:string,coordinates:string>")
+    shape = "id string, properties map<string,string>, geometry struct<type:string,coordinates:string>"
+    head = F.from_json("value", shape, {"mode": "FAILFAST"})
     rows = features.select(head.alias("f")).select(
         F.col("f.id").alias("feature_id"), F.col("f.properties").alias("attributes"),
         F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("text"),

@@ -9,7 +9,6 @@ from strollgraph.functions import projection as R
 from strollgraph.functions import text as T
 
 PARTITION_M = 50000.0
-PART_COMPONENTS = 5000
 
 
 def write_layers(layers: dict[str, DataFrame], out: str) -> None:
@@ -19,9 +18,15 @@ def write_layers(layers: dict[str, DataFrame], out: str) -> None:
 
 
 def flat_columns(frame: DataFrame) -> DataFrame:
-    """Columns a CSV can hold; Spark prints doubles with all digits needed to read them back."""
+    """Columns a CSV can hold; nested ones become JSON text.
+
+    Spark prints doubles with all digits needed to read them back.
+    """
     nested = ("array", "map", "struct")
-    return frame.select(*[f.name for f in frame.schema.fields if f.dataType.typeName() not in nested])
+    return frame.select(*[
+        F.to_json(f"`{f.name}`").alias(f.name) if f.dataType.typeName() in nested else F.col(f"`{f.name}`")
+        for f in frame.schema.fields
+    ])
 
 
 def write_site_tables(sites: DataFrame, out: str) -> None:
@@ -43,19 +48,9 @@ def lonlat_rings(polygons: str = "polygons") -> Column:
 
 
 def site_polygons(membership: DataFrame, land: DataFrame) -> DataFrame:
-    """Component polygons of a site as multipolygons for export: ``site_id, part, polygons``.
-
-    A site has one part unless it has very many components; those are spread over several parts,
-    so that no task holds a whole one.
-    """
-    sizes = membership.groupBy("site_id").agg(F.ceil(F.count("*") / PART_COMPONENTS).alias("parts"))
-    joined = (
-        membership.join(sizes, "site_id")
-        .withColumn("part", F.pmod(F.xxhash64("component_id"), F.col("parts")))
-        .join(land.select("component_id", "rings"), "component_id")
-    )
-    return joined.groupBy("site_id", "part").agg(
-        F.expr("transform(array_sort(collect_list(struct(component_id, rings))), e -> e.rings)").alias("polygons")
+    """Component polygons of a site for export, one row each: ``site_id, component_id, polygons``."""
+    return membership.join(land.select("component_id", "rings"), "component_id").select(
+        "site_id", "component_id", F.array("rings").alias("polygons")
     )
 
 
@@ -70,9 +65,9 @@ def geojson_features(frame: DataFrame, properties: list[str]) -> DataFrame:
 
 
 def write_candidates_geojson(sites: DataFrame, polygons: DataFrame, out: str) -> None:
-    """Candidates in longitude and latitude, one feature per line."""
+    """Candidates in longitude and latitude, one feature per component and line; ``component_id`` tells them apart."""
     rows = sites.where("status = 'likely_access_island'").join(polygons, "site_id")
-    geojson_features(rows, [*sites.columns, "part"]).write.mode("overwrite").text(f"{out}/likely_access_islands.geojson")
+    geojson_features(rows, [*sites.columns, "component_id"]).write.mode("overwrite").text(f"{out}/likely_access_islands.geojson")
 
 
 def partition_key(easting: str = "easting", northing: str = "northing", size: float = PARTITION_M) -> Column:
