@@ -81,6 +81,7 @@ def is_common(tags: Column) -> Column:
 
 
 def area_kind(tags: Column) -> Column:
+    # The display kinds and their tags.
     natural, landuse = tag(tags, "natural"), tag(tags, "landuse")
     return (
         F.when((natural == "water") | landuse.isin("reservoir", "basin"), "water")
@@ -91,6 +92,7 @@ def area_kind(tags: Column) -> Column:
 
 
 def line_kind(tags: Column) -> Column:
+    # The display kinds and their tags.
     highway, waterway = tag(tags, "highway"), tag(tags, "waterway")
     return (
         F.when(highway.isin("motorway", "trunk", "primary", "secondary") | highway.endswith("_link"), "major_road")
