@@ -45,6 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+_STAGES: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the reliable checkpoint folder and read it back.
 
@@ -53,5 +56,16 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+    _STAGES.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables written so far; call it when no result that reads them is needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    count = 0
+    while _STAGES:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        count += path.getFileSystem(conf).delete(path, True)
+    return count

@@ -1,5 +1,8 @@
 import random
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from strollgraph.operators.components import connected_components
 
 
@@ -34,3 +37,15 @@ def test_random_graphs_chains_and_a_hub(spark):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a string, b string")).collect() == []
+
+
+def test_stage_tables_can_be_dropped(spark, monkeypatch):
+    from strollgraph import session
+
+    monkeypatch.setattr(session, "_STAGES", [])
+    first, second = session.cut(spark.range(3)), session.cut(spark.range(4))
+    assert first.count() + second.count() == 7
+    folder = session._STAGES[0]
+    assert session.drop_stages(spark) == 2 and session.drop_stages(spark) == 0
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(folder)
