@@ -101,9 +101,7 @@ def _(x):
 )
 def _(x):
     e = extension(x)
-    annotated = H.annotate_sites(
-        e.reconciled.sites, e.grown[0].components, H.replace_ids(e.grown[0].membership, e.reconciled.replacements)
-    )
+    annotated = H.combined_catalogue(e.grown[0], e.old, e.overlaps).sites
     return annotated.select("site_id", "component_count", R6("area_ha"))
 
 

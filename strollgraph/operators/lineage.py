@@ -209,3 +209,26 @@ def annotate_sites(sites: DataFrame, land: DataFrame, membership: DataFrame) ->
     )
     earlier = ["access_regimes", "registered_common_land", "legal_source_attributes"]
     return sites.drop(*earlier).join(grouped, "site_id", "left")
+
+
+@dataclass(frozen=True)
+class Combined:
+    sites: DataFrame
+    membership: DataFrame
+    components: DataFrame
+    lineage: DataFrame
+
+
+def combined_catalogue(grown: D.Catalogue, earlier: D.Catalogue, overlaps: DataFrame | None = None) -> Combined:
+    """A grown catalogue under the ids of the earlier one, with the regimes of all its components.
+
+    ``overlaps`` may be given if it is known.  An id that two sites would share is an error.
+    """
+    overlaps = cut(site_overlaps(grown, earlier)) if overlaps is None else overlaps
+    done = reconcile_ids(grown, earlier, overlaps)
+    sites = cut(done.sites)
+    twice = repeated_ids(sites).take(1)
+    if twice:
+        raise ValueError(f"Two sites would share the id {twice[0][0]}")
+    membership = cut(replace_ids(grown.membership, done.replacements))
+    return Combined(annotate_sites(sites, grown.components, membership), membership, grown.components, done.lineage)
