@@ -2,6 +2,7 @@
 
 from strollgraph.lattice import (  # noqa: F401
     queries_graph,
+    queries_outline,
     queries_prepare,
     queries_region,
     queries_report,
