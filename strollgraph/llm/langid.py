@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strollgraph.llm.text import fold, whole_row
+from strollgraph.llm.text import arrow_rows, fold, whole_row
 from strollgraph.session import cut
 
 #: First code points of script blocks (fixed values of Unicode), up to the next entry.
@@ -37,7 +37,7 @@ BUCKETS = 1 << 15
 SCRIPT_SHARE = 0.005
 SWITCH_PENALTY = 12.0
 #: Characters handled at once.
-CHUNK = 1_500_000
+CHUNK = 800_000
 UNDETERMINED = "und"
 
 
@@ -138,7 +138,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def learn(docs: DataFrame) -> Model:
     """Model of the languages in ``docs`` (text, lang): every row counts whose fold of three is not 1 and whose language
     is known.  The counts are at most 32,768 numbers per language."""
-    rows = docs.where((fold("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    rows = arrow_rows(docs).where((fold("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     summed = (
         rows.mapInArrow(_count_batches, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     )
@@ -239,11 +239,11 @@ def _found(docs: DataFrame, model: Model | None) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             found: list = [None] * batch.num_rows
-            for i, lang, score, spans in label(batch.column("_text").to_pylist(), shared.value):
+            for i, lang, score, spans in label(batch.column("_row").field("text").to_pylist(), shared.value):
                 found[i] = {"lang": lang, "score": score, "spans": spans}
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(found, _RESULT)], names=["_row", "_found"])
 
-    picked = docs.select(F.col("text").alias("_text"), whole_row(docs).alias("_row"))
+    picked = arrow_rows(docs).select(whole_row(docs).alias("_row"))
     spans = "array<struct<start:bigint,end:bigint,lang:string>>"
     return picked.mapInArrow(batches, f"_row {picked.schema['_row'].dataType.simpleString()}, _found struct<lang:string,score:double,spans:{spans}>")
 

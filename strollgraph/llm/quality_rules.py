@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strollgraph.llm.text import whole_row
+from strollgraph.llm.text import arrow_rows, whole_row
 from strollgraph.llm.textstats import counts
 from strollgraph.session import cut
 
@@ -64,7 +64,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def measure(docs: DataFrame, *keep: Column) -> DataFrame:
     """``keep`` and the counts of the whole text of every row; all zero for a null text."""
-    picked = docs.select(*keep, F.col("text").alias("_text"))
+    picked = arrow_rows(docs).select(*keep, F.col("text").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.drop("_text").schema)
     return picked.mapInArrow(_count_batches, schema + "".join(f", {c} bigint" for c in COUNTS))
 

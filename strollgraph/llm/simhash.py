@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strollgraph.llm.text import SPACE, whole_row
+from strollgraph.llm.text import SPACE, arrow_rows, whole_row
 from strollgraph.operators.components import connected_components
 from strollgraph.session import cut
 
@@ -67,7 +67,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def fingerprints(docs: DataFrame, keep: list[str], width: int = 3) -> DataFrame:
     """``keep`` and ``_fp``, the SimHash of the text as a signed number; 0 if the text is null or has no word."""
-    hashed = docs.select(*keep, shingle_hashes("text", width).alias("_hashes"))
+    hashed = arrow_rows(docs).select(*keep, shingle_hashes("text", width).alias("_hashes"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hashed.drop("_hashes").schema)
     return hashed.mapInArrow(_fingerprint_batches, f"{schema}, _fp bigint")
 
@@ -227,7 +227,7 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
     Null texts count as empty, and texts without words are copies of each other.  Of repeated rows one stays.
     """
     words = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), SPACE), lambda w: w != "")
-    named = docs.select(
+    named = arrow_rows(docs).select(
         whole_row(docs).alias("_row"), "doc_id", "text", F.array_join(words, " ").alias("_words")
     ).select("_row", "doc_id", "text", F.xxhash64("_words").alias("_id"), F.xxhash64(F.lit(1), "_words").alias("_check"))
     hashed = named.select("_id", "_check", "doc_id", shingle_hashes("text", WIDTH).alias("_hashes"))

@@ -41,3 +41,15 @@ def row_key(*names: str) -> Column:
 def whole_row(docs: DataFrame) -> Column:
     """All columns of ``docs`` as one struct, so that no name clashes with a working column."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+#: Rows of an Arrow batch: whole texts are long, and a Python worker holds a batch and its result at once.
+BATCH_ROWS = 1000
+
+
+def arrow_rows(docs: DataFrame) -> DataFrame:
+    """``docs``, after bounding the session's Arrow batches by ``BATCH_ROWS``."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return docs

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strollgraph.llm.labelled import sample
+from strollgraph.llm.text import arrow_rows
 
 #: Labelled documents that are learned from, at most.
 SAMPLE = 20_000
@@ -212,7 +213,7 @@ def score_rows(docs: DataFrame, index: Index) -> DataFrame:
             )
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:double>>"
-    return docs.select("doc_id", "text").mapInArrow(batches, schema)
+    return arrow_rows(docs).select("doc_id", "text").mapInArrow(batches, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
