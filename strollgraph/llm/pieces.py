@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strollgraph.llm.text import arrow_rows
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Segmentations listed for every text.
@@ -31,11 +33,13 @@ BEST = 4
 UNKNOWN_PENALTY = 10.0
 #: Characters above which a chunk is scored alone, chunks remembered, characters handled at once.
 LONG_CHUNK = 40
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 CHUNK_CHARS = 2_000_000
 
 _CHUNK = re.compile(f" *[^ \n{SPACE}]+| +|\n|{SPACE}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_SEEN_SHIFT = np.uint64(46)
+_NOTHING = (np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1), np.zeros(1 << 18, dtype=bool))
 
 
 @dataclass
@@ -46,7 +50,8 @@ class Vocabulary:
     scores: dict[str, float]
     texts: list[bytes]  # of every id; control ids are empty
     byte_ids: list[int]
-    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)  # per length: hashes, ids, scores
+    #: Per length the hashes of the pieces, their ids and scores, and which leading bits of a hash occur.
+    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
     unknown: float = 0.0  # score of a character outside
 
 
@@ -74,7 +79,9 @@ def vocabulary(pieces: list[tuple[int, str, float]], byte_ids: list[int], size:
         hashes = np.array([r[0] for r in rows], dtype=np.uint64)
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("Two pieces share a hash")
-        vocab.tables[n] = (hashes, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+        seen = np.zeros(1 << 18, dtype=bool)
+        seen[(hashes >> _SEEN_SHIFT).astype(np.int64)] = True
+        vocab.tables[n] = (hashes, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), seen)
     return vocab
 
 
@@ -144,6 +151,7 @@ def n_best(arrive: list[list], n: int) -> list[tuple[float, tuple[int, ...]]]:
 def score_chunks(words: list[str], vocab: Vocabulary) -> list[tuple[bytes, float, float]]:
     """For every chunk the ids (int32) of its best path, its score, and the gap to the second best (infinite if there is none)."""
     out: list = [None] * len(words)
+    longest = max(vocab.tables, default=1)
     by_length: dict[int, list[int]] = {}
     for k, w in enumerate(words):
         by_length.setdefault(len(w) if len(w) <= LONG_CHUNK and w != SPACE else 0, []).append(k)
@@ -151,61 +159,57 @@ def score_chunks(words: list[str], vocab: Vocabulary) -> list[tuple[bytes, float
         paths = n_best(lattice(words[k], vocab), 2)
         out[k] = (np.array(paths[0][1], np.int32).tobytes(), paths[0][0], paths[0][0] - paths[1][0] if len(paths) > 1 else np.inf)
     for length, members in by_length.items():
-        cps = np.frombuffer("".join(words[k] for k in members).encode("utf-32-le"), "<u4").reshape(-1, length).astype(np.uint64)
-        cps = np.where(cps == 32, np.uint64(ord(SPACE)), cps) + np.uint64(1)
+        cps = np.frombuffer("".join([words[k] for k in members]).encode("utf-32-le"), "<u4").reshape(-1, length).astype(np.uint64)
+        cps = np.where(cps == 32, np.uint64(ord(SPACE)), cps).T + np.uint64(1)  # one row for each position
         n, rows = len(members), np.arange(len(members))
-        edges = []  # (start, length, ids, scores); -1 where there is no piece
+        edges = []  # (start, length, chunks that have a piece there, ids, scores)
         for i in range(length):
             h = np.zeros(n, dtype=np.uint64)
-            for size in range(1, length - i + 1):
-                if size > max(vocab.tables, default=1):
-                    break
-                h = h * _BASE + cps[:, i + size - 1]
-                ids = np.full(n, -1)
-                scores = np.full(n, -np.inf)
-                if size in vocab.tables:
-                    hashes, known, values = vocab.tables[size]
-                    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-                    hit = hashes[at] == h
-                    ids[hit], scores[hit] = known[at[hit]], values[at[hit]]
-                if size == 1:
-                    missing = ids < 0
-                    ids[missing], scores[missing] = -2, vocab.unknown
-                if size == 1 or (ids >= 0).any():
-                    edges.append((i, size, ids, scores))
-        ahead = np.full((n, length + 1), -np.inf)
-        ahead[:, 0] = 0
-        step = np.zeros((n, length + 1), dtype=np.int64)
-        piece = np.zeros((n, length + 1), dtype=np.int64)
-        for i, size, ids, scores in edges:  # starts ascend, so every start is final
-            value = ahead[:, i] + scores
-            better = value > ahead[:, i + size]
-            ahead[better, i + size] = value[better]
-            step[better, i + size] = size
-            piece[better, i + size] = ids[better]
-        behind = np.full((n, length + 1), -np.inf)
-        behind[:, length] = 0
-        for i, size, ids, scores in reversed(edges):
-            np.maximum(behind[:, i], scores + behind[:, i + size], out=behind[:, i])
-        taken = np.zeros((n, length), dtype=np.int64)  # step of the best path at each start, 0 elsewhere
+            for size in range(1, min(longest, length - i) + 1):
+                h = h * _BASE + cps[i + size - 1]
+                hashes, known, values, seen = vocab.tables.get(size, _NOTHING)
+                some = np.flatnonzero(seen[(h >> _SEEN_SHIFT).astype(np.int64)])
+                at = np.minimum(np.searchsorted(hashes, h[some]), len(hashes) - 1)
+                hit = hashes[at] == h[some]
+                at, some = at[hit], some[hit]
+                if size == 1:  # a character outside the vocabulary is an edge too
+                    ids, scores = np.full(n, -2), np.full(n, vocab.unknown)
+                    ids[some], scores[some] = known[at], values[at]
+                    edges.append((i, 1, rows, ids, scores))
+                elif len(some):
+                    edges.append((i, size, some, known[at], values[at]))
+        ahead = np.full((length + 1, n), -np.inf)
+        ahead[0] = 0
+        step = np.zeros((length + 1, n), dtype=np.int64)
+        piece = np.zeros((length + 1, n), dtype=np.int64)
+        for i, size, own, ids, scores in edges:  # starts ascend, so every start is final
+            value = ahead[i][own] + scores
+            better = value > ahead[i + size][own]
+            own = own[better]
+            ahead[i + size][own], step[i + size][own], piece[i + size][own] = value[better], size, ids[better]
+        behind = np.full((length + 1, n), -np.inf)
+        behind[length] = 0
+        for i, size, own, ids, scores in reversed(edges):
+            behind[i][own] = np.maximum(behind[i][own], scores + behind[i + size][own])
+        taken = np.zeros((length, n), dtype=np.int64)  # step of the best path at each start, 0 elsewhere
         path = np.full((n, length), -1, dtype=np.int64)
         at = np.full(n, length)
-        while (at > 0).any():
-            live = rows[at > 0]
-            size = step[live, at[live]]
-            start = at[live] - size
-            taken[live, start] = size
-            path[live, start] = piece[live, at[live]]
-            at[live] = start
+        live = rows
+        while len(live):
+            size, last = step[at[live], live], piece[at[live], live]
+            at[live] -= size
+            taken[at[live], live], path[live, at[live]] = size, last
+            live = live[at[live] > 0]
         second = np.full(n, -np.inf)
-        for i, size, ids, scores in edges:
-            other = np.where(taken[:, i] == size, -np.inf, ahead[:, i] + scores + behind[:, i + size])
-            np.maximum(second, other, out=second)
-        gaps = ahead[:, length] - second
+        for i, size, own, ids, scores in edges:
+            other = np.where(taken[i][own] == size, -np.inf, ahead[i][own] + scores + behind[i + size][own])
+            second[own] = np.maximum(second[own], other)
+        best = ahead[length]
+        gaps = best - second
         inside = path != -1
         data, ends = path[inside].astype(np.int32).tobytes(), 4 * np.cumsum(inside.sum(axis=1))
         low = 0
-        for k, high, score, gap in zip(members, ends.tolist(), ahead[:, length].tolist(), gaps.tolist()):
+        for k, high, score, gap in zip(members, ends.tolist(), best.tolist(), gaps.tolist()):
             out[k] = (data[low:high], score, gap)
             low = high
         for row in np.flatnonzero((path == -2).any(axis=1)):
@@ -253,9 +257,10 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, float, list[dict]]]:
         """Ids (int32) of the best segmentation, its score, and the N best: score and the chunks that differ from the best, with their ids."""
         parts = [chunks(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*parts).difference(self.known)) if parts else []
+        here = set().union(*parts)
+        if len(self.known) > REMEMBERED:  # what comes back stays
+            self.known = {c: self.known[c] for c in here.intersection(self.known)}
+        new = list(here.difference(self.known))
         self.known.update(zip(new, score_chunks(new, self.vocab)))
         for own in parts:
             entries = [self.known[c] for c in own]
@@ -322,7 +327,7 @@ def encode_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BE
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, ids array<int>, score double, n_best array<struct<score:double,edits:array<struct<chunk:int,ids:array<int>>>>>"
-    return docs.select("doc_id", "text").mapInArrow(batches, schema)
+    return arrow_rows(docs).select("doc_id", "text").mapInArrow(batches, schema)
 
 
 def decode_rows(encoded: DataFrame, vocab: Vocabulary | None = None) -> DataFrame:
@@ -339,7 +344,7 @@ def decode_rows(encoded: DataFrame, vocab: Vocabulary | None = None) -> DataFram
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(batches, f"{schema}, text string")
+    return arrow_rows(encoded).mapInArrow(batches, f"{schema}, text string")
 
 
 def encoded_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BEST) -> DataFrame:
