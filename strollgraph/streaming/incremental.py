@@ -30,9 +30,12 @@ def route_tiles(routes: DataFrame, tile: float) -> DataFrame:
 
 
 def _read(frame: DataFrame, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where there is none yet; a table that cannot be read is an error."""
     try:
         return frame.sparkSession.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

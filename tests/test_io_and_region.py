@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strollgraph.functions import geometry as G
@@ -85,6 +86,10 @@ def test_incremental_tiles_resume(spark, tmp_path):
     assert key(resumed) == key(full)
     assert I.open_tiles(I.route_tiles(inputs.routes, 100.0), args[-1], "s1").isEmpty()
     assert not I.open_tiles(I.route_tiles(inputs.routes, 100.0), args[-1], "s2").isEmpty()
+    broken = tmp_path / "broken"
+    (broken / "s1" / "ledger").mkdir(parents=True)
+    with pytest.raises(AnalysisException):  # a folder without a table is damage, not a fresh start
+        I.open_tiles(I.route_tiles(inputs.routes, 100.0), str(broken), "s1")
     moved = spark.createDataFrame([(90.0, 90.0, 95.0, 95.0)], "xmin double, ymin double, xmax double, ymax double")
     assert {tuple(r) for r in I.refresh_tiles(moved, 100.0, 5.0).collect()} == {(0, 0), (0, 1), (1, 0), (1, 1)}
 
