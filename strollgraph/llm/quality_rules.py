@@ -14,6 +14,7 @@ just partial sums.  Groups below ``MIN_ROWS`` usable rows borrow the estimate of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 import math
 from operator import add
@@ -56,7 +57,7 @@ def chi2_point(tail: float, dims: int) -> float:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [counts((t or "").encode()) for t in map(lambda s: s.as_py(), batch.column("_text"))]
+        found = [counts((t.as_py() or "").encode()) for t in batch.column("_text")]
         rest = [n for n in batch.schema.names if n != "_text"]
         cols = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * len(COUNTS)
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), *cols], names=[*rest, *COUNTS])
@@ -73,28 +74,43 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
 
 
-def _vectors(measured: DataFrame) -> DataFrame:
-    """Rows with ``x0`` to ``x3``; the corpus rates are four sums."""
+@dataclass
+class Fit:
+    """What the corpus says: four rates, the group of every language and source, and the estimates of the groups."""
+
+    rates: dict[str, float]
+    names: DataFrame
+    estimates: DataFrame
+
+
+def _rates(measured: DataFrame) -> dict[str, float]:
     sums = measured.where(~base_failed()).agg(*[F.sum(c).alias(c) for c in COUNTS]).first()
     n = max(1, sums["n_words"] or 0)
-    rate = lambda c: max(1e-6, (sums[c] or 0) / n)
+    return {c: max(1e-6, (sums[c] or 0) / n) for c, _ in RATES}
+
+
+def _vectors(measured: DataFrame, rates: dict[str, float]) -> DataFrame:
+    """Rows with ``x0`` to ``x3``."""
     return measured.select("*", *[
-        F.log((F.col(c) + F.lit(m * rate(c))) / (F.col("n_words") + m)).alias(f"x{i}") for i, (c, m) in enumerate(RATES)
+        F.log((F.col(c) + F.lit(m * rates[c])) / (F.col("n_words") + m)).alias(f"x{i}") for i, (c, m) in enumerate(RATES)
     ])
 
 
-def _grouped(rows: DataFrame) -> DataFrame:
-    """Rows with ``_group``: their language and source, else their language, else everything, by usable rows."""
-    usable = rows.where(~base_failed())
+def _group_names(measured: DataFrame) -> DataFrame:
+    """``_l, _s, _group``: of each language and source the group that has enough usable rows: its own, its language, everything."""
+    usable = measured.where(~base_failed())
     own = usable.groupBy("lang", "source").agg(F.count("*").alias("_own"))
     lang = usable.groupBy("lang").agg(F.count("*").alias("_lang"))
-    names = cut(
+    return cut(
         own.join(lang.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l"))).select(
             F.col("lang").alias("_l"), F.col("source").alias("_s"),
             F.when(F.col("_own") >= MIN_ROWS, F.to_json(F.array("lang", "source")))
             .when(F.col("_lang") >= MIN_ROWS, F.to_json(F.array("lang"))).otherwise(F.lit("[]")).alias("_group"),
         )
     )
+
+
+def _grouped(rows: DataFrame, names: DataFrame) -> DataFrame:
     same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
     return rows.join(names, same, "left").drop("_l", "_s").withColumn("_group", F.coalesce("_group", F.lit("[]")))
 
@@ -195,19 +211,24 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     return cut(best.select("_group", "_best.mean", "_best.inverse"))
 
 
-def judge(measured: DataFrame) -> DataFrame:
+def fit(measured: DataFrame) -> Fit:
+    """Rates, groups and estimates from the counts of all rows; ``measured`` is read several times."""
+    rates, names = _rates(measured), _group_names(measured)
+    return Fit(rates, names, robust_estimates(_fit_rows(_grouped(_vectors(measured, rates), names))))
+
+
+def judge(measured: DataFrame, known: Fit) -> DataFrame:
     """``measured`` (lang, source and counts) with ``base_failed``, ``distance`` (squared, robust) and ``kept``.
 
     A row is kept unless it fails the base rules or its distance exceeds the chi-square point of ``TAIL``.  Null
     languages and sources are groups like any other; null or empty texts fail the base; repeated rows are judged
     alike; if no row passes the base there is nothing to estimate and nothing is kept.
     """
-    rows = _grouped(_vectors(measured))
-    estimates = robust_estimates(_fit_rows(rows))
     # The core alone is too narrow: scale to the normal distribution's whole.
     core_point = chi2_point(1 - CORE, DIMS)
     widen = CORE / (1 - chi2_tail(core_point, DIMS + 2))
-    judged = rows.join(estimates, "_group", "left").withColumn("distance", _squared_distance() / widen)
+    rows = _grouped(_vectors(measured, known.rates), known.names).join(known.estimates, "_group", "left")
+    judged = rows.withColumn("distance", _squared_distance() / widen)
     kept = ~base_failed() & F.coalesce(F.col("distance") <= chi2_point(TAIL, DIMS), F.lit(False))
     return judged.withColumn("base_failed", base_failed()).withColumn("kept", kept).drop(
         "_group", "mean", "inverse", *[f"x{i}" for i in range(DIMS)]
@@ -216,17 +237,15 @@ def judge(measured: DataFrame) -> DataFrame:
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """``doc_id, lang, source``, the counts, ``base_failed``, ``distance`` and ``kept`` for every row of ``docs``."""
-    return judge(cut(measure(docs, F.col("doc_id"), F.col("lang"), F.col("source"))))
+    measured = cut(measure(docs, F.col("doc_id"), F.col("lang"), F.col("source")))
+    return judge(measured, fit(measured))
 
 
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns.
 
-    Verdicts depend on text, language and source only, so a hash of these names the rejected rows.
+    Rows are counted once for the estimates and once more to be judged where they are read, so texts are never shuffled.
     """
-    parts = [F.col(c) for c in ("text", "lang", "source")]
-    keys = [F.xxhash64(*parts).alias("_k0"), F.xxhash64(F.lit(1), *parts).alias("_k1")]
-    judged = judge(cut(measure(docs, *keys, F.col("lang"), F.col("source"))))
-    rejected = cut(judged.where(~F.col("kept")).select("_k0", "_k1").distinct())
-    keyed = docs.select(whole_row(docs).alias("_row"), *keys)
-    return keyed.join(rejected, ["_k0", "_k1"], "left_anti").select("_row.*")
+    group = [F.col("lang"), F.col("source")]
+    known = fit(cut(measure(docs, *group)))
+    return judge(measure(docs, whole_row(docs).alias("_row"), *group), known).where("kept").select("_row.*")
