@@ -194,14 +194,16 @@ def near_copy_links(prints: DataFrame) -> DataFrame:
     shared = cut(
         keyed.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).where(F.col("_n") > 1)
     )
-    few = keyed.join(shared.where(F.col("_n") <= PAIR_ROWS).select("_key"), "_key")
+    # A plan that stays the same at every size: the keys are sorted, never a hash table of those that are shared.
+    held = cut(keyed.join(shared.hint("merge"), "_key"))
+    few = held.where(F.col("_n") <= PAIR_ROWS)
     lists = few.groupBy("_key").agg(F.sort_array(F.collect_list("_id")).alias("_ids"))  # at most PAIR_ROWS
     pairs = lists.select(F.explode(F.flatten(F.transform(
         "_ids", lambda x, i: F.transform(F.slice("_ids", i + 2, PAIR_ROWS), lambda y: F.struct(x.alias("a"), y.alias("b")))
     ))).alias("_p")).select("_p.*")
-    hot = shared.where(F.col("_n") > PAIR_ROWS).select("_key", "_first")
-    both = prints.select("_id", F.explode(F.arrays_zip(F.array(*_ring_keys(2)).alias("k"), F.array(*_ring_keys(3)).alias("n"))).alias("_z"))
-    members = both.select("_id", F.col("_z.k").alias("_key"), F.col("_z.n").alias("_next")).join(hot, "_key")
+    hot = held.where(F.col("_n") > PAIR_ROWS).join(prints, "_id")
+    longer = F.element_at(F.array(*_ring_keys(3)), F.array_position(F.array(*_ring_keys(2)), F.col("_key")).cast("int"))
+    members = hot.select("_id", "_first", longer.alias("_next"))
     firsts = members.groupBy("_next").agg(F.min("_id").alias("_least"))
     stars = members.select(F.col("_first").alias("a"), F.col("_id").alias("b")).unionByName(
         members.join(firsts, "_next").select(F.col("_least").alias("a"), F.col("_id").alias("b"))
