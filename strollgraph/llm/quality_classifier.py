@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strollgraph.llm.labelled import sample
+from strollgraph.llm.text import arrow_rows
 
 #: Labelled documents that are learned from, at most.
 SAMPLE = 8192
@@ -110,14 +111,18 @@ def fit(counts: np.ndarray, labels: np.ndarray) -> Model:
     """Model of at most ``SAMPLE`` rows of counts."""
     df = (counts[:, :TRIGRAMS] > 0).sum(axis=0)
     idf = np.log((1 + len(counts)) / (1 + df)).astype(np.float32) + np.float32(0.1)
-    x = _scaled(counts, idf)
-    gram = x.T @ x
-    _, directions = np.linalg.eigh(gram.astype(np.float64))
+    blocks = [slice(at, at + CHUNK_DOCS) for at in range(0, len(counts), CHUNK_DOCS)]
+    gram = np.zeros((FEATURES, FEATURES))
+    for block in blocks:
+        x = _scaled(counts[block], idf)
+        gram += x.T @ x
+    _, directions = np.linalg.eigh(gram)
     basis = directions[:, ::-1][:, :RANK]
     # Fixed signs make reruns equal.
     basis = basis * np.where(basis[np.abs(basis).argmax(axis=0), np.arange(basis.shape[1])] < 0, -1, 1)
     basis = np.ascontiguousarray(basis, dtype=np.float32)
-    return Model(idf, basis, _projected(counts, idf, basis), labels.astype(np.float32))
+    vectors = np.vstack([_projected(counts[block], idf, basis) for block in blocks])
+    return Model(idf, basis, vectors, labels.astype(np.float32))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -125,11 +130,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = known.toArrow()
     if not rows.num_rows:
         return None
-    data = b"".join(c for chunk in rows.column("features").chunks for c in chunk.to_pylist())
-    counts = np.frombuffer(data, dtype=np.float32).reshape(-1, FEATURES)
+    counts = np.empty((rows.num_rows, FEATURES), dtype=np.float32)
+    for i, features_of in enumerate(b for chunk in rows.column("features").chunks for b in chunk):
+        counts[i] = np.frombuffer(features_of.as_buffer(), dtype=np.float32)
     found = np.array(rows.column("label").to_pylist())
-    order = np.lexsort((counts @ np.arange(1, FEATURES + 1), counts.sum(axis=1), found))  # not the order of arrival
-    return fit(counts[order], found[order])
+    del rows
+    return fit(counts, found)
 
 
 def votes(model: Model, counts: np.ndarray) -> np.ndarray:
@@ -162,7 +168,7 @@ def score_rows(docs: DataFrame, model: Model | None) -> DataFrame:
                     scores[low : low + CHUNK_DOCS] = votes(own, features(texts[low : low + CHUNK_DOCS]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(batches, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+    return arrow_rows(docs).select("doc_id", "text").mapInArrow(batches, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
