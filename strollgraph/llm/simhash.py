@@ -148,84 +148,135 @@ def near_duplicates(docs: DataFrame, width: int = 3, keep: list[str] | None = No
 
 # --- groups of near copies for deduplication --------------------------------------------------------
 
-#: Fingerprints of 64 bits for every document, and five-word shingles for them.
-RINGS = 8
+#: Words of a shingle.  Two texts are near copies if the Jaccard coefficient of their shingles is at least 0.8 = 4 / 5, in whole numbers below.
 WIDTH = 5
-#: Differing bits of all rings up to which the angle between two shingle sets speaks for a similarity of 0.8 or more.
-BUDGET = 77
-_GOLDEN, _MIX_A, _MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: One text in so many tells which shingles are frequent, and so many shingles are listed at most; both only steer the order.
+SAMPLE, LISTED, OFTEN = 16, 1 << 17, 3
+#: 64-bit words of the bitmap that keeps most texts without a candidate from the joins.
+SLOTS = 1 << 17
 
 
-def _ring_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hashes = batch.column("_hashes")
         values, at = hashes.values.to_numpy(zero_copy_only=False), hashes.offsets.to_numpy()
-        rows = []
-        for i in range(len(hashes)):
-            own = np.unique(values[at[i] : at[i + 1]]).view(np.uint64)
-            row = []
-            for ring in range(RINGS):
-                z = own + np.uint64(int(_GOLDEN) * ring % (1 << 64))
-                z = (z ^ z >> np.uint64(30)) * _MIX_A
-                z = (z ^ z >> np.uint64(27)) * _MIX_B
-                row.append(majority_bits((z ^ z >> np.uint64(31)).view(np.int64)))
-            rows.append(row)
+        sets = [np.unique(values[at[i] : at[i + 1]]) for i in range(len(hashes))]
         rest = [n for n in batch.schema.names if n != "_hashes"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(rows, pa.list_(pa.int64()))], names=[*rest, "_rings"])
-
-
-def _ring_keys(segments: int):
-    """One key for each ring and chain: a hash of the chain's first ``segments`` segments."""
-    return [
-        F.xxhash64(F.lit(ring * len(SEGMENTS) + c), F.col("_rings")[ring].bitwiseAND(F.lit(_mask(c, segments))))
-        for ring in range(RINGS) for c in range(len(SEGMENTS))
-    ]
-
-
-def near_copy_links(prints: DataFrame) -> DataFrame:
-    """Links ``a, b`` between the ids ``_id`` of documents whose ``_rings`` differ in at most ``BUDGET`` bits.
-
-    Candidates share the two-segment head of a chain on some ring.  Few documents of a key are compared in pairs.
-    Where many share a key each is compared with the least of the key and with the least of those that also share the next segment, so
-    a large group costs one comparison a member and key.  The rings are then taken as the segments of one larger ring: from some
-    ring on, the running difference of a true pair stays within its share of the budget at every length.
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(sets, pa.list_(pa.int64()))], names=[*rest, "_set"])
+
+
+def _prefix_batches(listed: np.ndarray, counts: np.ndarray):
+    """For every set its ``n // 5 + 1`` first shingles, rare ones first, and how frequent its shingles are on average."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sets = batch.column("_id"), batch.column("_set")
+            values, at = sets.values.to_numpy(zero_copy_only=False), sets.offsets.to_numpy()
+            often = np.zeros(len(values), dtype=np.int64)
+            if len(listed):
+                place = np.minimum(np.searchsorted(listed, values), len(listed) - 1)
+                often = np.where(listed[place] == values, counts[place], 0)
+            sizes, means, firsts = [], [], []
+            for i in range(len(sets)):
+                own, known = values[at[i] : at[i + 1]], often[at[i] : at[i + 1]]
+                sizes.append(len(own))
+                means.append(float(known.mean()) if len(own) else 0.0)
+                firsts.append(own[np.lexsort((own, known))[: len(own) // 5 + 1]])
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(sizes, pa.int32()), pa.array(means, pa.float64()), pa.array(firsts, pa.list_(pa.int64()))],
+                names=["_id", "_n", "_mean", "_prefix"],
+            )
+
+    return run
+
+
+def _marked_batches(bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("_id").to_numpy(zero_copy_only=False).view(np.uint64)
+            slot, bit = (ids % np.uint64(SLOTS * 64)) // np.uint64(64), ids % np.uint64(64)
+            yield batch.filter(pa.array((bits[slot.astype(np.int64)] >> bit & np.uint64(1)).astype(bool)))
+
+    return run
+
+
+def _marked(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``_set`` of every ``_id`` in ``ids``, once, and of few others."""
+    slot = F.shiftrightunsigned("_id", 6).bitwiseAND(F.lit(SLOTS - 1))
+    bit = F.expr("shiftleft(1L, cast(_id & 63 AS int))")
+    found = ids.groupBy(slot.alias("_slot")).agg(F.bit_or(bit).alias("_bits")).collect()  # at most SLOTS rows
+    bits = np.zeros(SLOTS, dtype=np.int64)
+    for r in found:
+        bits[r["_slot"]] = r["_bits"]
+    held = sets.select("_id", "_set").mapInArrow(_marked_batches(bits.view(np.uint64)), "_id bigint, _set array<bigint>")
+    return held.groupBy("_id").agg(F.first("_set").alias("_set"))
+
+
+def _similar(candidates: DataFrame, own: DataFrame) -> DataFrame:
+    """The candidates ``a, b`` whose sets have a Jaccard coefficient of at least 0.8."""
+    side = lambda name: own.select(F.col("_id").alias(name), F.col("_set").alias(f"_{name}"))
+    compared = candidates.join(side("b"), "b").join(side("a"), "a")
+    both = F.size(F.array_intersect("_a", "_b"))
+    return compared.where(9 * both >= 4 * (F.size("_a") + F.size("_b"))).select("a", "b")
+
+
+def near_copy_links(sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` that connect the ids ``_id`` exactly as all pairs of ``_set`` with a Jaccard coefficient of at least 0.8 would.
+
+    Under any one order of all shingles such sets of n shingles share one of their first n // 5 + 1 each; rare ones go first.  At the first
+    that they share, enough of both sets must be left.  Every candidate is compared by its whole sets.  Where many share a shingle,
+    they are compared first with the one whose shingles are the most frequent; then those outside the largest component of
+    that shingle with all members of other components, so that no pair that could still connect anything is left out.
     """
-    keyed = prints.select("_id", F.explode(F.array(*_ring_keys(2))).alias("_key"))
-    shared = cut(
-        keyed.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).where(F.col("_n") > 1)
-    )
+    sample = sets.where(F.pmod("_id", F.lit(SAMPLE)) == 0).select(F.explode("_set").alias("_key"))
+    frequent = sample.groupBy("_key").agg(F.count("*").alias("_c")).where(F.col("_c") >= OFTEN).orderBy(F.desc("_c"), "_key").limit(LISTED)
+    rows = sorted((r["_key"], r["_c"]) for r in frequent.collect())
+    listed, counts = np.array([k for k, _ in rows], dtype=np.int64), np.array([c for _, c in rows], dtype=np.int64)
+    prefixes = sets.select("_id", "_set").mapInArrow(_prefix_batches(listed, counts), "_id bigint, _n int, _mean double, _prefix array<bigint>")
+    keyed = prefixes.select("_id", "_n", "_mean", F.posexplode("_prefix").alias("_at", "_key"))
     # A plan that stays the same at every size: the keys are sorted, never a hash table of those that are shared.
-    held = cut(keyed.join(shared.hint("merge"), "_key"))
-    few = held.where(F.col("_n") <= PAIR_ROWS)
-    lists = few.groupBy("_key").agg(F.sort_array(F.collect_list("_id")).alias("_ids"))  # at most PAIR_ROWS
-    pairs = lists.select(F.explode(F.flatten(F.transform(
-        "_ids", lambda x, i: F.transform(F.slice("_ids", i + 2, PAIR_ROWS), lambda y: F.struct(x.alias("a"), y.alias("b")))
-    ))).alias("_p")).select("_p.*")
-    hot = held.where(F.col("_n") > PAIR_ROWS).join(prints, "_id")
-    longer = F.element_at(F.array(*_ring_keys(3)), F.array_position(F.array(*_ring_keys(2)), F.col("_key")).cast("int"))
-    members = hot.select("_id", "_first", longer.alias("_next"))
-    firsts = members.groupBy("_next").agg(F.min("_id").alias("_least"))
-    stars = members.select(F.col("_first").alias("a"), F.col("_id").alias("b")).unionByName(
-        members.join(firsts, "_next").select(F.col("_least").alias("a"), F.col("_id").alias("b"))
+    shared = cut(keyed.groupBy("_key").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high")).where("_low < _high").select("_key"))
+    held = cut(
+        keyed.join(shared.hint("merge"), "_key")
+        .groupBy("_key", "_id").agg(F.first("_n").alias("_n"), F.first("_at").alias("_at"), F.first("_mean").alias("_mean"))
     )
-    candidates = pairs.unionByName(stars).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda name: prints.select(F.col("_id").alias(name), F.col("_rings").alias(f"_{name}"))
-    differ = [F.bit_count(F.col("_a")[r].bitwiseXOR(F.col("_b")[r])) for r in range(RINGS)]
-    compared = candidates.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.array(*differ).alias("_d"))
-    chain = lambda start: [sum((F.col("_d")[(start + k) % RINGS] for k in range(1, n)), F.col("_d")[start]) * RINGS <= n * BUDGET for n in range(1, RINGS + 1)]
-    within = F.lit(False)
-    for start in range(RINGS):
-        test = F.lit(True)
-        for part in chain(start):
-            test = test & part
-        within = within | test
-    return compared.where(within).select("a", "b")
+    sizes = cut(held.groupBy("_key").agg(F.count("*").alias("_many"), F.max(F.struct("_mean", "_id", "_n", "_at")).alias("_hub")))
+    member = F.struct("_id", "_n", "_at")
+    fits = lambda x, y: (5 * F.least(x["_n"], y["_n"]) >= 4 * F.greatest(x["_n"], y["_n"])) & (
+        9 * F.least(x["_n"] - x["_at"], y["_n"] - y["_at"]) >= 4 * (x["_n"] + y["_n"])
+    )
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    few = held.join(sizes.where(F.col("_many") <= PAIR_ROWS).select("_key").hint("merge"), "_key")
+    lists = few.groupBy("_key").agg(F.sort_array(F.collect_list(member)).alias("_m"))  # at most PAIR_ROWS
+    pairs = lists.select(F.explode(F.flatten(F.transform("_m", lambda x, i: F.transform(
+        F.filter(F.slice("_m", i + 2, PAIR_ROWS), lambda y: fits(x, y)), lambda y: F.struct(x["_id"].alias("a"), y["_id"].alias("b"))
+    )))).alias("_p")).select("_p.*")
+    many = cut(held.join(sizes.where(F.col("_many") > PAIR_ROWS).select("_key", "_hub").hint("merge"), "_key"))
+    stars = many.where(F.col("_id") != F.col("_hub._id")).where(fits(member, F.col("_hub"))).select(*ordered(F.col("_id"), F.col("_hub._id")))
+    candidates = cut(pairs.unionByName(stars).distinct())
+    involved = candidates.select(F.col("a").alias("_id")).unionByName(candidates.select(F.col("b").alias("_id"))).unionByName(many.select("_id"))
+    own = cut(_marked(sets, involved))
+    links = cut(_similar(candidates, own))
+    # What the comparisons so far leave apart in the shingles of many.
+    roots = connected_components(links, smallest=False).withColumnRenamed("node", "_id")
+    placed = cut(many.select("_key", "_id", "_n", "_at").join(roots, "_id", "left").withColumn("root", F.coalesce("root", "_id")))
+    parts = placed.groupBy("_key", "root").agg(F.count("*").alias("_c"))
+    largest = parts.groupBy("_key").agg(F.max(F.struct("_c", "root")).alias("_l"), F.count("*").alias("_parts")).where("_parts > 1")
+    apart = placed.join(largest.select("_key", F.col("_l.root").alias("_main")), "_key").withColumn("_m", member)
+    outside = apart.where(F.col("root") != F.col("_main")).select("_key", F.col("_m").alias("_x"), F.col("root").alias("_other"))
+    rest = (
+        outside.join(apart.select("_key", F.col("_m").alias("_y"), "root", "_main"), "_key").where(F.col("root") != F.col("_other"))
+        .where((F.col("root") == F.col("_main")) | (F.col("_x._id") < F.col("_y._id"))).where(fits(F.col("_x"), F.col("_y")))
+        .select(*ordered(F.col("_x._id"), F.col("_y._id"))).distinct().join(candidates, ["a", "b"], "left_anti")
+    )
+    return links.unionByName(_similar(cut(rest), own))
 
 
 def first_of_groups(docs: DataFrame) -> DataFrame:
     """One row of each group of near copies in ``docs``, with its columns: the one with the least doc_id (null last).
 
-    Groups are the components of the links of ``near_copy_links`` over five-word shingles of the lower-cased words; a text of fewer words is one shingle.
+    Groups are the components of all pairs with a Jaccard coefficient of at least 0.8 over five-word shingles of the lower-cased words (64-bit
+    hashes stand for the shingles); a text of fewer words is one shingle.
     Null texts count as empty, and texts without words are copies of each other.  Of repeated rows one stays.
     """
     words = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), SPACE), lambda w: w != "")
@@ -233,10 +284,10 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
         whole_row(docs).alias("_row"), "doc_id", "text", F.array_join(words, " ").alias("_words")
     ).select("_row", "doc_id", "text", F.xxhash64("_words").alias("_id"), F.xxhash64(F.lit(1), "_words").alias("_check"))
     hashed = named.select("_id", "_check", "doc_id", shingle_hashes("text", WIDTH).alias("_hashes"))
-    rings = cut(hashed.mapInArrow(_ring_batches, "_id bigint, _check bigint, doc_id bigint, _rings array<bigint>"))
+    sets = cut(hashed.mapInArrow(_set_batches, "_id bigint, _check bigint, doc_id bigint, _set array<bigint>"))
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    classes = cut(rings.groupBy("_id").agg(F.min(F.struct(last.alias("d"), F.col("_check").alias("c"))).alias("_least"), F.first("_rings").alias("_rings")))
-    roots = connected_components(near_copy_links(classes.select("_id", "_rings")), smallest=False)
+    classes = cut(sets.groupBy("_id").agg(F.min(F.struct(last.alias("d"), F.col("_check").alias("c"))).alias("_least")))
+    roots = connected_components(near_copy_links(sets.select("_id", "_set")), smallest=False)
     grouped = classes.join(roots.withColumnRenamed("node", "_id"), "_id", "left").withColumn("root", F.coalesce("root", "_id"))
     firsts = cut(
         grouped.groupBy("root").agg(F.min(F.struct(F.col("_least.d").alias("d"), F.col("_id").alias("i"), F.col("_least.c").alias("c"))).alias("_f"))
