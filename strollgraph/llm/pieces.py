@@ -301,14 +301,15 @@ def _lots(texts: list[str]) -> Iterator[tuple[int, int]]:
 _NBEST = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(pa.struct([("chunk", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
 
 
-def encode_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BEST) -> DataFrame:
-    """``doc_id, ids, score, n_best`` for every row of ``docs`` (doc_id, text).
+def encode_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BEST, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``keep``, ``ids, score, n_best`` for every row of ``docs`` (doc_id, text).
 
     ``ids`` is the best segmentation and decodes to the text exactly.  ``n_best`` lists up to ``best`` segmentations, best first: their
     scores, and as edits the chunks (numbered from 0, see ``chunks``) that differ from the best with their ids.  A null or empty text has no
     ids, score 0 and itself as its only segmentation.  Characters outside the vocabulary, line feeds and the space sign U+2581 become bytes.
     Of equal scores the earlier chunk's change comes first; equal texts are encoded alike.
     """
+    names = ["doc_id", *keep]
     shared = docs.sparkSession.sparkContext.broadcast(vocab or load())
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,14 +321,14 @@ def encode_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BE
                 ends = np.cumsum([0] + [len(r[0]) // 4 for r in rows], dtype=np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join([r[0] for r in rows]))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[low:high], pa.ListArray.from_arrays(pa.array(ends), values),
+                    [*(batch.column(n)[low:high] for n in names), pa.ListArray.from_arrays(pa.array(ends), values),
                      pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], _NBEST)],
-                    names=["doc_id", "ids", "score", "n_best"],
+                    names=[*names, "ids", "score", "n_best"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, ids array<int>, score double, n_best array<struct<score:double,edits:array<struct<chunk:int,ids:array<int>>>>>"
-    return arrow_rows(docs).select("doc_id", "text").mapInArrow(batches, schema)
+    kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
+    schema = f"{kinds}, ids array<int>, score double, n_best array<struct<score:double,edits:array<struct<chunk:int,ids:array<int>>>>>"
+    return arrow_rows(docs).select(*names, "text").mapInArrow(batches, schema)
 
 
 def decode_rows(encoded: DataFrame, vocab: Vocabulary | None = None) -> DataFrame:
@@ -347,6 +348,15 @@ def decode_rows(encoded: DataFrame, vocab: Vocabulary | None = None) -> DataFram
     return arrow_rows(encoded).mapInArrow(batches, f"{schema}, text string")
 
 
-def encoded_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BEST) -> DataFrame:
+def encoded_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BEST, keep: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``encode_rows`` with the number of pieces."""
-    return encode_rows(docs, vocab, best).withColumn("n_pieces", F.size("ids").cast("bigint"))
+    return encode_rows(docs, vocab, best, keep).withColumn("n_pieces", F.size("ids").cast("bigint"))
+
+
+def round_trip_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BEST) -> DataFrame:
+    """The rows of ``encoded_rows``, the SHA-256 of the text that their ids decode to, and whether the source has the same (a null one counts as empty)."""
+    source = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("_source"))
+    decoded = decode_rows(encoded_rows(source, vocab, best, ("_source",)), vocab)
+    return decoded.withColumn("decoded_sha256", F.sha2(F.col("text").cast("binary"), 256)).withColumn(
+        "lossless", F.col("decoded_sha256") == F.col("_source")
+    ).drop("text", "_source")

@@ -96,8 +96,8 @@ def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces and the best segmentations of every document."""
-    return pieces.encoded_rows(table(spark, sf_dir, "documents"))
+    """Pieces and the best segmentations of every document, and the digest of the text that its pieces decode to."""
+    return pieces.round_trip_rows(table(spark, sf_dir, "documents"))
 
 
 @query

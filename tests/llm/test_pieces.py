@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 
@@ -92,3 +93,17 @@ def test_query_round_trips(spark, small):
     got = P.decode_rows(QUERIES["op9_piece_lattice"](spark, small)).select("doc_id", "text").collect()
     want = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_query_decodes_what_it_encodes(spark, small, make_docs, monkeypatch):
+    from strollgraph.llm.queries import QUERIES
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()}
+    rows = QUERIES["op9_piece_lattice"](spark, small).select("doc_id", "decoded_sha256", "lossless").collect()
+    assert len(rows) == len(texts) and all(r.lossless for r in rows)
+    assert all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in rows)
+    odd = P.round_trip_rows(make_docs([(1, None), (2, ""), (None, "é▁\n x"), (2, "a  b ")])).collect()
+    assert len(odd) == 4 and all(r.lossless for r in odd)
+    whole = P.decode_rows
+    monkeypatch.setattr(P, "decode_rows", lambda *a: whole(*a).selectExpr("* except (text)", "rtrim(text) as text"))
+    assert sorted(r.lossless for r in P.round_trip_rows(make_docs([(1, "a b"), (2, "a b ")])).collect()) == [False, True]
