@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strollgraph.llm import langid, licenses, mixing, pieces, quality_classifier, quality_rules, ring, simhash, spotsigs, toxicity
+from strollgraph.llm import (
+    divergence, langid, licenses, lloyd, logbilinear, mixing, pieces, quality_classifier, quality_rules, ring, simhash, spotsigs, toxicity,
+)
 from strollgraph.llm.text import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,5 +108,26 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, learned from six sevenths of them."""
+    held_out = fold("doc_id", 7) == 2
+    return logbilinear.score_texts(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
+
+
+@query
+def op12_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every usable vector."""
+    return lloyd.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the others of its language, and the terms that set it apart."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op1_license_scan"] = licenses.scan_sql()
 ORACLES["op10_source_mix"] = mixing.MIX_SQL
+ORACLES["op12_sharded_lloyd"] = lloyd.cluster_sql()
+ORACLES["op13_source_divergence"] = divergence.divergence_sql()
