@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+import xxhash
 
 from strollgraph.llm.text import SPACE, arrow_rows, whole_row
 from strollgraph.operators.components import connected_components
@@ -151,125 +152,319 @@ def near_duplicates(docs: DataFrame, width: int = 3, keep: list[str] | None = No
 #: Words of a shingle.  Two texts are near copies if the Jaccard coefficient of their shingles is at least 0.8 = 4 / 5, in whole numbers below.
 WIDTH = 5
 #: One text in so many tells which shingles are frequent, and so many shingles are listed at most; both only steer the order.
-SAMPLE, LISTED, OFTEN = 16, 1 << 17, 3
-#: 64-bit words of the bitmap that keeps most texts without a candidate from the joins.
-SLOTS = 1 << 17
+SAMPLE, LISTED, OFTEN = 32, 1 << 17, 3
+#: 64-bit words of the bitmaps that keep texts and shingles without a partner out of the exchanges.  They let some through, never lose one.
+ID_SLOTS, KEY_SLOTS = 1 << 15, 1 << 18
+#: Members of a block where many texts share a shingle.
+BLOCK = 256
+_TURN = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Shingler:
+    """Ids and shingle sets of texts; remembers the hashes of words."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def words(self, text: str | None) -> list[bytes]:
+        return (text or "").encode().lower().split()
+
+    def id_of(self, words: list[bytes]) -> int:
+        """As ``named`` has it: XXH64 (seed 42) of the words, signed."""
+        return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), 42)).view(np.int64))
+
+    def shingles(self, words: list[bytes]) -> np.ndarray:
+        """Hashes of all runs of ``WIDTH`` words (of all words if there are fewer), each once, ascending."""
+        if not words:
+            return np.zeros(0, np.int64)
+        known = self.known
+        if len(known) > 200_000:
+            known.clear()
+        for w in set(words).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        own = np.array([known[w] for w in words], np.uint64)
+        width = min(WIDTH, len(own))
+        runs = len(own) - width + 1
+        h = np.full(runs, width, np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(width):
+                h = (h ^ (h >> np.uint64(29))) * _TURN + own[k : k + runs]
+            h = (h ^ (h >> np.uint64(32))) * _TURN
+        return np.unique((h ^ (h >> np.uint64(29))).view(np.int64))
+
+
+def sketch(values: np.ndarray) -> bytes:
+    """One bit for every shingle, in at least four places for each."""
+    places = max(64, 1 << (4 * len(values) - 1).bit_length())
+    bits = np.zeros(places, dtype=bool)
+    bits[values & (places - 1)] = True
+    return np.packbits(bits).tobytes()
+
+
+def may_be_similar(n: int, x: bytes, m: int, y: bytes) -> bool:
+    """Whether sketches of ``n`` and ``m`` shingles leave room for a coefficient of 0.8: a bit of one side alone is a shingle of it alone."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    both = min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+    return 9 * both >= 4 * (n + m)
+
+
+def _bitmap(values: DataFrame, slots: int) -> np.ndarray:
+    """Bits of the hashes ``_v``, by their lowest digits; ``slots`` words at most."""
+    slot = F.shiftrightunsigned("_v", 6).bitwiseAND(F.lit(slots - 1))
+    found = values.groupBy(slot.alias("_slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_v & 63 AS int))")).alias("_bits")).toArrow()
+    bits = np.zeros(slots, dtype=np.uint64)
+    bits[found.column("_slot").to_numpy()] = found.column("_bits").to_numpy().view(np.uint64)
+    return bits
+
+
+def _in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    v = values.view(np.uint64)
+    slot = ((v >> np.uint64(6)) & np.uint64(len(bits) - 1)).astype(np.int64)
+    return (bits[slot] >> (v & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+class _Leaders:
+    """The texts of a batch that lead their id, each id once in a task as far as it is remembered."""
+
+    def __init__(self, leaders: np.ndarray):
+        self.leaders, self.shingler, self.seen = leaders, Shingler(), set()
+
+    def of(self, batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+        last = batch.column("_last").to_numpy(zero_copy_only=False)
+        words = [self.shingler.words(t) for t in batch.column("text").to_pylist()]
+        ids = np.array([self.shingler.id_of(w) for w in words], dtype=np.int64)
+        leads = _in_bitmap(self.leaders, ids ^ last)
+        if len(self.seen) > 1_000_000:
+            self.seen.clear()
+        for k in np.flatnonzero(leads).tolist():
+            if int(ids[k]) not in self.seen:
+                self.seen.add(int(ids[k]))
+                yield int(ids[k]), words[k]
+
+
+def _frequent_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shingler = Shingler()
+    for batch in batches:
+        words = [shingler.words(t) for t in batch.column("text").to_pylist()]
+        sets = [shingler.shingles(w) for w in words if shingler.id_of(w) % SAMPLE == 0]
+        keys, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.int64),) * 2
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["_key", "_c"])
 
 
-def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = batch.column("_hashes")
-        values, at = hashes.values.to_numpy(zero_copy_only=False), hashes.offsets.to_numpy()
-        sets = [np.unique(values[at[i] : at[i + 1]]) for i in range(len(hashes))]
-        rest = [n for n in batch.schema.names if n != "_hashes"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), pa.array(sets, pa.list_(pa.int64()))], names=[*rest, "_set"])
+class Order:
+    """Rare shingles first: the order in which prefixes are taken."""
+
+    def __init__(self, listed: np.ndarray, counts: np.ndarray):
+        self.listed, self.counts = listed, counts
 
+    def prefix(self, own: np.ndarray) -> tuple[np.ndarray, float]:
+        """The first ``n // 5 + 1`` shingles, and how frequent the set's shingles are on average."""
+        often = np.zeros(len(own), dtype=np.int64)
+        if len(self.listed) and len(own):
+            place = np.minimum(np.searchsorted(self.listed, own), len(self.listed) - 1)
+            often = np.where(self.listed[place] == own, self.counts[place], 0)
+        return own[np.lexsort((own, often))[: len(own) // 5 + 1]], float(often.mean()) if len(own) else 0.0
 
-def _prefix_batches(listed: np.ndarray, counts: np.ndarray):
-    """For every set its ``n // 5 + 1`` first shingles, rare ones first, and how frequent its shingles are on average."""
 
+def _key_batches(leaders, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _Leaders(leaders.value)
         for batch in batches:
-            ids, sets = batch.column("_id"), batch.column("_set")
-            values, at = sets.values.to_numpy(zero_copy_only=False), sets.offsets.to_numpy()
-            often = np.zeros(len(values), dtype=np.int64)
-            if len(listed):
-                place = np.minimum(np.searchsorted(listed, values), len(listed) - 1)
-                often = np.where(listed[place] == values, counts[place], 0)
-            sizes, means, firsts = [], [], []
-            for i in range(len(sets)):
-                own, known = values[at[i] : at[i + 1]], often[at[i] : at[i + 1]]
-                sizes.append(len(own))
-                means.append(float(known.mean()) if len(own) else 0.0)
-                firsts.append(own[np.lexsort((own, known))[: len(own) // 5 + 1]])
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int32()), pa.array(means, pa.float64()), pa.array(firsts, pa.list_(pa.int64()))],
-                names=["_id", "_n", "_mean", "_prefix"],
-            )
+            found = [order.value.prefix(own.shingler.shingles(w))[0] for _, w in own.of(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *found]))], names=["_key"])
 
     return run
 
 
-def _marked_batches(bits: np.ndarray):
+#: Of every text: its id, shingles, mean frequency, and the places and keys of its prefix that others may share, and its sketch.
+_HELD = "_id bigint, _n int, _mean float, _at array<int>, _keys array<bigint>, _sketch binary"
+
+
+def _held_batches(leaders, order, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _Leaders(leaders.value)
         for batch in batches:
-            ids = batch.column("_id").to_numpy(zero_copy_only=False).view(np.uint64)
-            slot, bit = (ids % np.uint64(SLOTS * 64)) // np.uint64(64), ids % np.uint64(64)
-            yield batch.filter(pa.array((bits[slot.astype(np.int64)] >> bit & np.uint64(1)).astype(bool)))
+            rows = []
+            for i, words in own.of(batch):
+                values = own.shingler.shingles(words)
+                prefix, mean = order.value.prefix(values)
+                at = np.flatnonzero(_in_bitmap(shared.value, prefix)) if len(prefix) else []
+                if len(at):
+                    rows.append((i, len(values), mean, at.astype(np.int32), prefix[at], sketch(values)))
+            kinds = (pa.int64(), pa.int32(), pa.float32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary())
+            names = ["_id", "_n", "_mean", "_at", "_keys", "_sketch"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
     return run
 
 
-def _marked(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """The ``_set`` of every ``_id`` in ``ids``, once, and of few others."""
-    slot = F.shiftrightunsigned("_id", 6).bitwiseAND(F.lit(SLOTS - 1))
-    bit = F.expr("shiftleft(1L, cast(_id & 63 AS int))")
-    found = ids.groupBy(slot.alias("_slot")).agg(F.bit_or(bit).alias("_bits")).collect()  # at most SLOTS rows
-    bits = np.zeros(SLOTS, dtype=np.int64)
-    for r in found:
-        bits[r["_slot"]] = r["_bits"]
-    held = sets.select("_id", "_set").mapInArrow(_marked_batches(bits.view(np.uint64)), "_id bigint, _set array<bigint>")
-    return held.groupBy("_id").agg(F.first("_set").alias("_set"))
+def _set_batches(leaders):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _Leaders(leaders.value)
+        for batch in batches:
+            rows = [(i, own.shingler.shingles(w)) for i, w in own.of(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["_id", "_set"]
+            )
+
+    return run
+
 
+def _room_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("_na", "_sa", "_nb", "_sb")))
+        yield batch.filter(pa.array([may_be_similar(*r) for r in rows], pa.bool_())).select(["a", "b"])
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (one a row) with as few places as one of ``size`` bytes."""
+    while bits.shape[1] > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
+def block_pairs(rows: list[tuple], same: bool) -> set[tuple[int, int]]:
+    """Pairs of ids with room for similarity among rows (id, root, n, at, sketch, block) of one block (``same``) or of two."""
+    ids, root, n, at = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(4))
+    block = np.array([r[5] for r in rows])
+    sizes = np.array([len(r[4]) for r in rows])
+    tables = {z: np.frombuffer(b"".join(r[4] for r in rows if len(r[4]) == z), np.uint8).reshape(-1, z) for z in np.unique(sizes).tolist()}
+    place = np.zeros(len(rows), dtype=np.int64)
+    for z in tables:
+        place[sizes == z] = np.arange(len(tables[z]))
+    found: set[tuple[int, int]] = set()
+    for k in range(len(rows) - 1):
+        later = np.arange(k + 1, len(rows))
+        fits = (root[later] != root[k]) & (5 * np.minimum(n[later], n[k]) >= 4 * np.maximum(n[later], n[k]))
+        fits &= 9 * np.minimum(n[later] - at[later], n[k] - at[k]) >= 4 * (n[later] + n[k])
+        later = later[fits] if same else later[fits & (block[later] != block[k])]
+        for z in np.unique(sizes[later]).tolist():
+            some = later[sizes[later] == z]
+            own, other = tables[int(sizes[k])][place[k]][None, :], tables[z][place[some]]
+            own, other = _folded(own, z), _folded(other, int(sizes[k]))
+            left, right = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (own & ~other, other & ~own))
+            both = np.minimum(n[k] - left, n[some] - right)
+            found.update((min(i, int(ids[k])), max(i, int(ids[k]))) for i in ids[some[9 * both >= 4 * (n[k] + n[some])]].tolist())
+    return found
+
+
+def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of every pair of blocks of a key; its rows follow each other."""
+    group, rows = None, []
+
+    def pairs() -> pa.RecordBatch:
+        found = block_pairs(rows, group[1] == group[2])
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
 
-def _similar(candidates: DataFrame, own: DataFrame) -> DataFrame:
-    """The candidates ``a, b`` whose sets have a Jaccard coefficient of at least 0.8."""
-    side = lambda name: own.select(F.col("_id").alias(name), F.col("_set").alias(f"_{name}"))
-    compared = candidates.join(side("b"), "b").join(side("a"), "a")
-    both = F.size(F.array_intersect("_a", "_b"))
-    return compared.where(9 * both >= 4 * (F.size("_a") + F.size("_b"))).select("a", "b")
+    for batch in batches:
+        for key, i, j, block, *row in zip(*(batch.column(c).to_pylist() for c in ("_key", "_i", "_j", "_block", "_id", "root", "_n", "_at", "_sketch"))):
+            if (key, i, j) != group:
+                if len(rows) > 1:
+                    yield pairs()
+                group, rows = (key, i, j), []
+            rows.append((*row, block))
+    if len(rows) > 1:
+        yield pairs()
 
 
-def near_copy_links(sets: DataFrame) -> DataFrame:
-    """Links ``a, b`` that connect the ids ``_id`` exactly as all pairs of ``_set`` with a Jaccard coefficient of at least 0.8 would.
+class NearCopies:
+    """Links between the near copies among ``named`` (text, _last), whose ids and leading documents are ``classes`` (_id, _last).
 
-    Under any one order of all shingles such sets of n shingles share one of their first n // 5 + 1 each; rare ones go first.  At the first
-    that they share, enough of both sets must be left.  Every candidate is compared by its whole sets.  Where many share a shingle,
-    they are compared first with the one whose shingles are the most frequent; then those outside the largest component of
-    that shingle with all members of other components, so that no pair that could still connect anything is left out.
+    Texts are read anew for each step and their sets made where they are needed, so whole sets are neither written nor aggregated.  Under any one order of all
+    shingles two similar sets of n shingles share one of their first n // 5 + 1 each; rare ones go first.
     """
-    sample = sets.where(F.pmod("_id", F.lit(SAMPLE)) == 0).select(F.explode("_set").alias("_key"))
-    frequent = sample.groupBy("_key").agg(F.count("*").alias("_c")).where(F.col("_c") >= OFTEN).orderBy(F.desc("_c"), "_key").limit(LISTED)
-    rows = sorted((r["_key"], r["_c"]) for r in frequent.collect())
-    listed, counts = np.array([k for k, _ in rows], dtype=np.int64), np.array([c for _, c in rows], dtype=np.int64)
-    prefixes = sets.select("_id", "_set").mapInArrow(_prefix_batches(listed, counts), "_id bigint, _n int, _mean double, _prefix array<bigint>")
-    keyed = prefixes.select("_id", "_n", "_mean", F.posexplode("_prefix").alias("_at", "_key"))
-    # A plan that stays the same at every size: the keys are sorted, never a hash table of those that are shared.
-    shared = cut(keyed.groupBy("_key").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high")).where("_low < _high").select("_key"))
-    held = cut(
-        keyed.join(shared.hint("merge"), "_key")
-        .groupBy("_key", "_id").agg(F.first("_n").alias("_n"), F.first("_at").alias("_at"), F.first("_mean").alias("_mean"))
-    )
-    sizes = cut(held.groupBy("_key").agg(F.count("*").alias("_many"), F.max(F.struct("_mean", "_id", "_n", "_at")).alias("_hub")))
-    member = F.struct("_id", "_n", "_at")
-    fits = lambda x, y: (5 * F.least(x["_n"], y["_n"]) >= 4 * F.greatest(x["_n"], y["_n"])) & (
-        9 * F.least(x["_n"] - x["_at"], y["_n"] - y["_at"]) >= 4 * (x["_n"] + y["_n"])
-    )
-    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    few = held.join(sizes.where(F.col("_many") <= PAIR_ROWS).select("_key").hint("merge"), "_key")
-    lists = few.groupBy("_key").agg(F.sort_array(F.collect_list(member)).alias("_m"))  # at most PAIR_ROWS
-    pairs = lists.select(F.explode(F.flatten(F.transform("_m", lambda x, i: F.transform(
-        F.filter(F.slice("_m", i + 2, PAIR_ROWS), lambda y: fits(x, y)), lambda y: F.struct(x["_id"].alias("a"), y["_id"].alias("b"))
-    )))).alias("_p")).select("_p.*")
-    many = cut(held.join(sizes.where(F.col("_many") > PAIR_ROWS).select("_key", "_hub").hint("merge"), "_key"))
-    stars = many.where(F.col("_id") != F.col("_hub._id")).where(fits(member, F.col("_hub"))).select(*ordered(F.col("_id"), F.col("_hub._id")))
-    candidates = cut(pairs.unionByName(stars).distinct())
-    involved = candidates.select(F.col("a").alias("_id")).unionByName(candidates.select(F.col("b").alias("_id"))).unionByName(many.select("_id"))
-    own = cut(_marked(sets, involved))
-    links = cut(_similar(candidates, own))
-    # What the comparisons so far leave apart in the shingles of many.
-    roots = connected_components(links, smallest=False).withColumnRenamed("node", "_id")
-    placed = cut(many.select("_key", "_id", "_n", "_at").join(roots, "_id", "left").withColumn("root", F.coalesce("root", "_id")))
-    parts = placed.groupBy("_key", "root").agg(F.count("*").alias("_c"))
-    largest = parts.groupBy("_key").agg(F.max(F.struct("_c", "root")).alias("_l"), F.count("*").alias("_parts")).where("_parts > 1")
-    apart = placed.join(largest.select("_key", F.col("_l.root").alias("_main")), "_key").withColumn("_m", member)
-    outside = apart.where(F.col("root") != F.col("_main")).select("_key", F.col("_m").alias("_x"), F.col("root").alias("_other"))
-    rest = (
-        outside.join(apart.select("_key", F.col("_m").alias("_y"), "root", "_main"), "_key").where(F.col("root") != F.col("_other"))
-        .where((F.col("root") == F.col("_main")) | (F.col("_x._id") < F.col("_y._id"))).where(fits(F.col("_x"), F.col("_y")))
-        .select(*ordered(F.col("_x._id"), F.col("_y._id"))).distinct().join(candidates, ["a", "b"], "left_anti")
-    )
-    return links.unionByName(_similar(cut(rest), own))
+
+    def __init__(self, named: DataFrame, classes: DataFrame):
+        self.named, self.classes, self.context = named, classes, named.sparkSession.sparkContext
+        self.leaders = self._leading(classes)
+
+    def _leading(self, classes: DataFrame):
+        """A shared bitmap of the leading rows of ``classes``."""
+        return self.context.broadcast(_bitmap(classes.select(F.col("_id").bitwiseXOR(F.col("_last")).alias("_v")), ID_SLOTS))
+
+    def order(self) -> Order:
+        counted = self.named.select("text").mapInArrow(_frequent_batches, "_key bigint, _c bigint").groupBy("_key").agg(F.sum("_c").alias("_c"))
+        rows = counted.where(F.col("_c") >= OFTEN).orderBy(F.desc("_c"), "_key").limit(LISTED).collect()
+        rows = sorted((r["_key"], r["_c"]) for r in rows)
+        return Order(np.array([k for k, _ in rows], dtype=np.int64), np.array([c for _, c in rows], dtype=np.int64))
+
+    def held(self) -> tuple[DataFrame, DataFrame]:
+        """``_key, _id, _n, _at, _mean`` for every key of a prefix that several ids have, and ``_id, _n, _sketch``."""
+        order = self.context.broadcast(self.order())
+        texts = self.named.select("text", "_last")
+        # Rows that lead are few more than ids, so a key counted twice is shared or one of few others.
+        keys = texts.mapInArrow(_key_batches(self.leaders, order), "_key bigint").groupBy("_key").agg(F.count("*").alias("_c"))
+        shared = cut(keys.where("_c > 1").select("_key"))
+        bits = self.context.broadcast(_bitmap(shared.select(F.col("_key").alias("_v")), KEY_SLOTS))
+        found = cut(texts.mapInArrow(_held_batches(self.leaders, order, bits), _HELD))
+        keyed = found.select("_id", "_n", "_mean", F.explode(F.arrays_zip("_keys", "_at")).alias("_k")).select(
+            F.col("_k._keys").alias("_key"), "_id", "_n", F.col("_k._at").alias("_at"), "_mean"
+        )
+        held = keyed.join(shared.hint("merge"), "_key").groupBy("_key", "_id").agg(
+            F.first("_n").alias("_n"), F.first("_at").alias("_at"), F.first("_mean").alias("_mean")
+        )
+        return cut(held), cut(found.groupBy("_id").agg(F.first("_n").alias("_n"), F.first("_sketch").alias("_sketch")))
+
+    def similar(self, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` with a coefficient of at least 0.8: sketches first, whole sets for those that they leave."""
+        side = lambda name: sketches.select(F.col("_id").alias(name), F.col("_n").alias(f"_n{name}"), F.col("_sketch").alias(f"_s{name}"))
+        close = cut(pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(_room_batches, "a bigint, b bigint"))
+        return self.verified(close)
+
+    def verified(self, close: DataFrame) -> DataFrame:
+        ids = close.select(F.col("a").alias("_id")).unionByName(close.select(F.col("b").alias("_id")))
+        leaders = self._leading(self.classes.join(ids, "_id", "left_semi"))
+        sets = self.named.select("text", "_last").mapInArrow(_set_batches(leaders), "_id bigint, _set array<bigint>")
+        sets = cut(sets.join(ids, "_id", "left_semi"))
+        own = sets.groupBy("_id").agg(F.first("_set").alias("_set"))
+        side = lambda name: own.select(F.col("_id").alias(name), F.col("_set").alias(f"_{name}"))
+        both = F.size(F.array_intersect("_a", "_b"))
+        compared = close.join(side("b"), "b").join(side("a"), "a")
+        return cut(compared.where(9 * both >= 4 * (F.size("_a") + F.size("_b"))).select("a", "b"))
+
+    def links(self) -> DataFrame:
+        """Links ``a, b`` that connect the ids exactly as all pairs with a Jaccard coefficient of at least 0.8 would.
+
+        First every text meets one other, that of its keys' members whose shingles are the most frequent.  Then the members of a key that this leaves in
+        different components meet each other: in pairs where they are few, in blocks of sketches where they are many.
+        """
+        held, sketches = self.held()
+        member = F.struct("_mean", "_id", "_n", "_at")
+        hubs = held.groupBy("_key").agg(F.max(member).alias("_hub"), F.count("*").alias("_many")).where("_many > 1")
+        fits = lambda x, y: (5 * F.least(x["_n"], y["_n"]) >= 4 * F.greatest(x["_n"], y["_n"])) & (
+            9 * F.least(x["_n"] - x["_at"], y["_n"] - y["_at"]) >= 4 * (x["_n"] + y["_n"])
+        )
+        met = held.join(hubs.hint("merge"), "_key").where(F.col("_id") != F.col("_hub._id")).where(fits(member, F.col("_hub")))
+        best = met.groupBy("_id").agg(F.max("_hub").alias("_hub"))
+        stars = cut(best.select(F.least("_id", "_hub._id").alias("a"), F.greatest("_id", "_hub._id").alias("b")).distinct())
+        links = self.similar(stars, sketches)
+        roots = connected_components(links, smallest=False).withColumnRenamed("node", "_id")
+        placed = cut(held.drop("_mean").join(roots, "_id", "left").withColumn("root", F.coalesce("root", "_id")))
+        open_ = placed.groupBy("_key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_many")).where("_low < _high")
+        apart = cut(placed.join(open_.select("_key", "_many").hint("merge"), "_key"))
+        member = F.struct("_id", "_n", "_at", "root")
+        lists = apart.where(F.col("_many") <= PAIR_ROWS).groupBy("_key").agg(F.sort_array(F.collect_list(member)).alias("_m"))  # at most PAIR_ROWS
+        few = lists.select(F.explode(F.flatten(F.transform("_m", lambda x, i: F.transform(
+            F.filter(F.slice("_m", i + 2, PAIR_ROWS), lambda y: (x["root"] != y["root"]) & fits(x, y)),
+            lambda y: F.struct(x["_id"].alias("a"), y["_id"].alias("b")),
+        )))).alias("_p")).select("_p.*").distinct()
+        rest = self.similar(few.join(stars, ["a", "b"], "left_anti"), sketches)
+        # Blocks by hash: a block meets itself and every other one in a task of its own.
+        blocks = F.ceil(F.col("_many") / BLOCK).cast("int")
+        dealt = apart.where(F.col("_many") > PAIR_ROWS).withColumn("_blocks", blocks).withColumn(
+            "_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int")
+        )
+        met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
+            "_key", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_id", "root", "_at"
+        )
+        rows = met.join(sketches, "_id").repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j")
+        many = self.verified(cut(rows.mapInArrow(_block_batches, "a bigint, b bigint").distinct()))
+        return links.unionByName(rest).unionByName(many)
 
 
 def first_of_groups(docs: DataFrame) -> DataFrame:
@@ -279,19 +474,14 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
     hashes stand for the shingles); a text of fewer words is one shingle.
     Null texts count as empty, and texts without words are copies of each other.  Of repeated rows one stays.
     """
-    words = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), SPACE), lambda w: w != "")
-    named = arrow_rows(docs).select(
-        whole_row(docs).alias("_row"), "doc_id", "text", F.array_join(words, " ").alias("_words")
-    ).select("_row", "doc_id", "text", F.xxhash64("_words").alias("_id"), F.xxhash64(F.lit(1), "_words").alias("_check"))
-    hashed = named.select("_id", "_check", "doc_id", shingle_hashes("text", WIDTH).alias("_hashes"))
-    sets = cut(hashed.mapInArrow(_set_batches, "_id bigint, _check bigint, doc_id bigint, _set array<bigint>"))
+    words = F.trim(F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), SPACE, " "))
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    classes = cut(sets.groupBy("_id").agg(F.min(F.struct(last.alias("d"), F.col("_check").alias("c"))).alias("_least")))
-    roots = connected_components(near_copy_links(sets.select("_id", "_set")), smallest=False)
+    named = arrow_rows(docs).select(whole_row(docs).alias("_row"), last.alias("_last"), "text", words.alias("_words"))
+    keyed = named.select("_row", "_last", F.xxhash64("_words").alias("_id"), F.xxhash64(F.concat("_words", F.lit(" "))).alias("_check"))
+    classes = cut(keyed.groupBy("_id").agg(F.min(F.struct("_last", "_check")).alias("_least")).select("_id", "_least.*"))
+    links = NearCopies(named.select("text", "_last"), classes.select("_id", "_last")).links()
+    roots = connected_components(links, smallest=False)
     grouped = classes.join(roots.withColumnRenamed("node", "_id"), "_id", "left").withColumn("root", F.coalesce("root", "_id"))
-    firsts = cut(
-        grouped.groupBy("root").agg(F.min(F.struct(F.col("_least.d").alias("d"), F.col("_id").alias("i"), F.col("_least.c").alias("c"))).alias("_f"))
-        .select(F.col("_f.i").alias("_id"), F.col("_f.c").alias("_check"), F.col("_f.d").alias("_last"))
-    )
-    kept = named.select("_row", "_id", "_check", last.alias("_last")).join(firsts, ["_id", "_check", "_last"], "left_semi")
+    firsts = cut(grouped.groupBy("root").agg(F.min(F.struct("_last", "_id", "_check")).alias("_f")).select("_f._id", "_f._check", "_f._last"))
+    kept = keyed.join(firsts, ["_id", "_check", "_last"], "left_semi")
     return kept.groupBy("_id", "_check", "_last").agg(F.first("_row").alias("_row")).select("_row.*")
