@@ -13,6 +13,7 @@ The vocabulary and its scores are read on the driver from a model file and broad
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 import heapq
@@ -33,7 +34,7 @@ BEST = 4
 UNKNOWN_PENALTY = 10.0
 #: Characters above which a chunk is scored alone, chunks remembered, characters handled at once.
 LONG_CHUNK = 40
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 CHUNK_CHARS = 2_000_000
 
 _CHUNK = re.compile(f" *[^ \n{SPACE}]+| +|\n|{SPACE}")
@@ -53,6 +54,7 @@ class Vocabulary:
     #: Per length the hashes of the pieces, their ids and scores, and which leading bits of a hash occur.
     tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
     unknown: float = 0.0  # score of a character outside
+    encoders: dict[int, Encoder] = field(default_factory=dict, repr=False)  # by N, in use
 
 
 def vocabulary(pieces: list[tuple[int, str, float]], byte_ids: list[int], size: int) -> Vocabulary:
@@ -131,20 +133,54 @@ def forward(arrive: list[list]) -> list[float]:
 
 
 def n_best(arrive: list[list], n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The ``n`` best paths, best first, by A-star from the end with the forward scores as its heuristic; ties in the order of their ids."""
+    """The ``n`` best paths, best first, by A-star from the end with the forward scores as its heuristic.
+
+    The heuristic is exact, so every open place stands for a path of just its cost and no more of them than paths are still wanted
+    need to stay open.  Of equal costs the place nearest to the start goes on, then the one found first.
+    """
     ahead = forward(arrive)
-    queue = [(-ahead[-1], (), len(arrive) - 1, 0.0)]
+    # (cost, place, number, score so far, ids from here as nested pairs), ascending
+    queue: list[tuple] = [(-ahead[-1], len(arrive) - 1, 0, 0.0, None)]
     out: list[tuple[float, tuple[int, ...]]] = []
-    while queue and (len(out) < n):
-        _, ids, at, behind = heapq.heappop(queue)
+    number = 0
+    while queue and len(out) < n:
+        _, at, _, behind, path = queue.pop(0)
         if at == 0:
-            out.append((behind, ids))
+            ids: list[int] = []
+            while path is not None:
+                ids += path[0]
+                path = path[1]
+            out.append((behind, tuple(ids)))
             continue
         for start, score, own in arrive[at]:
-            heapq.heappush(queue, (-(behind + score + ahead[start]), own + ids, start, behind + score))
+            total = behind + score
+            cost = -(total + ahead[start])
+            if len(queue) < n - len(out) or (cost, start) < queue[-1][:2]:
+                number += 1
+                insort(queue, (cost, start, number, total, (own, path)))
+                del queue[n - len(out) :]
     return out
 
 
+def best_and_gap(arrive: list[list]) -> tuple[tuple[int, ...], float, float]:
+    """Ids and score of the best path and its lead over the second best (infinite if there is none), in one pass each way."""
+    ahead, last = forward(arrive), len(arrive) - 1
+    behind = [float("-inf")] * last + [0.0]
+    for end in range(last, 0, -1):
+        for start, score, _ in arrive[end]:
+            behind[start] = max(behind[start], score + behind[end])
+    taken, parts, at = {}, [], last
+    while at:
+        start, _, own = max(arrive[at], key=lambda e: ahead[e[0]] + e[1])  # of equal ones the first, which is the longest piece
+        taken[at] = start
+        parts.append(own)
+        at = start
+    second = max(
+        (ahead[i] + s + behind[end] for end in range(1, last + 1) for i, s, _ in arrive[end] if taken.get(end) != i), default=float("-inf")
+    )
+    return tuple(i for own in reversed(parts) for i in own), ahead[last], ahead[last] - second
+
+
 # --- many chunks at once ----------------------------------------------------------------------------
 
 
@@ -156,8 +192,8 @@ def score_chunks(words: list[str], vocab: Vocabulary) -> list[tuple[bytes, float
     for k, w in enumerate(words):
         by_length.setdefault(len(w) if len(w) <= LONG_CHUNK and w != SPACE else 0, []).append(k)
     for k in by_length.pop(0, []):
-        paths = n_best(lattice(words[k], vocab), 2)
-        out[k] = (np.array(paths[0][1], np.int32).tobytes(), paths[0][0], paths[0][0] - paths[1][0] if len(paths) > 1 else np.inf)
+        ids, score, gap = best_and_gap(lattice(words[k], vocab))
+        out[k] = (np.array(ids, np.int32).tobytes(), score, gap)
     for length, members in by_length.items():
         cps = np.frombuffer("".join([words[k] for k in members]).encode("utf-32-le"), "<u4").reshape(-1, length).astype(np.uint64)
         cps = np.where(cps == 32, np.uint64(ord(SPACE)), cps).T + np.uint64(1)  # one row for each position
@@ -244,30 +280,47 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary, best: int = BEST):
         self.vocab, self.best = vocab, best
-        self.known: dict[str, tuple[bytes, float, float]] = {}
+        self.place: dict[str, int] = {}
+        self.parts: list[bytes] = []  # ids of the best path of every chunk known
+        self.values = np.zeros((0, 2))  # and its score and gap
         self.lists: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def _alternatives(self, chunk: str) -> list[tuple[float, tuple[int, ...]]]:
         if chunk not in self.lists:
             if len(self.lists) > REMEMBERED // 10:
                 self.lists.clear()
-            self.lists[chunk] = n_best(lattice(chunk, self.vocab), self.best)
+            found = n_best(lattice(chunk, self.vocab), self.best)
+            # The path that stands in the result leads its equals.
+            own = tuple(np.frombuffer(self.parts[self.place[chunk]], np.int32).tolist())
+            found = [(found[0][0], own), *(x for x in found if x[1] != own)][: self.best]
+            if len(chunk) > LONG_CHUNK:
+                return found
+            self.lists[chunk] = found
         return self.lists[chunk]
 
+    def _learn(self, here: set[str]) -> None:
+        if len(self.place) > REMEMBERED:  # what comes back stays
+            stays = [c for c in here if c in self.place]
+            old = [self.place[c] for c in stays]
+            self.parts, self.values = [self.parts[k] for k in old], self.values[old]
+            self.place = dict(zip(stays, range(len(stays))))
+        new = [c for c in here if c not in self.place]
+        scored = score_chunks(new, self.vocab)
+        self.place.update(zip(new, range(len(self.parts), len(self.parts) + len(new))))
+        self.parts += [x[0] for x in scored]
+        self.values = np.concatenate([self.values, np.array([x[1:] for x in scored]).reshape(-1, 2)])
+
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, float, list[dict]]]:
         """Ids (int32) of the best segmentation, its score, and the N best: score and the chunks that differ from the best, with their ids."""
         parts = [chunks(t) for t in texts]
-        here = set().union(*parts)
-        if len(self.known) > REMEMBERED:  # what comes back stays
-            self.known = {c: self.known[c] for c in here.intersection(self.known)}
-        new = list(here.difference(self.known))
-        self.known.update(zip(new, score_chunks(new, self.vocab)))
+        self._learn(set().union(*parts))
+        place, known = self.place.__getitem__, self.parts
+        few = self.best - 1
         for own in parts:
-            entries = [self.known[c] for c in own]
-            ids = b"".join([e[0] for e in entries])
-            score = float(sum([e[1] for e in entries]))
-            gaps = np.array([e[2] for e in entries])
-            few = self.best - 1
+            at = list(map(place, own))
+            ids = b"".join([known[k] for k in at])
+            scores, gaps = self.values[at].T if at else np.zeros((2, 0))
+            score = float(scores.sum())
             if len(gaps) > few > 0:
                 limit = np.partition(gaps, few - 1)[few - 1]
                 near = np.concatenate([np.flatnonzero(gaps < limit), np.flatnonzero(gaps == limit)])[:few]
@@ -282,9 +335,16 @@ class Encoder:
             ]
 
 
+def encoder_of(vocab: Vocabulary, best: int) -> Encoder:
+    """The encoder of a shared vocabulary; tasks of one Python worker go on with what the last one remembered."""
+    if best not in vocab.encoders:
+        vocab.encoders[best] = Encoder(vocab, best)
+    return vocab.encoders[best]
+
+
 def decode(ids: np.ndarray, vocab: Vocabulary) -> str:
     """The text of ids; the space that encoding puts in front is taken away, and bytes that are no UTF-8 become U+FFFD."""
-    return b"".join([vocab.texts[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
+    return b"".join(map(vocab.texts.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
 def _lots(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -313,7 +373,7 @@ def encode_rows(docs: DataFrame, vocab: Vocabulary | None = None, best: int = BE
     shared = docs.sparkSession.sparkContext.broadcast(vocab or load())
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, best)
+        encoder = encoder_of(shared.value, best)
         for batch in parts:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for low, high in _lots(texts):

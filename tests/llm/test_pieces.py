@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -107,3 +108,17 @@ def test_query_decodes_what_it_encodes(spark, small, make_docs, monkeypatch):
     whole = P.decode_rows
     monkeypatch.setattr(P, "decode_rows", lambda *a: whole(*a).selectExpr("* except (text)", "rtrim(text) as text"))
     assert sorted(r.lossless for r in P.round_trip_rows(make_docs([(1, "a b"), (2, "a b ")])).collect()) == [False, True]
+
+
+def test_one_long_chunk(make_docs):
+    """A text without any place to cut is linear in its length, and its n best are found all the same."""
+    rnd = random.Random(12)
+    text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=200_000))
+    vocab = P.load()
+    began = time.process_time()
+    ids, score, found = next(P.Encoder(vocab).encode([text]))
+    assert time.process_time() - began < 20
+    assert P.decode(P.np.frombuffer(ids, P.np.int32), vocab) == text and len(found) == P.BEST
+    short = P.lattice(" " + text[:60], vocab)
+    paths = P.n_best(short, 2)
+    assert P.best_and_gap(short)[1:] == pytest.approx((paths[0][0], paths[0][0] - paths[1][0]))
