@@ -1,12 +1,12 @@
 """How far the sources of a language lie apart, by chunk factorization.
 
 Texts are cut at white space into chunks, which are counted for every document; a term never crosses white space.  Each distinct chunk of the
-corpus is cut into terms once, and the terms are joined back to the counts of the chunk: occurrences by language and source, and
-documents by language.
+corpus is cut into terms once, beside the counts of the chunk, and the counts go on to its terms: documents by language, occurrences by language
+and source.
 
-A task counts whole documents, so the documents of a chunk add up.  A term is in enough documents if one of its chunks is, and in too few if all
-its chunks together are; only between the two can one document count twice, and only chunks of few documents are left there.
-For those the numbers of their documents are kept and compared.
+A task counts lots of whole documents.  For each language and chunk a lot leaves one packed row: the sources' occurrences, and the numbers of the
+chunk's documents if they are fewer than a term needs.  Several chunks of one document can hold the same term, so documents are told apart by these
+numbers; a lot with enough documents for a chunk decides the term by itself.
 
 Probabilities are whole numbers (``SCALE`` for certainty), so all sums are exact.
 """
@@ -15,7 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,81 +32,182 @@ LEAST_DOCS = 10
 SCALE = 1_000_000_000
 #: Terms listed for a source.
 RANKS = 10
-#: Chunks, and characters of chunks, that a task counts before it hands them on.
-HELD_CHUNKS, HELD_BYTES = 300_000, 32 << 20
+#: Tokens, distinct chunks and their bytes that a task counts before it hands them on.
+HELD_TOKENS, HELD_CHUNKS, HELD_BYTES = 2_000_000, 400_000, 32 << 20
 
 
-def _chunk_batches(least: int):
-    """Counts by language, source and chunk: occurrences, documents, and the documents' numbers if they are fewer than ``least``."""
+class _Lot:
+    """Chunks of the documents read so far, as numbers."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.chunk: dict[bytes, int] = {}
+        self.tokens: list[np.ndarray] = []
+        self.groups: list[int] = []
+        self.size = self.bytes = 0
+
+    def add(self, text: str, group: int) -> None:
+        number, chunk = self.chunk.setdefault, self.chunk
+        words, before = text.encode().split(), len(chunk)
+        self.tokens.append(np.array([number(w, len(chunk)) for w in words], dtype=np.int64))
+        self.groups.append(group)
+        self.size += len(words)
+        if len(chunk) > before:
+            self.bytes += len(text)  # at least what the new ones hold
+
+    def rows(self, lang_of: dict[int, int], least: int) -> Iterator[pa.RecordBatch]:
+        """``chunk, lang, packed``; packed holds as 32-bit numbers the lot (two), how many documents follow (-1: enough), they, then groups and occurrences."""
+        if not self.chunk:
+            return
+        n = len(self.chunk)
+        doc = np.repeat(np.arange(len(self.tokens)), [len(t) for t in self.tokens])
+        pairs, times = np.unique(doc * n + np.concatenate(self.tokens), return_counts=True)
+        doc, chunk = pairs // n, pairs % n
+        group = np.array(self.groups)[doc]
+        known = np.unique(group)
+        lang = np.array([lang_of[g] for g in known.tolist()])[np.searchsorted(known, group)]
+        # By language and chunk, in the order of documents.
+        order = np.lexsort((doc, chunk, lang))
+        doc, chunk, group, lang, times = (x[order] for x in (doc, chunk, group, lang, times))
+        first = np.flatnonzero((np.diff(lang, prepend=-1) != 0) | (np.diff(chunk, prepend=-1) != 0))
+        docs = np.diff(first, append=len(doc))
+        listed = np.where(docs < least, docs, 0)
+        row_of = np.repeat(np.arange(len(first)), docs)
+        # Occurrences of a row by group.
+        inner = np.lexsort((group, row_of))
+        row, own = row_of[inner], group[inner]
+        start = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(own, prepend=-1) != 0))
+        counted, counts_row, counts_group = np.add.reduceat(times[inner], start), row[start], own[start]
+        counts = np.bincount(counts_row, minlength=len(first))
+        lengths = 3 + listed + 2 * counts
+        at = np.cumsum(lengths) - lengths
+        out = np.zeros(lengths.sum(), dtype="<i4")
+        out[at], out[at + 1] = self.number >> 31, self.number & 0x7FFFFFFF
+        out[at + 2] = np.where(docs < least, docs, -1)
+        few = docs[row_of] < least
+        out[(at[row_of] + 3 + np.arange(len(doc)) - first[row_of])[few]] = doc[few]
+        place = (at + 3 + listed)[counts_row] + 2 * (np.arange(len(counts_row)) - (np.cumsum(counts) - counts)[counts_row])
+        out[place], out[place + 1] = counts_group, counted
+        ends = 4 * np.append(at, len(out))
+        names = pa.array(list(self.chunk), pa.binary()).cast(pa.string())
+        for low in range(0, len(first), 20_000):
+            high = min(low + 20_000, len(first))
+            offsets = ends[low : high + 1] - ends[low]
+            packed = pa.Array.from_buffers(
+                pa.binary(), high - low, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out[ends[low] // 4 : ends[high] // 4].tobytes())]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(chunk[first[low:high]])), pa.array(lang[first[low:high]], pa.int32()), packed], names=["chunk", "lang", "packed"]
+            )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list]] = {}
-        chunks = size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), found in held.items():
-                names, n = list(found), len(found)
-                ids = [e[2:] if e[1] < least else None for e in found.values()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(names, pa.binary()).cast(pa.string()),
-                     pa.array([e[0] for e in found.values()], pa.int64()), pa.array([e[1] for e in found.values()], pa.int64()),
-                     pa.array(ids, pa.list_(pa.int64()))],
-                    names=["lang", "source", "chunk", "n", "docs", "ids"],
-                )
 
+def _chunk_batches(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot = _Lot(TaskContext.get().partitionId() << 24)
+        lang_of: dict[int, int] = {}
         for batch in batches:
-            for number, text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("_number", "text", "lang", "source"))):
-                own = held.setdefault((lang, source), {})
-                counts: dict[bytes, int] = {}
-                get = counts.get
-                for c in text.encode().split():
-                    counts[c] = get(c, 0) + 1
-                before = len(own)
-                for c, n in counts.items():
-                    e = own.get(c)
-                    if e is None:
-                        own[c] = [n, 1, number]
-                        size += len(c)
-                    else:
-                        e[0] += n
-                        e[1] += 1
-                        if e[1] < least:
-                            e.append(number)
-                chunks += len(own) - before
-                if chunks > HELD_CHUNKS or size > HELD_BYTES:
-                    yield from flush()
-                    held.clear()
-                    chunks = size = 0
-        yield from flush()
+            for text, group, lang in zip(*(batch.column(c).to_pylist() for c in ("_text", "_group", "_lang"))):
+                lang_of[group] = lang
+                lot.add(text, group)
+                if lot.size > HELD_TOKENS or len(lot.chunk) > HELD_CHUNKS or lot.bytes > HELD_BYTES:
+                    yield from lot.rows(lang_of, least)
+                    lot, lang_of = _Lot(lot.number + 1), {}
+        yield from lot.rows(lang_of, least)
 
     return run
 
 
-def chunk_counts(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
-    """Partial counts ``lang, source, chunk, n, docs, ids``; every document is in one of them alone."""
-    clean = arrow_rows(docs).select(
-        F.monotonically_increasing_id().alias("_number"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "lang", "source")]
+def groups_of(docs: DataFrame) -> DataFrame:
+    """``lang, source, _lang, _group``: every language and source with a number, and one for the language."""
+    found = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
+    # As many rows as there are sources: a table of names, ranked in one task.
+    return cut(found.select(
+        "lang", "source", F.dense_rank().over(Window.orderBy("lang")).alias("_lang"), F.row_number().over(Window.orderBy("lang", "source")).alias("_group")
+    ))
+
+
+def chunk_counts(docs: DataFrame, groups: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
+    """Packed counts ``chunk, lang, packed``; every document is in one lot alone."""
+    clean = arrow_rows(docs).select(F.coalesce("text", F.lit("")).alias("_text"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")])
+    return clean.join(groups, ["lang", "source"]).select("_text", "_group", "_lang").mapInArrow(
+        _chunk_batches(least), "chunk string, lang int, packed binary"
     )
-    return clean.mapInArrow(_chunk_batches(least), "lang string, source string, chunk string, n bigint, docs bigint, ids array<bigint>")
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """``chunk, term, times`` for every distinct ``chunk``."""
-    terms = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return chunks.select("chunk", F.explode(terms).alias("term")).groupBy("chunk", "term").agg(F.count("*").alias("times"))
+def term_parts(partial: DataFrame) -> DataFrame:
+    """``term, parts``: of every term how often its chunks hold it, with their packed counts."""
+    chunks = partial.groupBy("chunk").agg(F.collect_list(F.struct("lang", "packed")).alias("rows"))  # one row for each lot and language
+    found = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
+    times = F.transform(F.array(found), lambda ts: F.transform(
+        F.array_distinct(ts), lambda t: F.struct(t.alias("term"), F.size(F.filter(ts, lambda x: x == t)).alias("times"))
+    ))[0]
+    terms = chunks.select("rows", F.explode(times).alias("_t")).select("_t.term", "_t.times", "rows")
+    return terms.groupBy("term").agg(F.collect_list(F.struct("times", "rows")).alias("parts"))
 
 
-def kept_terms(partial: DataFrame, by_source: DataFrame, terms: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
-    """``lang, term`` of the terms in at least ``least`` documents of their language."""
-    by_lang = cut(by_source.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")))
-    bounds = cut(
-        by_lang.join(terms, "chunk").groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).where(F.col("high") >= least)
-    )
-    sure, open_ = bounds.where(F.col("low") >= least), bounds.where(F.col("low") < least)
-    few = by_lang.where(F.col("docs") < least).join(terms, "chunk").join(open_, ["lang", "term"]).select("lang", "term", "chunk")
-    seen = few.join(partial.where("ids is not null").select("lang", "chunk", "ids"), ["lang", "chunk"]).select("lang", "term", F.explode("ids").alias("id"))
-    found = seen.distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
-    return sure.select("lang", "term").unionByName(found.select("lang", "term"))
+def _spread(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions ``flat[i], flat[i] + 1, ...``, ``counts[i]`` of each."""
+    return np.repeat(flat - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _term_batches(least: int):
+    """``lang, term, groups, counts`` of the terms in enough documents of a language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("parts")
+            chunks = parts.flatten()
+            rows = chunks.field("rows")
+            packed = rows.flatten()
+            if not len(packed):
+                continue
+            sizes = lambda lists: np.diff(lists.offsets.to_numpy())
+            chunk_of = np.repeat(np.arange(len(chunks)), sizes(rows))
+            term_of = np.repeat(np.arange(len(batch)), sizes(parts))[chunk_of]
+            times = chunks.field("times").to_numpy(zero_copy_only=False).astype(np.int64)[chunk_of]
+            lang = packed.field("lang").to_numpy(zero_copy_only=False).astype(np.int64)
+            blob = packed.field("packed")
+            numbers = np.frombuffer(b"".join(blob.to_pylist()), "<i4").astype(np.int64)
+            lengths = pa.compute.binary_length(blob).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+            at = np.cumsum(lengths) - lengths
+            keys, key = np.unique(term_of * (int(lang.max()) + 1) + lang, return_inverse=True)
+            docs = numbers[at + 2]
+            listed = np.maximum(docs, 0)
+            seen = np.column_stack([
+                np.repeat(key, listed), np.repeat(numbers[at], listed), np.repeat(numbers[at + 1], listed), numbers[_spread(at + 3, listed)]
+            ])
+            # Of equal rows the first counts.
+            seen = seen[np.lexsort(seen.T[::-1])]
+            fresh = np.any(np.diff(seen, axis=0, prepend=-1), axis=1) if len(seen) else np.zeros(0, dtype=bool)
+            enough = np.bincount(seen[fresh, 0], minlength=len(keys)) >= least
+            enough[key[docs < 0]] = True
+            pairs = (lengths - 3 - listed) // 2
+            place = np.repeat(at + 3 + listed, pairs) + 2 * (np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs))
+            owner, group, n = np.repeat(key, pairs), numbers[place], numbers[place + 1] * np.repeat(times, pairs)
+            some = enough[owner]
+            owner, group, n = owner[some], group[some], n[some]
+            if not len(owner):
+                continue
+            order = np.lexsort((group, owner))
+            owner, group = owner[order], group[order]
+            first = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(group, prepend=-1) != 0))
+            total, owner, group = np.add.reduceat(n[order], first), owner[first], group[first]
+            of, count = np.unique(owner, return_counts=True)
+            offsets = pa.array(np.append(0, np.cumsum(count)), pa.int32())
+            base = int(lang.max()) + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[of] % base, pa.int32()), batch.column("term").take(pa.array(keys[of] // base)),
+                 pa.ListArray.from_arrays(offsets, pa.array(group, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(total))],
+                names=["_lang", "term", "groups", "counts"],
+            )
+
+    return run
+
+
+def kept_counts(docs: DataFrame, groups: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
+    """``_lang, term, groups, counts``: the terms in at least ``least`` documents of their language, with their occurrences by group."""
+    parts = term_parts(chunk_counts(docs, groups, least))
+    return cut(parts.mapInArrow(_term_batches(least), "_lang int, term string, groups array<int>, counts array<bigint>"))
 
 
 def _probability(n: str, total: str, terms: str) -> F.Column:
@@ -119,59 +223,60 @@ def divergence(docs: DataFrame, least: int = LEAST_DOCS, ranks: int = RANKS) ->
     ``term`` lists up to ``ranks`` terms that a source uses more than its language.  Null texts, languages and sources count as empty ones; a
     source without terms is compared all the same; repeated rows are documents of their own; ties rank by name; an empty table gives an empty result.
     """
-    partial = cut(chunk_counts(docs, least))
-    by_source = cut(partial.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-    terms = cut(chunk_terms(by_source.groupBy("chunk").agg(F.max(F.lit(1)).alias("_one"))))
-    kept = cut(kept_terms(partial, by_source, terms, least))
-    counts = cut(
-        by_source.join(terms, "chunk").groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
-        .join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "n")
+    groups = groups_of(docs)
+    kept = kept_counts(docs, groups, least)
+    counts = kept.select("_lang", "term", F.explode(F.arrays_zip("groups", "counts")).alias("_g")).select(
+        "_lang", "term", F.col("_g.groups").alias("_group"), F.col("_g.counts").alias("n")
     )
-    groups = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    vocabulary = kept.groupBy("lang").agg(F.count("*").alias("terms"))
+    sizes = counts.groupBy("_group").agg(F.sum("n").alias("total"))
+    vocabulary = kept.groupBy("_lang").agg(F.count("*").alias("terms"))
     # A term without occurrences in a source has the same probability as any other such term of it.
     known = cut(
-        groups.join(sizes, ["lang", "source"], "left").join(vocabulary, "lang", "left")
-        .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("terms", F.lit(0)).alias("terms"))
+        groups.join(sizes, "_group", "left").join(vocabulary, "_lang", "left")
+        .select("_lang", "_group", "lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("terms", F.lit(0)).alias("terms"))
         .withColumn("absent", F.when(F.col("terms") > 0, _probability("0", "total", "terms")))
     )
+    totals = known.groupBy("_lang").agg(F.sum("total").alias("l_total"), F.max("terms").alias("l_terms"))
+    spoken = kept.join(totals, "_lang").select("term", F.explode(F.arrays_zip("groups", "counts")).alias("_g"), _probability(
+        "aggregate(counts, 0L, (x, y) -> x + y)", "l_total", "l_terms").alias("q"))
     present = cut(
-        counts.join(known, ["lang", "source"]).select("lang", "source", "term", "n", "absent", _probability("n", "total", "terms").alias("p"))
+        spoken.select("term", "q", F.col("_g.groups").alias("_group"), F.col("_g.counts").alias("n")).join(known, "_group")
+        .select("_lang", "_group", "term", "q", "absent", _probability("n", "total", "terms").alias("p"))
     )
     f = lambda p, q: f"({p} - {q}) * ({p} - {q}) div ({p} + {q})"
-    side = lambda df, mark: df.select("lang", *[F.col(c).alias(f"{mark}_{c}") for c in df.columns if c != "lang"])
-    pairs = side(known, "a").join(side(known.drop("total"), "b"), "lang").where("a_source < b_source")
+    side = lambda df, mark: df.select("_lang", *[F.col(c).alias(f"{mark}{c}") for c in df.columns if c != "_lang"])
+    sources = known.select("_lang", "_group", "terms", "absent")
+    pairs = side(sources, "a").join(side(sources, "b"), "_lang").where("a_group < b_group")
     # Terms that both have: the value, less what each side counts for it on its own below.
+    each = present.groupBy("_lang", "term").agg(F.sort_array(F.collect_list(F.struct("_group", "p", "absent"))).alias("_m"))  # the sources of a language
     both = (
-        present.select("lang", "term", F.col("source").alias("a_source"), F.col("p").alias("p"), F.col("absent").alias("a0"))
-        .join(present.select("lang", "term", F.col("source").alias("b_source"), F.col("p").alias("q"), F.col("absent").alias("b0")), ["lang", "term"])
-        .where("a_source < b_source")
-        .groupBy("lang", "a_source", "b_source")
-        .agg(F.sum(F.expr(f"{f('p', 'q')} - {f('p', 'b0')} - {f('a0', 'q')} + {f('a0', 'b0')}")).alias("value"))
+        each.select("_m", F.posexplode("_m").alias("_at", "a")).select("a", F.explode(F.expr("slice(_m, _at + 2, size(_m))")).alias("b"))
+        .groupBy(F.col("a._group").alias("a_group"), F.col("b._group").alias("b_group"))
+        .agg(F.sum(F.expr(f"{f('a.p', 'b.p')} - {f('a.p', 'b.absent')} - {f('a.absent', 'b.p')} + {f('a.absent', 'b.absent')}")).alias("value"))
     )
     # Terms of one side, by how often they occur there: equal counts have equal probabilities.
-    levels = cut(present.groupBy("lang", "source", "p").agg(F.count("*").alias("times")))
+    levels = cut(present.groupBy("_group", "p").agg(F.count("*").alias("times")))
     single = lambda mine, other: (
-        pairs.join(levels.withColumnRenamed("source", f"{mine}_source"), ["lang", f"{mine}_source"])
-        .groupBy("lang", "a_source", "b_source")
-        .agg(F.sum(F.expr(f"times * ({f('p', f'{other}_absent')} - {f('a_absent', 'b_absent')})")).alias("value"))
+        pairs.join(levels.withColumnRenamed("_group", f"{mine}_group"), f"{mine}_group")
+        .groupBy("a_group", "b_group")
+        .agg(F.sum(F.expr(f"times * ({f('p', f'{other}absent')} - {f('aabsent', 'babsent')})")).alias("value"))
     )
-    none = pairs.select("lang", "a_source", "b_source", F.coalesce(F.expr(f"a_terms * ({f('a_absent', 'b_absent')})"), F.lit(0)).alias("value"))
-    summed = cut(
+    none = pairs.select("a_group", "b_group", F.coalesce(F.expr(f"aterms * ({f('aabsent', 'babsent')})"), F.lit(0)).alias("value"))
+    values = cut(
         both.unionByName(single("a", "b")).unionByName(single("b", "a")).unionByName(none)
-        .groupBy("lang", "a_source", "b_source").agg(F.sum("value").alias("value"))
+        .groupBy("a_group", "b_group").agg(F.sum("value").alias("value"))
     )
-    pair_rows = summed.select("lang", F.col("a_source").alias("source"), F.col("b_source").alias("item"), "value").unionByName(
-        summed.select("lang", F.col("b_source").alias("source"), F.col("a_source").alias("item"), "value")
+    names = known.select("_group", "lang", "source")
+    other = names.select(F.col("_group").alias("_other"), F.col("source").alias("item"))
+    pair_rows = (
+        values.select(F.col("a_group").alias("_group"), F.col("b_group").alias("_other"), "value")
+        .unionByName(values.select(F.col("b_group").alias("_group"), F.col("a_group").alias("_other"), "value")).join(other, "_other")
     )
-    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"))
-    totals = known.groupBy("lang").agg(F.sum("total").alias("total"), F.max("terms").alias("terms"))
-    spoken = whole.join(totals, "lang").select("lang", "term", _probability("n", "total", "terms").alias("q"))
-    term_rows = present.join(spoken, ["lang", "term"]).where("p > q").select("lang", "source", F.col("term").alias("item"), F.expr(f("p", "q")).alias("value"))
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    ranked = lambda df, part: df.withColumn("rank", F.row_number().over(order)).select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
-    return ranked(pair_rows, "pair").unionByName(ranked(term_rows, "term").where(F.col("rank") <= ranks))
+    term_rows = present.where("p > q").select("_group", F.col("term").alias("item"), F.expr(f("p", "q")).alias("value"))
+    order = Window.partitionBy("_group").orderBy(F.desc("value"), "item")
+    ranked = lambda df: df.select("_group", "item", "value", F.row_number().over(order).alias("rank"))
+    rows = ranked(pair_rows).withColumn("part", F.lit("pair")).unionByName(ranked(term_rows).where(F.col("rank") <= ranks).withColumn("part", F.lit("term")))
+    return rows.join(names, "_group").select("lang", "source", "part", "item", "value", "rank")
 
 
 def divergence_sql(least: int = LEAST_DOCS, ranks: int = RANKS) -> str:
