@@ -16,6 +16,9 @@ BOUNDS = ("xmin", "ymin", "xmax", "ymax")
 DEFAULT_CELL_M = 250.0
 # Polygons are cut along the lines of this grid before they are joined.
 PIECE_CELL_M = 20000.0
+# Those of more edges than this are cut along a finer one, edge by edge.
+FEW_EDGES = 64
+EDGE_CELL_M = 250.0
 
 
 def within_bbox(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
@@ -33,20 +36,24 @@ def whole_polygons(polygons: DataFrame) -> DataFrame:
     )
 
 
-def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M) -> DataFrame:
+def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M, edge_cell: float = EDGE_CELL_M) -> DataFrame:
     """Add marked ``edges`` and bounds, one row per grid cell that the polygon meets.
 
-    Every polygon is cut by the same rule whatever its size, and cutting shows nowhere but in the number of
-    rows.  ``whole`` holds the area, the lower left corner and a point inside of the uncut polygon.
+    Polygons of few edges are cut along the lines of ``cell`` in place.  Those with more than ``FEW_EDGES`` are cut edge by edge along
+    ``edge_cell``, so that no row holds more than the edges of one small cell.  Cutting shows nowhere but in the number of rows.
+    ``whole`` holds the area, the lower left corner and a point inside of the uncut polygon.
     """
     bounded = whole_polygons(polygons).withColumn("whole", F.struct(
         F.expr(f"round({G.signed_area('edges')}, 6)").alias("area"), F.col("xmin"), F.col("ymin"),
         F.expr(G.inner_point("edges", "xmin", "ymin", "xmax", "ymax")).alias("inner"),
     ))
-    one = " and ".join(f"{G.tile_index(f'{a}min', cell)} = {G.tile_index(f'{a}max', cell)}" for a in ("x", "y"))
+    fits = lambda size: " and ".join(f"{G.tile_index(f'{a}min', size)} = {G.tile_index(f'{a}max', size)}" for a in ("x", "y"))
+    many = f"size(edges) > {FEW_EDGES} and not ({fits(edge_cell)})"
+    light = bounded.where(f"not ({many})")
+    one = fits(cell)
     window = (f"_cx * {cell}D", f"_cy * {cell}D", f"(_cx + 1) * {cell}D", f"(_cy + 1) * {cell}D")
     cut = (
-        bounded.where(f"not ({one})")
+        light.where(f"not ({one})")
         .withColumn("_cx", F.expr(f"explode({G.tile_range('xmin', 'xmax', cell)})"))
         .withColumn("_cy", F.expr(f"explode({G.tile_range('ymin', 'ymax', cell)})"))
         .withColumn("edges", G.keep(
@@ -54,8 +61,84 @@ def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M) -> DataFrame
         ))
         .drop("_cx", "_cy")
     )
+    # Equal rings are cut once; two hashes stand for them.
+    shape = {"_ha": F.xxhash64("rings"), "_hb": F.xxhash64(F.lit(1), "rings")}
+    heavy = bounded.where(many).withColumns(shape)
+    shapes = heavy.groupBy(*shape).agg(F.first("rings").alias("rings"))
+    cells = edge_cells(shapes.select(*shape, F.expr(f"explode({G.polygon_edges('rings')})").alias("e")), list(shape), edge_cell)
+    dealt = heavy.drop("edges", "rings", *BOUNDS).join(cells, list(shape)).drop(*shape)
     ends = "flatten(transform(edges, be -> array(named_struct('x', be.x0, 'y', be.y0), named_struct('x', be.x1, 'y', be.y1))))"
-    return bounded.where(one).unionByName(G.with_bounds(cut, ends)).drop("rings")
+    return light.where(one).unionByName(G.with_bounds(cut, ends)).drop("rings").unionByName(G.with_bounds(dealt, ends))
+
+
+def edge_cells(edges: DataFrame, key: list[str], cell: float = EDGE_CELL_M) -> DataFrame:
+    """``key, edges`` for every grid cell that polygons given by their oriented edges ``e`` meet: the polygon part in the cell, closed by drawn edges.
+
+    Edges are cut at grid lines and dealt to the cell they run in (along a line, to the one on their inner side).  Where a grid line runs inside a
+    polygon follows from the edges that cross it: in the order of their places each one changes whether the polygon lies just above and
+    just below the line, and where it lies on both sides the line is drawn for both cells.  So rows follow the edges and the cells
+    within, and no polygon is ever held as a whole.
+    """
+    g = f"{float(cell)}D"
+
+    def on_line(axis: str, line: str) -> str:
+        """The other coordinate where the edge crosses a line of ``axis``, exact at its ends."""
+        other = "y" if axis == "x" else "x"
+        at = f"e.{other}0 + (({line}) - e.{axis}0) / (e.{axis}1 - e.{axis}0) * (e.{other}1 - e.{other}0)"
+        return f"case when e.{axis}0 = ({line}) then e.{other}0 when e.{axis}1 = ({line}) then e.{other}1 else {at} end"
+
+    def lines(axis: str, closed: bool) -> str:
+        low, high = f"least(e.{axis}0, e.{axis}1) / {g}", f"greatest(e.{axis}0, e.{axis}1) / {g}"
+        first, last = (f"ceil({low})", f"floor({high})") if closed else (f"floor({low}) + 1", f"ceil({high}) - 1")
+        return f"if(e.{axis}0 <> e.{axis}1 and {first} <= {last}, sequence(cast({first} as bigint), cast({last} as bigint)), cast(array() as array<bigint>))"
+
+    def cuts(axis: str) -> str:
+        line = f"(k * {g})"
+        x, y = (line, on_line(axis, line)) if axis == "x" else (on_line(axis, line), line)
+        return f"transform({lines(axis, False)}, k -> named_struct('t', ({line} - e.{axis}0) / (e.{axis}1 - e.{axis}0), 'x', {x}, 'y', {y}))"
+
+    points = (
+        f"concat(array(named_struct('t', 0D, 'x', e.x0, 'y', e.y0)), array_sort(concat({cuts('x')}, {cuts('y')})), "
+        "array(named_struct('t', 1D, 'x', e.x1, 'y', e.y1)))"
+    )
+    pair = "(p, q) -> named_struct('x0', p.x, 'y0', p.y, 'x1', q.x, 'y1', q.y)"
+    parts = G.let(points, "ps", f"filter(zip_with(slice(ps, 1, size(ps) - 1), slice(ps, 2, size(ps) - 1), {pair}), p -> p.x0 <> p.x1 or p.y0 <> p.y1)")
+
+    def home(axis: str, inner_below: str) -> str:
+        middle = f"((s.{axis}0 + s.{axis}1) / 2D / {g})"
+        return f"cast(floor({middle}) - if(s.{axis}0 = s.{axis}1 and floor({middle}) = {middle} and {inner_below}, 1, 0) as bigint)"
+
+    edge = "named_struct('x0', s.x0, 'y0', s.y0, 'x1', s.x1, 'y1', s.y1, 'drawn', {drawn})"
+    real = edges.select(*key, F.expr(f"explode({parts})").alias("s")).select(
+        *key, F.expr(home("x", "s.y1 > s.y0")).alias("_cx"), F.expr(home("y", "s.x1 < s.x0")).alias("_cy"), F.expr(edge.format(drawn="false")).alias("edge")
+    )
+
+    def met(axis: str) -> str:
+        other = f"(k * {g})"
+        side = lambda sign: f"cast((e.{axis}0 {sign} {other}) <> (e.{axis}1 {sign} {other}) as int)"
+        return (
+            f"transform({lines(axis, True)}, k -> named_struct('axis', '{axis}', 'line', k, 'at', {on_line(axis, other)}, "
+            f"'above', {side('>')}, 'below', {side('>=')}))"
+        )
+
+    events = edges.select(*key, F.expr(f"inline(concat({met('x')}, {met('y')}))"))
+    order = Window.partitionBy(*key, "axis", "line").orderBy("at")
+    inner = events.select(
+        *key, "axis", "line", F.col("at").alias("low"), F.lead("at").over(order).alias("high"),
+        F.sum("above").over(order).alias("above"), F.sum("below").over(order).alias("below"),
+    ).where("above % 2 = 1 and below % 2 = 1 and high > low")
+    stretches = inner.withColumn("c", F.expr(f"explode(sequence(cast(floor(low / {g}) as bigint), cast(ceil(high / {g}) - 1 as bigint)))")).select(
+        *key, "axis", "line", "c", F.expr(f"greatest(low, c * {g})").alias("low"), F.expr(f"least(high, (c + 1) * {g})").alias("high")
+    ).where("low < high")
+
+    def rim(cx: str, cy: str, x0: str, y0: str, x1: str, y1: str) -> str:
+        return f"named_struct('_cx', {cx}, '_cy', {cy}, 'edge', named_struct('x0', {x0}, 'y0', {y0}, 'x1', {x1}, 'y1', {y1}, 'drawn', true))"
+
+    at = f"line * {g}"
+    level = f"array({rim('c', 'line', 'low', at, 'high', at)}, {rim('c', 'line - 1', 'high', at, 'low', at)})"
+    upright = f"array({rim('line', 'c', at, 'high', at, 'low')}, {rim('line - 1', 'c', at, 'low', at, 'high')})"
+    drawn = stretches.select(*key, F.expr(f"inline(if(axis = 'y', {level}, {upright}))"))
+    return real.unionByName(drawn).groupBy(*key, "_cx", "_cy").agg(F.collect_list("edge").alias("edges")).drop("_cx", "_cy")
 
 
 def outline_segments(polygons: DataFrame, keep: list[str]) -> DataFrame:

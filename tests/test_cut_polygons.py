@@ -79,7 +79,7 @@ def test_hole_and_slope_across_lines(spark):
     diamond = [(20000.0, 18500.0), (21500.0, 20000.0), (20000.0, 21500.0), (18500.0, 20000.0)]
     hole = [(19990.0, 19990.0), (19990.0, 20010.0), (20010.0, 20010.0), (20010.0, 19990.0), (19990.0, 19990.0)]
     rings = [("d", [dense(diamond, 150), hole])]
-    pieces = S.polygon_pieces(frame(spark, rings))
+    pieces = S.polygon_pieces(frame(spark, rings), edge_cell=S.PIECE_CELL_M)
     assert pieces.count() == 4
     outline = S.outline_segments(pieces, ["node"])
     assert D.outline_area(outline, "node").first().area_m2 == pytest.approx(2 * 1500**2 - 400)
