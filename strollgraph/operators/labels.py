@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,8 +89,9 @@ def meets_polygon(shapes: DataFrame, polygons: DataFrame, keep: list[str], cell:
 def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_LIMIT_M) -> DataFrame:
     """Straight-line distance from every site to the closest route of any tier: ``site_id, nearest_mapped_route_m``.
 
-    Rings grow by a factor of eight and only sites still without an answer go on, so the wide
-    rings are searched only where the map is sparse.  Sites with nothing in the last ring get NULL.
+    The grid cells that routes run in stand for them until the end.  A site looks around in ever coarser cells until it meets an occupied one, which
+    bounds its distance from above; the fine cells no further away than that bound it again; and only the segments in the
+    cells that this leaves are measured.  Sites with nothing within the last ring get NULL.
     """
     sites = shapes.select("node").distinct()
     if limit < FIRST_RADIUS_M:
@@ -97,22 +99,53 @@ def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_
     last = FIRST_RADIUS_M
     while last * 2 <= limit:
         last *= 2
-    radii = [FIRST_RADIUS_M]
-    while radii[-1] < last:
-        radii.append(min(last, radii[-1] * 8))
-    segments = S.path_segments(routes, []).drop("edge_no")
+    size = S.DEFAULT_CELL_M
+    levels = max(0, math.ceil(math.log2(last / size)))
+    segments = cut(S.cell_segments(S.path_segments(routes, []).select("s"), size))
+    occupied = cut(segments.select("_cx", "_cy").distinct())
+    kept = "if(exists(edges, e -> not e.drawn), filter(edges, e -> not e.drawn), edges)"
+    pieces = cut(shapes.select("node", "edges", *S.BOUNDS).withColumn("_piece", F.monotonically_increasing_id()))
+
+    def around(df: DataFrame, level: int, reach: str) -> DataFrame:
+        """Cells of a level that come within ``reach`` of the box of a piece."""
+        g = size * 2**level
+        for axis in ("x", "y"):
+            df = df.withColumn(f"_c{axis}", F.expr(f"explode({G.tile_range(f'{axis}min - {reach}', f'{axis}max + {reach}', g)})"))
+        return df
+
+    def bound(g: str) -> Column:
+        """No route point of a cell is further from the piece than this: way to its middle and half its diagonal."""
+        middle = G.segment(f"(_cx + 0.5D) * {g}", f"(_cy + 0.5D) * {g}", f"(_cx + 0.5D) * {g}", f"(_cy + 0.5D) * {g}")
+        return F.expr(f"sqrt({G.let(middle, 'mid', G.nearest_link('mid', kept))}.d2) + {g} * 0.7072D")
+
     found: list[DataFrame] = []
-    open_shapes = shapes.select("node", "edges", *S.BOUNDS)
-    for radius in radii:
-        pairs = S.near_pairs(segments, open_shapes, radius, max(S.DEFAULT_CELL_M, radius))
-        hit = cut(
-            S.link_distance(pairs, radius).groupBy(F.col("b_node").alias("node")).agg(F.min("link.d2").alias("d2"))
-        )
+    open_pieces = pieces
+    for level in range(levels + 1):
+        g = size * 2**level
+        coarse = occupied.select(F.shiftright("_cx", level).alias("_cx"), F.shiftright("_cy", level).alias("_cy")).distinct()
+        met = around(open_pieces, level, f"{g}D").join(coarse, ["_cx", "_cy"]).withColumn("_far", bound(f"{g}D"))
+        hit = cut(met.groupBy("node").agg(F.min("_far").alias("_far")).withColumn("_level", F.lit(level)))
         found.append(hit)
-        open_shapes = cut(open_shapes.join(hit, "node", "left_anti"))
-        if open_shapes.isEmpty():
+        open_pieces = open_pieces.join(hit, "node", "left_anti")
+        if open_pieces.isEmpty():
             break
-    best = reduce(DataFrame.unionByName, found)
+    reach = cut(reduce(DataFrame.unionByName, found))
+    gap = lambda axis: f"greatest({axis}min - (_c{axis} + 1) * {size}D, _c{axis} * {size}D - {axis}max, 0D)"
+    near: list[DataFrame] = []
+    for level in range(len(found)):
+        fine = occupied.select(F.shiftright("_cx", level).alias("_kx"), F.shiftright("_cy", level).alias("_ky"), "_cx", "_cy")
+        wide = around(pieces.join(reach.where(F.col("_level") == level), "node"), level, "_far").withColumnsRenamed({"_cx": "_kx", "_cy": "_ky"})
+        near.append(wide.join(fine, ["_kx", "_ky"]).where(f"{gap('x')} * {gap('x')} + {gap('y')} * {gap('y')} <= _far * _far").select(
+            "node", "_piece", "_cx", "_cy", F.expr(f"{gap('x')} * {gap('x')} + {gap('y')} * {gap('y')}").alias("_gap2"), bound(f"{size}D").alias("_near")
+        ))
+    cells = cut(reduce(DataFrame.unionByName, near))
+    closest = cells.groupBy("node").agg((F.min("_near") + 1e-6).alias("_near"))
+    left = cells.drop("_near").join(closest, "node").where("_gap2 <= _near * _near").select("_piece", "_cx", "_cy")
+    pairs = (
+        left.join(pieces.select("_piece", F.col("node").alias("b_node"), F.col("edges").alias("b_edges")), "_piece")
+        .join(segments.select("_cx", "_cy", F.col("s").alias("a_s")), ["_cx", "_cy"])
+    )
+    best = S.link_distance(pairs, last).groupBy(F.col("b_node").alias("node")).agg(F.min("link.d2").alias("d2"))
     return sites.join(best, "node", "left").select(
         F.col("node").alias("site_id"), F.sqrt("d2").alias("nearest_mapped_route_m")
     )

@@ -71,31 +71,28 @@ def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M, edge_cell: f
     return light.where(one).unionByName(G.with_bounds(cut, ends)).drop("rings").unionByName(G.with_bounds(dealt, ends))
 
 
-def edge_cells(edges: DataFrame, key: list[str], cell: float = EDGE_CELL_M) -> DataFrame:
-    """``key, edges`` for every grid cell that polygons given by their oriented edges ``e`` meet: the polygon part in the cell, closed by drawn edges.
+def _on_line(axis: str, line: str) -> str:
+    """The other coordinate where edge ``e`` crosses a line of ``axis``, exact at its ends."""
+    other = "y" if axis == "x" else "x"
+    at = f"e.{other}0 + (({line}) - e.{axis}0) / (e.{axis}1 - e.{axis}0) * (e.{other}1 - e.{other}0)"
+    return f"case when e.{axis}0 = ({line}) then e.{other}0 when e.{axis}1 = ({line}) then e.{other}1 else {at} end"
 
-    Edges are cut at grid lines and dealt to the cell they run in (along a line, to the one on their inner side).  Where a grid line runs inside a
-    polygon follows from the edges that cross it: in the order of their places each one changes whether the polygon lies just above and
-    just below the line, and where it lies on both sides the line is drawn for both cells.  So rows follow the edges and the cells
-    within, and no polygon is ever held as a whole.
-    """
-    g = f"{float(cell)}D"
 
-    def on_line(axis: str, line: str) -> str:
-        """The other coordinate where the edge crosses a line of ``axis``, exact at its ends."""
-        other = "y" if axis == "x" else "x"
-        at = f"e.{other}0 + (({line}) - e.{axis}0) / (e.{axis}1 - e.{axis}0) * (e.{other}1 - e.{other}0)"
-        return f"case when e.{axis}0 = ({line}) then e.{other}0 when e.{axis}1 = ({line}) then e.{other}1 else {at} end"
+def _lines(axis: str, g: str, closed: bool) -> str:
+    """Numbers of the grid lines that edge ``e`` crosses, those through its ends included if ``closed``."""
+    low, high = f"least(e.{axis}0, e.{axis}1) / {g}", f"greatest(e.{axis}0, e.{axis}1) / {g}"
+    first, last = (f"ceil({low})", f"floor({high})") if closed else (f"floor({low}) + 1", f"ceil({high}) - 1")
+    return f"if(e.{axis}0 <> e.{axis}1 and {first} <= {last}, sequence(cast({first} as bigint), cast({last} as bigint)), cast(array() as array<bigint>))"
+
 
-    def lines(axis: str, closed: bool) -> str:
-        low, high = f"least(e.{axis}0, e.{axis}1) / {g}", f"greatest(e.{axis}0, e.{axis}1) / {g}"
-        first, last = (f"ceil({low})", f"floor({high})") if closed else (f"floor({low}) + 1", f"ceil({high}) - 1")
-        return f"if(e.{axis}0 <> e.{axis}1 and {first} <= {last}, sequence(cast({first} as bigint), cast({last} as bigint)), cast(array() as array<bigint>))"
+def cell_parts(edges: DataFrame, cell: float) -> DataFrame:
+    """Edges ``e`` cut at grid lines: all columns, the part ``s`` and its cell ``_cx, _cy``; a part along a line lies in the cell on its left."""
+    g = f"{float(cell)}D"
 
     def cuts(axis: str) -> str:
         line = f"(k * {g})"
-        x, y = (line, on_line(axis, line)) if axis == "x" else (on_line(axis, line), line)
-        return f"transform({lines(axis, False)}, k -> named_struct('t', ({line} - e.{axis}0) / (e.{axis}1 - e.{axis}0), 'x', {x}, 'y', {y}))"
+        x, y = (line, _on_line(axis, line)) if axis == "x" else (_on_line(axis, line), line)
+        return f"transform({_lines(axis, g, False)}, k -> named_struct('t', ({line} - e.{axis}0) / (e.{axis}1 - e.{axis}0), 'x', {x}, 'y', {y}))"
 
     points = (
         f"concat(array(named_struct('t', 0D, 'x', e.x0, 'y', e.y0)), array_sort(concat({cuts('x')}, {cuts('y')})), "
@@ -104,23 +101,39 @@ def edge_cells(edges: DataFrame, key: list[str], cell: float = EDGE_CELL_M) -> D
     pair = "(p, q) -> named_struct('x0', p.x, 'y0', p.y, 'x1', q.x, 'y1', q.y)"
     parts = G.let(points, "ps", f"filter(zip_with(slice(ps, 1, size(ps) - 1), slice(ps, 2, size(ps) - 1), {pair}), p -> p.x0 <> p.x1 or p.y0 <> p.y1)")
 
-    def home(axis: str, inner_below: str) -> str:
+    def home(axis: str, before: str) -> str:
         middle = f"((s.{axis}0 + s.{axis}1) / 2D / {g})"
-        return f"cast(floor({middle}) - if(s.{axis}0 = s.{axis}1 and floor({middle}) = {middle} and {inner_below}, 1, 0) as bigint)"
+        return f"cast(floor({middle}) - if(s.{axis}0 = s.{axis}1 and floor({middle}) = {middle} and {before}, 1, 0) as bigint)"
 
-    edge = "named_struct('x0', s.x0, 'y0', s.y0, 'x1', s.x1, 'y1', s.y1, 'drawn', {drawn})"
-    real = edges.select(*key, F.expr(f"explode({parts})").alias("s")).select(
-        *key, F.expr(home("x", "s.y1 > s.y0")).alias("_cx"), F.expr(home("y", "s.x1 < s.x0")).alias("_cy"), F.expr(edge.format(drawn="false")).alias("edge")
+    return edges.withColumn("s", F.expr(f"explode({parts})")).withColumns(
+        {"_cx": F.expr(home("x", "s.y1 > s.y0")), "_cy": F.expr(home("y", "s.x1 < s.x0"))}
     )
 
-    def met(axis: str) -> str:
-        other = f"(k * {g})"
-        side = lambda sign: f"cast((e.{axis}0 {sign} {other}) <> (e.{axis}1 {sign} {other}) as int)"
-        return (
-            f"transform({lines(axis, True)}, k -> named_struct('axis', '{axis}', 'line', k, 'at', {on_line(axis, other)}, "
-            f"'above', {side('>')}, 'below', {side('>=')}))"
-        )
 
+def cell_segments(segments: DataFrame, cell: float) -> DataFrame:
+    """Segments ``s``, whole, once for every grid cell that they run in: ``s, _cx, _cy``; a point lies in one cell."""
+    point = "s.x0 = s.x1 and s.y0 = s.y1"
+    runs = cell_parts(segments.where(f"not ({point})").select(F.col("s").alias("e")), cell).select(F.col("e").alias("s"), "_cx", "_cy").distinct()
+    still = segments.where(point).select("s", F.expr(G.tile_index("s.x0", cell)).alias("_cx"), F.expr(G.tile_index("s.y0", cell)).alias("_cy"))
+    return runs.unionByName(still.distinct())
+
+
+def edge_cells(edges: DataFrame, key: list[str], cell: float = EDGE_CELL_M) -> DataFrame:
+    """``key, edges`` for every grid cell that polygons given by their oriented edges ``e`` meet: the polygon part in the cell, closed by drawn edges.
+
+    Edges are cut at grid lines and dealt to the cell they run in (along a line, to the one on their inner side).  Where a grid line runs inside a
+    polygon follows from the edges that cross it: in the order of their places each one changes whether the polygon lies just above and
+    just below the line, and where it lies on both sides the line is drawn for both cells.  So rows follow the edges and the cells
+    within, and no polygon is ever held as a whole.
+    """
+    g = f"{float(cell)}D"
+    real = cell_parts(edges, cell).select(
+        *key, "_cx", "_cy", F.expr("named_struct('x0', s.x0, 'y0', s.y0, 'x1', s.x1, 'y1', s.y1, 'drawn', false)").alias("edge")
+    )
+    met = lambda axis: (
+        f"transform({_lines(axis, g, True)}, k -> named_struct('axis', '{axis}', 'line', k, 'at', {_on_line(axis, f'(k * {g})')}, "
+        + ", ".join(f"'{name}', cast((e.{axis}0 {sign} k * {g}) <> (e.{axis}1 {sign} k * {g}) as int)" for name, sign in (("above", ">"), ("below", ">="))) + "))"
+    )
     events = edges.select(*key, F.expr(f"inline(concat({met('x')}, {met('y')}))"))
     order = Window.partitionBy(*key, "axis", "line").orderBy("at")
     inner = events.select(
