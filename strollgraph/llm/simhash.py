@@ -454,12 +454,19 @@ class NearCopies:
             lambda y: F.struct(x["_id"].alias("a"), y["_id"].alias("b")),
         )))).alias("_p")).select("_p.*").distinct()
         rest = self.similar(few.join(stars, ["a", "b"], "left_anti"), sketches)
-        # Blocks by hash: a block meets itself and every other one in a task of its own.
-        blocks = F.ceil(F.col("_many") / BLOCK).cast("int")
-        dealt = apart.where(F.col("_many") > PAIR_ROWS).withColumn("_blocks", blocks).withColumn(
-            "_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int")
+        # Blocks by hash.  Those of the key's largest component come last and meet the others only; every other block meets itself and all.
+        crowded = apart.where(F.col("_many") > PAIR_ROWS)
+        parts = crowded.groupBy("_key", "root").agg(F.count("*").alias("_c"))
+        mains = parts.groupBy("_key").agg(F.max(F.struct("_c", "root")).alias("_l"), F.sum("_c").alias("_m")).select(
+            "_key", F.col("_l.root").alias("_main"), F.ceil((F.col("_m") - F.col("_l._c")) / BLOCK).cast("int").alias("_outer"),
+            F.ceil(F.col("_l._c") / BLOCK).cast("int").alias("_inner"),
         )
-        met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
+        inside = F.col("root") == F.col("_main")
+        dealt = crowded.join(mains.hint("merge"), "_key").withColumn("_block", F.when(
+            inside, F.col("_outer") + F.pmod(F.xxhash64("_id"), F.col("_inner")).cast("int")
+        ).otherwise(F.pmod(F.xxhash64("_id"), F.col("_outer")).cast("int")))
+        others = F.sequence(F.lit(0), F.when(inside, F.col("_outer")).otherwise(F.col("_outer") + F.col("_inner")) - 1)
+        met = dealt.withColumn("_other", F.explode(others)).select(
             "_key", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_id", "root", "_at"
         )
         rows = met.join(sketches, "_id").repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j")
