@@ -29,7 +29,7 @@ SCRIPTS = (
     (0x1780, "Khmer"), (0x1800, "Mongolian"), (0x18B0, "Other"), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, "Other"),
     (0x3040, "Kana"), (0x3100, "Han"), (0x3130, "Hangul"), (0x3190, "Han"), (0xA000, "Other"), (0xAC00, "Hangul"), (0xD800, "Other"),
     (0xF900, "Han"), (0xFB00, "Latin"), (0xFB50, "Arabic"), (0xFE00, "Other"), (0xFF00, "Latin"), (0x10000, "Other"),
-    (0x20000, "Han"), (0x32000, "Other"),
+    (0x20000, "Han"), (0x323B0, "Other"),
 )
 SCRIPT_NAMES = tuple(dict.fromkeys(name for _, name in SCRIPTS))
 BUCKETS = 1 << 15
@@ -46,7 +46,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Per code point: its lower case if it belongs to a word (letters and their marks), else a space; and whether it is a letter."""
     lower = np.full(0x110000, 32, dtype=np.uint32)
     letter = np.zeros(0x110000, dtype=bool)
-    for cp in (*range(0xD800), *range(0xF900, 0x32000)):
+    for cp in (*range(0xD800), *range(0xE000, 0x110000)):
         kind = unicodedata.category(chr(cp))[0]
         if kind in "LM":
             small = chr(cp).lower()

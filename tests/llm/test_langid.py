@@ -1,5 +1,6 @@
 import itertools
 import random
+import unicodedata
 
 import numpy as np
 
@@ -64,3 +65,12 @@ def test_nothing_to_learn_from(make_docs):
     assert L.identify(make_docs([])).count() == 0
     only = L.identify(make_docs([(2, "text", None, None)])).first()
     assert (only._language.lang, only._language.score) == ("und", 0.0)
+
+
+def test_letters_of_every_plane_count(make_docs):
+    """Only a text without any letter is undetermined."""
+    learned = [(i, w, lang) for i, (w, lang) in enumerate([("hello there friend", "en"), ("\u4f60\u597d\u4e16\u754c", "zh")] * 20)]
+    odd = [(900 + k, chr(cp) * 3) for k, cp in enumerate((0x323AF, 0x32000, 0x31350, 0x10400, 0x1E900, 0xFB01, 0x20000)) if unicodedata.category(chr(cp))[0] == "L"]
+    odd += [(990, "123 !?"), (991, "\u0301\u0302"), (992, None)]
+    got = {r.doc_id: r._found.lang for r in L.identify(make_docs(learned + odd).select("doc_id", "text", "lang"), out="_found").collect()}
+    assert len(odd) > 7 and all((got[d] == "und") == (d >= 990) for d, _ in odd)
