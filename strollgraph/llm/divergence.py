@@ -32,8 +32,8 @@ LEAST_DOCS = 10
 SCALE = 1_000_000_000
 #: Terms listed for a source.
 RANKS = 10
-#: Tokens, distinct chunks and their bytes that a task counts before it hands them on.
-HELD_TOKENS, HELD_CHUNKS, HELD_BYTES = 2_000_000, 400_000, 32 << 20
+#: Chunks by document, distinct chunks, and bytes of those over ``LONG`` that a task counts before it hands them on.
+HELD_PAIRS, HELD_CHUNKS, HELD_BYTES, LONG = 4_000_000, 800_000, 32 << 20, 64
 
 
 class _Lot:
@@ -42,32 +42,35 @@ class _Lot:
     def __init__(self, number: int):
         self.number = number
         self.chunk: dict[bytes, int] = {}
-        self.tokens: list[np.ndarray] = []
+        self.found: list[np.ndarray] = []  # chunks of each document
+        self.times: list[np.ndarray] = []
         self.groups: list[int] = []
         self.size = self.bytes = 0
 
     def add(self, text: str, group: int) -> None:
         number, chunk = self.chunk.setdefault, self.chunk
-        words, before = text.encode().split(), len(chunk)
-        self.tokens.append(np.array([number(w, len(chunk)) for w in words], dtype=np.int64))
+        words = text.encode().split()
+        found, times = np.unique(np.array([number(w, len(chunk)) for w in words], dtype=np.int32), return_counts=True)
+        self.found.append(found)
+        self.times.append(times.astype(np.int32))
         self.groups.append(group)
-        self.size += len(words)
-        if len(chunk) > before:
-            self.bytes += len(text)  # at least what the new ones hold
+        self.size += len(found)
+        if words and len(text) > LONG and max(map(len, words)) > LONG:
+            self.bytes += sum(len(w) for w in words if len(w) > LONG)
 
     def rows(self, lang_of: dict[int, int], least: int) -> Iterator[pa.RecordBatch]:
         """``chunk, lang, packed``; packed holds as 32-bit numbers the lot (two), how many documents follow (-1: enough), they, then groups and occurrences."""
         if not self.chunk:
             return
-        n = len(self.chunk)
-        doc = np.repeat(np.arange(len(self.tokens)), [len(t) for t in self.tokens])
-        pairs, times = np.unique(doc * n + np.concatenate(self.tokens), return_counts=True)
-        doc, chunk = pairs // n, pairs % n
-        group = np.array(self.groups)[doc]
-        known = np.unique(group)
-        lang = np.array([lang_of[g] for g in known.tolist()])[np.searchsorted(known, group)]
+        doc = np.repeat(np.arange(len(self.found), dtype=np.int32), [len(t) for t in self.found])
+        chunk, times = np.concatenate(self.found), np.concatenate(self.times)
+        self.found, self.times = [], []
+        own = np.array(self.groups, dtype=np.int32)
+        known = np.unique(own)
+        group = own[doc]
+        lang = np.array([lang_of[g] for g in known.tolist()], dtype=np.int32)[np.searchsorted(known, own)][doc]
         # By language and chunk, in the order of documents.
-        order = np.lexsort((doc, chunk, lang))
+        order = np.argsort(lang.astype(np.int64) * len(self.chunk) + chunk, kind="stable")
         doc, chunk, group, lang, times = (x[order] for x in (doc, chunk, group, lang, times))
         first = np.flatnonzero((np.diff(lang, prepend=-1) != 0) | (np.diff(chunk, prepend=-1) != 0))
         docs = np.diff(first, append=len(doc))
@@ -109,7 +112,7 @@ def _chunk_batches(least: int):
             for text, group, lang in zip(*(batch.column(c).to_pylist() for c in ("_text", "_group", "_lang"))):
                 lang_of[group] = lang
                 lot.add(text, group)
-                if lot.size > HELD_TOKENS or len(lot.chunk) > HELD_CHUNKS or lot.bytes > HELD_BYTES:
+                if lot.size > HELD_PAIRS or len(lot.chunk) > HELD_CHUNKS or lot.bytes > HELD_BYTES:
                     yield from lot.rows(lang_of, least)
                     lot, lang_of = _Lot(lot.number + 1), {}
         yield from lot.rows(lang_of, least)
