@@ -15,7 +15,9 @@ from strollgraph.operators import lineage as H
 from strollgraph.operators import network as N
 from strollgraph.operators import sites as D
 from strollgraph.operators import spatial as S
+from strollgraph.plans.region import report_filter
 from strollgraph.session import cut
+from strollgraph.sources.readers import source_versions
 
 
 @dataclass(frozen=True)
@@ -24,6 +26,7 @@ class Settings:
     tile_size_m: float = 20000.0
     min_candidate_area_m2: float = 100.0
     nearest_limit_m: float = L.NEAREST_LIMIT_M
+    country: str = "England"
 
     def __post_init__(self):
         if not self.tolerance_m >= 0 or not self.tile_size_m >= 100:
@@ -49,6 +52,16 @@ class Inputs:
     hints: DataFrame | None = None
     unmapped: bool = False
     boundary_nodes: DataFrame | None = None
+    sources: DataFrame | None = None  # role, version, last_modified, sha256
+
+
+@dataclass(frozen=True)
+class Report:
+    """Which sites a run reports: those of an authority code, in a box, of a region's list; all of them if nothing is given."""
+
+    authority: str | None = None
+    box: tuple[float, float, float, float] | None = None
+    region_sites: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -147,11 +160,16 @@ def classify(inputs: Inputs, graph: Graph, settings: Settings) -> DataFrame:
     return decided.drop("area_m2", "possible_access")
 
 
-def label(sites: DataFrame, inputs: Inputs, graph: Graph, settings: Settings) -> DataFrame:
-    """Add legal regimes, authority labels, nearest route, nearby hints and the representative point."""
+def label(sites: DataFrame, inputs: Inputs, graph: Graph, settings: Settings, report: Report = Report()) -> DataFrame:
+    """Add legal regimes and authority labels, keep the reported sites, and add to them nearest route, hints, the representative point and provenance.
+
+    The wide searches come last, so they follow the reported sites.
+    """
     outline = inputs.catalogue.outline
     sites = H.annotate_sites(sites, inputs.catalogue.components, inputs.catalogue.membership)
+    authorities = None
     if inputs.counties is not None and inputs.councils is not None:
+        authorities = inputs.counties.select("code").unionByName(inputs.councils.select("code")).distinct()
         sites = L.add_labels(
             sites,
             L.boundary_labels(
@@ -161,14 +179,24 @@ def label(sites: DataFrame, inputs: Inputs, graph: Graph, settings: Settings) ->
                 L.overlay_areas(graph.site_shapes, outline, inputs.councils), inputs.councils, "council", "all_councils"
             ),
         )
-    sites = sites.join(
-        L.nearest_routes(graph.site_shapes, inputs.routes, settings.nearest_limit_m), "site_id", "left"
-    ).join(L.site_points(graph.site_shapes), "site_id", "left")
-    if graph.hint_links is None:
-        return sites.withColumn("unverified_common_ids", F.lit(""))
-    return sites.join(graph.hint_links, "site_id", "left").withColumn(
-        "unverified_common_ids", F.coalesce("unverified_common_ids", F.lit(""))
+    shapes = graph.site_shapes
+    if report != Report():
+        if report.authority is not None and authorities is None:
+            raise ValueError("Reporting one authority needs the county and council layers")
+        sites = cut(report_filter(sites, shapes, authorities, report.authority, report.box, report.region_sites))
+        shapes = shapes.join(sites.select(F.col("site_id").alias("node")), "node", "left_semi")
+    sites = sites.join(L.nearest_routes(shapes, inputs.routes, settings.nearest_limit_m), "site_id", "left").join(
+        L.site_points(shapes), "site_id", "left"
     )
+    if graph.hint_links is None:
+        sites = sites.withColumn("unverified_common_ids", F.lit(""))
+    else:
+        sites = sites.join(graph.hint_links, "site_id", "left").withColumn(
+            "unverified_common_ids", F.coalesce("unverified_common_ids", F.lit(""))
+        )
+    if inputs.sources is not None:
+        sites = sites.crossJoin(F.broadcast(source_versions(inputs.sources)))  # one row
+    return sites.withColumn("country", F.lit(settings.country))
 
 
 def contact_evidence(contacts: DataFrame, routes: DataFrame, sites: DataFrame) -> DataFrame:
@@ -183,15 +211,28 @@ def contact_evidence(contacts: DataFrame, routes: DataFrame, sites: DataFrame) -
 
 @dataclass(frozen=True)
 class Result:
+    """What a run publishes, for the reported sites only, and its graph."""
+
     sites: DataFrame
     contacts: DataFrame
     graph: Graph
+    membership: DataFrame
+    route_evidence: DataFrame
 
 
-def analyse(inputs: Inputs, settings: Settings | None = None) -> Result:
-    """The whole run on one set of inputs."""
+def analyse(inputs: Inputs, settings: Settings | None = None, report: Report = Report()) -> Result:
+    """The whole run on one set of inputs.
+
+    All sites take part in the graph and are classified; labels, distances, membership and contacts are given for the reported ones.
+    """
     settings = settings or Settings()
     graph = build_graph(inputs, settings)
     decided = classify(inputs, graph, settings)
-    labelled = label(cut(decided), inputs, graph, settings)
-    return Result(sites=cut(labelled), contacts=contact_evidence(graph.contacts, inputs.routes, decided), graph=graph)
+    sites = cut(label(cut(decided), inputs, graph, settings, report))
+    contacts = contact_evidence(graph.contacts, inputs.routes, sites)
+    used = contacts.select(F.col("route").alias("route_index")).distinct()
+    return Result(
+        sites=sites, contacts=contacts, graph=graph,
+        membership=inputs.catalogue.membership.join(sites.select("site_id"), "site_id", "left_semi"),
+        route_evidence=inputs.routes.join(used, "route_index", "left_semi"),
+    )

@@ -42,20 +42,26 @@ def export_run(
     previous_review: DataFrame | None = None,
     history: DataFrame | None = None,
     manifest: dict | None = None,
+    ledger: DataFrame | None = None,
+    sources: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Write site tables, review sample and history, candidate shapes, polygon partitions, markers, reports and a manifest below ``out``.
 
-    Outcomes of ``previous_review`` are carried over where the shape is unchanged; the others move to the history.
+    Outcomes of ``previous_review`` are carried over where the shape is unchanged; the others move to the history.  Rows of the desk ``ledger``
+    count as reviews while their shape is the current one.  Everything read is taken before anything is written, so the earlier files of ``out`` may
+    be among the inputs.
     """
     spark = sites.sparkSession
+    fixed = lambda df: None if df is None else cut(df)
+    previous_review, history, ledger = fixed(previous_review), fixed(history), fixed(ledger)
     writers.write_site_tables(sites, out)
-    membership.write.mode("overwrite").option("header", True).csv(f"{out}/site_membership")
+    writers.write_table(membership, f"{out}/site_membership", ["site_id", "component_id"])
     empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in ["site_id", "geometry_sha256", *W.REVIEW_FIELDS]))
     sample, lost = W.carry_reviews(sites, previous_review if previous_review is not None else empty)
     sample = cut(sample)
-    writers.flat_columns(sample).write.mode("overwrite").option("header", True).csv(f"{out}/review_sample")
+    writers.write_table(sample, f"{out}/review_sample")
     kept = cut(W.append_history(history, lost))
-    kept.write.mode("overwrite").option("header", True).csv(f"{out}/review_history")
+    writers.write_table(kept, f"{out}/review_history", ["site_id", "geometry_sha256"])
     polygons = cut(writers.site_polygons(membership, components))
     writers.write_candidates_geojson(sites, polygons, out)
     writers.write_partitioned_polygons(sites, polygons, out)
@@ -65,7 +71,8 @@ def export_run(
     )
     if {"county", "council"} <= set(sites.columns):
         writers.site_markers(sites, bounds).write.mode("overwrite").json(f"{out}/markers")
-    for name, table in report_tables(sites, previous_review, sample).items():
+    desk = sample.select("site_id").limit(0) if ledger is None else W.desk_reviews(ledger, sites)
+    for name, table in report_tables(sites, desk, sample, sources).items():
         writers.flat_columns(table).write.mode("overwrite").option("header", True).csv(f"{out}/report/{name}")
     known = json.dumps({**(manifest or {}), "nearest_route_search_limit_m": 6400}, sort_keys=True)
     spark.range(1).select(F.lit(known).alias("value")).write.mode("overwrite").text(f"{out}/run_manifest")

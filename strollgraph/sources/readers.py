@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+import hashlib
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,14 +43,8 @@ def read_features(
         raise ValueError(f"{path} has no usable coordinate system; supply one of {METRIC_CRS}, {LONLAT_CRS}")
     if fmt == "parquet":
         frame = spark.read.parquet(path)
-    elif fmt == "geojson":
-        # The lines around the features of a collection hold no feature of their own.
-        lines = spark.read.text(path).select(F.regexp_replace(F.trim("value"), ",$", "").alias("value"))
-        frame = _geojson(lines.where("value like '{%}' and get_json_object(value, '$.features') is null"))
-    elif fmt == "geojson_collection":
-        text = spark.read.text(path, wholetext=True)
-        members = F.from_json("value", "features array<string>").getField("features")
-        frame = _geojson(text.select(F.explode(members).alias("value")))
+    elif fmt in ("geojson", "geojson_collection"):
+        frame = _geojson(feature_texts(spark, path, fmt))
     else:
         raise ValueError(f"Unknown layer format {fmt}")
     if crs == LONLAT_CRS:
@@ -54,6 +54,34 @@ def read_features(
     return frame
 
 
+def feature_texts(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The JSON text of every feature: ``value``.
+
+    ``geojson`` has one feature on a line, with or without the lines of a collection around them.  ``geojson_collection`` is one collection a file, however it
+    is laid out: Spark splits its bytes at the type of each feature, so a file of one long line is read by many tasks.  The type must be the
+    first member of a feature, as writers put it; anything else, and every feature that is cut short, stays as broken text for the parser to report.
+    """
+    if fmt == "geojson":
+        # Lines of the collection itself: its head, its other members and its end.
+        lines = spark.read.text(path).select(F.regexp_replace(F.trim("value"), ",$", "").alias("value"))
+        return lines.where(~F.col("value").rlike(r'^$|^\{$|^[\]\}]+$|^"|^\{?\s*"type"\s*:\s*"FeatureCollection"'))
+    pieces = spark.read.option("lineSep", '"Feature"').text(path)
+    head = r'^\s*\{[\s\S]*"FeatureCollection"|^\s*$'
+    body = F.regexp_replace("value", r'\s*,?\s*\{\s*"type"\s*:\s*$', "")  # the opening of the next feature
+    last = F.regexp_replace(body, r'\}\s*\][^\]\}]*(?:"[^"]*"\s*:[^\]]*)?\}\s*$', "}")  # the end of the collection
+    is_last = ~F.col("value").rlike(r'\{\s*"type"\s*:\s*$')
+    return pieces.where(~F.col("value").rlike(head)).select(F.concat(F.lit('{"type":"Feature"'), F.when(is_last, last).otherwise(body)).alias("value"))
+
+
+def feature_rejects(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """One row: ``features`` that can be read and ``broken`` ones."""
+    parsed = F.from_json("value", "type string, geometry struct<type:string>, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    broken = F.col("p").isNull() | F.col("p._broken").isNotNull()
+    return feature_texts(spark, path, fmt).select(parsed.alias("p")).agg(
+        F.count_if(~broken).alias("features"), F.count_if(broken).alias("broken")
+    )
+
+
 def _geojson(features: DataFrame) -> DataFrame:
     """Features from JSON text; coordinates nest differently per geometry type."""
     shape = "id string, properties map<string,string>, geometry struct<type:string,coordinates:string>"
@@ -122,12 +150,35 @@ def id_completeness(expected: DataFrame, received: DataFrame, key: str) -> DataF
     return missing.unionByName(extra)
 
 
+#: Bytes of a file in memory at once.
+DIGEST_CHUNK = 8 << 20
+
+
 def file_digests(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """SHA-256 of every file below a folder: ``path, length, sha256``."""
+    """SHA-256 of every file below a folder: ``path, length, sha256``.
+
+    Spark lists the files (it passes over empty ones); each is read as a stream of chunks, so its size does not matter.  The store must be one that
+    Arrow opens by its URI.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    files = reader.load(path).select("path", "length")
+    chunk = DIGEST_CHUNK
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for uri in batch.column("path").to_pylist():
+                store, name = pa.fs.FileSystem.from_uri(quote(uri, safe=":/"))
+                own = hashlib.sha256()
+                with store.open_input_stream(name) as stream:
+                    while data := stream.read(chunk):
+                        own.update(data)
+                found.append(own.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=["path", "length", "sha256"])
+
+    return files.repartition("path").mapInArrow(digests, "path string, length bigint, sha256 string")
 
 
 def folder_digest(digests: DataFrame) -> DataFrame:

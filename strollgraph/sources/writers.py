@@ -11,10 +11,25 @@ from strollgraph.functions import text as T
 PARTITION_M = 50000.0
 
 
+#: Columns that put the rows of a result in order, the first that it has.
+ORDER = ("site_id", "component_id", "previous_site_id", "route", "route_index", "source_id", "code", "name")
+
+
+def in_order(frame: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Rows in the order of the given columns (or those of ``ORDER``): ranges are dealt to tasks and sorted there, so files read by name are in order."""
+    keys = [c for c in (ORDER if order is None else order) if c in frame.columns]
+    return frame.orderBy(*keys) if keys else frame
+
+
 def write_layers(layers: dict[str, DataFrame], out: str) -> None:
-    """One Parquet folder per layer; an empty layer keeps its schema."""
+    """One Parquet folder per layer, in order; an empty layer keeps its schema."""
     for name, frame in layers.items():
-        frame.write.mode("overwrite").parquet(f"{out}/{name}")
+        in_order(frame).write.mode("overwrite").parquet(f"{out}/{name}")
+
+
+def write_table(frame: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """A CSV folder with header, in order."""
+    flat_columns(in_order(frame, order)).write.mode("overwrite").option("header", True).csv(path)
 
 
 def flat_columns(frame: DataFrame) -> DataFrame:
@@ -31,14 +46,13 @@ def flat_columns(frame: DataFrame) -> DataFrame:
 
 def write_site_tables(sites: DataFrame, out: str) -> None:
     """Full, candidate and permissive tables as CSV with header."""
-    flat = flat_columns(sites)
     chosen = {
-        "sites": flat,
-        "likely_access_islands": flat.where("status = 'likely_access_island'"),
-        "permissive_access_evidenced": flat.where("status = 'permissive_access_evidenced'"),
+        "sites": sites,
+        "likely_access_islands": sites.where("status = 'likely_access_island'"),
+        "permissive_access_evidenced": sites.where("status = 'permissive_access_evidenced'"),
     }
     for name, frame in chosen.items():
-        frame.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+        write_table(frame, f"{out}/{name}")
 
 
 def lonlat_rings(polygons: str = "polygons") -> Column:
@@ -67,7 +81,7 @@ def geojson_features(frame: DataFrame, properties: list[str]) -> DataFrame:
 def write_candidates_geojson(sites: DataFrame, polygons: DataFrame, out: str) -> None:
     """Candidates in longitude and latitude, one feature per component and line; ``component_id`` tells them apart."""
     rows = sites.where("status = 'likely_access_island'").join(polygons, "site_id")
-    geojson_features(rows, [*sites.columns, "component_id"]).write.mode("overwrite").text(f"{out}/likely_access_islands.geojson")
+    geojson_features(in_order(rows, ["site_id", "component_id"]), [*sites.columns, "component_id"]).write.mode("overwrite").text(f"{out}/likely_access_islands.geojson")
 
 
 def partition_key(easting: str = "easting", northing: str = "northing", size: float = PARTITION_M) -> Column:
