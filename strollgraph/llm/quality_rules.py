@@ -1,14 +1,17 @@
 """Quality rules by robust multivariate outliers.
 
-Every text gives a vector of four statistics: logarithms of word length, marks, capitals and stutters (a word equal to the one
-before) per word.  Each language and source has its own centre and scatter by the minimum covariance determinant: of
+Every text gives a vector of four statistics: logarithms of word length, marks (symbols among them), capitals and stutters (a word equal to
+the one before) per word.  Each language and source has its own centre and scatter by the minimum covariance determinant: of
 two starts, concentration steps keep the three quarters of the rows that are nearest to the current
 estimate and estimate again; the start that ends with the smaller determinant wins.  Texts with a Mahalanobis distance
 beyond the cutoff are rejected.
 
 A concentration step is one aggregation: rows fall into bins of their distance, bins carry counts and moments, and the
 nearest bins that hold three quarters of a group are added up.  No group is ever gathered, and a hot group is
-just partial sums.  Groups below ``MIN_ROWS`` usable rows borrow the estimate of their language, and failing that of all rows.
+just partial sums.
+
+Small groups tell little about themselves, so every estimate is drawn towards the wider one: a language and source of n usable rows
+counts n / (n + ``STEADY``) against its language, and that by the same rule against all rows.  Nothing switches at any size.
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ RATES = (("word_chars", 30), ("n_marks", 30), ("n_capitals", 30), ("n_stutters",
 #: Standard deviations below which no statistic is trusted.
 FLOORS = (0.02, 0.1, 0.1, 0.3)
 DIMS = len(RATES)
-MIN_ROWS = 200
+#: Rows of a group at which its own estimate counts half.
+STEADY = 200.0
 CORE = 0.75
 STEPS = 5
 #: Share of normal rows beyond the cutoff.
@@ -76,10 +80,9 @@ def base_failed() -> Column:
 
 @dataclass
 class Fit:
-    """What the corpus says: four rates, the group of every language and source, and the estimates of the groups."""
+    """What the corpus says: the rates, and the estimate of every language and source."""
 
     rates: dict[str, float]
-    names: DataFrame
     estimates: DataFrame
 
 
@@ -90,47 +93,58 @@ def _rates(measured: DataFrame) -> dict[str, float]:
 
 
 def _vectors(measured: DataFrame, rates: dict[str, float]) -> DataFrame:
-    """Rows with ``x0`` to ``x3``."""
+    """Rows with the statistics ``x0``, ``x1``, ..."""
     return measured.select("*", *[
         F.log((F.col(c) + F.lit(m * rates[c])) / (F.col("n_words") + m)).alias(f"x{i}") for i, (c, m) in enumerate(RATES)
     ])
 
 
-def _group_names(measured: DataFrame) -> DataFrame:
-    """``_l, _s, _group``: of each language and source the group that has enough usable rows: its own, its language, everything."""
-    usable = measured.where(~base_failed())
-    own = usable.groupBy("lang", "source").agg(F.count("*").alias("_own"))
-    lang = usable.groupBy("lang").agg(F.count("*").alias("_lang"))
-    return cut(
-        own.join(lang.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l"))).select(
-            F.col("lang").alias("_l"), F.col("source").alias("_s"),
-            F.when(F.col("_own") >= MIN_ROWS, F.to_json(F.array("lang", "source")))
-            .when(F.col("_lang") >= MIN_ROWS, F.to_json(F.array("lang"))).otherwise(F.lit("[]")).alias("_group"),
-        )
-    )
+def _levels() -> Column:
+    """Names of the three groups of a row: its language and source, its language, everything."""
+    return F.array(F.to_json(F.array("lang", "source")), F.to_json(F.array("lang")), F.lit("[]"))
 
 
-def _grouped(rows: DataFrame, names: DataFrame) -> DataFrame:
-    same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
-    return rows.join(names, same, "left").drop("_l", "_s").withColumn("_group", F.coalesce("_group", F.lit("[]")))
-
-
-def _fit_rows(grouped: DataFrame) -> DataFrame:
-    """The usable rows once for each level that some group needs: its own, its language, everything."""
-    x = [f"x{i}" for i in range(DIMS)]
-    usable = grouped.where(~base_failed())
-    needed = cut(usable.select("_group").distinct())
-    levels = F.array(F.to_json(F.array("lang", "source")), F.to_json(F.array("lang")), F.lit("[]"))
-    spread = usable.select(*x, F.explode(levels).alias("_group"))
-    return cut(spread.join(needed, "_group", "left_semi"))
+def _fit_rows(rows: DataFrame) -> DataFrame:
+    """The usable rows once for each level."""
+    return cut(rows.where(~base_failed()).select(*[f"x{i}" for i in range(DIMS)], F.explode(_levels()).alias("_group")))
 
 
-_PARAMS = "_group string, _start int, mean array<double>, inverse array<double>, logdet double"
-
-
-def _inverted(cov: np.ndarray) -> tuple[list[float], float]:
+def _shrunk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Means and scatters drawn towards the language's and that of all rows, and inverted."""
+    for frame in frames:
+        out = []
+        for r in frame.itertuples(index=False):
+            mean, cov = np.array(r.mean2), np.array(r.cov2).reshape(DIMS, DIMS)
+            for own_mean, own_cov, n in ((r.mean1, r.cov1, r.n1), (r.mean0, r.cov0, r.n0)):
+                own = n / (n + STEADY)
+                mean, cov = own * np.array(own_mean) + (1 - own) * mean, own * np.array(own_cov).reshape(DIMS, DIMS) + (1 - own) * cov
+            out.append((r.lang, r.source, mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
+        yield pd.DataFrame(out, columns=["_l", "_s", "mean", "inverse"])
+
+
+def _by_source(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """``_l, _s, mean, inverse`` for every language and source of ``rows``, also those without a usable row."""
+    levels = _levels()
+    groups = rows.groupBy("lang", "source").agg(F.max(F.lit(1)).alias("_one")).select("lang", "source", *[levels[k].alias(f"_g{k}") for k in range(3)])
+    for k in range(3):
+        side = estimates.select(F.col("_group").alias(f"_g{k}"), F.col("mean").alias(f"mean{k}"), F.col("cov").alias(f"cov{k}"), F.col("n").alias(f"n{k}"))
+        groups = groups.join(side, f"_g{k}", "left")
+    # A group without usable rows counts nothing; the wider one stands in for what it lacks.
+    for k in (1, 0):
+        groups = groups.withColumns({
+            f"n{k}": F.coalesce(f"n{k}", F.lit(0)), f"mean{k}": F.coalesce(f"mean{k}", f"mean{k + 1}"), f"cov{k}": F.coalesce(f"cov{k}", f"cov{k + 1}")
+        })
+    kinds = rows.schema
+    schema = f"_l {kinds['lang'].dataType.simpleString()}, _s {kinds['source'].dataType.simpleString()}, mean array<double>, inverse array<double>"
+    return cut(groups.where("mean2 is not null").drop("_g0", "_g1", "_g2").mapInPandas(_shrunk, schema))
+
+
+_PARAMS = "_group string, _start int, mean array<double>, cov array<double>, inverse array<double>, logdet double, n bigint"
+
+
+def _inverted(cov: np.ndarray) -> tuple[list[float], list[float], float]:
     cov = cov + np.diag(np.square(FLOORS))
-    return np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])
+    return cov.ravel().tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])
 
 
 def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,9 +157,8 @@ def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             second = np.zeros((DIMS, DIMS))
             for (i, j), v in zip(pairs, r.second):
                 second[i, j] = second[j, i] = v / r.n - first[i] * first[j]
-            inverse, logdet = _inverted(second)
-            out.append((r.group, r.start, (np.array(r.about) + first).tolist(), inverse, logdet))
-        yield pd.DataFrame(out, columns=["_group", "_start", "mean", "inverse", "logdet"])
+            out.append((r.group, r.start, (np.array(r.about) + first).tolist(), *_inverted(second), r.all_rows))
+        yield pd.DataFrame(out, columns=["_group", "_start", "mean", "cov", "inverse", "logdet", "n"])
 
 
 def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,9 +173,8 @@ def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 tanh[i, j] = tanh[j, i] = v / r.n
             unit = np.sqrt(np.maximum(np.diag(tanh), 1e-9))
             for start, cov in ((0, np.diag(scale**2)), (1, tanh / np.outer(unit, unit) * np.outer(scale, scale))):
-                inverse, logdet = _inverted(cov)
-                out.append((r.group, start, list(r.about), inverse, logdet))
-        yield pd.DataFrame(out, columns=["_group", "_start", "mean", "inverse", "logdet"])
+                out.append((r.group, start, list(r.about), *_inverted(cov), r.n))
+        yield pd.DataFrame(out, columns=["_group", "_start", "mean", "cov", "inverse", "logdet", "n"])
 
 
 def _squared_distance() -> Column:
@@ -171,7 +183,7 @@ def _squared_distance() -> Column:
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
-    """``_group, mean, inverse``: the minimum-covariance-determinant estimate of every ``_group`` of ``rows`` (``x0`` ...)."""
+    """``_group, mean, cov, inverse, n``: the minimum-covariance-determinant estimate of every ``_group`` of ``rows`` (``x0`` ...) and its rows."""
     x = [f"x{i}" for i in range(DIMS)]
     pairs = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
     quartiles = cut(
@@ -191,7 +203,7 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     )
     params = cut(moments.mapInPandas(_starts, _PARAMS))
     for _ in range(STEPS):
-        near = rows.join(params, "_group").withColumn("_d", _squared_distance())
+        near = rows.join(params.drop("n", "cov"), "_group").withColumn("_d", _squared_distance())
         bins = near.groupBy("_group", "_start", F.floor(F.log2(F.col("_d") + 1e-9) * 16).alias("_bin")).agg(
             F.count("*").alias("n"), F.first("mean").alias("about"),
             *[F.sum(F.col(f"x{i}") - F.col("mean")[i]).alias(f"s{i}") for i in range(DIMS)],
@@ -202,19 +214,20 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
             F.col("_upto") - F.col("n") < CORE * F.col("_all")
         )
         summed = core.groupBy(F.col("_group").alias("group"), F.col("_start").alias("start")).agg(
-            F.sum("n").alias("n"), F.first("about").alias("about"),
+            F.sum("n").alias("n"), F.first("about").alias("about"), F.first("_all").alias("all_rows"),
             F.array(*[F.sum(f"s{i}") for i in range(DIMS)]).alias("first"),
             F.array(*[F.sum(f"s{i}_{j}") for i, j in pairs]).alias("second"),
         )
         params = cut(summed.mapInPandas(_estimates, _PARAMS))
-    best = params.groupBy("_group").agg(F.min_by(F.struct("mean", "inverse"), F.struct("logdet", "_start")).alias("_best"))
-    return cut(best.select("_group", "_best.mean", "_best.inverse"))
+    best = params.groupBy("_group").agg(F.min_by(F.struct("mean", "cov", "inverse", "n"), F.struct("logdet", "_start")).alias("_best"))
+    return cut(best.select("_group", "_best.*"))
 
 
 def fit(measured: DataFrame) -> Fit:
-    """Rates, groups and estimates from the counts of all rows; ``measured`` is read several times."""
-    rates, names = _rates(measured), _group_names(measured)
-    return Fit(rates, names, robust_estimates(_fit_rows(_grouped(_vectors(measured, rates), names))))
+    """Rates and estimates from the counts of all rows; ``measured`` is read several times."""
+    rates = _rates(measured)
+    rows = _vectors(measured, rates)
+    return Fit(rates, _by_source(rows, robust_estimates(_fit_rows(rows))))
 
 
 def judge(measured: DataFrame, known: Fit) -> DataFrame:
@@ -227,11 +240,12 @@ def judge(measured: DataFrame, known: Fit) -> DataFrame:
     # The core alone is too narrow: scale to the normal distribution's whole.
     core_point = chi2_point(1 - CORE, DIMS)
     widen = CORE / (1 - chi2_tail(core_point, DIMS + 2))
-    rows = _grouped(_vectors(measured, known.rates), known.names).join(known.estimates, "_group", "left")
+    same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
+    rows = _vectors(measured, known.rates).join(known.estimates, same, "left").drop("_l", "_s")
     judged = rows.withColumn("distance", _squared_distance() / widen)
     kept = ~base_failed() & F.coalesce(F.col("distance") <= chi2_point(TAIL, DIMS), F.lit(False))
     return judged.withColumn("base_failed", base_failed()).withColumn("kept", kept).drop(
-        "_group", "mean", "inverse", *[f"x{i}" for i in range(DIMS)]
+        "mean", "inverse", *[f"x{i}" for i in range(DIMS)]
     )
 
 

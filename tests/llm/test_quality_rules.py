@@ -1,3 +1,4 @@
+import json
 import random
 import re
 
@@ -89,3 +90,26 @@ def test_estimate_is_near_the_core(spark):
 def test_chi_square_points():
     assert Q.chi2_point(0.05, 4) == pytest.approx(9.4877, abs=1e-3)
     assert Q.chi2_point(0.25, 4) == pytest.approx(5.3853, abs=1e-3)
+
+
+def test_small_groups_are_drawn_towards_wider_ones(spark):
+    """Half towards the language at STEADY rows, by the same rule towards all rows; every step against plain numpy."""
+    rng = np.random.default_rng(4)
+    sizes = {("en", "a"): 200, ("en", "b"): 3, ("de", "a"): 50, (None, None): 1}
+    rows = [(*g, *map(float, rng.normal(i, 1, 4)), 100, 0) for i, (g, n) in enumerate(sizes.items()) for _ in range(n)] + [("en", "unused", *[0.0] * 4, 5, 0)]
+    names = [f"x{i}" for i in range(4)]
+    table = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{c} double" for c in names) + ", n_words long, n_repeat_words long")
+    estimates = Q.robust_estimates(Q._fit_rows(table))
+    own = {r["_group"]: (np.array(r["mean"]), np.array(r["cov"]).reshape(4, 4), r["n"]) for r in estimates.collect()}
+    assert {k: v[2] for k, v in own.items()} == {
+        '["en","a"]': 200, '["en","b"]': 3, '["de","a"]': 50, "[null,null]": 1, '["en"]': 203, '["de"]': 50, "[null]": 1, "[]": 254
+    }
+    got = {(r["_l"], r["_s"]): (np.array(r["mean"]), np.linalg.inv(np.array(r["inverse"]).reshape(4, 4))) for r in Q._by_source(table, estimates).collect()}
+    assert set(got) == {*sizes, ("en", "unused")}
+    text = lambda *x: json.dumps(x, separators=(",", ":"))
+    for (lang, source), (mean, cov) in got.items():
+        want_mean, want_cov, _ = own["[]"]
+        for level in (text(lang), text(lang, source)):
+            m, c, n = own.get(level, (want_mean, want_cov, 0))
+            want_mean, want_cov = (n * m + Q.STEADY * want_mean) / (n + Q.STEADY), (n * c + Q.STEADY * want_cov) / (n + Q.STEADY)
+        assert np.allclose(mean, want_mean) and np.allclose(cov, want_cov)
