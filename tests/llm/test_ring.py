@@ -1,7 +1,10 @@
+import bisect
 from collections import Counter, defaultdict
+import hashlib
 import zlib
 
 from strollgraph.llm import ring
+from strollgraph.llm.queries import QUERIES
 
 
 def check(rows, out, shards):
@@ -44,3 +47,50 @@ def test_empty_and_tiny(make_docs):
     check([1, 2], ring.shard_rows(make_docs([(1, "a"), (2, None)])).collect(), 24)
     wide = make_docs([(1, "a"), (2, "b")]).selectExpr("*", "0 as shard", "1 as rows", "2 as place", "3 as owner")
     assert ring.shard_rows(wide).count() == 2
+
+
+def brute(rows, shards=24, nodes=64):
+    """``(doc_id, shard, slot, owner)`` by walking the ring row by row."""
+    ring_of = {}
+    for shard in range(shards):
+        for node in range(nodes):
+            at = int(hashlib.md5(f"{shard}/{node}".encode()).hexdigest()[:4], 16)
+            ring_of[at] = min(shard, ring_of.get(at, shard))
+    places = sorted(ring_of)
+    walk = [ring_of[p] for p in places] + ([ring_of[places[0]]] if places[-1] < ring.PLACES - 1 else [])
+    keyed = []
+    for doc_id, text in rows:
+        parts = ["\x00" if x is None else str(x) for x in (doc_id, text)]
+        key = hashlib.md5("|".join(parts).encode()).hexdigest()
+        place = int(key[:4], 16)
+        keyed.append((place, key, doc_id, bisect.bisect_left(places, place)))  # beyond the last node: the extra arc
+    keyed.sort(key=lambda x: x[:2])
+    bound = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    filled, out, waiting = [0] * shards, [], []
+    for place, key, doc_id, arc in keyed:  # first every shard keeps what it may of its own
+        owner = walk[arc]
+        if filled[owner] < bound[owner]:
+            out.append((doc_id, owner, filled[owner], owner))
+            filled[owner] += 1
+        else:
+            waiting.append((doc_id, arc, owner))
+    for doc_id, arc, owner in waiting:  # then the rest goes on clockwise
+        step = next(s for s in range(1, len(walk) + 1) if filled[walk[(arc + s) % len(walk)]] < bound[walk[(arc + s) % len(walk)]])
+        shard = walk[(arc + step) % len(walk)]
+        out.append((doc_id, shard, filled[shard], owner))
+        filled[shard] += 1
+    return sorted(out, key=str)
+
+
+def test_query_equals_walking_the_ring(spark, small):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op6_ring_shards"](spark, small).select("doc_id", "shard", "slot", "ring_owner").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_overflow_equals_walking_the_ring(make_docs):
+    """Few nodes give uneven arcs, so most rows wait and go round; one text is very long."""
+    rows = [(i, f"text {i}") for i in range(900)] + [(None, "no id"), (1000, None), (1001, "long " * 60000)]
+    for shards, nodes in ((3, 2), (24, 64), (7, 1)):
+        got = ring.shard_rows(make_docs(rows), shards, nodes).select("doc_id", "shard", "slot", "owner").collect()
+        assert sorted(map(tuple, got), key=str) == brute(rows, shards, nodes)
