@@ -72,11 +72,23 @@ class _Lot:
         # By language and chunk, in the order of documents.
         order = np.argsort(lang.astype(np.int64) * len(self.chunk) + chunk, kind="stable")
         doc, chunk, group, lang, times = (x[order] for x in (doc, chunk, group, lang, times))
+        del order
         first = np.flatnonzero((np.diff(lang, prepend=-1) != 0) | (np.diff(chunk, prepend=-1) != 0))
-        docs = np.diff(first, append=len(doc))
+        bounds = np.append(first, len(doc))
+        names = pa.array(list(self.chunk), pa.binary()).cast(pa.string())
+        for low in range(0, len(first), 20_000):  # so many rows at once: the sorted numbers are all that is held as a whole
+            high = min(low + 20_000, len(first))
+            part = slice(bounds[low], bounds[high])
+            packed = self._packed(np.diff(bounds[low : high + 1]), doc[part], group[part], times[part], least)
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(chunk[first[low:high]])), pa.array(lang[first[low:high]], pa.int32()), packed], names=["chunk", "lang", "packed"]
+            )
+
+    def _packed(self, docs: np.ndarray, doc: np.ndarray, group: np.ndarray, times: np.ndarray, least: int) -> pa.Array:
+        """Of rows of ``docs`` documents each, whose numbers, groups and occurrences follow each other."""
+        first = np.cumsum(docs) - docs
         listed = np.where(docs < least, docs, 0)
         row_of = np.repeat(np.arange(len(first)), docs)
-        # Occurrences of a row by group.
         inner = np.lexsort((group, row_of))
         row, own = row_of[inner], group[inner]
         start = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(own, prepend=-1) != 0))
@@ -91,17 +103,8 @@ class _Lot:
         out[(at[row_of] + 3 + np.arange(len(doc)) - first[row_of])[few]] = doc[few]
         place = (at + 3 + listed)[counts_row] + 2 * (np.arange(len(counts_row)) - (np.cumsum(counts) - counts)[counts_row])
         out[place], out[place + 1] = counts_group, counted
-        ends = 4 * np.append(at, len(out))
-        names = pa.array(list(self.chunk), pa.binary()).cast(pa.string())
-        for low in range(0, len(first), 20_000):
-            high = min(low + 20_000, len(first))
-            offsets = ends[low : high + 1] - ends[low]
-            packed = pa.Array.from_buffers(
-                pa.binary(), high - low, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out[ends[low] // 4 : ends[high] // 4].tobytes())]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(chunk[first[low:high]])), pa.array(lang[first[low:high]], pa.int32()), packed], names=["chunk", "lang", "packed"]
-            )
+        offsets = (4 * np.append(at, len(out))).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out.tobytes())])
 
 
 def _chunk_batches(least: int):
