@@ -13,6 +13,7 @@ from strollgraph.operators import lineage as H
 from strollgraph.operators import review as W
 from strollgraph.operators import sites as D
 from strollgraph.plans import analyse as A
+from strollgraph.plans import export as E
 from strollgraph.plans import region as Z
 from strollgraph.plans import validate as V
 from strollgraph.session import cut
@@ -168,6 +169,18 @@ def _(x):
     return W.candidate_list(x.site_numbers).select("site_id", "area_ha", "map_number")
 
 
+@query(
+    "p14_report_rows",
+    """SELECT 'status_counts' AS part, status AS item, count(*) AS value FROM classified GROUP BY status
+    UNION ALL SELECT 'candidates', site_id, map_number FROM (SELECT site_id, row_number() OVER (ORDER BY area_ha DESC, site_id) AS map_number
+      FROM classified WHERE status = 'likely_access_island' ORDER BY area_ha DESC, site_id LIMIT 25)""",
+)
+def _(x):
+    tables = E.report_tables(x.site_numbers)
+    counts = tables["status_counts"].select(F.lit("status_counts").alias("part"), F.col("status").alias("item"), F.col("sites").alias("value"))
+    return counts.unionByName(tables["candidates"].select(F.lit("candidates").alias("part"), F.col("site_id").alias("item"), F.col("map_number").alias("value")))
+
+
 @query("e9_output_order", "SELECT site_id, component_id FROM member ORDER BY site_id, component_id")
 def _(x):
     return x.catalogue.membership.orderBy("site_id", "component_id")
