@@ -155,8 +155,9 @@ WIDTH = 5
 SAMPLE, LISTED, OFTEN = 32, 1 << 17, 3
 #: 64-bit words of the bitmaps that keep texts and shingles without a partner out of the exchanges.  They let some through, never lose one.
 ID_SLOTS, KEY_SLOTS = 1 << 15, 1 << 18
-#: Members of a block where many texts share a shingle.
+#: Members of a block where many texts share a shingle; shingles of the sets that a task holds at once, but for one text's.
 BLOCK = 256
+SET_VALUES = 100_000
 _TURN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -178,7 +179,7 @@ class Shingler:
         if not words:
             return np.zeros(0, np.int64)
         known = self.known
-        if len(known) > 200_000:
+        if len(known) > 100_000:
             known.clear()
         for w in set(words).difference(known):
             known[w] = xxhash.xxh3_64_intdigest(w)
@@ -234,22 +235,22 @@ class _Leaders:
         self.leaders, self.shingler, self.seen = leaders, Shingler(), set()
 
     def of(self, batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
-        last = batch.column("_last").to_numpy(zero_copy_only=False)
-        words = [self.shingler.words(t) for t in batch.column("text").to_pylist()]
-        ids = np.array([self.shingler.id_of(w) for w in words], dtype=np.int64)
-        leads = _in_bitmap(self.leaders, ids ^ last)
-        if len(self.seen) > 1_000_000:
+        """One text at a time, so only one is ever cut into words."""
+        if len(self.seen) > 200_000:
             self.seen.clear()
-        for k in np.flatnonzero(leads).tolist():
-            if int(ids[k]) not in self.seen:
-                self.seen.add(int(ids[k]))
-                yield int(ids[k]), words[k]
+        last = batch.column("_last").to_numpy(zero_copy_only=False)
+        for k, text in enumerate(batch.column("text")):
+            words = self.shingler.words(text.as_py())
+            i = self.shingler.id_of(words)
+            if i not in self.seen and _in_bitmap(self.leaders, np.array([i ^ int(last[k])], dtype=np.int64))[0]:
+                self.seen.add(i)
+                yield i, words
 
 
 def _frequent_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
-        words = [shingler.words(t) for t in batch.column("text").to_pylist()]
+        words = (shingler.words(t.as_py()) for t in batch.column("text"))
         sets = [shingler.shingles(w) for w in words if shingler.id_of(w) % SAMPLE == 0]
         keys, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.int64),) * 2
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["_key", "_c"])
@@ -305,12 +306,22 @@ def _held_batches(leaders, order, shared):
 def _set_batches(leaders):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _Leaders(leaders.value)
-        for batch in batches:
-            rows = [(i, own.shingler.shingles(w)) for i, w in own.of(batch)]
-            yield pa.RecordBatch.from_arrays(
+
+        def handed(rows: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["_id", "_set"]
             )
 
+        for batch in batches:
+            rows, size = [], 0
+            for i, words in own.of(batch):
+                rows.append((i, own.shingler.shingles(words)))
+                size += len(rows[-1][1])
+                if size > SET_VALUES:
+                    yield handed(rows)
+                    rows, size = [], 0
+            yield handed(rows)
+
     return run
 
 
