@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from strollgraph.functions import geometry as G
 from strollgraph.lattice.registry import query
 from strollgraph.operators import classify as K
 from strollgraph.plans import region as Z
@@ -66,6 +67,51 @@ def _(x):
     return Z.select_sites(x.site_shapes, x.catalogue.outline, x.councils, STUDY_BUFFER_M)
 
 
+ASKED = """SELECT concat('S', region_no) AS study, lower(name) AS item FROM councils UNION ALL
+    SELECT concat('S', substr(code, 2)), code FROM counties"""
+BOXES = """SELECT concat('S', r_regionkey) AS study, r_regionkey * 4000 + 1500 AS x0, 0 AS y0, r_regionkey * 4000 + 9000 AS x1, 20000 AS y1
+    FROM region WHERE r_regionkey % 2 = 1"""
+# The source ends 3 km before the last council.
+SOURCE = "SELECT min(x0) - 1000 AS x0, -3000 AS y0, max(x1) - 3000 AS x1, 52000 AS y1 FROM councils"
+
+
+@query(
+    "p7_study_areas",
+    f"""SELECT e.code, e.authorities, CAST(e.area_m2 AS DOUBLE) AS area_m2, CAST(e.xmin AS DOUBLE) AS xmin, CAST(e.ymin AS DOUBLE) AS ymin,
+      CAST(e.xmax AS DOUBLE) AS xmax, CAST(e.ymax AS DOUBLE) AS ymax, coalesce(s.sites, 0) AS sites,
+      e.xmin - {BUFFER_M} < w.x0 OR e.ymin - {BUFFER_M} < w.y0 OR e.xmax + {BUFFER_M} > w.x1 OR e.ymax + {BUFFER_M} > w.y1 OR coalesce(s.beyond, false) AS limited
+    FROM (SELECT code, any_value(authorities) AS authorities, any_value(y1 - y0) * sum(greatest(0, x1 - greatest(x0, coalesce(furthest, x0)))) AS area_m2,
+        min(x0) AS xmin, min(y0) AS ymin, max(x1) AS xmax, max(y1) AS ymax
+      FROM (SELECT *, max(x1) OVER (PARTITION BY code ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS furthest FROM study_part) t GROUP BY code) e
+    CROSS JOIN source_box w
+    LEFT JOIN (SELECT h.code, count(DISTINCT h.site_id) AS sites,
+        bool_or(m.x0 - {BUFFER_M} < w.x0 OR m.y0 - {BUFFER_M} < w.y0 OR m.x1 + {BUFFER_M} > w.x1 OR m.y1 + {BUFFER_M} > w.y1) AS beyond
+      FROM (SELECT DISTINCT p.code, m.site_id FROM study_part p JOIN member m ON m.x0 < p.x1 AND m.x1 > p.x0 AND m.y0 < p.y1 AND m.y1 > p.y0) h
+      JOIN member m USING (site_id) CROSS JOIN source_box w GROUP BY h.code) s USING (code)""",
+    asked=ASKED,
+    study_box=BOXES,
+    source_box=SOURCE,
+    authority="SELECT code, name, x0, y0, x1, y1 FROM councils UNION ALL SELECT code, name, x0, y0, x1, y1 FROM counties",
+    study_part="""SELECT * FROM (SELECT q.study AS code, count(*) OVER (PARTITION BY q.study) AS authorities, greatest(a.x0, coalesce(b.x0, a.x0)) AS x0,
+        greatest(a.y0, coalesce(b.y0, a.y0)) AS y0, least(a.x1, coalesce(b.x1, a.x1)) AS x1, least(a.y1, coalesce(b.y1, a.y1)) AS y1
+      FROM asked q JOIN authority a ON a.code = q.item OR lower(a.name) = q.item LEFT JOIN study_box b ON b.study = q.study) p WHERE x0 < x1 AND y0 < y1""",
+)
+def _(x):
+    layers = x.councils.select("code", "name", "rings").unionByName(x.counties.select("code", "name", "rings"))
+    frame = lambda sql: x.spark.sql(
+        sql.replace("FROM councils", "FROM {councils}").replace("FROM counties", "FROM {counties}").replace("FROM region", "FROM {region}"),
+        **{n: d for n, d in (("councils", x.councils), ("counties", x.counties), ("region", x.table("region"))) if f"FROM {n}" in sql},
+    )
+    made = Z.study_areas(layers, frame(ASKED), frame(BOXES))
+    chosen = cut(Z.select_sites(x.site_shapes, x.catalogue.outline, made.pieces))
+    source = frame(SOURCE).select(F.expr(G.box_rings("x0", "y0", "x1", "y1")).alias("rings"))
+    limited = Z.limited_by_source(made, Z.context_extents(made.pieces, x.site_shapes, chosen), source, BUFFER_M)
+    counts = chosen.groupBy("code").agg(F.count("*").alias("sites"))
+    return made.areas.join(counts, "code", "left").join(limited, "code").select(
+        "code", "authorities", R6("area_m2"), *[R6(c) for c in ("xmin", "ymin", "xmax", "ymax")], F.coalesce("sites", F.lit(0)).alias("sites"), "limited"
+    )
+
+
 @query("c14_context_routes", "SELECT code, route_index FROM context_rows", **REGION)
 def _(x):
     return selection(x)[2]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +12,15 @@ from pyspark.sql import functions as F
 from strollgraph.functions import geometry as G
 from strollgraph.operators import network as N
 from strollgraph.operators import overlay as O
+from strollgraph.operators import sites as D
 from strollgraph.operators import spatial as S
 from strollgraph.operators.review import SETTLED
 from strollgraph.session import cut
 
 EDGE_SLACK_M = 5.0
 CONTEXT_CELL_M = 1000.0
+# Dissolved study areas are dealt to cells of this size.
+STUDY_CELL_M = 5000.0
 # Width of the certainty grid: this many cells per search radius.
 SURE_STEPS = 4
 
@@ -68,6 +72,122 @@ def check_box(west: float, south: float, east: float, north: float) -> tuple[flo
     return west, south, east, north
 
 
+@dataclass(frozen=True)
+class StudyAreas:
+    """Study areas of one or several authorities, each dissolved and cut to its box.
+
+    ``members``: ``study, code, name`` of the authorities; ``outline``: ``code, s`` and bounds, oriented with the area on the left;
+    ``pieces``: ``code, edges`` and bounds, which the selections below take in place of polygons; ``areas``: ``code, authorities, area_m2``
+    and bounds.
+    """
+
+    members: DataFrame
+    outline: DataFrame
+    pieces: DataFrame
+    areas: DataFrame
+
+
+def study_pieces(studies: DataFrame) -> DataFrame:
+    """Pieces ``code, edges`` and bounds of studies given as polygons (``code, rings``) or as pieces."""
+    pieces = studies if "edges" in studies.columns else S.polygon_pieces(studies.select("code", "rings"))
+    return pieces.select("code", "edges", *S.BOUNDS)
+
+
+def dissolved(polygons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pieces of all parts of a code, and the outline of their union: ``code, s``.  ``polygons``: ``code, part, rings``."""
+    named = polygons.select("code", F.to_json(F.struct("code", "part")).alias("component_id"), "rings")
+    pieces = cut(S.polygon_pieces(named).select("code", "component_id", "edges", *S.BOUNDS))
+    same = (F.col("a_code") == F.col("b_code")) & (F.col("a_component_id") != F.col("b_component_id"))
+    spans = S.covered_spans(S.outline_segments(pieces, ["code", "component_id"]).drop("edge_no"), pieces, CONTEXT_CELL_M, same)
+    hidden = spans.select(
+        F.col("a_component_id").alias("component_id"), F.col("a_s").alias("s"), F.col("b_component_id").alias("other_id"), "is_left", "t0", "t1"
+    )
+    free = D.union_outline(pieces, hidden).select("s", F.get_json_object("component_id", "$.code").alias("code"))
+    return pieces.drop("component_id"), free.select("code", "s")
+
+
+def cut_to_boxes(outline: DataFrame, pieces: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Outline ``code, s`` of areas cut to the box of their code (``code, rings``); codes without a box stay whole.
+
+    What remains is every stretch of the outline with the box on its inner side, and every stretch of the box with the area on both
+    sides.  Where both run along each other the first rule alone decides.
+    """
+    windows = S.whole_polygons(boxes.select("code", "rings")).select("code", "edges", *S.BOUNDS)
+    same = F.col("a_code") == F.col("b_code")
+    key = [F.col("a_code").alias("code"), F.col("a_s").alias("s"), "t0", "t1"]
+    part = F.expr(G.part_of("s", "t0", "t1")).alias("s")
+    bounded = S.segment_bounds(outline.join(boxes.select("code"), "code", "left_semi"))
+    own = S.covered_spans(bounded, windows, CONTEXT_CELL_M, same).where("is_left").select(*key)
+    rim = S.covered_spans(S.outline_segments(windows, ["code"]).drop("edge_no"), pieces, CONTEXT_CELL_M, same)
+    left, right = (O.merged_spans(rim.where(F.col("is_left") == side).select(*key), ["code", "s"]) for side in (True, False))
+    both = left.alias("l").join(right.alias("r"), ["code", "s"]).select(
+        "code", "s", F.greatest("l.t0", "r.t0").alias("t0"), F.least("l.t1", "r.t1").alias("t1")
+    ).where("t1 - t0 > 1e-12")
+    whole = outline.join(boxes.select("code"), "code", "left_anti").select("code", "s")
+    return whole.unionByName(own.select("code", part)).unionByName(both.select("code", part))
+
+
+def study_areas(layers: DataFrame, requested: DataFrame, boxes: DataFrame | None = None) -> StudyAreas:
+    """Study areas from the polygons of authorities.
+
+    ``layers``: ``code, name, rings``, both layers of authorities; a code in both counts once.  ``requested``: ``study, item`` with a code or a
+    name (any case) per row.  ``boxes``: ``study, x0, y0, x1, y1``; a study without requests is its box, others are cut to it.
+    Unknown and ambiguous items, boxes without extent and studies that come out empty raise ValueError.  Corners are rounded to a micrometre.
+    """
+    resolved = cut(require_resolved(resolve_authorities(layers.groupBy("code").agg(F.min("name").alias("name")), requested)))
+    members = cut(requested.join(resolved, "item").select("study", "code", "name").distinct())
+    polygons = members.select("study", "code").join(layers.select("code", "rings").distinct(), "code").select(
+        F.col("study").alias("code"), F.struct("code", F.xxhash64("rings")).alias("part"), "rings"
+    )
+    windows = None
+    if boxes is not None:
+        if not boxes.where("not (x0 < x1 and y0 < y1)").isEmpty():
+            raise ValueError("A box needs west < east and south < north")
+        windows = boxes.select(F.col("study").alias("code"), F.expr(G.box_rings(*(f"cast({c} as double)" for c in ("x0", "y0", "x1", "y1")))).alias("rings"))
+        alone = windows.join(members.select(F.col("study").alias("code")), "code", "left_anti")
+        none = F.struct(F.lit("").alias("code"), F.lit(0).cast("bigint"))
+        polygons = polygons.unionByName(alone.select("code", none.alias("part"), "rings"))
+    pieces, outline = dissolved(polygons)
+    if windows is not None:
+        outline = cut_to_boxes(cut(outline), pieces, windows)
+    at = ", ".join(f"'{c}', round(s.{c}, 6) + 0D" for c in ("x0", "y0", "x1", "y1"))
+    outline = cut(S.segment_bounds(outline.select("code", F.expr(f"named_struct({at})").alias("s")).where("s.x0 <> s.x1 or s.y0 <> s.y1")))
+    own = S.edge_cells(outline.select("code", F.col("s").alias("e")), ["code"], STUDY_CELL_M)
+    ends = "flatten(transform(edges, be -> array(named_struct('x', be.x0, 'y', be.y0), named_struct('x', be.x1, 'y', be.y1))))"
+    measured = outline.groupBy("code").agg(
+        (F.sum(F.expr(G.edge_cross("s"))) / 2).alias("area_m2"), F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
+        F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
+    )
+    named = polygons.select("code").distinct().join(members.groupBy(F.col("study").alias("code")).agg(F.count("*").alias("authorities")), "code", "left")
+    areas = cut(named.join(measured, "code", "left").na.fill(0, ["authorities"]).na.fill(0.0, ["area_m2"]))
+    empty = areas.where("area_m2 <= 1e-6").select("code").take(1)
+    if empty:
+        raise ValueError(f"Study area '{empty[0][0]}' is empty")
+    return StudyAreas(members, outline, cut(G.with_bounds(own, ends)), areas)
+
+
+def limited_by_source(
+    areas: StudyAreas, extents: DataFrame, source: DataFrame, context_m: float, study_buffer_m: float = 0.0
+) -> DataFrame:
+    """``code, limited``: whether the context of a study reaches beyond the source (``rings``, one row per extract).
+
+    A context lies within the source where its study does and no outline of the source comes nearer to the study than both buffers, or to
+    a selected site (``extents``, pieces) than the context buffer; so neither the context nor its buffer is ever built as a shape.
+    """
+    check_buffers(study_buffer_m, context_m, max(context_m, 80000.0))
+    pieces, outline = dissolved(source.distinct().select(F.lit("source").alias("code"), F.xxhash64("rings").alias("part"), "rings"))
+    rim = cut(S.segment_bounds(outline.select(F.col("code").alias("source"), "s")))
+    parts = cut(S.edge_cells(rim.select("source", F.col("s").alias("e")), ["source"], STUDY_CELL_M))
+    ends = "flatten(transform(edges, be -> array(named_struct('x', be.x0, 'y', be.y0), named_struct('x', be.x1, 'y', be.y1))))"
+    inside = S.overlap_areas(areas.pieces, G.with_bounds(parts, ends), "code", "source", CONTEXT_CELL_M, areas.outline).select("code", "overlap_m2")
+    near = near_shapes(rim, "source", areas.pieces, context_m + study_buffer_m, strict=True).select("code").unionByName(
+        near_shapes(rim, "source", extents, context_m, strict=True).select("code")
+    ).distinct().withColumn("near", F.lit(True))
+    return areas.areas.join(inside, "code", "left").join(near, "code", "left").select(
+        "code", F.expr("near is not null or coalesce(overlap_m2, 0D) < area_m2 * (1 - 1e-9D)").alias("limited")
+    )
+
+
 def _offsets(reach: float) -> str:
     """Cell offsets whose whole cells lie within ``reach`` cell widths of each other."""
     steps = range(-int(reach), int(reach) + 1)
@@ -139,7 +259,7 @@ def select_sites(shapes: DataFrame, outline: DataFrame, studies: DataFrame, stud
     core than the buffer shares area with the grown study, so a distance test replaces the buffer shape.
     """
     check_buffers(study_buffer_m)
-    pieces = S.polygon_pieces(studies.select("code", "rings"))
+    pieces = study_pieces(studies)
     core = S.overlap_areas(
         shapes.select(F.col("node").alias("site_id"), "edges", *S.BOUNDS), pieces, "site_id", "code",
         CONTEXT_CELL_M, S.segment_bounds(outline.select("site_id", "s")),
@@ -156,7 +276,7 @@ def select_sites(shapes: DataFrame, outline: DataFrame, studies: DataFrame, stud
 
 def context_extents(studies: DataFrame, shapes: DataFrame, selected: DataFrame) -> DataFrame:
     """Shapes whose surroundings form the context: the study itself and its selected sites, as pieces."""
-    own = S.polygon_pieces(studies.select("code", "rings")).select("code", "edges", *S.BOUNDS)
+    own = study_pieces(studies)
     sites = shapes.join(selected.select("code", F.col("site_id").alias("node")), "node")
     return own.unionByName(sites.select("code", "edges", *S.BOUNDS))
 
@@ -216,7 +336,7 @@ def boundary_nodes(routes_cut: DataFrame, sites_cut: DataFrame) -> DataFrame:
 
 
 def prepare_region(inputs, study: DataFrame, buffer_m: float, study_buffer_m: float = 0.0):
-    """Inputs of a run over one study area (``code, name, rings``) and its context of ``buffer_m``.
+    """Inputs of a run over one study area (``code, rings`` or pieces of ``study_areas``) and its context of ``buffer_m``.
 
     Takes and returns ``analyse.Inputs``.  Sites, hints, barriers and routes of the context are kept whole; what its edge cuts
     becomes ``boundary_nodes``.  Every table that later steps read more than once is written, so
@@ -224,7 +344,6 @@ def prepare_region(inputs, study: DataFrame, buffer_m: float, study_buffer_m: fl
     """
     from dataclasses import replace
 
-    from strollgraph.operators import sites as D
     from strollgraph.plans.analyse import walkable
 
     catalogue = inputs.catalogue
