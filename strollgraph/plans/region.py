@@ -275,15 +275,28 @@ def select_sites(shapes: DataFrame, outline: DataFrame, studies: DataFrame, stud
 
 
 def context_extents(studies: DataFrame, shapes: DataFrame, selected: DataFrame) -> DataFrame:
-    """Shapes whose surroundings form the context: the study itself and its selected sites, as pieces."""
-    own = study_pieces(studies)
+    """Shapes whose surroundings form the context: the study itself (``own``) and its selected sites, as pieces."""
+    own = study_pieces(studies).withColumn("own", F.lit(True))
     sites = shapes.join(selected.select("code", F.col("site_id").alias("node")), "node")
-    return own.unionByName(sites.select("code", "edges", *S.BOUNDS))
+    return own.unionByName(sites.select("code", "edges", *S.BOUNDS, F.lit(False).alias("own")))
 
 
-def context_routes(routes: DataFrame, extents: DataFrame, buffer_m: float) -> DataFrame:
+def grown(extents: DataFrame, radius_m: float, study_buffer_m: float) -> list[tuple[DataFrame, float]]:
+    """Extents with the distance their context reaches: the study itself goes further by the study buffer."""
+    if study_buffer_m == 0:
+        return [(extents, radius_m)]
+    return [(extents.where("own"), radius_m + study_buffer_m), (extents.where("not own"), radius_m)]
+
+
+def near_context(segments: DataFrame, key: str, extents: DataFrame, buffer_m: float, study_buffer_m: float = 0.0) -> DataFrame:
+    """Pairs of ``key`` and ``code`` of all shapes that meet a context."""
+    parts = [near_shapes(segments, key, shapes, reach) for shapes, reach in grown(extents, buffer_m, study_buffer_m)]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]).distinct()
+
+
+def context_routes(routes: DataFrame, extents: DataFrame, buffer_m: float, study_buffer_m: float = 0.0) -> DataFrame:
     """Routes that meet the context of a study: ``code, route_index``."""
-    return near_shapes(S.path_segments(routes, ["route_index"]).drop("edge_no"), "route_index", extents, buffer_m)
+    return near_context(S.path_segments(routes, ["route_index"]).drop("edge_no"), "route_index", extents, buffer_m, study_buffer_m)
 
 
 def _not_surely_within(segments: DataFrame, key: str, extents: DataFrame, radius_m: float) -> DataFrame:
@@ -296,38 +309,42 @@ def _not_surely_within(segments: DataFrame, key: str, extents: DataFrame, radius
     return cut(S.segment_bounds(open_segments))
 
 
-def beyond_context(segments: DataFrame, key: str, extents: DataFrame, radius_m: float) -> DataFrame:
-    """Pairs ``code, key`` with some part further than ``radius_m`` from the extents.
+def beyond_context(segments: DataFrame, key: str, extents: DataFrame, radius_m: float, study_buffer_m: float = 0.0) -> DataFrame:
+    """Pairs ``code, key`` with some part further than ``radius_m`` from the extents (and the study buffer from the study).
 
     ``segments``: ``key, code, s`` and bounds of the pairs to test.
     """
     own = F.col("a_code") == F.col("b_code")
-    if radius_m > 0:
-        segments = _not_surely_within(segments, key, extents, radius_m)
+    reaches = grown(extents, radius_m, study_buffer_m)
+    for shapes, reach in reaches:
+        if reach > 0:
+            segments = _not_surely_within(segments, key, shapes, reach)
     inside = S.covered_spans(segments, extents, CONTEXT_CELL_M, own).select(
         F.col("a_code").alias("code"), F.col(f"a_{key}").alias(key), F.col("a_s").alias("s"), "t0", "t1"
     )
-    edges = S.outline_segments(extents, ["code"]).drop("edge_no")
-    pairs = S.near_pairs(segments, edges, radius_m, max(CONTEXT_CELL_M, radius_m), own).withColumn(
-        "p", G.keep(G.capsule_span("a_s", "b_s", radius_m), "c", "c is not null")
-    )
-    band = pairs.select(
-        F.col("a_code").alias("code"), F.col(f"a_{key}").alias(key), F.col("a_s").alias("s"), "p.t0", "p.t1"
-    )
-    full = S.union_measures(inside.unionByName(band), ["code", key, "s"], {"u": F.lit(True)}).where("u >= 1 - 1e-9")
+    covered = inside
+    for shapes, reach in reaches:
+        edges = S.outline_segments(shapes, ["code"]).drop("edge_no")
+        pairs = S.near_pairs(segments, edges, reach, max(CONTEXT_CELL_M, reach), own).withColumn(
+            "p", G.keep(G.capsule_span("a_s", "b_s", reach), "c", "c is not null")
+        )
+        covered = covered.unionByName(pairs.select(
+            F.col("a_code").alias("code"), F.col(f"a_{key}").alias(key), F.col("a_s").alias("s"), "p.t0", "p.t1"
+        ))
+    full = S.union_measures(covered, ["code", key, "s"], {"u": F.lit(True)}).where("u >= 1 - 1e-9")
     return segments.join(full, ["code", key, "s"], "left_anti").select("code", key).distinct()
 
 
-def cut_routes(routes: DataFrame, selected: DataFrame, extents: DataFrame, buffer_m: float) -> DataFrame:
+def cut_routes(routes: DataFrame, selected: DataFrame, extents: DataFrame, buffer_m: float, study_buffer_m: float = 0.0) -> DataFrame:
     """Context routes that come within 5 m of the context edge: ``code, route_index``."""
     segments = S.path_segments(routes, ["route_index"]).drop("edge_no").join(selected, "route_index")
-    return beyond_context(segments, "route_index", extents, max(buffer_m - EDGE_SLACK_M, 0.0))
+    return beyond_context(segments, "route_index", extents, max(buffer_m - EDGE_SLACK_M, 0.0), study_buffer_m)
 
 
-def cut_sites(shapes: DataFrame, pairs: DataFrame, extents: DataFrame, buffer_m: float) -> DataFrame:
+def cut_sites(shapes: DataFrame, pairs: DataFrame, extents: DataFrame, buffer_m: float, study_buffer_m: float = 0.0) -> DataFrame:
     """Context sites or hints not covered by the context: ``code, node``; ``pairs`` has ``code, node``."""
     segments = S.outline_segments(shapes.select("node", "edges"), ["node"]).drop("edge_no").join(pairs, "node")
-    return beyond_context(segments, "node", extents, buffer_m)
+    return beyond_context(segments, "node", extents, buffer_m, study_buffer_m)
 
 
 def boundary_nodes(routes_cut: DataFrame, sites_cut: DataFrame) -> DataFrame:
@@ -350,9 +367,10 @@ def prepare_region(inputs, study: DataFrame, buffer_m: float, study_buffer_m: fl
     shapes = cut(D.site_shapes(catalogue.membership, catalogue.components).select("node", "edges", *S.BOUNDS))
     chosen = cut(select_sites(shapes, catalogue.outline, study, study_buffer_m))
     extents = cut(context_extents(study, shapes, chosen))
-    route_pairs = cut(context_routes(inputs.routes, extents, buffer_m))
+    reach = (extents, buffer_m, study_buffer_m)
+    route_pairs = cut(context_routes(inputs.routes, *reach))
     outline = lambda df: S.outline_segments(df, ["node"]).drop("edge_no")
-    site_pairs = cut(near_shapes(outline(shapes), "node", extents, buffer_m))
+    site_pairs = cut(near_context(outline(shapes), "node", *reach))
     own = chosen.select(F.col("site_id").alias("node"))
     near_sites = cut(site_pairs.select("node").unionByName(own).distinct().withColumnRenamed("node", "site_id"))
     here = lambda df: df.join(near_sites, "site_id", "left_semi")
@@ -364,17 +382,17 @@ def prepare_region(inputs, study: DataFrame, buffer_m: float, study_buffer_m: fl
     first = G.segment("path[0].x", "path[0].y", "path[0].x", "path[0].y")
     spots = S.segment_bounds(inputs.barriers.select("node_id", F.expr(first).alias("s")))
     lines = S.path_segments(inputs.barriers, ["node_id"]).drop("edge_no")
-    near_barriers = near_shapes(spots.unionByName(lines), "node_id", extents, buffer_m).select("node_id").distinct()
+    near_barriers = near_context(spots.unionByName(lines), "node_id", *reach).select("node_id").distinct()
     routes = cut(inputs.routes.join(route_pairs.select("route_index").distinct(), "route_index", "left_semi"))
-    cut_nodes = cut_sites(shapes, site_pairs, extents, buffer_m)
+    cut_nodes = cut_sites(shapes, site_pairs, *reach)
     hints = None
     if inputs.hints is not None:
         pieces = cut(S.polygon_pieces(walkable(inputs.hints).select(F.col("site_id").alias("node"), "rings")).select("node", "edges", *S.BOUNDS))
-        hint_pairs = cut(near_shapes(outline(pieces), "node", extents, buffer_m))
+        hint_pairs = cut(near_context(outline(pieces), "node", *reach))
         near_hints = hint_pairs.select(F.col("node").alias("site_id")).distinct()
         hints = cut(inputs.hints.join(near_hints, "site_id", "left_semi"))
-        cut_nodes = cut_nodes.unionByName(cut_sites(pieces, hint_pairs, extents, buffer_m))
-    edge = boundary_nodes(cut_routes(routes, route_pairs, extents, buffer_m), cut_nodes)
+        cut_nodes = cut_nodes.unionByName(cut_sites(pieces, hint_pairs, *reach))
+    edge = boundary_nodes(cut_routes(routes, route_pairs, *reach), cut_nodes)
     return replace(
         inputs, catalogue=local, routes=routes, barriers=cut(inputs.barriers.join(near_barriers, "node_id", "left_semi")),
         hints=hints, boundary_nodes=cut(edge),

@@ -69,3 +69,19 @@ def test_a_source_limits_a_study_by_distance(spark):
     assert limited([box(60000, 0, 61000, 1000)], 100.0) == {"near", "far"}
     site = areas.pieces.sparkSession.createDataFrame([("far", box(15500, 14000, 15600, 14100))], f"code string, rings {G.RINGS}")
     assert limited(extracts, 1950.0, 0.0, Z.study_pieces(site)) == {"far"}
+
+
+def test_a_study_buffer_widens_the_context_of_the_study_only(spark):
+    study = spark.createDataFrame([("s", box(0, 0, 100, 100))], f"code string, rings {G.RINGS}")
+    site = Z.study_pieces(spark.createDataFrame([("node-1", box(90, 0, 300, 100))], f"code string, rings {G.RINGS}")).withColumnRenamed("code", "node")
+    chosen = spark.createDataFrame([("s", "node-1")], "code string, site_id string")
+    extents = Z.context_extents(study, site, chosen)
+    # Left of the study 0 within 50, 1 at 100 within buffer and study buffer, 2 beyond both; right of the site 3 within 50, 4 beyond; 5 crosses the edge.
+    paths = [(-40, -30), (-100, -90), (-170, -160), (320, 330), (360, 370), (-160, -60)]
+    routes = spark.createDataFrame([(i, [(float(a), 50.0), (float(b), 50.0)]) for i, (a, b) in enumerate(paths)], f"route_index bigint, path {G.PATH}")
+    found = lambda df: {r["route_index"] for r in df.collect()}
+    near = Z.context_routes(routes, extents, 50.0, 100.0)
+    assert found(near) == {0, 1, 3, 5}
+    assert found(Z.context_routes(routes, extents, 50.0)) == {0, 3}
+    assert found(Z.cut_routes(routes, near, extents, 50.0, 100.0)) == {5}
+    assert found(Z.cut_routes(routes, near, extents, 50.0)) == {1, 5}
