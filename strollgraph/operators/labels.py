@@ -16,6 +16,7 @@ from strollgraph.session import cut
 BOUNDARY_CELL_M = 1000.0
 NEAREST_LIMIT_M = 10000.0
 FIRST_RADIUS_M = 50.0
+NEAREST_CELL_M = 125.0
 
 
 def overlay_areas(shapes: DataFrame, outline: DataFrame, boundaries: DataFrame, key: str = "site_id") -> DataFrame:
@@ -89,9 +90,10 @@ def meets_polygon(shapes: DataFrame, polygons: DataFrame, keep: list[str], cell:
 def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_LIMIT_M) -> DataFrame:
     """Straight-line distance from every site to the closest route of any tier: ``site_id, nearest_mapped_route_m``.
 
-    The grid cells that routes run in stand for them until the end.  A site looks around in ever coarser cells until it meets an occupied one, which
-    bounds its distance from above; the fine cells no further away than that bound it again; and only the segments in the
-    cells that this leaves are measured.  Sites with nothing within the last ring get NULL.
+    The grid cells that routes run in stand for them first.  A site looks around in ever coarser cells until it meets an occupied one, which
+    bounds its distance from above; the fine cells no further away than that bound it again.  The segments in the cells that this leaves are
+    bounded by their boxes in plain arithmetic, and only those that can be the nearest are measured.  Sites with nothing within the last
+    ring get NULL.
     """
     sites = shapes.select("node").distinct()
     if limit < FIRST_RADIUS_M:
@@ -99,12 +101,22 @@ def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_
     last = FIRST_RADIUS_M
     while last * 2 <= limit:
         last *= 2
-    size = S.DEFAULT_CELL_M
+    size = NEAREST_CELL_M
     levels = max(0, math.ceil(math.log2(last / size)))
-    segments = cut(S.cell_segments(S.path_segments(routes, []).select("s"), size))
+    segments = cut(S.segment_bounds(S.cell_segments(S.path_segments(routes, []).select("s"), size)))
     occupied = cut(segments.select("_cx", "_cy").distinct())
+    # The outline touches every side of the box of its real edges; a piece without such edges lies inside the site as a whole.
     kept = "if(exists(edges, e -> not e.drawn), filter(edges, e -> not e.drawn), edges)"
-    pieces = cut(shapes.select("node", "edges", *S.BOUNDS).withColumn("_piece", F.monotonically_increasing_id()))
+    ends = "flatten(transform(kept, ke -> array(named_struct('x', ke.x0, 'y', ke.y0), named_struct('x', ke.x1, 'y', ke.y1))))"
+    pieces = cut(
+        shapes.select("node", "edges", *S.BOUNDS)
+        .withColumn("_piece", F.monotonically_increasing_id())
+        .withColumns({
+            f"_{side}{axis}": F.expr(G.let(kept, "kept", f"array_{side}(transform({ends}, pt -> pt.{axis}))"))
+            for axis in ("x", "y") for side in ("min", "max")
+        })
+    )
+    boxes = pieces.drop("edges")
 
     def around(df: DataFrame, level: int, reach: str) -> DataFrame:
         """Cells of a level that come within ``reach`` of the box of a piece."""
@@ -113,13 +125,18 @@ def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_
             df = df.withColumn(f"_c{axis}", F.expr(f"explode({G.tile_range(f'{axis}min - {reach}', f'{axis}max + {reach}', g)})"))
         return df
 
+    def furthest(x: str, y: str) -> str:
+        """The outline is no further from a point than this (squared): it touches the nearer of two sides somewhere."""
+        close = lambda a, v: f"least(abs({v} - _min{a}), abs({v} - _max{a}))"
+        wide = lambda a, v: f"greatest(abs({v} - _min{a}), abs({v} - _max{a}))"
+        return f"least(pow({close('x', x)}, 2) + pow({wide('y', y)}, 2), pow({close('y', y)}, 2) + pow({wide('x', x)}, 2))"
+
     def bound(g: str) -> Column:
         """No route point of a cell is further from the piece than this: way to its middle and half its diagonal."""
-        middle = G.segment(f"(_cx + 0.5D) * {g}", f"(_cy + 0.5D) * {g}", f"(_cx + 0.5D) * {g}", f"(_cy + 0.5D) * {g}")
-        return F.expr(f"sqrt({G.let(middle, 'mid', G.nearest_link('mid', kept))}.d2) + {g} * 0.7072D")
+        return F.expr(f"sqrt({furthest(f'(_cx + 0.5D) * {g}', f'(_cy + 0.5D) * {g}')}) + {g} * 0.7072D")
 
     found: list[DataFrame] = []
-    open_pieces = pieces
+    open_pieces = boxes
     for level in range(levels + 1):
         g = size * 2**level
         coarse = occupied.select(F.shiftright("_cx", level).alias("_cx"), F.shiftright("_cy", level).alias("_cy")).distinct()
@@ -130,20 +147,31 @@ def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_
         if open_pieces.isEmpty():
             break
     reach = cut(reduce(DataFrame.unionByName, found))
-    gap = lambda axis: f"greatest({axis}min - (_c{axis} + 1) * {size}D, _c{axis} * {size}D - {axis}max, 0D)"
+    gap = lambda axis, low, high: f"greatest({axis}min - {high}, {low} - {axis}max, 0D)"
+    cell_gap2 = " + ".join(f"pow({gap(a, f'_c{a} * {size}D', f'(_c{a} + 1) * {size}D')}, 2)" for a in ("x", "y"))
     near: list[DataFrame] = []
     for level in range(len(found)):
         fine = occupied.select(F.shiftright("_cx", level).alias("_kx"), F.shiftright("_cy", level).alias("_ky"), "_cx", "_cy")
-        wide = around(pieces.join(reach.where(F.col("_level") == level), "node"), level, "_far").withColumnsRenamed({"_cx": "_kx", "_cy": "_ky"})
-        near.append(wide.join(fine, ["_kx", "_ky"]).where(f"{gap('x')} * {gap('x')} + {gap('y')} * {gap('y')} <= _far * _far").select(
-            "node", "_piece", "_cx", "_cy", F.expr(f"{gap('x')} * {gap('x')} + {gap('y')} * {gap('y')}").alias("_gap2"), bound(f"{size}D").alias("_near")
+        wide = around(boxes.join(reach.where(F.col("_level") == level), "node"), level, "_far").withColumnsRenamed({"_cx": "_kx", "_cy": "_ky"})
+        near.append(wide.join(fine, ["_kx", "_ky"]).where(f"{cell_gap2} <= _far * _far").select(
+            "node", "_piece", "_cx", "_cy", F.expr(cell_gap2).alias("_gap2"), bound(f"{size}D").alias("_near")
         ))
     cells = cut(reduce(DataFrame.unionByName, near))
     closest = cells.groupBy("node").agg((F.min("_near") + 1e-6).alias("_near"))
     left = cells.drop("_near").join(closest, "node").where("_gap2 <= _near * _near").select("_piece", "_cx", "_cy")
-    pairs = (
-        left.join(pieces.select("_piece", F.col("node").alias("b_node"), F.col("edges").alias("b_edges")), "_piece")
-        .join(segments.select("_cx", "_cy", F.col("s").alias("a_s")), ["_cx", "_cy"])
+    routed = segments.select("_cx", "_cy", "s", *[F.col(c).alias(f"_s{c}") for c in S.BOUNDS])
+    low2 = " + ".join(f"pow({gap(a, f'_s{a}min', f'_s{a}max')}, 2)" for a in ("x", "y"))
+    measured = cut(
+        left.repartition("_cx", "_cy").join(boxes, "_piece").join(routed, ["_cx", "_cy"]).select(
+            "node", "_piece", "s", F.expr(low2).alias("_low2"),
+            F.expr(f"least({furthest('s.x0', 's.y0')}, {furthest('s.x1', 's.y1')})").alias("_high2"),
+        )
+    )
+    best_high = measured.groupBy("node").agg((F.sqrt(F.min("_high2")) + 1e-6).alias("_high"))
+    # A segment that runs in several cells comes once for each.
+    candidates = measured.join(best_high, "node").where("_low2 <= _high * _high").groupBy("_piece", "s").agg(F.count("*").alias("_n"))
+    pairs = candidates.select("_piece", F.col("s").alias("a_s")).repartition("_piece").join(
+        pieces.select("_piece", F.col("node").alias("b_node"), F.col("edges").alias("b_edges")), "_piece"
     )
     best = S.link_distance(pairs, last).groupBy(F.col("b_node").alias("node")).agg(F.min("link.d2").alias("d2"))
     return sites.join(best, "node", "left").select(

@@ -43,7 +43,8 @@ def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M, edge_cell: f
     ``edge_cell``, so that no row holds more than the edges of one small cell.  Cutting shows nowhere but in the number of rows.
     ``whole`` holds the area, the lower left corner and a point inside of the uncut polygon.
     """
-    bounded = whole_polygons(polygons).withColumn("whole", F.struct(
+    # Few bytes make much work here and in what follows, so the rows of a small file are dealt to all cores first.
+    bounded = whole_polygons(polygons.repartition(F.xxhash64("rings"))).withColumn("whole", F.struct(
         F.expr(f"round({G.signed_area('edges')}, 6)").alias("area"), F.col("xmin"), F.col("ymin"),
         F.expr(G.inner_point("edges", "xmin", "ymin", "xmax", "ymax")).alias("inner"),
     ))
@@ -196,7 +197,8 @@ def near_pairs(
     once = " and ".join(
         f"{G.tile_index(f'greatest(a_{axis}min - {pad}D, b_{axis}min)', cell)} = _c{axis}" for axis in ("x", "y")
     )
-    joined = a.join(b, ["_cx", "_cy"]).where(f"{meets} and {once}")
+    # Dealt by cell even if the other side is broadcast: what follows costs by the pair, and a small file is one task.
+    joined = a.repartition("_cx", "_cy").join(b, ["_cx", "_cy"]).where(f"{meets} and {once}")
     if condition is not None:
         joined = joined.where(condition)
     return joined.drop("_cx", "_cy")

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Tile joins feed aggregates on other keys, so splitting a hot tile is worth one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Kernels cost far more than their rows weigh: partitions are coalesced to the number of cores, not to a megabyte.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
 }
 
 

@@ -52,3 +52,13 @@ def test_no_routes_and_a_small_limit(spark):
     one = spark.createDataFrame([(1, [(0.0, 0.0), (1.0, 0.0)])], ROUTES)
     assert [tuple(r) for r in L.nearest_routes(pieces, one, 10.0).collect()] == [("a", None)]
     assert [tuple(r) for r in L.nearest_routes(pieces, one).collect()] == [("a", 0.0)]
+
+
+def test_measures_only_segments_that_can_be_nearest(spark, monkeypatch):
+    """Most segments of the cells around a site are ruled out by their boxes; the kernels see the rest."""
+    pieces = S.polygon_pieces(spark.createDataFrame([("a", [ring(0, 0, 20, 20)])], f"node string, rings {G.RINGS}"))
+    routes = spark.createDataFrame([(i, [(0.0, 25.0 + i), (10.0, 25.0 + i)]) for i in range(90)], ROUTES)
+    seen, measure = [], S.link_distance
+    monkeypatch.setattr(S, "link_distance", lambda pairs, d: seen.append(pairs.count()) or measure(pairs, d))
+    assert [tuple(r) for r in L.nearest_routes(pieces, routes).collect()] == [("a", 5.0)]
+    assert 0 < sum(seen) < 40
