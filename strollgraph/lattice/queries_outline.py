@@ -24,7 +24,8 @@ CORNERS = (("-1000", "0"), ("1200", "0"), ("1200", "1000"), ("a", "1000"), ("a",
 def corners(data: DataFrame) -> DataFrame:
     """``k, cx, a, at``: key, middle, half width and corners of every supplier's U."""
     listed = ", ".join(G.point(f"cx + {x}", y) for x, y in CORNERS)
-    return data.selectExpr("s_suppkey as k", "60000D * s_suppkey as cx", "300D + s_nationkey as a").withColumn("at", F.expr(f"array({listed})"))
+    # A row becomes hundreds of points: the few rows of a small file are dealt to all cores first.
+    return data.repartition("s_suppkey").selectExpr("s_suppkey as k", "60000D * s_suppkey as cx", "300D + s_nationkey as a").withColumn("at", F.expr(f"array({listed})"))
 
 
 def drawn(us: DataFrame, parts: int) -> DataFrame:
@@ -40,14 +41,15 @@ def drawn(us: DataFrame, parts: int) -> DataFrame:
 
 def shapes(x) -> DataFrame:
     """Pieces of the fine drawing with the supplier as node."""
-    return S.polygon_pieces(drawn(corners(x.table("supplier")), PARTS).select(F.col("k").alias("node"), "rings"))
+    return S.polygon_pieces(cut(drawn(corners(x.table("supplier")), PARTS).select(F.col("k").alias("node"), "rings")))
 
 
 def land(x, parts: int) -> DataFrame:
     key = F.concat(F.lit("u"), F.col("k").cast("string"))
-    return drawn(corners(x.table("supplier")), parts).select(
+    # A table of known size: the planner takes drawn rings for a few bytes and would broadcast them.
+    return cut(drawn(corners(x.table("supplier")), parts).select(
         key.alias("component_id"), key.alias("source_id"), F.lit("").alias("name"), F.lit("{}").alias("source_attributes"), "rings"
-    )
+    ))
 
 
 @query("b10_outline_hash", "SELECT concat('u', s_suppkey) AS component_id, true AS same FROM supplier")

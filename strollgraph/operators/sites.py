@@ -35,12 +35,15 @@ def collapse_copies(land: DataFrame) -> DataFrame:
     A stack of copies then costs one edge per copy instead of one per pair.  Hashes only deal the
     rows; the rings themselves decide what is a copy.
     """
-    shaped = G.with_bounds(land.select("component_id", "rings"), "flatten(rings)").select(
-        "component_id", F.xxhash64("rings").alias("shape"), "rings", *S.BOUNDS
-    )
-    key = ["shape", "rings", *S.BOUNDS]
-    least = shaped.groupBy(*key).agg(F.min("component_id").alias("rep"))
-    return shaped.join(least, key).select("component_id", "rep")
+    shaped = land.select("component_id", F.xxhash64("rings").alias("shape"), "rings")
+    hashed = shaped.drop("rings")
+    # Rings move only where a hash occurs twice, and as a table of known size: the planner takes derived rings for a few bytes and would broadcast them.
+    shared = hashed.groupBy("shape").agg(F.count("*").alias("n")).where("n > 1").select("shape")
+    alone = hashed.join(shared, "shape", "left_anti").select("component_id", F.col("component_id").alias("rep"))
+    twins = cut(shaped.join(shared, "shape", "left_semi"))
+    key = ["shape", "rings"]
+    least = twins.groupBy(*key).agg(F.min("component_id").alias("rep"))
+    return alone.unionByName(twins.join(least, key).select("component_id", "rep"))
 
 
 def touching_spans(a: DataFrame, b: DataFrame) -> DataFrame:
