@@ -1,6 +1,6 @@
 """Inputs and stage tables of one lattice, shared by the registered queries.
 
-Stages are checkpointed once per application and data folder, as a production run would write
+Stages, and the inputs that many of them read, are checkpointed once per application and data folder, as a production run would write
 them as tables; ``forget`` drops them so that a timing starts cold.
 """
 
@@ -28,15 +28,15 @@ class Lattice:
 
     @cached_property
     def land(self) -> DataFrame:
-        return T.land(self.spark, self.sf_dir)
+        return cut(T.land(self.spark, self.sf_dir))
 
     @cached_property
     def routes(self) -> DataFrame:
-        return T.routes(self.spark, self.sf_dir)
+        return cut(T.routes(self.spark, self.sf_dir))
 
     @cached_property
     def barriers(self) -> DataFrame:
-        return T.barriers(self.spark, self.sf_dir)
+        return cut(T.barriers(self.spark, self.sf_dir))
 
     @cached_property
     def hints(self) -> DataFrame:

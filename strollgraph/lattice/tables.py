@@ -120,12 +120,17 @@ def derive(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame
     return spark.sql(literal, **{name: table(spark, sf_dir, name) for name in names})
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows of a small file on all cores: policies and kernels cost far more than their bytes."""
+    return df.repartition(key)
+
+
 def with_box(df: DataFrame) -> DataFrame:
     return df.withColumn("rings", F.expr(G.box_rings("x0", "y0", "x1", "y1")))
 
 
 def land(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_box(derive(spark, sf_dir, LAND_SQL, "part"))
+    return with_box(dealt(derive(spark, sf_dir, LAND_SQL, "part"), "component_id"))
 
 
 def route_tags() -> "F.Column":
@@ -135,7 +140,7 @@ def route_tags() -> "F.Column":
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = derive(spark, sf_dir, ROUTES_SQL, "orders").withColumn(
+    raw = dealt(derive(spark, sf_dir, ROUTES_SQL, "orders"), "route_index").withColumn(
         "verdict", P.pedestrian(route_tags(), F.col("official"))
     )
     node = lambda c: F.when(F.col("official"), "").otherwise(F.concat(F.lit("osm:"), F.col(c)))
@@ -152,7 +157,7 @@ def barrier_tags() -> "F.Column":
 
 
 def barriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, BARRIERS_SQL, "customer").select(
+    return dealt(derive(spark, sf_dir, BARRIERS_SQL, "customer"), "barrier_no").select(
         "barrier_no", F.col("node_no").cast("string").alias("node_id"),
         P.barrier_blocks(barrier_tags()).alias("blocking"), "x", "y", F.expr(f"array({G.point('x', 'y')})").alias("path"),
     )

@@ -140,13 +140,14 @@ def form_sites(land: DataFrame) -> Catalogue:
     """Group touching components into sites with ids, names, counts and union area."""
     copies = cut(collapse_copies(land))
     unique = land.join(copies.where("component_id = rep").select("component_id"), "component_id", "left_semi")
-    pieces = S.polygon_pieces(unique.select("component_id", "rings"))
+    # Pieces and outline are read several times below, so both are made once.
+    pieces = cut(S.polygon_pieces(unique.select("component_id", "rings")))
     spans = cut(touching_spans(pieces, pieces))
     roots = connected_components(touching_pairs(spans)).withColumnsRenamed({"node": "rep"})
     grouped = copies.join(roots, "rep", "left").select("component_id", F.coalesce("root", "rep").alias("root"))
     members = cut(land.select("component_id", "source_id", "name").join(grouped, "component_id"))
     rolled = site_rollup(members, "root")
-    outline = union_outline(pieces, spans).join(members.select("component_id", "root"), "component_id")
+    outline = cut(union_outline(pieces, spans).join(members.select("component_id", "root"), "component_id"))
     area = outline_area(outline, "root")
     shape = outline_hash(outline, "root")
     keyed = cut(rolled.join(area, "root").join(shape, "root"))

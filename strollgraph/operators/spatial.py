@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strollgraph.functions import geometry as G
+from strollgraph.session import cut as store
 
 BOUNDS = ("xmin", "ymin", "xmax", "ymax")
 DEFAULT_CELL_M = 250.0
@@ -43,18 +44,21 @@ def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M, edge_cell: f
     ``edge_cell``, so that no row holds more than the edges of one small cell.  Cutting shows nowhere but in the number of rows.
     ``whole`` holds the area, the lower left corner and a point inside of the uncut polygon.
     """
-    # Few bytes make much work here and in what follows, so the rows of a small file are dealt to all cores first.
-    bounded = whole_polygons(polygons.repartition(F.xxhash64("rings"))).withColumn("whole", F.struct(
-        F.expr(f"round({G.signed_area('edges')}, 6)").alias("area"), F.col("xmin"), F.col("ymin"),
-        F.expr(G.inner_point("edges", "xmin", "ymin", "xmax", "ymax")).alias("inner"),
-    ))
     fits = lambda size: " and ".join(f"{G.tile_index(f'{a}min', size)} = {G.tile_index(f'{a}max', size)}" for a in ("x", "y"))
-    many = f"size(edges) > {FEW_EDGES} and not ({fits(edge_cell)})"
-    light = bounded.where(f"not ({many})")
-    one = fits(cell)
+    # Few bytes make much work here and in what follows, so the rows of a small file are dealt to all cores first.  The kernels of a whole
+    # polygon run once: its edges become a table, where the three ways below and every reader after them only filter.
+    bounded = store(whole_polygons(polygons.repartition(F.xxhash64("rings"))).withColumns({
+        "whole": F.struct(
+            F.expr(f"round({G.signed_area('edges')}, 6)").alias("area"), F.col("xmin"), F.col("ymin"),
+            F.expr(G.inner_point("edges", "xmin", "ymin", "xmax", "ymax")).alias("inner"),
+        ),
+        "_many": F.expr(f"size(edges) > {FEW_EDGES} and not ({fits(edge_cell)})"),
+        "_one": F.expr(fits(cell)),
+    }))
+    light = bounded.where("not _many").drop("_many")
     window = (f"_cx * {cell}D", f"_cy * {cell}D", f"(_cx + 1) * {cell}D", f"(_cy + 1) * {cell}D")
     cut = (
-        light.where(f"not ({one})")
+        light.where("not _one").drop("_one")
         .withColumn("_cx", F.expr(f"explode({G.tile_range('xmin', 'xmax', cell)})"))
         .withColumn("_cy", F.expr(f"explode({G.tile_range('ymin', 'ymax', cell)})"))
         .withColumn("edges", G.keep(
@@ -64,12 +68,12 @@ def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M, edge_cell: f
     )
     # Equal rings are cut once; two hashes stand for them.
     shape = {"_ha": F.xxhash64("rings"), "_hb": F.xxhash64(F.lit(1), "rings")}
-    heavy = bounded.where(many).withColumns(shape)
+    heavy = bounded.where("_many").drop("_many", "_one").withColumns(shape)
     shapes = heavy.groupBy(*shape).agg(F.first("rings").alias("rings"))
     cells = edge_cells(shapes.select(*shape, F.expr(f"explode({G.polygon_edges('rings')})").alias("e")), list(shape), edge_cell)
     dealt = heavy.drop("edges", "rings", *BOUNDS).join(cells, list(shape)).drop(*shape)
     ends = "flatten(transform(edges, be -> array(named_struct('x', be.x0, 'y', be.y0), named_struct('x', be.x1, 'y', be.y1))))"
-    return light.where(one).unionByName(G.with_bounds(cut, ends)).drop("rings").unionByName(G.with_bounds(dealt, ends))
+    return light.where("_one").drop("_one").unionByName(G.with_bounds(cut, ends)).drop("rings").unionByName(G.with_bounds(dealt, ends))
 
 
 def _on_line(axis: str, line: str) -> str:
