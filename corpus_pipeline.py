@@ -23,8 +23,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the least id."""
-    return simhash.first_of_groups(docs)
+    """One document of each group stays: the one with the least id.  SimHash classes and the similar pairs outside them form the groups."""
+    return simhash.first_of_groups(docs, by_fingerprint=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
