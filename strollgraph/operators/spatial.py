@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strollgraph.functions import geometry as G
+from strollgraph.functions import kernels as M
 from strollgraph.session import cut as store
 
 BOUNDS = ("xmin", "ymin", "xmax", "ymax")
@@ -218,8 +219,7 @@ def covered_spans(
 
     Result: all prefixed input columns except the polygon edges, plus ``is_left``, ``t0``, ``t1``.
     """
-    pairs = G.with_cover(near_pairs(segments, polygons, 0.0, cell, condition), "a_s", "b_edges")
-    return explode_spans(pairs.drop("b_edges"))
+    return M.cover_rows(near_pairs(segments, polygons, 0.0, cell, condition), "a_s", "b_edges")
 
 
 def explode_spans(pairs: DataFrame) -> DataFrame:
@@ -326,17 +326,9 @@ def overlap_areas(
 def link_distance(df: DataFrame, distance: float) -> DataFrame:
     """Add ``left``, ``right`` (cover of ``a_s`` by ``b_edges``) and ``link``, its shortest connection.
 
-    Rows further apart than ``distance`` are dropped.  ``link.d2`` is 0 when the segment meets the shape.
+    Rows further apart than ``distance`` are dropped, and so are the edges.  ``link.d2`` is 0 when the segment meets the shape.
     """
-    covered = G.with_cover(df, "a_s", "b_edges")
-    is_point = "a_s.x0 = a_s.x1 and a_s.y0 = a_s.y1"
-    inside = (
-        f"(size(left) + size(right) > 0 or ({is_point} and {G.point_in_polygon('a_s.x0', 'a_s.y0', 'b_edges')}))"
-    )
-    at_start = "named_struct('d2', 0D, 'px', a_s.x0, 'py', a_s.y0, 'qx', a_s.x0, 'qy', a_s.y0)"
-    near = G.nearest_link("a_s", G.edges_near(G.outline_edges("b_edges"), "a_s", distance))
-    limit = float(distance) ** 2
-    return covered.withColumn("link", G.keep(f"if({inside}, {at_start}, {near})", "k", f"k.d2 <= {limit}D"))
+    return M.links_within(df, "a_s", "b_edges", distance)
 
 
 def segment_links(
