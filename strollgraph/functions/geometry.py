@@ -394,7 +394,9 @@ def inner_point(edges: str, xmin: str, ymin: str, xmax: str, ymax: str) -> str:
     """Point inside a polygon: middle of its widest stretch on the horizontal line at half height."""
     y = f"(({ymin} + {ymax}) / 2D)"
     scan = segment(xmin, y, xmax, y)
-    stretches = let(scan, "sc", spans(crossings(relative_edges("sc", edges), True)))
+    # Edges clear of the line cross it nowhere; they are left out in plain comparisons.
+    met = f"filter({edges}, ie -> least(ie.y0, ie.y1) <= {y} + {10 * ON_LINE_M}D and greatest(ie.y0, ie.y1) >= {y} - {10 * ON_LINE_M}D)"
+    stretches = let(scan, "sc", spans(crossings(relative_edges("sc", met), True)))
     widest = f"array_max(transform({stretches}, p -> named_struct('w', p.t1 - p.t0, 'n', -p.t0, 't1', p.t1)))"
     at = let(widest, "wd", point(f"{xmin} + (wd.t1 - wd.n) / 2D * ({xmax} - {xmin})", y))
     return at

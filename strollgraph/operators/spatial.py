@@ -38,6 +38,20 @@ def whole_polygons(polygons: DataFrame) -> DataFrame:
     )
 
 
+def _whole() -> Column:
+    """Area, lower left corner and a point inside of ``edges``."""
+    return F.struct(
+        F.expr(f"round({G.signed_area('edges')}, 6)").alias("area"), F.col("xmin"), F.col("ymin"),
+        F.expr(G.inner_point("edges", "xmin", "ymin", "xmax", "ymax")).alias("inner"),
+    )
+
+
+def polygon_wholes(polygons: DataFrame) -> DataFrame:
+    """Only ``whole`` of ``polygon_pieces``, one row per polygon: nothing is cut or stored."""
+    kept = [c for c in polygons.columns if c != "rings"]
+    return whole_polygons(polygons).select(*kept, _whole().alias("whole"))
+
+
 def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M, edge_cell: float = EDGE_CELL_M) -> DataFrame:
     """Add marked ``edges`` and bounds, one row per grid cell that the polygon meets.
 
@@ -49,10 +63,7 @@ def polygon_pieces(polygons: DataFrame, cell: float = PIECE_CELL_M, edge_cell: f
     # Few bytes make much work here and in what follows, so the rows of a small file are dealt to all cores first.  The kernels of a whole
     # polygon run once: its edges become a table, where the three ways below and every reader after them only filter.
     bounded = store(whole_polygons(polygons.repartition(F.xxhash64("rings"))).withColumns({
-        "whole": F.struct(
-            F.expr(f"round({G.signed_area('edges')}, 6)").alias("area"), F.col("xmin"), F.col("ymin"),
-            F.expr(G.inner_point("edges", "xmin", "ymin", "xmax", "ymax")).alias("inner"),
-        ),
+        "whole": _whole(),
         "_many": F.expr(f"size(edges) > {FEW_EDGES} and not ({fits(edge_cell)})"),
         "_one": F.expr(fits(cell)),
     }))
