@@ -84,7 +84,7 @@ class Lattice:
 
     @cached_property
     def graph(self) -> A.Graph:
-        return A.build_graph(self.inputs, self.settings)
+        return A.build_graph(self.inputs, self.settings, self.shapes)
 
     @cached_property
     def classified(self) -> DataFrame:

@@ -122,9 +122,10 @@ def route_pieces(routes: DataFrame, tile: float, keep: list[str]) -> DataFrame:
             f"tile_{axis}", F.expr(f"explode(sequence({low}, {G.tile_index(f'{axis}max', tile)}))")
         )
     part = G.clip_segment("s", f"tile_x * {t}", f"tile_y * {t}", f"(tile_x + 1) * {t}", f"(tile_y + 1) * {t}")
-    return S.segment_bounds(
-        pieces.withColumn("s", G.keep(part, "e", "e is not null")).drop(*S.BOUNDS)
-    )
+    # Most segments lie within one tile and are taken as they are.
+    single = " and ".join(f"ceil({a}min / {t}) - 1 = {G.tile_index(f'{a}max', tile)}" for a in ("x", "y"))
+    clipped = F.expr(f"explode(if({single}, array(s), filter(array({part}), e -> e is not null)))")
+    return S.segment_bounds(pieces.withColumn("s", clipped).drop(*S.BOUNDS))
 
 
 def contact_facts(shapes: DataFrame, routes: DataFrame, distance: float, tile: float) -> DataFrame:

@@ -102,9 +102,11 @@ def node_kinds(routes: DataFrame, sites: DataFrame, hints: DataFrame | None) ->
     return kinds.unionByName(walkable(hints).select(F.col("site_id").alias("node"), F.lit("hint").alias("kind")))
 
 
-def build_graph(inputs: Inputs, settings: Settings) -> Graph:
+def build_graph(inputs: Inputs, settings: Settings, shapes: DataFrame | None = None) -> Graph:
+    """The graph of a run; ``shapes`` are the stored ``graph_shapes`` of the inputs where they were made before."""
     reach = settings.relaxed_m
-    shapes = cut(graph_shapes(inputs.catalogue, inputs.hints))
+    if shapes is None:
+        shapes = cut(graph_shapes(inputs.catalogue, inputs.hints))
     contacts = cut(
         N.tile_contacts(shapes, inputs.routes, inputs.barriers, reach, settings.tile_size_m, cut)
     )

@@ -32,3 +32,27 @@ def test_inputs_of_a_lattice_are_tables(spark):
     x = Lattice(spark, "/root/testdata/sf0.001")
     for table in (x.land, x.routes, x.barriers):
         assert table.inputFiles() and all("/stage-" in f for f in table.inputFiles())
+
+
+def test_graph_takes_the_stored_shapes(spark, monkeypatch):
+    from strollgraph.lattice import context as X
+
+    x = X.Lattice(spark, "/root/testdata/sf0.001")
+    x.shapes
+    monkeypatch.setattr(X.A, "graph_shapes", None)  # made before, so not made again
+    assert x.graph.shapes is x.shapes
+
+
+def test_route_pieces_keep_seams(spark):
+    from strollgraph.functions import geometry as G
+    from strollgraph.operators import network as N
+
+    paths = [[(10.0, 10.0), (90.0, 90.0)], [(50.0, 100.0), (150.0, 100.0)], [(100.0, 20.0), (100.0, 20.5)], [(-5.0, 0.0), (0.0, 0.0)]]
+    routes = spark.createDataFrame(list(enumerate(paths)), f"route_index int, path {G.PATH}")
+    got = {(r.route_index, r.tile_x, r.tile_y, *r.s) for r in N.route_pieces(routes, 100.0, ["route_index"]).collect()}
+    assert got == {
+        (0, 0, 0, 10.0, 10.0, 90.0, 90.0),
+        *[(1, tx, ty, *ends) for ty in (0, 1) for tx, ends in ((0, (50.0, 100.0, 100.0, 100.0)), (1, (100.0, 100.0, 150.0, 100.0)))],
+        (2, 0, 0, 100.0, 20.0, 100.0, 20.5), (2, 1, 0, 100.0, 20.0, 100.0, 20.5),
+        *[(3, -1, ty, -5.0, 0.0, 0.0, 0.0) for ty in (-1, 0)], *[(3, 0, ty, 0.0, 0.0, 0.0, 0.0) for ty in (-1, 0)],
+    }
