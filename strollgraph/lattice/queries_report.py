@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ class Extension:
     @cached_property
     def old(self) -> D.Catalogue:
         made = D.form_sites(self.x.land.where("not supplemental"))
-        return D.Catalogue(made.sites, cut(made.membership), cut(made.outline), made.components)
+        return replace(made, membership=cut(made.membership), outline=cut(made.outline))
 
     @cached_property
     def grown(self):
@@ -62,7 +63,8 @@ class Extension:
 
     @cached_property
     def overlaps(self):
-        return cut(H.site_overlaps(self.grown[0], self.old))
+        grown, previous = self.grown
+        return cut(H.site_overlaps(grown, self.old, previous.where("site_id = previous_site_id").select("site_id")))
 
     @cached_property
     def reconciled(self) -> H.Reconciled:

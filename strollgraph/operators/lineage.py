@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strollgraph.functions import policy as P
@@ -17,18 +17,29 @@ from strollgraph.session import cut
 SAME_AREA_M2 = 1e-6
 
 
-def extend_membership(old_membership: DataFrame, old_land: DataFrame, new_land: DataFrame) -> DataFrame:
-    """Group old sites and new components testing only pairs that involve a new component.
+def extend_sites(
+    old: D.Catalogue, new_land: DataFrame
+) -> tuple[D.Catalogue, DataFrame]:
+    """Catalogue with new components added, and ``site_id, previous_site_id`` of the old sites inside.
 
-    Result: ``component_id, root`` for old and new components alike, where ``root`` names the new group.
+    Only pairs that involve a new component are tested; the old pieces and their stretches are read where the catalogue keeps them.
+    Outlines are rebuilt only for groups that took in a new component.
     """
-    new = S.polygon_pieces(new_land.select("component_id", "rings"))
-    old = S.polygon_pieces(old_land.select("component_id", "rings"))
-    both = new.unionByName(old)
+    columns = ["component_id", "source_id", "name", "source_attributes", "rings"]
+    land = old.components.select(*columns).unionByName(new_land.select(*columns))
+    known = old.pieces
+    if known is None:
+        known = cut(S.polygon_pieces(old.components.select("component_id", "rings")))
+    copies = cut(D.collapse_copies(new_land))
+    unique = new_land.join(copies.where("component_id = rep").select("component_id"), "component_id", "left_semi")
+    fresh_pieces = cut(S.polygon_pieces(unique.select("component_id", "rings")))
+    both = known.unionByName(fresh_pieces)
     # New outlines against everything, and old outlines against new shapes for new parts inside old land.
-    spans = D.touching_spans(new, both).unionByName(D.touching_spans(old, new))
-    node = old_membership.select("component_id", F.concat(F.lit("old:"), "site_id").alias("node")).unionByName(
-        new_land.select("component_id", F.concat(F.lit("new:"), "component_id").alias("node"))
+    spans = cut(D.touching_spans(fresh_pieces, both).unionByName(D.touching_spans(known, fresh_pieces)))
+    node = cut(
+        old.membership.select("component_id", _old_node().alias("node")).unionByName(
+            copies.select("component_id", F.concat(F.lit("new:"), "rep").alias("node"))
+        )
     )
     pairs = (
         D.touching_pairs(spans)
@@ -36,57 +47,63 @@ def extend_membership(old_membership: DataFrame, old_land: DataFrame, new_land:
         .join(node.withColumnsRenamed({"component_id": "b", "node": "nb"}), "b")
     )
     roots = connected_components(pairs, "na", "nb")
-    return node.join(roots, "node", "left").select("component_id", F.coalesce("root", "node").alias("root"))
-
-
-def extend_sites(
-    old: D.Catalogue, new_land: DataFrame
-) -> tuple[D.Catalogue, DataFrame]:
-    """Catalogue with new components added, and ``site_id, previous_site_id`` of the old sites inside.
-
-    Outlines are rebuilt only for groups that took in a new component.
-    """
-    columns = ["component_id", "source_id", "name", "source_attributes", "rings"]
-    land = old.components.select(*columns).unionByName(new_land.select(*columns))
-    grouped = cut(extend_membership(old.membership, old.components, new_land))
+    # An old site without a pair stays as it is, with its id, row and outline; the others and the new components form new sites.
+    joined = cut(old.sites.select(F.col("site_id").alias("previous_site_id"), _old_node().alias("node")).join(roots, "node").drop("node"))
+    moved = joined.select(F.col("previous_site_id").alias("site_id"), "root")
+    same = lambda df: df.join(moved.select("site_id"), "site_id", "left_anti")
+    grouped = old.membership.join(moved, "site_id").select("component_id", "root").unionByName(
+        node.where(F.col("node").startswith("new:")).join(roots, "node", "left").select("component_id", F.coalesce("root", "node").alias("root"))
+    )
     members = cut(land.select("component_id", "source_id", "name").join(grouped, "component_id"))
     rolled = cut(D.site_rollup(members, "root"))
     ids = rolled.select("root", "site_id")
-    membership = cut(members.join(ids, "root").select("site_id", "component_id"))
-    previous = (
-        membership.join(old.membership.withColumnRenamed("site_id", "previous_site_id"), "component_id")
-        .select("site_id", "previous_site_id")
-        .distinct()
-    )
-    touched = membership.join(new_land.select("component_id"), "component_id", "left_semi").select("site_id").distinct()
-    changed = cut(membership.join(touched, "site_id", "left_semi"))
-    pieces = S.polygon_pieces(land.join(changed, "component_id", "left_semi").select("component_id", "rings"))
-    spans = cut(D.touching_spans(pieces, pieces))
-    fresh = D.union_outline(pieces, spans).join(changed, "component_id").select("site_id", "component_id", "edge", "s")
-    kept = (
-        old.outline.withColumnRenamed("site_id", "previous_site_id")
-        .join(previous, "previous_site_id")
-        .join(touched, "site_id", "left_anti")
+    changed = cut(members.join(ids, "root").select("site_id", "component_id"))
+    membership = cut(same(old.membership).select("site_id", "component_id").unionByName(changed))
+    previous = same(old.sites).select("site_id", F.col("site_id").alias("previous_site_id")).unionByName(
+        joined.join(ids, "root").select("site_id", "previous_site_id")
+    )
+    part = changed.select("component_id")
+    known_part = known.join(part, "component_id", "left_semi")
+    # Stretches that involve a new component are known from above, so only those among old ones are added.
+    old_spans = D.touching_spans(known_part, known_part) if old.spans is None else old.spans.join(part, "component_id", "left_semi")
+    fresh = cut(
+        D.union_outline(known_part.unionByName(fresh_pieces), old_spans.unionByName(spans))
+        .join(changed, "component_id")
         .select("site_id", "component_id", "edge", "s")
     )
-    outline = cut(fresh.unionByName(kept))
-    sites = (
+    outline = cut(same(old.outline).select(*fresh.columns).unionByName(fresh))
+    formed = (
         rolled.drop("root")
-        .join(D.outline_area(outline, "site_id"), "site_id")
-        .join(D.outline_hash(outline, "site_id"), "site_id")
+        .join(D.outline_area(fresh, "site_id"), "site_id")
+        .join(D.outline_hash(fresh, "site_id"), "site_id")
         .withColumn("area_ha", F.col("area_m2") / 10000)
         .drop("area_m2")
     )
-    return D.Catalogue(cut(sites), membership, outline, land), previous
+    sites = cut(same(old.sites).select(*formed.columns).unionByName(formed))
+    return D.Catalogue(sites, membership, outline, land, both), cut(previous)
 
 
-def site_overlaps(current: D.Catalogue, earlier: D.Catalogue) -> DataFrame:
-    """Overlap area of current and earlier sites: ``site_id, previous_site_id, overlap_m2``."""
-    now = D.site_shapes(current.membership, current.components)
-    then = D.site_shapes(earlier.membership, earlier.components)
+def _old_node() -> Column:
+    return F.concat(F.lit("old:"), "site_id")
+
+
+def site_overlaps(current: D.Catalogue, earlier: D.Catalogue, same: DataFrame | None = None) -> DataFrame:
+    """Overlap area of current and earlier sites: ``site_id, previous_site_id, overlap_m2``.
+
+    ``same`` may name (``site_id``) sites that both catalogues have with the same components, such as those that ``extend_sites`` leaves alone.
+    Sites of one catalogue share no area, so such a site overlaps itself with its area and nothing else; only the others are measured.
+    """
+    whole, rest = None, lambda df: df
+    if same is not None:
+        whole = current.sites.join(same, "site_id", "left_semi").select(
+            "site_id", F.col("site_id").alias("previous_site_id"), (F.col("area_ha") * 10000).alias("overlap_m2")
+        )
+        rest = lambda df: df.join(same, "site_id", "left_anti")
+    shaped = lambda c: cut(D.catalogue_shapes(replace(c, membership=rest(c.membership))).select("node", "edges", *S.BOUNDS))
+    now, then = shaped(current), shaped(earlier)
     # Both sides are unions of components, so both need the dissolved outline.
-    forward = S.segment_bounds(current.outline.select(F.col("site_id").alias("k"), "s"))
-    backward = S.segment_bounds(earlier.outline.select(F.col("site_id").alias("k"), "s"))
+    forward = S.segment_bounds(rest(current.outline).select(F.col("site_id").alias("k"), "s"))
+    backward = S.segment_bounds(rest(earlier.outline).select(F.col("site_id").alias("k"), "s"))
 
     def parts(segments: DataFrame, shapes: DataFrame, inner: bool) -> DataFrame:
         spans = S.covered_spans(segments, shapes.select(F.col("node").alias("k"), "edges", *S.BOUNDS)).select(
@@ -105,12 +122,12 @@ def site_overlaps(current: D.Catalogue, earlier: D.Catalogue) -> DataFrame:
     second = parts(backward, now, True).select(
         F.col("b_k").alias("site_id"), F.col("a_k").alias("previous_site_id"), "part"
     )
-    return (
+    measured = (
         first.unionByName(second)
         .groupBy("site_id", "previous_site_id")
         .agg((F.sum("part") / 2).alias("overlap_m2"))
-        .where(F.col("overlap_m2") > SAME_AREA_M2)
     )
+    return (measured if whole is None else whole.unionByName(measured)).where(F.col("overlap_m2") > SAME_AREA_M2)
 
 
 @dataclass(frozen=True)

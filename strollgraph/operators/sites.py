@@ -23,10 +23,18 @@ MEMBER_CHUNKS = 64
 
 @dataclass(frozen=True)
 class Catalogue:
+    """Sites and what they are made of.
+
+    ``pieces`` (one component of every identical polygon) and their ``spans`` are the tables that the sites were formed from; later steps
+    read them where they are kept and make them again where they are not.
+    """
+
     sites: DataFrame
     membership: DataFrame
     outline: DataFrame
     components: DataFrame
+    pieces: DataFrame | None = None
+    spans: DataFrame | None = None
 
 
 def collapse_copies(land: DataFrame) -> DataFrame:
@@ -160,6 +168,8 @@ def form_sites(land: DataFrame) -> Catalogue:
         membership=members.join(ids, "root").select("site_id", "component_id"),
         outline=outline.join(ids, "root").select("site_id", "component_id", "edge", "s"),
         components=land,
+        pieces=pieces,
+        spans=spans,
     )
 
 
@@ -175,3 +185,11 @@ def site_shapes(membership: DataFrame, land: DataFrame) -> DataFrame:
     )
     distinct = shaped.groupBy("node", "_h", "rings").agg(F.count("*").alias("_n"))
     return S.polygon_pieces(distinct.select("node", "rings"))
+
+
+def catalogue_shapes(catalogue: Catalogue) -> DataFrame:
+    """``site_shapes`` of a catalogue, from its kept pieces where it has them: identical polygons touch, so they are of one site."""
+    if catalogue.pieces is None:
+        return site_shapes(catalogue.membership, catalogue.components)
+    node = catalogue.membership.select("component_id", F.col("site_id").alias("node"))
+    return catalogue.pieces.join(node, "component_id").drop("component_id")
