@@ -84,7 +84,7 @@ def walkable(hints: DataFrame) -> DataFrame:
 
 def graph_shapes(catalogue: D.Catalogue, hints: DataFrame | None) -> DataFrame:
     """Site components and walkable hints as pieces with their graph node."""
-    sites = D.site_shapes(catalogue.membership, catalogue.components).select(
+    sites = D.catalogue_shapes(catalogue).select(
         "node", F.lit(True).alias("official_site"), "edges", "whole", *S.BOUNDS
     )
     if hints is None:

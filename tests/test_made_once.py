@@ -56,3 +56,15 @@ def test_route_pieces_keep_seams(spark):
         (2, 0, 0, 100.0, 20.0, 100.0, 20.5), (2, 1, 0, 100.0, 20.0, 100.0, 20.5),
         *[(3, -1, ty, -5.0, 0.0, 0.0, 0.0) for ty in (-1, 0)], *[(3, 0, ty, 0.0, 0.0, 0.0, 0.0) for ty in (-1, 0)],
     }
+
+
+def test_shapes_come_from_the_pieces_of_the_catalogue(spark, monkeypatch):
+    from strollgraph.plans import analyse as A
+
+    land = boxes(spark, 3).unionByName(boxes(spark, 1).withColumn("component_id", F.lit("twin")))
+    made = D.form_sites(land)
+    plain = D.site_shapes(made.membership, made.components)
+    rows = lambda df: sorted(map(str, df.select("node", "edges", "whole", *S.BOUNDS).collect()))
+    want = rows(plain)
+    monkeypatch.setattr(S, "polygon_pieces", None)
+    assert rows(A.graph_shapes(made, None)) == want and len(want) == 3
