@@ -93,8 +93,9 @@ def _(x):
 
 @query("c6_contacts_under_bridges", "SELECT node, route_index, tile_x, tile_y FROM under_bridge")
 def _(x):
+    # The routes are chosen before the join: a condition on its result does not reach them through the kernels.
     flat = (F.col("tier") == "official") & (F.col("grade") == N.FLAT_GRADE)
-    facts = cut(N.contact_facts(x.shapes, x.routes, 5.0, 20000.0).where(flat))
+    facts = cut(N.contact_facts(x.shapes, x.routes.where(flat), 5.0, 20000.0))
     best = facts.groupBy(*N.CONTACT).agg(F.min("link").alias("link"))
     return N.elevated_contacts(N.contact_shapes(facts, best), x.routes, 5.0)
 

@@ -68,3 +68,19 @@ def test_shapes_come_from_the_pieces_of_the_catalogue(spark, monkeypatch):
     want = rows(plain)
     monkeypatch.setattr(S, "polygon_pieces", None)
     assert rows(A.graph_shapes(made, None)) == want and len(want) == 3
+
+
+def test_contacts_under_bridges_choose_their_routes_before_the_join(spark, monkeypatch):
+    from strollgraph.lattice import queries_graph as Q
+
+    x, tiers = Lattice(spark, "/root/testdata/sf0.001"), []
+    facts = Q.N.contact_facts
+
+    def seen(shapes, routes, *sizes):
+        tiers.extend(map(tuple, routes.select("tier", "grade").distinct().collect()))
+        return facts(shapes, routes, *sizes)
+
+    monkeypatch.setattr(Q.N, "contact_facts", seen)
+    monkeypatch.setattr("strollgraph.lattice.registry.lattice", lambda spark, sf_dir: x)
+    Q.query.__globals__["QUERIES"]["c6_contacts_under_bridges"](spark, x.sf_dir)
+    assert tiers == [("official", Q.N.FLAT_GRADE)]
