@@ -147,7 +147,7 @@ def _(x):
 
 @query("c10_coverage_gaps", "SELECT site_id FROM gap_sites")
 def _(x):
-    return A.uncovered_sites(x.inputs, x.site_shapes)
+    return A.uncovered_sites(A.Inputs(x.catalogue, None, None, gaps=x.councils.where("is_gap")), x.site_shapes)
 
 
 @query(

@@ -84,3 +84,12 @@ def test_contacts_under_bridges_choose_their_routes_before_the_join(spark, monke
     monkeypatch.setattr("strollgraph.lattice.registry.lattice", lambda spark, sf_dir: x)
     Q.query.__globals__["QUERIES"]["c6_contacts_under_bridges"](spark, x.sf_dir)
     assert tiers == [("official", Q.N.FLAT_GRADE)]
+
+
+def test_coverage_gaps_make_no_routes(spark, monkeypatch):
+    from strollgraph.lattice.registry import QUERIES
+
+    x = Lattice(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr("strollgraph.lattice.registry.lattice", lambda spark, sf_dir: x)
+    QUERIES["c10_coverage_gaps"](spark, x.sf_dir)
+    assert "routes" not in x.__dict__ and "barriers" not in x.__dict__
