@@ -95,9 +95,8 @@ def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_
     bounded by their boxes in plain arithmetic, and only those that can be the nearest are measured.  Sites with nothing within the last
     ring get NULL.
     """
-    sites = shapes.select("node").distinct()
     if limit < FIRST_RADIUS_M:
-        return sites.select(F.col("node").alias("site_id"), F.lit(None).cast("double").alias("nearest_mapped_route_m"))
+        return shapes.select("node").distinct().select(F.col("node").alias("site_id"), F.lit(None).cast("double").alias("nearest_mapped_route_m"))
     last = FIRST_RADIUS_M
     while last * 2 <= limit:
         last *= 2
@@ -107,16 +106,15 @@ def nearest_routes(shapes: DataFrame, routes: DataFrame, limit: float = NEAREST_
     occupied = cut(segments.select("_cx", "_cy").distinct())
     # The outline touches every side of the box of its real edges; a piece without such edges lies inside the site as a whole.
     kept = "if(exists(edges, e -> not e.drawn), filter(edges, e -> not e.drawn), edges)"
-    ends = "flatten(transform(kept, ke -> array(named_struct('x', ke.x0, 'y', ke.y0), named_struct('x', ke.x1, 'y', ke.y1))))"
+    sides = {f"_{side}{axis}": f"array_{side}(transform(kept, ke -> {end}(ke.{axis}0, ke.{axis}1)))" for axis in ("x", "y") for side, end in (("min", "least"), ("max", "greatest"))}
+    box = "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in sides.items()) + ")"
     pieces = cut(
         shapes.select("node", "edges", *S.BOUNDS)
-        .withColumn("_piece", F.monotonically_increasing_id())
-        .withColumns({
-            f"_{side}{axis}": F.expr(G.let(kept, "kept", f"array_{side}(transform({ends}, pt -> pt.{axis}))"))
-            for axis in ("x", "y") for side in ("min", "max")
-        })
-    )
+        .withColumns({"_piece": F.monotonically_increasing_id(), "_box": F.expr(G.let(kept, "kept", box))})
+    ).select("node", "edges", *S.BOUNDS, "_piece", "_box.*")
     boxes = pieces.drop("edges")
+    # Read from the table: shapes that are not stored would be cut up again only to name their sites.
+    sites = pieces.select("node").distinct()
 
     def around(df: DataFrame, level: int, reach: str) -> DataFrame:
         """Cells of a level that come within ``reach`` of the box of a piece."""

@@ -62,3 +62,11 @@ def test_measures_only_segments_that_can_be_nearest(spark, monkeypatch):
     monkeypatch.setattr(S, "link_distance", lambda pairs, d: seen.append(pairs.count()) or measure(pairs, d))
     assert [tuple(r) for r in L.nearest_routes(pieces, routes).collect()] == [("a", 5.0)]
     assert 0 < sum(seen) < 40
+
+
+def test_sites_are_read_from_the_stored_pieces(spark):
+    land = spark.createDataFrame([("u", [ring(10.0, 10.0, 600.0, 600.0, 30)])], f"node string, rings {G.RINGS}")
+    routes = spark.createDataFrame([(0, [(700.0, 100.0), (700.0, 200.0)])], ROUTES)
+    near = L.nearest_routes(S.polygon_pieces(land), routes)
+    assert "Window" not in near._jdf.queryExecution().optimizedPlan().toString()  # nothing is cut up again
+    assert [tuple(r) for r in near.collect()] == [("u", 90.0)]
