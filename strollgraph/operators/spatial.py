@@ -213,8 +213,9 @@ def near_pairs(
     once = " and ".join(
         f"{G.tile_index(f'greatest(a_{axis}min - {pad}D, b_{axis}min)', cell)} = _c{axis}" for axis in ("x", "y")
     )
-    # Dealt by cell even if the other side is broadcast: what follows costs by the pair, and a small file is one task.
-    joined = a.repartition("_cx", "_cy").join(b, ["_cx", "_cy"]).where(f"{meets} and {once}")
+    # Dealt by cell even if the other side is broadcast: what follows costs by the pair, and a small file is one task.  The other side is dealt
+    # too, so that its size is known once it is spread over cells: the planner knows its file, of which a few MB can become GB in a broadcast.
+    joined = a.repartition("_cx", "_cy").join(b.repartition("_cx", "_cy"), ["_cx", "_cy"]).where(f"{meets} and {once}")
     if condition is not None:
         joined = joined.where(condition)
     return joined.drop("_cx", "_cy")

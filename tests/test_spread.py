@@ -30,3 +30,14 @@ def test_rings_are_not_broadcast(spark):
     assert copies.count() == 53
     derived = [line for line in plan.splitlines() if "Join" in line and "rings" in line and "LeftSemi" not in line]
     assert len(derived) == 1 and "FileScan parquet" in plan
+
+
+def test_pieces_spread_over_cells_are_not_broadcast(spark):
+    """Twenty boxes are a small file and 30 MB once every cell of them holds a row."""
+    boxes = spark.range(20).selectExpr("id", f"{G.box_rings('id * 20000 + 100', '100', 'id * 20000 + 19900', '19900')} as rings")
+    pieces = S.polygon_pieces(boxes)
+    segments = S.outline_segments(pieces, ["id"])
+    pairs = S.near_pairs(segments, pieces.select("id", "edges", *S.BOUNDS)).select("a_id", "b_id", "b_edges")
+    assert len(pairs.collect()) == 80
+    final = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" in final and "BuildRight" not in final
