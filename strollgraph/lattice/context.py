@@ -101,6 +101,11 @@ class Lattice:
         """Whole-number area per site, for reports that order by it."""
         return self.labelled.withColumn("area_ha", F.round("area_ha", 6))
 
+    @cached_property
+    def status_numbers(self) -> DataFrame:
+        """``site_numbers`` for reports on the status alone: nothing is labelled or searched for them."""
+        return self.classified.withColumn("area_ha", F.round("area_ha", 6))
+
 
 def lattice(spark: SparkSession, sf_dir: str) -> Lattice:
     key = (spark.sparkContext.applicationId, sf_dir)

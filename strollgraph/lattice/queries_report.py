@@ -231,7 +231,7 @@ def _(x):
 )
 def _(x):
     desk = W.desk_reviews(earlier_reviews(x), x.catalogue.sites)
-    sample, _lost = W.carry_reviews(x.site_numbers, earlier_reviews(x))
+    sample, _lost = W.carry_reviews(x.status_numbers, earlier_reviews(x))
     return W.reviewed_sites(desk, sample).agg(F.count("*").alias("reviewed"))
 
 

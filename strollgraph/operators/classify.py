@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strollgraph.functions import policy as P
 from strollgraph.operators import network as N
 from strollgraph.operators.components import connected_components, reachable
+from strollgraph.session import cut
 
 VERY_SMALL = "very_small_site_geometry"
 EDGE_NOTE = "regional_context_incomplete"
@@ -40,8 +41,8 @@ def admitted(kind: Column, variant: Variant) -> Column:
     return kind.isin(list(variant.tiers) + ["site"] + (["hint"] if variant.weak else []))
 
 
-def variant_edges(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
-    """Edges admitted per variant: ``variant, a, b``; ``kinds`` has ``node, kind``."""
+def listed_edges(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
+    """Edges with the names of the variants that admit them: ``a, b, variants``; ``kinds`` has ``node, kind``."""
     typed = edges.join(kinds.withColumnsRenamed({"node": "a", "kind": "kind_a"}), "a").join(
         kinds.withColumnsRenamed({"node": "b", "kind": "kind_b"}), "b"
     )
@@ -54,7 +55,12 @@ def variant_edges(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) ->
         )
         for v in chosen
     ]
-    return typed.select(F.explode(F.array_compact(F.array(*tests))).alias("variant"), "a", "b").distinct()
+    return typed.select("a", "b", F.array_compact(F.array(*tests)).alias("variants"))
+
+
+def variant_edges(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
+    """Edges admitted per variant: ``variant, a, b``."""
+    return listed_edges(edges, kinds, chosen).select(F.explode("variants").alias("variant"), "a", "b").distinct()
 
 
 def variant_seeds(seeds: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
@@ -64,8 +70,23 @@ def variant_seeds(seeds: DataFrame, kinds: DataFrame, chosen: list[Variant]) ->
 
 
 def variant_roots(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
-    """Components of all variants in one keyed run: ``variant, node, root``."""
-    return connected_components(variant_edges(edges, kinds, chosen), keys=["variant"], smallest=False)
+    """Components of all variants: ``variant, node, root``.
+
+    The edges that all variants share are most of them, so they are contracted once; one keyed run then joins their components by the others.
+    """
+    listed = cut(listed_edges(edges, kinds, chosen).where("a <> b and size(variants) > 0").distinct())
+    shared = F.size("variants") == len(chosen)
+    base = connected_components(listed.where(shared).select("a", "b"), smallest=False)
+    moved = listed.where(~shared)
+    for end in ("a", "b"):
+        moved = moved.join(base.withColumnsRenamed({"node": end, "root": f"_{end}"}), end, "left").withColumn(end, F.coalesce(f"_{end}", end)).drop(f"_{end}")
+    above = connected_components(moved.select(F.explode("variants").alias("variant"), "a", "b"), keys=["variant"], smallest=False)
+    tops = above.groupBy(F.col("node").alias("root")).agg(F.map_from_entries(F.collect_list(F.struct("variant", "root"))).alias("_tops"))
+    within = base.join(tops, "root", "left").select(F.explode(F.array(*[F.lit(v.name) for v in chosen])).alias("variant"), "node", "root", "_tops")
+    return cut(
+        within.select("variant", "node", F.coalesce(F.col("_tops")[F.col("variant")], "root").alias("root"))
+        .unionByName(above.join(base.select("node"), "node", "left_anti").select("variant", "node", "root"))
+    )
 
 
 def reach_table(sites: DataFrame, roots: DataFrame, seeds: DataFrame, chosen: list[Variant]) -> DataFrame:

@@ -149,7 +149,7 @@ def uncovered_sites(inputs: Inputs, site_shapes: DataFrame) -> DataFrame:
 def classify(inputs: Inputs, graph: Graph, settings: Settings) -> DataFrame:
     """Sites with the variant columns, status, strength and reasons."""
     chosen = K.variants(settings.tolerance_m)
-    roots = cut(K.variant_roots(graph.edges, graph.kinds, chosen))
+    roots = K.variant_roots(graph.edges, graph.kinds, chosen)
     seeds = K.variant_seeds(graph.seeds, graph.kinds, chosen)
     notes = graph.notes
     if inputs.boundary_nodes is not None:

@@ -1,5 +1,6 @@
 """Tables that several steps read are made once, and the rows of a small file are dealt to all cores before costly expressions."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strollgraph.functions import geometry as G
@@ -93,3 +94,21 @@ def test_coverage_gaps_make_no_routes(spark, monkeypatch):
     monkeypatch.setattr("strollgraph.lattice.registry.lattice", lambda spark, sf_dir: x)
     QUERIES["c10_coverage_gaps"](spark, x.sf_dir)
     assert "routes" not in x.__dict__ and "barriers" not in x.__dict__
+
+
+@pytest.fixture(scope="module")
+def reported(spark):
+    """A lattice that several queries on the classified sites share."""
+    return Lattice(spark, "/root/testdata/sf0.001")
+
+
+def queried(x, monkeypatch, name):
+    from strollgraph.lattice.queries import QUERIES
+
+    monkeypatch.setattr("strollgraph.lattice.registry.lattice", lambda spark, sf_dir: x)
+    return QUERIES[name](x.spark, x.sf_dir).collect()
+
+
+def test_desk_reviews_label_and_search_nothing(reported, monkeypatch):
+    rows = queried(reported, monkeypatch, "c23_desk_reviews")
+    assert len(rows) == 1 and "labelled" not in reported.__dict__
