@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strollgraph.lattice import tables as T
+from strollgraph.operators import labels as L
 from strollgraph.operators import sites as D
 from strollgraph.plans import analyse as A
 from strollgraph.session import cut, tune
@@ -91,10 +92,15 @@ class Lattice:
     def classified(self) -> DataFrame:
         return cut(A.classify(self.inputs, self.graph, self.settings))
 
+    @cached_property
+    def authority_labels(self) -> tuple[DataFrame, DataFrame]:
+        county, council = A.authority_labels(self.catalogue, self.site_shapes, self.counties, self.councils)
+        return cut(county), cut(council)
+
     @cached_property
     def labelled(self) -> DataFrame:
         """Classified sites with labels, points, regimes and the rest of the report columns."""
-        return cut(A.label(self.classified, self.inputs, self.graph, self.settings))
+        return cut(A.label(self.classified, self.inputs, self.graph, self.settings, labels=self.authority_labels))
 
     @cached_property
     def site_numbers(self) -> DataFrame:
@@ -106,6 +112,10 @@ class Lattice:
         """``site_numbers`` for reports on the status alone: nothing is labelled or searched for them."""
         return self.classified.withColumn("area_ha", F.round("area_ha", 6))
 
+    def with_authorities(self, sites: DataFrame) -> DataFrame:
+        """Sites with their county and council, without the searches of ``labelled``."""
+        return L.add_labels(sites, *self.authority_labels)
+
 
 def lattice(spark: SparkSession, sf_dir: str) -> Lattice:
     key = (spark.sparkContext.applicationId, sf_dir)

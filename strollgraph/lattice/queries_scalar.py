@@ -425,7 +425,7 @@ def _(x):
     AND (l.council = 'NATION_3' OR list_contains(string_split(l.all_councils, ';'), 'NATION_3')) AND lower(concat_ws(' ', c.name, c.site_id)) LIKE '%site-%a%'""",
 )
 def _(x):
-    found = writers.search_sites(x.labelled, ["uncertain", "likely_access_island"], council="NATION_3", text="SITE-")
+    found = writers.search_sites(x.with_authorities(x.classified), ["uncertain", "likely_access_island"], council="NATION_3", text="SITE-")
     return found.where(F.col("site_id").substr(6, 16).contains("a") | F.lower("name").rlike("site-.*a")).select(
         "site_id", "status"
     )

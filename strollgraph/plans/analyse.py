@@ -162,25 +162,25 @@ def classify(inputs: Inputs, graph: Graph, settings: Settings) -> DataFrame:
     return decided.drop("area_m2", "possible_access")
 
 
-def label(sites: DataFrame, inputs: Inputs, graph: Graph, settings: Settings, report: Report = Report()) -> DataFrame:
+def authority_labels(catalogue: D.Catalogue, site_shapes: DataFrame, counties: DataFrame, councils: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """County and council labels per site; they follow from the catalogue and the boundaries alone."""
+    labels = lambda areas, *names: L.boundary_labels(L.overlay_areas(site_shapes, catalogue.outline, areas), areas, *names)
+    return labels(counties, "county", "all_counties"), labels(councils, "council", "all_councils")
+
+
+def label(
+    sites: DataFrame, inputs: Inputs, graph: Graph, settings: Settings, report: Report = Report(),
+    labels: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """Add legal regimes and authority labels, keep the reported sites, and add to them nearest route, hints, the representative point and provenance.
 
-    The wide searches come last, so they follow the reported sites.
+    The wide searches come last, so they follow the reported sites.  ``labels`` are the stored ``authority_labels`` where they were made before.
     """
-    outline = inputs.catalogue.outline
     sites = H.annotate_sites(sites, inputs.catalogue.components, inputs.catalogue.membership)
     authorities = None
     if inputs.counties is not None and inputs.councils is not None:
         authorities = inputs.counties.select("code").unionByName(inputs.councils.select("code")).distinct()
-        sites = L.add_labels(
-            sites,
-            L.boundary_labels(
-                L.overlay_areas(graph.site_shapes, outline, inputs.counties), inputs.counties, "county", "all_counties"
-            ),
-            L.boundary_labels(
-                L.overlay_areas(graph.site_shapes, outline, inputs.councils), inputs.councils, "council", "all_councils"
-            ),
-        )
+        sites = L.add_labels(sites, *(labels or authority_labels(inputs.catalogue, graph.site_shapes, inputs.counties, inputs.councils)))
     shapes = graph.site_shapes
     if report != Report():
         if report.authority is not None and authorities is None:

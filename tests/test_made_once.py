@@ -112,3 +112,20 @@ def queried(x, monkeypatch, name):
 def test_desk_reviews_label_and_search_nothing(reported, monkeypatch):
     rows = queried(reported, monkeypatch, "c23_desk_reviews")
     assert len(rows) == 1 and "labelled" not in reported.__dict__
+
+
+def test_site_search_needs_status_and_labels_only(reported, monkeypatch):
+    queried(reported, monkeypatch, "b32_site_search")
+    assert "authority_labels" in reported.__dict__ and "labelled" not in reported.__dict__
+
+
+def test_stored_labels_equal_those_of_the_run(reported, monkeypatch):
+    from strollgraph.lattice import context as X
+
+    x = reported
+    columns = ["site_id", "council", "council_code", "all_councils", "county", "county_code", "all_counties"]
+    want = sorted(map(str, X.A.label(x.classified, x.inputs, x.graph, x.settings).select(*columns).collect()))
+    assert sorted(map(str, x.with_authorities(x.classified).select(*columns).collect())) == want
+    monkeypatch.setattr(X.A, "authority_labels", None)  # made before, so not made again
+    again = X.A.label(x.classified, x.inputs, x.graph, x.settings, labels=x.authority_labels)
+    assert sorted(map(str, again.select(*columns).collect())) == want
