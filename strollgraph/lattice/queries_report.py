@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strollgraph.functions import text as X
 from strollgraph.lattice.context import Lattice
 from strollgraph.lattice.registry import query
+from strollgraph.operators import labels as L
 from strollgraph.operators import lineage as H
 from strollgraph.operators import review as W
 from strollgraph.operators import sites as D
@@ -315,7 +316,8 @@ def _(x):
     UNION ALL SELECT 'points_outside', count(*) FROM points p WHERE NOT EXISTS (SELECT 1 FROM member m WHERE m.site_id = p.site_id AND p.easting BETWEEN m.x0 AND m.x1 AND p.northing BETWEEN m.y0 AND m.y1)""",
 )
 def _(x):
-    return V.validate_run(x.labelled, x.catalogue.membership, x.catalogue.sites, x.site_shapes)
+    run = x.classified.join(L.site_points(x.site_shapes), "site_id", "left")
+    return V.validate_run(run, x.catalogue.membership, x.catalogue.sites, x.site_shapes)
 
 
 @query(

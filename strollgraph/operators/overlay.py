@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,10 +62,10 @@ def within_buffers(segments: DataFrame, key: list[str], edges: DataFrame, radius
     return S.union_measures(rows, [*key, "s"], {"covered": F.lit(True)})
 
 
-def points_in_areas(points: DataFrame, key: str, areas: DataFrame, area_key: str) -> DataFrame:
+def points_in_areas(points: DataFrame, key: str, areas: DataFrame, area_key: str, condition: Column | None = None) -> DataFrame:
     """Points covered by areas, outline included: ``key, area_key``; points come as one-vertex paths."""
     as_segment = points.select(key, F.expr(G.segment("path[0].x", "path[0].y", "path[0].x", "path[0].y")).alias("s"))
-    pairs = S.near_pairs(S.segment_bounds(as_segment), areas.select(area_key, "edges", *S.BOUNDS))
+    pairs = S.near_pairs(S.segment_bounds(as_segment), areas.select(area_key, "edges", *S.BOUNDS), condition=condition)
     hit = S.link_distance(pairs, 0.0)
     return hit.select(F.col(f"a_{key}").alias(key), F.col(f"b_{area_key}").alias(area_key)).distinct()
 

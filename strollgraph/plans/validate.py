@@ -23,7 +23,7 @@ def points_outside(points: DataFrame, shapes: DataFrame) -> DataFrame:
     """Sites whose representative point is not covered by their own land."""
     placed = points.select("site_id", F.expr("array(named_struct('x', easting, 'y', northing))").alias("path"))
     areas = shapes.withColumnRenamed("node", "area_id")
-    inside = O.points_in_areas(placed, "site_id", areas, "area_id").where("site_id = area_id")
+    inside = O.points_in_areas(placed, "site_id", areas, "area_id", F.col("a_site_id") == F.col("b_area_id"))
     return points.select("site_id").join(inside, "site_id", "left_anti")
 
 

@@ -129,3 +129,20 @@ def test_stored_labels_equal_those_of_the_run(reported, monkeypatch):
     monkeypatch.setattr(X.A, "authority_labels", None)  # made before, so not made again
     again = X.A.label(x.classified, x.inputs, x.graph, x.settings, labels=x.authority_labels)
     assert sorted(map(str, again.select(*columns).collect())) == want
+
+
+def test_run_checks_label_and_search_nothing(reported, monkeypatch):
+    rows = queried(reported, monkeypatch, "p13_run_checks")
+    assert len(rows) == 4 and not any(r.violations for r in rows) and "labelled" not in reported.__dict__
+
+
+def test_points_meet_their_own_land_only(spark, monkeypatch):
+    from strollgraph.operators import overlay as O
+    from strollgraph.plans import validate as V
+
+    land = boxes(spark, 1).crossJoin(spark.range(3).select(F.concat(F.lit("n"), "id").alias("node"))).select("node", "rings")
+    points = spark.createDataFrame([("n0", 5.0, 5.0), ("n1", 50.0, 5.0)], "site_id string, easting double, northing double")
+    pairs, linked = [], O.S.link_distance
+    monkeypatch.setattr(O.S, "link_distance", lambda df, d: pairs.append(df.count()) or linked(df, d))
+    assert [r.site_id for r in V.points_outside(points, S.polygon_pieces(land)).collect()] == ["n1"]
+    assert pairs == [1]
