@@ -327,5 +327,6 @@ def _(x):
 )
 def _(x):
     codes = Z.authority_table(x.counties, x.councils)
-    shown = Z.report_filter(x.labelled, x.site_shapes, codes, "E3", (0.0, 20.0, 20000.0, 100000.0), x.labelled)
+    sites = x.with_authorities(x.catalogue.sites)
+    shown = Z.report_filter(sites, x.site_shapes, codes, "E3", (0.0, 20.0, 20000.0, 100000.0), x.catalogue.sites)
     return shown.select("site_id")

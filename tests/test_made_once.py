@@ -146,3 +146,9 @@ def test_points_meet_their_own_land_only(spark, monkeypatch):
     monkeypatch.setattr(O.S, "link_distance", lambda df, d: pairs.append(df.count()) or linked(df, d))
     assert [r.site_id for r in V.points_outside(points, S.polygon_pieces(land)).collect()] == ["n1"]
     assert pairs == [1]
+
+
+def test_reported_sites_need_no_graph(spark, monkeypatch):
+    x = Lattice(spark, "/root/testdata/sf0.001")
+    queried(x, monkeypatch, "c22_reported_sites")
+    assert not {"routes", "graph", "classified", "labelled"} & set(x.__dict__)
