@@ -179,7 +179,7 @@ def _(x):
       FROM classified WHERE status = 'likely_access_island' ORDER BY area_ha DESC, site_id LIMIT 25)""",
 )
 def _(x):
-    tables = E.report_tables(x.site_numbers)
+    tables = E.report_tables(x.status_numbers)
     counts = tables["status_counts"].select(F.lit("status_counts").alias("part"), F.col("status").alias("item"), F.col("sites").alias("value"))
     return counts.unionByName(tables["candidates"].select(F.lit("candidates").alias("part"), F.col("site_id").alias("item"), F.col("map_number").alias("value")))
 

@@ -152,3 +152,8 @@ def test_reported_sites_need_no_graph(spark, monkeypatch):
     x = Lattice(spark, "/root/testdata/sf0.001")
     queried(x, monkeypatch, "c22_reported_sites")
     assert not {"routes", "graph", "classified", "labelled"} & set(x.__dict__)
+
+
+def test_report_rows_label_and_search_nothing(reported, monkeypatch):
+    rows = queried(reported, monkeypatch, "p14_report_rows")
+    assert rows and "labelled" not in reported.__dict__
