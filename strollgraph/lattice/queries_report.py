@@ -281,7 +281,7 @@ def _(x):
     """SELECT status, county, count(*) AS sites, round(sum(area_m2) / 10000.0, 4) AS area_ha FROM classified c JOIN labels_joined l USING (site_id) GROUP BY status, county""",
 )
 def _(x):
-    return x.site_numbers.groupBy("status", "county").agg(
+    return x.with_authorities(x.status_numbers).groupBy("status", "county").agg(
         F.count("*").alias("sites"), F.round(F.sum("area_ha"), 4).alias("area_ha")
     )
 

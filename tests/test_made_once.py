@@ -157,3 +157,8 @@ def test_reported_sites_need_no_graph(spark, monkeypatch):
 def test_report_rows_label_and_search_nothing(reported, monkeypatch):
     rows = queried(reported, monkeypatch, "p14_report_rows")
     assert rows and "labelled" not in reported.__dict__
+
+
+def test_report_tables_search_nothing(reported, monkeypatch):
+    rows = queried(reported, monkeypatch, "p14_report_tables")
+    assert rows and "labelled" not in reported.__dict__
