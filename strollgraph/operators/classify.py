@@ -42,25 +42,29 @@ def admitted(kind: Column, variant: Variant) -> Column:
 
 
 def listed_edges(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
-    """Edges with the names of the variants that admit them: ``a, b, variants``; ``kinds`` has ``node, kind``."""
+    """Pairs of nodes with the variants that admit an edge between them, one bit each: ``a, b, bits``; ``kinds`` has ``node, kind``."""
     typed = edges.join(kinds.withColumnsRenamed({"node": "a", "kind": "kind_a"}), "a").join(
         kinds.withColumnsRenamed({"node": "b", "kind": "kind_b"}), "b"
     )
-    tests = [
-        F.when(
+    bits = F.lit(0)
+    for i, v in enumerate(chosen):
+        test = (
             admitted(F.col("kind_a"), v) & admitted(F.col("kind_b"), v)
             & (F.col("distance") <= v.tolerance)
-            & (F.lit(v.weak) | ~F.col("weak")),
-            v.name,
+            & (F.lit(v.weak) | ~F.col("weak"))
         )
-        for v in chosen
-    ]
-    return typed.select("a", "b", F.array_compact(F.array(*tests)).alias("variants"))
+        bits = bits.bitwiseOR(F.when(test, 1 << i).otherwise(0))
+    return typed.groupBy("a", "b").agg(F.bit_or(bits).alias("bits")).where("bits <> 0")
+
+
+def named(chosen: list[Variant]) -> Column:
+    """One row per variant of ``bits``."""
+    return F.explode(F.array_compact(F.array(*[F.when(F.col("bits").bitwiseAND(1 << i) != 0, v.name) for i, v in enumerate(chosen)])))
 
 
 def variant_edges(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
     """Edges admitted per variant: ``variant, a, b``."""
-    return listed_edges(edges, kinds, chosen).select(F.explode("variants").alias("variant"), "a", "b").distinct()
+    return listed_edges(edges, kinds, chosen).select(named(chosen).alias("variant"), "a", "b")
 
 
 def variant_seeds(seeds: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
@@ -69,24 +73,27 @@ def variant_seeds(seeds: DataFrame, kinds: DataFrame, chosen: list[Variant]) ->
     return nodes.select(F.explode(F.array_compact(F.array(*tests))).alias("variant"), "node")
 
 
-def variant_roots(edges: DataFrame, kinds: DataFrame, chosen: list[Variant]) -> DataFrame:
-    """Components of all variants: ``variant, node, root``.
+def variant_roots(edges: DataFrame, kinds: DataFrame, chosen: list[Variant], only: DataFrame | None = None) -> DataFrame:
+    """Components of all variants: ``variant, node, root``, for the nodes of ``only`` (``node``) if they are given.
 
     The edges that all variants share are most of them, so they are contracted once; one keyed run then joins their components by the others.
     """
-    listed = cut(listed_edges(edges, kinds, chosen).where("a <> b and size(variants) > 0").distinct())
-    shared = F.size("variants") == len(chosen)
+    listed = cut(listed_edges(edges, kinds, chosen).where("a <> b"))
+    shared = F.col("bits") == (1 << len(chosen)) - 1
     base = connected_components(listed.where(shared).select("a", "b"), smallest=False)
     moved = listed.where(~shared)
     for end in ("a", "b"):
         moved = moved.join(base.withColumnsRenamed({"node": end, "root": f"_{end}"}), end, "left").withColumn(end, F.coalesce(f"_{end}", end)).drop(f"_{end}")
-    above = connected_components(moved.select(F.explode("variants").alias("variant"), "a", "b"), keys=["variant"], smallest=False)
+    above = connected_components(moved.select(named(chosen).alias("variant"), "a", "b"), keys=["variant"], smallest=False)
     tops = above.groupBy(F.col("node").alias("root")).agg(F.map_from_entries(F.collect_list(F.struct("variant", "root"))).alias("_tops"))
-    within = base.join(tops, "root", "left").select(F.explode(F.array(*[F.lit(v.name) for v in chosen])).alias("variant"), "node", "root", "_tops")
-    return cut(
-        within.select("variant", "node", F.coalesce(F.col("_tops")[F.col("variant")], "root").alias("root"))
-        .unionByName(above.join(base.select("node"), "node", "left_anti").select("variant", "node", "root"))
-    )
+    if only is None:
+        only = base.select("node").unionByName(above.select("node"))
+    held = F.col("root").isNotNull()
+    asked = only.select("node").distinct().join(base, "node", "left").select("node", F.coalesce("root", "node").alias("root"), held.alias("_held"))
+    every = F.explode(F.array(*[F.lit(v.name) for v in chosen])).alias("variant")
+    rows = asked.join(tops, "root", "left").select(every, "node", "root", "_held", "_tops").withColumn("_top", F.col("_tops")[F.col("variant")])
+    # A node without shared edges is in a variant only where it has an edge of its own.
+    return cut(rows.where("_held or _top is not null").select("variant", "node", F.coalesce("_top", "root").alias("root")))
 
 
 def reach_table(sites: DataFrame, roots: DataFrame, seeds: DataFrame, chosen: list[Variant]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strollgraph.functions import geometry as G
 from strollgraph.operators import spatial as S
+from strollgraph.session import cut
 
 FLAT_GRADE = "0:no:no"
 BARRIER_REACH_M = 0.25
@@ -100,7 +101,7 @@ def snap_links(routes: DataFrame, distance: float) -> DataFrame:
 
 def snap_edges(routes: DataFrame, barriers: DataFrame, distance: float) -> DataFrame:
     key = ["route_index", "end_no", "other_index"]
-    links = snap_links(routes, distance)
+    links = cut(snap_links(routes, distance))  # read twice, and its pairs are measured by expressions
     flags = blocked_shapes(
         links.select(*key, F.expr(G.link_segment("link")).alias("s")), barriers, key, 0.0
     ).drop("entrance")

@@ -149,8 +149,12 @@ def uncovered_sites(inputs: Inputs, site_shapes: DataFrame) -> DataFrame:
 def classify(inputs: Inputs, graph: Graph, settings: Settings) -> DataFrame:
     """Sites with the variant columns, status, strength and reasons."""
     chosen = K.variants(settings.tolerance_m)
-    roots = K.variant_roots(graph.edges, graph.kinds, chosen)
-    seeds = K.variant_seeds(graph.seeds, graph.kinds, chosen)
+    seeds = cut(K.variant_seeds(graph.seeds, graph.kinds, chosen))
+    # Only these nodes are looked up below: the sites, the seeds and the nodes at the edge of the context.
+    asked = inputs.catalogue.sites.select(F.col("site_id").alias("node")).unionByName(seeds.select("node"))
+    if inputs.boundary_nodes is not None:
+        asked = asked.unionByName(inputs.boundary_nodes.select("node"))
+    roots = K.variant_roots(graph.edges, graph.kinds, chosen, asked)
     notes = graph.notes
     if inputs.boundary_nodes is not None:
         notes = notes.unionByName(K.edge_notes(roots, inputs.boundary_nodes)).distinct()

@@ -42,3 +42,24 @@ def test_one_variant_alone_and_no_shared_edges(spark, monkeypatch):
     for chosen in ([v for v in K.variants(2.0) if v.weak], [K.Variant("none", -1.0, ("official",)), K.variants(2.0)[0]]):
         want = groups(connected_components(K.variant_edges(edges, kinds, chosen).where("a <> b"), keys=["variant"]).collect())
         assert groups(K.variant_roots(edges, kinds, chosen).collect()) == want and want
+
+
+def test_roots_of_the_asked_nodes(spark):
+    edges, kinds = world(spark)
+    chosen = K.variants(2.0)
+    rows = lambda df: [r for r in df.collect() if int(r.node[1:]) % 3 == 0]
+    only = kinds.where("cast(substr(node, 2) as int) % 3 = 0")
+    got, want = K.variant_roots(edges, kinds, chosen, only).collect(), rows(K.variant_roots(edges, kinds, chosen))
+    assert groups(got) == groups(want) and got and all(int(r.node[1:]) % 3 == 0 for r in got)
+
+
+def test_snap_links_are_measured_once(spark):
+    from strollgraph.functions import geometry as G
+    from strollgraph.operators import network as N
+
+    paths = [(0, "official", [(0.0, 0.0), (50.0, 0.0)]), (1, "public", [(53.0, 0.0), (90.0, 0.0)])]
+    routes = spark.createDataFrame(paths, f"route_index long, tier string, path {G.PATH}").selectExpr("*", "'0:no:no' as grade")
+    gate = spark.createDataFrame([("n", True, [(51.0, 0.0)])], f"node_id string, blocking boolean, path {G.PATH}")
+    edges = N.snap_edges(routes, gate, 5.0)
+    assert [tuple(r) for r in edges.collect()] == [("route:0", "route:1", 3.0, True)]
+    assert all("/stage-" in f for f in edges.inputFiles()) and edges.inputFiles()
